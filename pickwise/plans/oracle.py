@@ -377,6 +377,38 @@ SELECT match_id, p AS radiant_win_probability,
          AS recommendation
   FROM pr"""
     q["prediction_bands"] = q["prediction_bands"].replace("\n, pr AS", ",\npr AS")
+    # file sources and sinks: the loaded files must equal the views they were written from
+    q["src_yearly_union"] = with_views("pb", "md") + """SELECT pb.is_pick, pb.hero_id, pb.team,
+       CASE WHEN md."year" = 1997 THEN NULL ELSE pb."order" END AS "order", pb.match_id,
+       CAST(NULL AS BIGINT) AS leagueid, md."year" AS "year"
+  FROM pb JOIN md ON pb.match_id = md.match_id"""
+    q["src_yearly_optional"] = with_views("md") + """SELECT match_id, radiant_win,
+       CASE WHEN "year" = 1999 THEN NULL ELSE patch END AS patch, "year" FROM md"""
+    q["src_yearly_defaults"] = with_views("dt", "md") + """SELECT dt.match_id, dt.pick,
+       CAST(dt.total_time_taken AS DOUBLE) AS total_time_taken,
+       CASE WHEN md."year" = 1996 THEN CAST(0 AS DOUBLE) ELSE CAST(dt.extra_time AS DOUBLE) END AS extra_time,
+       md."year" AS "year"
+  FROM dt JOIN md ON dt.match_id = md.match_id WHERE md."year" <> 1998"""
+    q["src_row_audit"] = with_views("pb", "dt", "md") + """SELECT 'picks_bans' AS source, md."year" AS "year", count(*) AS rows
+  FROM pb JOIN md ON pb.match_id = md.match_id GROUP BY 2
+UNION ALL
+SELECT 'draft_timings' AS source, md."year" AS "year", count(*) AS rows
+  FROM dt JOIN md ON dt.match_id = md.match_id WHERE md."year" <> 1998 GROUP BY 2"""
+    q["src_csv"] = with_views("md") + "SELECT * FROM md"
+    q["src_csv_dropmalformed"] = with_views("gold") + "SELECT * FROM gold"
+    q["src_json_corrupt"] = with_views("tf") + "SELECT * FROM tf"
+    zero = {"early_objective_count", "tower_kills_10min", "teamfights_count_10min"}
+    cols = []
+    for c in ["label", "patch"] + EARLY_FEATURES:
+        if c in zero:
+            cols.append(f"CAST(0 AS BIGINT) AS {c}")
+        elif c in ROUNDED_EARLY:
+            cols.append(f"round({c}, {ROUNDED_EARLY[c]}) AS {c}")
+        else:
+            cols.append(c)
+    q["src_optional"] = with_views("ef") + f"SELECT match_id, {', '.join(cols)} FROM ef"
+    q["sink_csv"] = q["early_features"]
+    q["sink_json"] = q["hero_meta"]
     return q
 
 

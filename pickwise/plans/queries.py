@@ -187,3 +187,117 @@ def prediction_bands(spark: SparkSession, sf: str) -> DataFrame:
     ef = early_table(spark, sf)
     p = F.round(1 / (1 + F.exp(-F.col("combined_advantage") / 10)), 6)
     return M.prediction_bands(ef.select("match_id", p.alias("radiant_win_probability")))
+
+
+# ------------------------------------------------------------------ file sources and sinks
+from pickwise.operators import sinks as SK  # noqa: E402
+from pickwise.session import shared_dir  # noqa: E402
+from pickwise.sources import files as FS  # noqa: E402
+from pickwise.sources import fixtures as FX  # noqa: E402
+from pickwise.sources import schemas as SC  # noqa: E402
+
+_FILES: dict[tuple[str, str, str], str] = {}
+
+
+def _fixture(spark: SparkSession, sf: str, kind: str, writer) -> str:
+    """Write a fixture once per session and table folder; return its base folder."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _FILES:
+        base = shared_dir(spark, f"fixture-{kind}")
+        _FILES[key] = writer(base)
+    return _FILES[key]
+
+
+def _yearly(spark: SparkSession, sf: str, kind: str):
+    writers = {"picks": FX.write_yearly_picks, "timings": FX.write_yearly_timings, "meta": FX.write_yearly_metadata}
+
+    def write(base: str) -> str:
+        return base + "|" + writers[kind](spark, sf, base)
+
+    base, pattern = _fixture(spark, sf, kind, write).split("|")
+    return base, pattern
+
+
+def src_yearly_union(spark: SparkSession, sf: str) -> DataFrame:
+    base, pattern = _yearly(spark, sf, "picks")
+    cols = ["is_pick", "hero_id", "team", "order", "match_id", "leagueid"]
+    return FS.load_yearly(spark, base, pattern, SC.PICKS_BANS, cols, years=FX.YEARS)
+
+
+def src_yearly_optional(spark: SparkSession, sf: str) -> DataFrame:
+    base, pattern = _yearly(spark, sf, "meta")
+    return FS.load_yearly(
+        spark, base, pattern, SC.MAIN_METADATA, [],
+        optional=["match_id", "radiant_win", "patch", "leagueid", "start_time"], years=FX.YEARS,
+    )
+
+
+def src_yearly_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    base, pattern = _yearly(spark, sf, "timings")
+    return FS.load_yearly(
+        spark, base, pattern, SC.DRAFT_TIMINGS, ["match_id", "pick", "total_time_taken", "extra_time"],
+        defaults=FS.TIMING_DEFAULTS, require=["match_id"], years=FX.YEARS,
+    )
+
+
+def src_row_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return FS.row_audit({"picks_bans": src_yearly_union(spark, sf), "draft_timings": src_yearly_defaults(spark, sf)})
+
+
+META_SCHEMA = SC.T.StructType([
+    SC.T.StructField("match_id", SC.T.LongType()),
+    SC.T.StructField("radiant_win", SC.T.BooleanType()),
+    SC.T.StructField("radiant_score", SC.T.IntegerType()),
+    SC.T.StructField("dire_score", SC.T.IntegerType()),
+    SC.T.StructField("patch", SC.T.IntegerType()),
+    SC.T.StructField("year", SC.T.IntegerType()),
+])
+
+
+def src_csv(spark: SparkSession, sf: str) -> DataFrame:
+    def write(base: str) -> str:
+        V.metadata(spark, sf).write.option("header", True).csv(f"{base}/main_metadata.csv")
+        return base
+
+    base = _fixture(spark, sf, "meta_csv", write)
+    return FS.read_csv(spark, f"{base}/main_metadata.csv", META_SCHEMA)
+
+
+def src_csv_dropmalformed(spark: SparkSession, sf: str) -> DataFrame:
+    bad = ["not_a_match,3,100", "17,minute,5", "18,4,gold"]
+
+    def write(base: str) -> str:
+        return FX.write_csv_with_malformed(spark, V.gold_adv(spark, sf), base, "radiant_gold_adv.csv", bad)
+
+    glob = _fixture(spark, sf, "gold_csv", write)
+    return FS.read_csv(spark, glob, SC.GOLD_ADV, mode="DROPMALFORMED")
+
+
+def src_json_corrupt(spark: SparkSession, sf: str) -> DataFrame:
+    def write(base: str) -> str:
+        return FX.write_json_with_csv_body(spark, V.teamfights(spark, sf), base, "teamfights.csv")
+
+    glob = _fixture(spark, sf, "fights_json", write)
+    return FS.read_json_clean(spark, glob, SC.TEAMFIGHTS)
+
+
+def src_optional(spark: SparkSession, sf: str) -> DataFrame:
+    missing = shared_dir(spark, "absent")  # never written
+    obj = FS.read_optional(spark, f"{missing}/objectives.csv", SC.OBJECTIVES)
+    fights = FS.read_optional(spark, f"{missing}/teamfights.json", SC.TEAMFIGHTS, fmt="json")
+    ef = FE.early_features(
+        V.picks_bans(spark, sf), V.metadata(spark, sf), V.gold_adv(spark, sf), V.exp_adv(spark, sf), obj, fights
+    )
+    return _r(ef, EARLY_DIGITS)
+
+
+def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
+    ef = early_features(spark, sf)
+    path = SK.write_csv(ef, shared_dir(spark, "sink-csv") + "/early_features")
+    return FS.read_csv(spark, path, ef.schema)
+
+
+def sink_json(spark: SparkSession, sf: str) -> DataFrame:
+    meta = hero_meta(spark, sf)
+    path = SK.write_json(meta, shared_dir(spark, "sink-json") + "/hero_meta")
+    return spark.read.schema(meta.schema).json(path)
