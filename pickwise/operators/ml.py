@@ -113,18 +113,22 @@ def eval_prf(df: DataFrame, label: str = "label", prediction: str = "prediction"
         F.sum("n").alias("support"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp")
     )
     prd = cm.groupBy(F.col("prediction").alias("c")).agg(F.sum("n").alias("predicted"))
-    total = cm.select(F.sum("n")).scalar()
     pc = lab.join(prd, "c", "left").select(
         "support", "tp",
         F.when(F.coalesce(F.col("predicted"), F.lit(0)) == 0, F.lit(0.0)).otherwise(F.col("tp") / F.col("predicted")).alias("p"),
         F.when(F.col("support") == 0, F.lit(0.0)).otherwise(F.col("tp") / F.col("support")).alias("r"),
     )
     f1 = F.when(F.col("p") + F.col("r") == 0, F.lit(0.0)).otherwise(2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r")))
-    return pc.agg(
-        (F.sum("tp") / total).alias("accuracy"),
-        F.sum(F.col("p") * F.col("support") / total).alias("weighted_precision"),
-        F.sum(F.col("r") * F.col("support") / total).alias("weighted_recall"),
-        F.sum(f1 * F.col("support") / total).alias("weighted_f1"),
+    sums = pc.agg(
+        F.sum("support").alias("total"), F.sum("tp").alias("tp"),
+        F.sum(F.col("p") * F.col("support")).alias("wp"), F.sum(F.col("r") * F.col("support")).alias("wr"),
+        F.sum(f1 * F.col("support")).alias("wf"),
+    )
+    return sums.select(
+        (F.col("tp") / F.col("total")).alias("accuracy"),
+        (F.col("wp") / F.col("total")).alias("weighted_precision"),
+        (F.col("wr") / F.col("total")).alias("weighted_recall"),
+        (F.col("wf") / F.col("total")).alias("weighted_f1"),
     )
 
 
@@ -159,13 +163,22 @@ def eval_auc(df: DataFrame, score: str, label: str = "label", buckets: int = 64)
 
 
 def evaluate(predictions: DataFrame, label: str = "label") -> dict[str, float]:
-    """MLlib metrics of a prediction table (distributed evaluator jobs)."""
+    """Accuracy, weighted precision / recall / F1 (one confusion aggregate) and
+    MLlib's AUC, over predictions persisted once for both jobs."""
+    from pyspark import StorageLevel
+
+    pred = predictions.select(label, "prediction", "rawPrediction").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prf = eval_prf(pred, label, "prediction").first()
+        auc = auc_mllib(pred, label)
+    finally:
+        pred.unpersist()
     return {
-        "accuracy": multiclass_metric(predictions, "accuracy", label),
-        "auc_roc": auc_mllib(predictions, label),
-        "precision": multiclass_metric(predictions, "weightedPrecision", label),
-        "recall": multiclass_metric(predictions, "weightedRecall", label),
-        "f1": multiclass_metric(predictions, "f1", label),
+        "accuracy": prf["accuracy"],
+        "auc_roc": auc,
+        "precision": prf["weighted_precision"],
+        "recall": prf["weighted_recall"],
+        "f1": prf["weighted_f1"],
     }
 
 

@@ -358,9 +358,9 @@ pc AS (SELECT lab.c, support, tp,
        CASE WHEN support = 0 THEN 0 ELSE tp / support END AS r
   FROM lab LEFT JOIN prd ON prd.c = lab.c)
 SELECT round(sum(tp) / max(total), 9) AS accuracy,
-       round(sum(p * support / total), 9) AS weighted_precision,
-       round(sum(r * support / total), 9) AS weighted_recall,
-       round(sum(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END * support / total), 9) AS weighted_f1
+       round(sum(p * support) / max(total), 9) AS weighted_precision,
+       round(sum(r * support) / max(total), 9) AS weighted_recall,
+       round(sum(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END * support) / max(total), 9) AS weighted_f1
   FROM pc, tot"""
     q["eval_prf"] = q["eval_prf"].replace("\n, cm AS", ",\ncm AS")
     q["prediction_bands"] = with_views("ef") + """, pr AS (SELECT match_id, round(1 / (1 + exp(-combined_advantage / 10)), 6) AS p FROM ef)

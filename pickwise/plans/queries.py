@@ -301,3 +301,96 @@ def sink_json(spark: SparkSession, sf: str) -> DataFrame:
     meta = hero_meta(spark, sf)
     path = SK.write_json(meta, shared_dir(spark, "sink-json") + "/hero_meta")
     return spark.read.schema(meta.schema).json(path)
+
+
+# ------------------------------------------------------------------ models (row-count checked)
+from pickwise.plans import models as MR  # noqa: E402
+
+
+def _pred(run: MR.ModelRun, name: str, rows: DataFrame | None = None) -> DataFrame:
+    return M.batch_score(run.model(name), run.test if rows is None else rows)
+
+
+def fit_logreg(spark: SparkSession, sf: str) -> DataFrame:
+    return _pred(MR.early_run(spark, sf), "logistic_regression")
+
+
+def fit_forest(spark: SparkSession, sf: str) -> DataFrame:
+    return _pred(MR.early_run(spark, sf), "random_forest")
+
+
+def fit_gbt(spark: SparkSession, sf: str) -> DataFrame:
+    return _pred(MR.early_run(spark, sf), "gradient_boosting")
+
+
+def batch_score(spark: SparkSession, sf: str) -> DataFrame:
+    run = MR.early_run(spark, sf)
+    return _pred(run, "logistic_regression", run.scaled)
+
+
+def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
+    run = MR.early_run(spark, sf)
+    return M.feature_importance(run.model("random_forest"), run.feature_cols)
+
+
+def logreg_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+    run = MR.early_run(spark, sf)
+    return M.logreg_coefficients(run.model("logistic_regression"), run.feature_cols)
+
+
+def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    return MR.early_run(spark, sf).comparison()
+
+
+def best_model(spark: SparkSession, sf: str) -> DataFrame:
+    return M.best_model(MR.early_run(spark, sf).comparison())
+
+
+def draft_baseline_gain(spark: SparkSession, sf: str) -> DataFrame:
+    run = MR.early_run(spark, sf)
+    ef = M.split_keyed(early_table(spark, sf))
+    return M.draft_baseline_gain(
+        ef.where("is_train"), ef.where("not is_train"), run.feature_cols, run.metrics("logistic_regression")
+    )
+
+
+def prediction_export(spark: SparkSession, sf: str) -> DataFrame:
+    run = MR.early_run(spark, sf)
+    path = SK.export_predictions(run.predictions(run.best_name()), shared_dir(spark, "predictions") + "/predictions")
+    schema = "match_id long, label double, prediction double, radiant_win_probability double"
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    run = MR.early_run(spark, sf)
+    model = run.model("logistic_regression")
+    path = shared_dir(spark, "model") + "/best_model_logistic_regression"
+    model.write().overwrite().save(path)
+    loaded = LogisticRegressionModel.load(path)
+    a = M.batch_score(model, run.test).select("match_id", "prediction", F.col("radiant_win_probability").alias("p0"))
+    b = M.batch_score(loaded, run.test).select("match_id", F.col("prediction").alias("prediction_loaded"), F.col("radiant_win_probability").alias("p1"))
+    return a.join(b, "match_id").select(
+        "match_id", "prediction", "prediction_loaded", (F.col("p0") == F.col("p1")).alias("same_probability")
+    )
+
+
+def draft_model_logreg(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 path without leakage: pair win rates and scaler from training matches."""
+    return _pred(MR.draft_run(spark, sf), "logistic_regression")
+
+
+def run_report(spark: SparkSession, sf: str) -> DataFrame:
+    rep = SK.RunReport()
+    with rep.stage("data_loading") as st:
+        st["rows"] = sum(
+            V.table(spark, sf, t).count() for t in ("lineitem", "orders", "events")
+        )
+    with rep.stage("feature_engineering", features=len(FE.EARLY_FEATURES)) as st:
+        st["rows"] = early_table(spark, sf).count()
+    run = MR.early_run(spark, sf)
+    for name in M.MODEL_ORDER:
+        run.model(name)
+        rep.add(f"train_{name}", run.seconds[name], rows=None, features=len(run.feature_cols))
+    return rep.to_df(spark)
