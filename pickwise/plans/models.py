@@ -34,7 +34,10 @@ class ModelRun:
         # The fits scan the training rows many times: materialise the feature
         # table once (reliable checkpoint in the shared folder; cuts the lineage
         # of the feature joins and keeps plan optimisation trivial).
-        data = M.split_keyed(materialize(table.select("match_id", "label", *self.feature_cols)))
+        spark = table.sparkSession
+        n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        slim = table.select("match_id", "label", *self.feature_cols).repartition(n, "match_id")
+        data = M.split_keyed(materialize(slim))
         train_raw = data.where(F.col("is_train"))
         self.scaled, self.scaler = M.scale_features(data, self.feature_cols, train=train_raw)
         self.scaled = self.scaled.select("match_id", "label", "is_train", "features")

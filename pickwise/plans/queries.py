@@ -36,20 +36,20 @@ def counter_wins(spark: SparkSession, sf: str) -> DataFrame:
 
 def _recommender_inputs(spark: SparkSession, sf: str):
     pb, md = V.picks_bans(spark, sf), V.metadata(spark, sf)
-    return P.hero_meta(pb, md), P.pair_synergy_wins(pb, md), P.counter_wins(pb, md)
+    return P.hero_meta(pb, md), R.score_lookups(pb, md)
 
 
 SCORE_DIGITS = {"score": 9, "synergy_score": 9, "counter_score": 9, "meta_score": 9}
 
 
 def recommend_topk(spark: SparkSession, sf: str) -> DataFrame:
-    meta, syn, ctr = _recommender_inputs(spark, sf)
-    return _r(R.recommend_topk(V.drafts(spark, sf), meta, syn, ctr, k=3), SCORE_DIGITS)
+    meta, lookups = _recommender_inputs(spark, sf)
+    return _r(R.recommend_topk(V.drafts(spark, sf), meta, k=3, lookups=lookups), SCORE_DIGITS)
 
 
 def hero_score(spark: SparkSession, sf: str) -> DataFrame:
-    meta, syn, ctr = _recommender_inputs(spark, sf)
-    return _r(R.hero_score(V.drafts(spark, sf), V.next_picks(spark, sf), meta, syn, ctr), SCORE_DIGITS)
+    meta, lookups = _recommender_inputs(spark, sf)
+    return _r(R.hero_score(V.drafts(spark, sf), V.next_picks(spark, sf), meta, lookups=lookups), SCORE_DIGITS)
 
 
 # ------------------------------------------------------------------ draft blocks
