@@ -146,7 +146,7 @@ def eval_auc(df: DataFrame, score: str, label: str = "label", buckets: int = 64)
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg"),
     )
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted({float(x) for x in g.approxQuantile("s", probs, 1e-4)})  # ≤ buckets − 1 values
+    cuts = sorted({float(x) for x in g.approxQuantile("s", probs, 1e-4)}) if probs else []  # ≤ buckets − 1 values
     bounds = F.array(*[F.lit(x) for x in cuts]) if cuts else F.array().cast("array<double>")
     gb = g.withColumn("b", F.size(F.filter(bounds, lambda x: x < F.col("s"))))
     per_bucket = gb.groupBy("b").agg(F.sum("neg").alias("bneg"))

@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference has no streaming work: no readStream, watermark, event-time
+window or state (its "real-time scenario" is a heading over five batch rows).
+Nothing is built here.  The per-match operators are plain DataFrame
+aggregates, so they already accept streaming DataFrames where Structured
+Streaming supports the same aggregate (e.g. ``series_early`` in complete or
+update mode); no separate streaming operator exists.
+"""
