@@ -71,19 +71,29 @@ def onehot_columns(hero_ids: Sequence[int]) -> list[str]:
 def hero_onehot(picks: DataFrame, hero_ids: Sequence[int] | None = None) -> DataFrame:
     """Presence of each hero as pick/ban per side: 4·H int columns per match.
 
-    One conditional aggregate replaces four pivots and three full outer joins.
-    Rows: matches with any row whose ``is_pick`` is known and team is 0 or 1.
+    One aggregate replaces four pivots and three full outer joins: every row
+    maps to a slot (kind, side, hero position); a match collects its set of
+    slots (≤ 4·H values, combined map-side) and the columns are
+    ``array_contains`` tests on that set.  Rows: matches with any row whose
+    ``is_pick`` is known and team is 0 or 1 (a hero outside the vocabulary
+    still creates the row, with zeros).
     """
     if hero_ids is None:
         hero_ids = collect_vocabulary(picks)
+    h = len(hero_ids)
     rows = picks.where(F.col("is_pick").isNotNull() & F.col("team").isin(0, 1))
-    aggs = []
-    for kind, flag in (("pick", True), ("ban", False)):
-        for team, side in SIDES:
-            for h in hero_ids:
-                hit = (F.col("is_pick") == F.lit(flag)) & (F.col("team") == team) & (F.col("hero_id") == h)
-                aggs.append(F.max(F.when(hit, F.lit(1)).otherwise(F.lit(0))).alias(f"{side}_{kind}_{h}"))
-    return rows.groupBy("match_id").agg(*aggs)
+    pos = F.array_position(F.array(*[F.lit(int(x)) for x in hero_ids]), F.col("hero_id"))
+    base = F.when(F.col("is_pick"), F.lit(0)).otherwise(F.lit(2 * h)) + F.col("team") * h
+    slot = F.when(pos > 0, base + pos)
+    sets = rows.groupBy("match_id").agg(F.collect_set(slot.cast("int")).alias("_slots"))
+    cols = []
+    i = 0
+    for kind in ("pick", "ban"):
+        for _, side in SIDES:
+            for x in hero_ids:
+                i += 1
+                cols.append(F.when(F.array_contains("_slots", i), F.lit(1)).otherwise(F.lit(0)).alias(f"{side}_{kind}_{x}"))
+    return sets.select("match_id", *cols)
 
 
 def hero_onehot_sparse(picks: DataFrame, hero_ids: Sequence[int] | None = None) -> DataFrame:

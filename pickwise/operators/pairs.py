@@ -77,12 +77,19 @@ def match_synergy(picks: DataFrame, stats: DataFrame, matches: DataFrame | None
 
     A side's synergy is the mean pair win rate over its within-side pairs found in
     ``stats``; no pair found (or fewer than two heroes) gives 0.5.  ``matches``
-    (default: every match of ``picks``) fixes the output rows.  ``stats`` is a
-    two-hero-key table (≤ H² rows); AQE broadcasts it when its measured size is
-    under the broadcast threshold.
+    (default: every match of ``picks``) fixes the output rows.  Both sides'
+    multisets live in one row per match, so after the broadcast lookup of the
+    pair rates (``stats`` is keyed by two heroes: ≤ H² rows, broadcast by AQE
+    from its measured size) the per-match average needs no further shuffle.
     """
-    ms = _side_multisets(side_hero_counts(picks, sides=(0, 1)))
-    pairs = ms.select("match_id", "team", F.inline(X.weighted_pairs("heroes", with_self=True)))
+    counts = side_hero_counts(picks, sides=(0, 1))
+    hero = F.struct(F.col("hero_id").alias("hero"), F.col("n"))
+    per_match = counts.groupBy("match_id").agg(
+        F.sort_array(F.collect_list(F.when(F.col("team") == 0, hero))).alias("rad"),
+        F.sort_array(F.collect_list(F.when(F.col("team") == 1, hero))).alias("dire"),
+    )
+    tag = lambda arr, t: F.transform(X.weighted_pairs(arr, with_self=True), lambda p: p.withField("team", F.lit(t)))
+    pairs = per_match.select("match_id", F.inline(F.concat(tag("rad", 0), tag("dire", 1))))
     rates = stats.select("hero1", "hero2", "win_rate")
     found = pairs.join(rates, ["hero1", "hero2"], "inner")
     per_side = found.groupBy("match_id").agg(

@@ -46,3 +46,18 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 def count_nodes(df: DataFrame, name: str) -> int:
     """Occurrences of a physical operator name in the executed plan."""
     return plan_text(df, "simple").count(name)
+
+
+def partitioned_once(df: DataFrame, key: str = "match_id", partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` into at least the cluster's parallelism
+    and checkpoint it (reliably) in the shared folder, so that several blocks of
+    one query read the derived table instead of re-deriving it, from many
+    partitions even when the source file is a single row group.
+
+    Without AQE the checkpoint also keeps the hash partitioning (later
+    aggregates on ``key`` skip their exchange); with AQE on, Spark 4.1 drops
+    it and each block shuffles its own — already pre-aggregated — rows.
+    """
+    spark = df.sparkSession
+    n = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return materialize(df.repartition(n, key))

@@ -84,7 +84,9 @@ def draft_run(spark: SparkSession, sf: str, params: dict | None = None) -> Model
     """Draft features with pair win rates fitted on training matches only."""
     key = (spark.sparkContext.applicationId, sf, "draft", repr(params))
     if key not in _RUNS:
-        pb, md = V.picks_bans(spark, sf), V.metadata(spark, sf)
+        from pickwise.plans.guards import partitioned_once
+
+        pb, md = partitioned_once(V.picks_bans(spark, sf)), V.metadata(spark, sf)
         train_meta = md.where(V.split_flag("match_id"))
         stats = P.pair_synergy_winrate(pb, train_meta)
         table = FE.draft_features(pb, md, V.draft_timings(spark, sf), synergy_stats=stats)

@@ -34,8 +34,16 @@ def counter_wins(spark: SparkSession, sf: str) -> DataFrame:
     return P.counter_wins(V.picks_bans(spark, sf), V.metadata(spark, sf))
 
 
+def _shared_picks(spark: SparkSession, sf: str) -> DataFrame:
+    """The picks view, partitioned on match_id and checkpointed once per query:
+    composite queries read it from several blocks without re-deriving it."""
+    from pickwise.plans.guards import partitioned_once
+
+    return partitioned_once(V.picks_bans(spark, sf))
+
+
 def _recommender_inputs(spark: SparkSession, sf: str):
-    pb, md = V.picks_bans(spark, sf), V.metadata(spark, sf)
+    pb, md = _shared_picks(spark, sf), V.metadata(spark, sf)
     return P.hero_meta(pb, md), R.score_lookups(pb, md)
 
 
@@ -154,7 +162,7 @@ def early_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def draft_features(spark: SparkSession, sf: str) -> DataFrame:
-    df = FE.draft_features(V.picks_bans(spark, sf), V.metadata(spark, sf), V.draft_timings(spark, sf))
+    df = FE.draft_features(_shared_picks(spark, sf), V.metadata(spark, sf), V.draft_timings(spark, sf))
     return _r(df, {"std_pick_time": 6, "radiant_synergy": 6, "dire_synergy": 6, "synergy_diff": 6})
 
 
