@@ -72,7 +72,7 @@ VIEWS = {
   FROM hw r JOIN hw d ON r.match_id = d.match_id AND r.team = 0 AND d.team = 1
  WHERE r.hero_id IS NOT NULL AND d.hero_id IS NOT NULL
  GROUP BY 1, 2""",
-    # S1 pair statistics: sorted side lists, pairs i < j, games >= 10
+    # pair win rates: sorted side lists, pairs i < j, games >= 10
     "sp": """SELECT pb.match_id, pb.team, pb.hero_id,
        CASE WHEN (pb.team = 0 AND md.radiant_win = TRUE) OR (pb.team = 1 AND md.radiant_win = FALSE)
             THEN 1 ELSE 0 END AS won,

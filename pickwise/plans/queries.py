@@ -385,7 +385,7 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def draft_model_logreg(spark: SparkSession, sf: str) -> DataFrame:
-    """S1 path without leakage: pair win rates and scaler from training matches."""
+    """Draft-feature model without leakage: pair win rates and scaler from training matches."""
     return _pred(MR.draft_run(spark, sf), "logistic_regression")
 
 
