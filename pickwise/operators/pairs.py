@@ -129,14 +129,20 @@ def hero_meta(picks: DataFrame, meta: DataFrame, include_bans: bool = True) -> D
     """(hero_id, pick_count, wins, win_rate, pick_rate) per hero.
 
     win_rate = wins / pick_count and pick_rate = pick_count / matches, both cast
-    to float (then widened to double).  The match total is a scalar subquery —
-    one extra aggregate job, no driver round trip and no join.
+    to float (then widened to double).  Rows are first collapsed to
+    (match, side, hero) counts — map-side, so a hot match is one row per hero
+    before any shuffle or join — then joined with the outcomes and summed.  The
+    match total is a scalar subquery (one small aggregate job, no join).
     """
-    rows = hero_rows(picks, meta, include_bans)
-    total = rows.select(F.count_distinct("match_id")).scalar()
-    agg = rows.groupBy("hero_id").agg(
-        F.count(F.lit(1)).alias("pick_count"),
-        F.sum("hero_win").cast("long").alias("wins"),
+    rows = picks if include_bans else picks.where(F.col("is_pick") == F.lit(True))
+    counts = rows.groupBy("match_id", "team", "hero_id").agg(F.count(F.lit(1)).alias("n"))
+    joined = counts.join(label_from_scores(meta), "match_id", "inner").select(
+        "match_id", "hero_id", "n", X.side_won_scores("team", "radiant_win", "dire_win").alias("hero_win")
+    )
+    total = joined.select(F.count_distinct("match_id")).scalar()
+    agg = joined.groupBy("hero_id").agg(
+        F.sum("n").cast("long").alias("pick_count"),
+        F.sum(F.col("n") * F.col("hero_win")).cast("long").alias("wins"),
     )
     as_float = lambda c: c.cast("float").cast("double")
     return agg.select(

@@ -402,3 +402,15 @@ def run_report(spark: SparkSession, sf: str) -> DataFrame:
         run.model(name)
         rep.add(f"train_{name}", run.seconds[name], rows=None, features=len(run.feature_cols))
     return rep.to_df(spark)
+
+
+def prediction_examples(spark: SparkSession, sf: str) -> DataFrame:
+    """Five example predictions of the best model with their 10-minute context and
+    confidence band (deterministic: lowest match ids of the test split)."""
+    run = MR.early_run(spark, sf)
+    pred = M.batch_score(run.model(run.best_name()), run.test)
+    context = early_table(spark, sf).select(
+        "match_id", "gold_at_10min", "exp_at_10min", "teamfights_count_10min", "tower_kills_10min"
+    )
+    bands = M.prediction_bands(pred, keep=("match_id", "label", "prediction"))
+    return bands.join(context, "match_id", "inner").orderBy("match_id").limit(5)
