@@ -34,8 +34,10 @@ class ModelRun:
         # The fits scan the training rows many times: materialise the feature
         # table once (reliable checkpoint in the shared folder; cuts the lineage
         # of the feature joins and keeps plan optimisation trivial).
+        # One partition per core: every pass of an iterative fit is one wave of
+        # tasks (the table holds one row per match, so partitions stay small).
         spark = table.sparkSession
-        n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        n = spark.sparkContext.defaultParallelism
         slim = table.select("match_id", "label", *self.feature_cols).repartition(n, "match_id")
         data = M.split_keyed(materialize(slim))
         train_raw = data.where(F.col("is_train"))

@@ -44,20 +44,20 @@ def _shared_picks(spark: SparkSession, sf: str) -> DataFrame:
 
 def _recommender_inputs(spark: SparkSession, sf: str):
     pb, md = _shared_picks(spark, sf), V.metadata(spark, sf)
-    return P.hero_meta(pb, md), R.score_lookups(pb, md)
+    return pb, P.hero_meta(pb, md), R.score_lookups(pb, md)
 
 
 SCORE_DIGITS = {"score": 9, "synergy_score": 9, "counter_score": 9, "meta_score": 9}
 
 
 def recommend_topk(spark: SparkSession, sf: str) -> DataFrame:
-    meta, lookups = _recommender_inputs(spark, sf)
-    return _r(R.recommend_topk(V.drafts(spark, sf), meta, k=3, lookups=lookups), SCORE_DIGITS)
+    pb, meta, lookups = _recommender_inputs(spark, sf)
+    return _r(R.recommend_topk(V.drafts(spark, sf, pb), meta, k=3, lookups=lookups), SCORE_DIGITS)
 
 
 def hero_score(spark: SparkSession, sf: str) -> DataFrame:
-    meta, lookups = _recommender_inputs(spark, sf)
-    return _r(R.hero_score(V.drafts(spark, sf), V.next_picks(spark, sf), meta, lookups=lookups), SCORE_DIGITS)
+    pb, meta, lookups = _recommender_inputs(spark, sf)
+    return _r(R.hero_score(V.drafts(spark, sf, pb), V.next_picks(spark, sf, pb), meta, lookups=lookups), SCORE_DIGITS)
 
 
 # ------------------------------------------------------------------ draft blocks

@@ -125,7 +125,7 @@ def teamfights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drafts(spark: SparkSession, sf_dir: str, picks: DataFrame | None = None) -> DataFrame:
     """Draft queries for the recommender: the first two picks per side of every match.
 
     draft_id = match_id; team 0 rows are the allies, team 1 rows the enemies.
@@ -133,7 +133,7 @@ def drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    pb = picks_bans(spark, sf_dir).filter(F.col("is_pick") & F.col("team").isin(0, 1))
+    pb = (picks if picks is not None else picks_bans(spark, sf_dir)).filter(F.col("is_pick") & F.col("team").isin(0, 1))
     w = Window.partitionBy("match_id", "team").orderBy("order", "hero_id")
     return (
         pb.withColumn("_rn", F.row_number().over(w))
@@ -148,12 +148,12 @@ def split_flag(match_id: Column | str = "match_id") -> Column:
     return ((c * SPLIT_MULTIPLIER + SPLIT_OFFSET) % 100) < TRAIN_SHARE
 
 
-def next_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def next_picks(spark: SparkSession, sf_dir: str, picks: DataFrame | None = None) -> DataFrame:
     """The radiant side's third pick of every match, as a candidate to score
     against that match's draft: (draft_id, hero_id)."""
     from pyspark.sql import Window
 
-    pb = picks_bans(spark, sf_dir).filter(F.col("is_pick") & (F.col("team") == 0))
+    pb = (picks if picks is not None else picks_bans(spark, sf_dir)).filter(F.col("is_pick") & (F.col("team") == 0))
     w = Window.partitionBy("match_id").orderBy("order", "hero_id")
     return (
         pb.withColumn("_rn", F.row_number().over(w))
