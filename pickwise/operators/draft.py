@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions import exprs as X
@@ -68,6 +68,26 @@ def onehot_columns(hero_ids: Sequence[int]) -> list[str]:
     return [f"{side}_{kind}_{h}" for kind in ("pick", "ban") for _, side in SIDES for h in hero_ids]
 
 
+def _slot_set(hero_ids: Sequence[int]) -> Column:
+    """collect_set of slot ids: pick/ban × side × position of the hero in ``hero_ids``."""
+    h = len(hero_ids)
+    pos = F.array_position(F.array(*[F.lit(int(x)) for x in hero_ids]), F.col("hero_id"))
+    base = F.when(F.col("is_pick"), F.lit(0)).otherwise(F.lit(2 * h)) + F.col("team") * h
+    return F.collect_set(F.when(pos > 0, base + pos).cast("int")).alias("_slots")
+
+
+def _onehot_from_slots(hero_ids: Sequence[int]) -> list[str]:
+    """The 4·H presence columns as SQL expressions (one selectExpr call instead of
+    thousands of driver round trips for a wide vocabulary)."""
+    exprs, i = [], 0
+    for kind in ("pick", "ban"):
+        for _, side in SIDES:
+            for x in hero_ids:
+                i += 1
+                exprs.append(f"CAST(array_contains(_slots, {i}) AS INT) AS `{side}_{kind}_{x}`")
+    return exprs
+
+
 def hero_onehot(picks: DataFrame, hero_ids: Sequence[int] | None = None) -> DataFrame:
     """Presence of each hero as pick/ban per side: 4·H int columns per match.
 
@@ -80,20 +100,8 @@ def hero_onehot(picks: DataFrame, hero_ids: Sequence[int] | None = None) -> Data
     """
     if hero_ids is None:
         hero_ids = collect_vocabulary(picks)
-    h = len(hero_ids)
     rows = picks.where(F.col("is_pick").isNotNull() & F.col("team").isin(0, 1))
-    pos = F.array_position(F.array(*[F.lit(int(x)) for x in hero_ids]), F.col("hero_id"))
-    base = F.when(F.col("is_pick"), F.lit(0)).otherwise(F.lit(2 * h)) + F.col("team") * h
-    slot = F.when(pos > 0, base + pos)
-    sets = rows.groupBy("match_id").agg(F.collect_set(slot.cast("int")).alias("_slots"))
-    cols = []
-    i = 0
-    for kind in ("pick", "ban"):
-        for _, side in SIDES:
-            for x in hero_ids:
-                i += 1
-                cols.append(F.when(F.array_contains("_slots", i), F.lit(1)).otherwise(F.lit(0)).alias(f"{side}_{kind}_{x}"))
-    return sets.select("match_id", *cols)
+    return rows.groupBy("match_id").agg(_slot_set(hero_ids)).selectExpr("match_id", *_onehot_from_slots(hero_ids))
 
 
 def hero_onehot_sparse(picks: DataFrame, hero_ids: Sequence[int] | None = None) -> DataFrame:
@@ -122,6 +130,31 @@ def hero_onehot_sparse(picks: DataFrame, hero_ids: Sequence[int] | None = None)
     return cv.transform(tokens).drop("_tokens")
 
 
+def _order_aggs(order_col: str, picked: Column) -> list[Column]:
+    aggs = []
+    for team, side in SIDES:
+        on_side = picked & (F.col("team") == team)
+        ordered = F.when(on_side, F.struct(F.col(order_col).alias("o"), F.col("hero_id").alias("h")))
+        aggs += [
+            F.count(F.when(on_side, F.lit(1))).alias(f"_{side}_n"),
+            F.min(ordered).alias(f"_{side}_first"),
+            F.max(ordered).alias(f"_{side}_last"),
+        ]
+    return aggs
+
+
+def _order_columns() -> list[Column]:
+    cols = []
+    for _, side in SIDES:
+        n = F.col(f"_{side}_n")
+        cols += [
+            F.when(n > 0, (n + 1) / 2.0).otherwise(F.lit(0.0)).alias(f"{side}_avg_pick_order"),
+            F.coalesce(F.col(f"_{side}_first.h"), F.lit(0)).alias(f"{side}_first_pick"),
+            F.coalesce(F.col(f"_{side}_last.h"), F.lit(0)).alias(f"{side}_last_pick"),
+        ]
+    return cols
+
+
 def pick_order(picks: DataFrame, order_col: str = "order") -> DataFrame:
     """Pick-order features per side, one row per match with any pick.
 
@@ -130,17 +163,20 @@ def pick_order(picks: DataFrame, order_col: str = "order") -> DataFrame:
     A side without picks gets 0 (the reference's outer join + fillna(0)).
     """
     p = picks.where((F.col("is_pick") == F.lit(True)) & F.col("team").isin(0, 1))
-    aggs = []
-    for team, side in SIDES:
-        on_side = F.col("team") == team
-        n = F.count(F.when(on_side, F.lit(1)))
-        ordered = F.when(on_side, F.struct(F.col(order_col).alias("o"), F.col("hero_id").alias("h")))
-        aggs += [
-            F.when(n > 0, (n + 1) / 2.0).otherwise(F.lit(0.0)).alias(f"{side}_avg_pick_order"),
-            F.coalesce(F.min(ordered)["h"], F.lit(0)).alias(f"{side}_first_pick"),
-            F.coalesce(F.max(ordered)["h"], F.lit(0)).alias(f"{side}_last_pick"),
-        ]
-    return p.groupBy("match_id").agg(*aggs)
+    return p.groupBy("match_id").agg(*_order_aggs(order_col, F.lit(True))).select("match_id", *_order_columns())
+
+
+def draft_blocks(picks: DataFrame, hero_ids: Sequence[int] | None = None, order_col: str = "order") -> DataFrame:
+    """One-hot and pick-order columns from ONE aggregate over the picks table (one
+    shuffle instead of two).  Rows are the one-hot rows; a match without picks
+    gets 0 order features, as the left join + fill of the two blocks would give."""
+    if hero_ids is None:
+        hero_ids = collect_vocabulary(picks)
+    rows = picks.where(F.col("is_pick").isNotNull() & F.col("team").isin(0, 1))
+    agg = rows.groupBy("match_id").agg(_slot_set(hero_ids), *_order_aggs(order_col, F.col("is_pick")))
+    order = agg.select("match_id", "_slots", *_order_columns())
+    order_names = [c for c in order.columns if c not in ("match_id", "_slots")]
+    return order.selectExpr("match_id", *_onehot_from_slots(hero_ids), *[f"`{c}`" for c in order_names])
 
 
 def draft_timing(timings: DataFrame) -> DataFrame:

@@ -72,12 +72,14 @@ def pair_synergy_winrate(picks: DataFrame, meta: DataFrame, min_games: int = MIN
     return stats.where(F.col("games") >= min_games).withColumn("win_rate", F.col("wins") / F.col("games"))
 
 
-def match_synergy(picks: DataFrame, stats: DataFrame, matches: DataFrame | None = None) -> DataFrame:
+def match_synergy(picks: DataFrame, stats: DataFrame, matches: DataFrame | None = None, all_matches: bool = True) -> DataFrame:
     """(match_id, radiant_synergy, dire_synergy, synergy_diff).
 
     A side's synergy is the mean pair win rate over its within-side pairs found in
     ``stats``; no pair found (or fewer than two heroes) gives 0.5.  ``matches``
-    (default: every match of ``picks``) fixes the output rows.  Both sides'
+    (default: every match of ``picks``) fixes the output rows; ``all_matches=False``
+    returns only matches with a found pair (radiant/dire synergy, NULL for a
+    side without one).  Both sides'
     multisets live in one row per match, so after the broadcast lookup of the
     pair rates (``stats`` is keyed by two heroes: ≤ H² rows, broadcast by AQE
     from its measured size) the per-match average needs no further shuffle.
@@ -101,6 +103,8 @@ def match_synergy(picks: DataFrame, stats: DataFrame, matches: DataFrame | None
             for t, side in ((0, "radiant"), (1, "dire"))
         ]
     )
+    if not all_matches:  # only matches with a found pair; the caller joins and fills
+        return per_side
     if matches is None:
         matches = picks.select("match_id").distinct()
     out = matches.join(per_side, "match_id", "left").fillna(

@@ -83,19 +83,40 @@ def draft_features(
     """
     if synergy_stats is None:
         synergy_stats = P.pair_synergy_winrate(picks, meta, min_games)
-    onehot = D.hero_onehot(picks, hero_ids)
-    feats = onehot.join(D.pick_order(picks), "match_id", "left")
+    if hero_ids is None:
+        hero_ids = D.collect_vocabulary(picks)
+    blocks = D.draft_blocks(picks, hero_ids)  # one-hot + pick order, one aggregate
+    feats = blocks
+    timing_cols: list[str] = []
     if timings is not None:
-        feats = feats.join(D.draft_timing(timings), "match_id", "left")
-    feats = feats.join(
-        P.match_synergy(picks, synergy_stats, matches=onehot.select("match_id")).drop("synergy_diff"),
-        "match_id", "left",
-    ).fillna(X.DEFAULT_SYNERGY, subset=["radiant_synergy", "dire_synergy"])
-    feats = feats.withColumn("synergy_diff", F.col("radiant_synergy") - F.col("dire_synergy"))
-    feats = D.patch_feature(feats, meta)
-    labelled = feats.join(D.match_label(meta), "match_id", "inner").fillna(0)
-    cols = [c for c in labelled.columns if c not in ("match_id", "label")]
-    return labelled.select("match_id", *[F.col(c).cast("double").alias(c) for c in cols], "label")
+        timing = D.draft_timing(timings)
+        timing_cols = [c for c in timing.columns if c != "match_id"]
+        feats = feats.join(timing, "match_id", "left")
+    feats = feats.join(P.match_synergy(picks, synergy_stats, all_matches=False), "match_id", "left")
+    if "patch" in meta.columns:
+        patch_name, patch_src, patch_default = "patch", "patch", 0
+    elif "year" in meta.columns:
+        patch_name, patch_src, patch_default = "patch_year", "year", X.DEFAULT_PATCH_YEAR
+    else:
+        patch_name = None
+    meta_cols = [F.col("match_id"), X.label_from_bool("radiant_win").alias("label")]
+    if patch_name:
+        meta_cols.append(F.col(patch_src).alias("_patch"))
+    feats = feats.join(meta.select(*meta_cols), "match_id", "inner")
+
+    # one projection: fills, derived synergy difference and double casts
+    # (SQL expression strings: one driver call for a table of 4·H + 15 columns)
+    syn = float(X.DEFAULT_SYNERGY)
+    rs = f"coalesce(radiant_synergy, CAST({syn} AS DOUBLE))"
+    ds = f"coalesce(dire_synergy, CAST({syn} AS DOUBLE))"
+    out = ["match_id"]
+    out += [f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in blocks.columns if c != "match_id"]
+    out += [f"CAST(coalesce(`{c}`, 0) AS DOUBLE) AS `{c}`" for c in timing_cols]
+    out += [f"{rs} AS radiant_synergy", f"{ds} AS dire_synergy", f"{rs} - {ds} AS synergy_diff"]
+    if patch_name:
+        out.append(f"CAST(coalesce(_patch, {patch_default}) AS DOUBLE) AS `{patch_name}`")
+    out.append("label")
+    return feats.selectExpr(*out)
 
 
 def draft_feature_columns(df: DataFrame) -> list[str]:
