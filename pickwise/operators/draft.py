@@ -210,3 +210,13 @@ def patch_feature(features: DataFrame, meta: DataFrame) -> DataFrame:
         yr = meta.select("match_id", F.col("year").alias("patch_year"))
         return features.join(yr, "match_id", "left").fillna(X.DEFAULT_PATCH_YEAR, subset=["patch_year"])
     return features
+
+
+def clean_column_names(df: DataFrame, prefix: str = "") -> DataFrame:
+    """Prefix every column except ``match_id`` and replace dots with underscores,
+    in ONE projection (a rename loop grows the plan with every column)."""
+    exprs = []
+    for c in df.columns:
+        new = c if c == "match_id" else f"{prefix}{c}".replace(".", "_")
+        exprs.append(f"`{c}` AS `{new}`")
+    return df.selectExpr(*exprs)
