@@ -265,7 +265,7 @@ def build() -> dict[str, str]:
         """cand AS (SELECT z.draft_id, m.hero_id FROM (SELECT DISTINCT draft_id FROM dr) z
                 CROSS JOIN (SELECT hero_id FROM meta WHERE hero_id IS NOT NULL) m
                WHERE NOT EXISTS (SELECT 1 FROM dr u WHERE u.draft_id = z.draft_id AND u.hero_id = m.hero_id))"""
-    ) + """SELECT draft_id, rnk AS rank, hero_id, round(score, 9) AS score,
+    ) + """SELECT draft_id, CAST(rnk AS INTEGER) AS rank, hero_id, round(score, 9) AS score,
        round(synergy_score, 9) AS synergy_score, round(counter_score, 9) AS counter_score,
        round(meta_score, 9) AS meta_score
   FROM (SELECT *, row_number() OVER (PARTITION BY draft_id ORDER BY score DESC, meta_score DESC, hero_id) AS rnk
