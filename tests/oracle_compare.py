@@ -29,6 +29,10 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 def _norm(v):
     if v is None:
         return "∅"
@@ -74,9 +78,12 @@ def compare(spark, sf_dir: str, keys=None, con=None, verbose=True) -> dict[str,
             rel = con.sql(sql[k])
             d_cols = rel.columns
             d_rows = rel.fetchall()
+            s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+            d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
             res = {
                 "rows": (len(s_rows), len(d_rows)),
                 "cols_match": sorted(s_cols) == sorted(d_cols),
+                "types_match": s_types == d_types,
                 "hash_match": digest(s_cols, s_rows) == digest(d_cols, d_rows),
                 "spark_s": round(t1 - t0, 2),
             }
@@ -93,7 +100,7 @@ def compare(spark, sf_dir: str, keys=None, con=None, verbose=True) -> dict[str,
             res = {"error": f"{type(e).__name__}: {str(e)[:400]}"}
         out[k] = res
         if verbose:
-            ok = res.get("hash_match") and res.get("cols_match") and res["rows"][0] == res["rows"][1]
+            ok = res.get("hash_match") and res.get("cols_match") and res.get("types_match") and res["rows"][0] == res["rows"][1]
             print(("OK  " if ok else "FAIL"), k, res, flush=True)
     return out
 

@@ -18,6 +18,7 @@ def test_key_matches_oracle(spark, sf_small, con, key):
     res = compare(spark, sf_small, [key], con=con, verbose=False)[key]
     assert "error" not in res, res
     assert res["cols_match"], res
+    assert res["types_match"], res
     assert res["rows"][0] == res["rows"][1], res
     assert res["hash_match"], res
 
