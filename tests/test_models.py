@@ -69,3 +69,11 @@ def test_save_load_same_predictions(spark, sf_small):
     out = E.queries()["model_roundtrip"](spark, sf_small)
     assert out.count() > 0
     assert out.where((F.col("prediction") != F.col("prediction_loaded")) | ~F.col("same_probability")).count() == 0
+
+
+def test_no_leakage_auc_near_half_on_independent_labels(spark):
+    """Driver outcomes are independent of the drafts: with pair statistics and the
+    scaler fitted on training matches only, the test AUC must stay near 0.5."""
+    run = MR.draft_run(spark, "/root/testdata/sf0.01", {"logistic_regression": {"maxIter": 20}})
+    auc = run.metrics("logistic_regression")["auc_roc"]
+    assert 0.42 < auc < 0.58, auc
