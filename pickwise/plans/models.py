@@ -40,6 +40,7 @@ class ModelRun:
         n = spark.sparkContext.defaultParallelism
         slim = table.select("match_id", "label", *self.feature_cols).repartition(n, "match_id")
         data = M.split_keyed(materialize(slim))
+        self.data = data  # materialised feature table with is_train
         train_raw = data.where(F.col("is_train"))
         self.scaled, self.scaler = M.scale_features(data, self.feature_cols, train=train_raw)
         self.scaled = self.scaled.select("match_id", "label", "is_train", "features")

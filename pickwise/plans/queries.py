@@ -356,9 +356,8 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
 
 def draft_baseline_gain(spark: SparkSession, sf: str) -> DataFrame:
     run = MR.early_run(spark, sf)
-    ef = M.split_keyed(early_table(spark, sf))
     return M.draft_baseline_gain(
-        ef.where("is_train"), ef.where("not is_train"), run.feature_cols, run.metrics("logistic_regression")
+        run.data.where("is_train"), run.data.where("not is_train"), run.feature_cols, run.metrics("logistic_regression")
     )
 
 
