@@ -57,15 +57,25 @@ def pair_synergy_winrate(picks: DataFrame, meta: DataFrame, min_games: int = MIN
 
     ``meta`` gives the boolean outcome (one row per match); a NULL outcome is a loss
     for both sides.  Fit this on training matches only when it feeds a model.
+    One multiset per match (sorted by side, hero) keeps the rows hash-partitioned
+    on match_id, so the outcome join adds no exchange on the pick side; pairs are
+    formed within a side only (sides compared null-safely, like a grouping key).
     """
     counts = side_hero_counts(picks)
+    entry = F.struct(F.col("team"), F.col("hero_id").alias("hero"), F.col("n"))
+    per_match = counts.groupBy("match_id").agg(F.sort_array(F.collect_list(entry)).alias("heroes"))
+    a = F.col("heroes")
+    cross = F.flatten(F.transform(a, lambda x, i: F.transform(
+        F.filter(F.slice(a, i + 2, F.greatest(F.size(a) - i - 1, F.lit(0))), lambda y: y["team"].eqNullSafe(x["team"])),
+        lambda y: F.struct(x["team"].alias("team"), x["hero"].alias("hero1"), y["hero"].alias("hero2"), (x["n"] * y["n"]).alias("w")),
+    )))
+    selfs = F.transform(F.filter(a, lambda x: x["n"] > 1), lambda x: F.struct(
+        x["team"].alias("team"), x["hero"].alias("hero1"), x["hero"].alias("hero2"), (x["n"] * (x["n"] - 1) / 2).cast("long").alias("w")))
     outcome = meta.select("match_id", "radiant_win")
-    sides = (
-        _side_multisets(counts)
-        .join(outcome, "match_id", "inner")
-        .select(F.inline(X.weighted_pairs("heroes", with_self=True)), X.side_won().alias("won"))
-    )
-    stats = sides.groupBy("hero1", "hero2").agg(
+    pairs = per_match.join(outcome, "match_id", "inner").select(
+        F.inline(F.concat(selfs, cross)), "radiant_win"
+    ).select("hero1", "hero2", "w", X.side_won().alias("won"))
+    stats = pairs.groupBy("hero1", "hero2").agg(
         F.sum("w").cast("long").alias("games"),
         F.sum(F.col("w") * F.col("won")).cast("long").alias("wins"),
     )
