@@ -52,6 +52,27 @@ def team_pairs(picks: DataFrame) -> DataFrame:
     )
 
 
+def match_multisets(picks: DataFrame) -> DataFrame:
+    """(match_id, heroes): one sorted array<struct<team, hero, n>> per match over
+    pick rows (≤ sides·H entries).  Shared by the pair statistics and the match
+    synergy so that a query using both reuses one exchange."""
+    entry = F.struct(F.col("team"), F.col("hero_id").alias("hero"), F.col("n"))
+    return side_hero_counts(picks).groupBy("match_id").agg(F.sort_array(F.collect_list(entry)).alias("heroes"))
+
+
+def same_side_pairs(arr) -> "F.Column":
+    """Weighted pairs of a sorted (team, hero, n) array within equal teams (null-safe):
+    (team, hero1, hero2, w) with hero1 ≤ hero2; a hero listed n > 1 times adds (h, h)."""
+    a = F.col(arr) if isinstance(arr, str) else arr
+    cross = F.flatten(F.transform(a, lambda x, i: F.transform(
+        F.filter(F.slice(a, i + 2, F.greatest(F.size(a) - i - 1, F.lit(0))), lambda y: y["team"].eqNullSafe(x["team"])),
+        lambda y: F.struct(x["team"].alias("team"), x["hero"].alias("hero1"), y["hero"].alias("hero2"), (x["n"] * y["n"]).alias("w")),
+    )))
+    selfs = F.transform(F.filter(a, lambda x: x["n"] > 1), lambda x: F.struct(
+        x["team"].alias("team"), x["hero"].alias("hero1"), x["hero"].alias("hero2"), (x["n"] * (x["n"] - 1) / 2).cast("long").alias("w")))
+    return F.concat(selfs, cross)
+
+
 def pair_synergy_winrate(picks: DataFrame, meta: DataFrame, min_games: int = MIN_GAMES_FOR_SYNERGY) -> DataFrame:
     """(hero1, hero2, games, wins, win_rate) over same-side pick pairs, games ≥ min_games.
 
@@ -61,19 +82,10 @@ def pair_synergy_winrate(picks: DataFrame, meta: DataFrame, min_games: int = MIN
     on match_id, so the outcome join adds no exchange on the pick side; pairs are
     formed within a side only (sides compared null-safely, like a grouping key).
     """
-    counts = side_hero_counts(picks)
-    entry = F.struct(F.col("team"), F.col("hero_id").alias("hero"), F.col("n"))
-    per_match = counts.groupBy("match_id").agg(F.sort_array(F.collect_list(entry)).alias("heroes"))
-    a = F.col("heroes")
-    cross = F.flatten(F.transform(a, lambda x, i: F.transform(
-        F.filter(F.slice(a, i + 2, F.greatest(F.size(a) - i - 1, F.lit(0))), lambda y: y["team"].eqNullSafe(x["team"])),
-        lambda y: F.struct(x["team"].alias("team"), x["hero"].alias("hero1"), y["hero"].alias("hero2"), (x["n"] * y["n"]).alias("w")),
-    )))
-    selfs = F.transform(F.filter(a, lambda x: x["n"] > 1), lambda x: F.struct(
-        x["team"].alias("team"), x["hero"].alias("hero1"), x["hero"].alias("hero2"), (x["n"] * (x["n"] - 1) / 2).cast("long").alias("w")))
+    per_match = match_multisets(picks)
     outcome = meta.select("match_id", "radiant_win")
     pairs = per_match.join(outcome, "match_id", "inner").select(
-        F.inline(F.concat(selfs, cross)), "radiant_win"
+        F.inline(same_side_pairs("heroes")), "radiant_win"
     ).select("hero1", "hero2", "w", X.side_won().alias("won"))
     stats = pairs.groupBy("hero1", "hero2").agg(
         F.sum("w").cast("long").alias("games"),
@@ -94,14 +106,8 @@ def match_synergy(picks: DataFrame, stats: DataFrame, matches: DataFrame | None
     pair rates (``stats`` is keyed by two heroes: ≤ H² rows, broadcast by AQE
     from its measured size) the per-match average needs no further shuffle.
     """
-    counts = side_hero_counts(picks, sides=(0, 1))
-    hero = F.struct(F.col("hero_id").alias("hero"), F.col("n"))
-    per_match = counts.groupBy("match_id").agg(
-        F.sort_array(F.collect_list(F.when(F.col("team") == 0, hero))).alias("rad"),
-        F.sort_array(F.collect_list(F.when(F.col("team") == 1, hero))).alias("dire"),
-    )
-    tag = lambda arr, t: F.transform(X.weighted_pairs(arr, with_self=True), lambda p: p.withField("team", F.lit(t)))
-    pairs = per_match.select("match_id", F.inline(F.concat(tag("rad", 0), tag("dire", 1))))
+    sides01 = F.filter("heroes", lambda x: x["team"].isin(0, 1))
+    pairs = match_multisets(picks).select("match_id", F.inline(same_side_pairs(sides01)))
     rates = stats.select("hero1", "hero2", "win_rate")
     found = pairs.join(rates, ["hero1", "hero2"], "inner")
     per_side = found.groupBy("match_id").agg(
