@@ -6,15 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import near_dups
+from pickwise.llm import decontaminate, langid, near_dups, secret_scan
 from pickwise.llm.common import table
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.learn(docs))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scan": op2_secret_scan,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op6_simhash_near_dups": op6_simhash_near_dups,
+    "op7_language_id": op7_language_id,
 }
 ORACLE_SQL: dict[str, str] = {}
