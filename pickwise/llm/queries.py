@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import decontaminate, langid, near_dups, secret_scan
+from pickwise.llm import cotrain, decontaminate, langid, near_dups, secret_scan, toxicity
 from pickwise.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.learn(docs))
@@ -19,6 +23,11 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotrain.score(docs, cotrain.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,8 +38,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_simhash_near_dups": op6_simhash_near_dups,
     "op7_language_id": op7_language_id,
 }
