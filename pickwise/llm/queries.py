@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import cotrain, decontaminate, langid, near_dups, secret_scan, toxicity
+from pickwise.llm import cotrain, decontaminate, langid, mixing, near_dups, secret_scan, toxicity
 from pickwise.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.score(docs, cotrain.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_source_mixing": op5_source_mixing,
     "op6_simhash_near_dups": op6_simhash_near_dups,
     "op7_language_id": op7_language_id,
 }
