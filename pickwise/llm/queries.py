@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import cotrain, decontaminate, langid, mixing, near_dups, secret_scan, toxicity
+from pickwise.llm import cotrain, decontaminate, langid, mixing, near_dups, secret_scan, token_rollup, tool_calls, toxicity, version_sketch
 from pickwise.llm.common import table
+from pickwise.session import shared_dir
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +42,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.learn(docs))
 
 
+def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollup.corpus_history(spark, table(spark, sf_dir, "documents"), shared_dir(spark, "token-ledger")).rollup()
+
+
+def op9_version_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return version_sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link(*tool_calls.from_conversations(table(spark, sf_dir, "conversations")), tool_calls.SCHEMAS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -49,5 +62,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_source_mixing": op5_source_mixing,
     "op6_simhash_near_dups": op6_simhash_near_dups,
     "op7_language_id": op7_language_id,
+    "op8_token_rollup": op8_token_rollup,
+    "op9_version_fingerprints": op9_version_fingerprints,
+    "op10_tool_calls": op10_tool_calls,
 }
-ORACLE_SQL: dict[str, str] = {}
+# A system or user turn is a call, an assistant turn the result of the turn before it.
+OP10_SQL = """
+WITH t AS (SELECT DISTINCT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, text FROM conversations),
+r AS (
+  SELECT conv_id, turn, conv_id || ':' || (turn - 1) AS call_id, text FROM t WHERE role = 'assistant'
+),
+c AS (
+  SELECT conv_id, turn, conv_id || ':' || turn AS call_id,
+         CASE WHEN role = 'system' THEN 'configure' ELSE 'reply' END AS name,
+         CASE WHEN role = 'system' THEN '{"instructions":' || CAST(to_json(text) AS VARCHAR) || '}'
+              ELSE '{"prompt":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '}' END AS arguments,
+         CASE WHEN turn >= 2 THEN '["' || conv_id || ':' || (turn - 2) || '","' || conv_id || ':' || (turn - 1) || '"]'
+              WHEN turn = 1 THEN '["' || conv_id || ':0"]' ELSE '[]' END AS depends_on,
+         text
+  FROM t WHERE role IN ('system', 'user')
+)
+SELECT c.conv_id, c.turn AS order_key, c.turn, c.call_id, c.name,
+       CASE WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+       length(c.text) > 0 AS valid,
+       CASE WHEN length(c.text) > 0 THEN '' WHEN c.name = 'reply' THEN '$.prompt: shorter than 1' ELSE '$.instructions: shorter than 1' END AS errors,
+       '{"arguments":' || c.arguments || ',"depends_on":' || c.depends_on || ',"id":"' || c.call_id || '","name":"' || c.name
+         || '","result":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null')
+         || ',"status":"' || CASE WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'answered' END || '"}' AS message
+FROM c LEFT JOIN r ON c.call_id = r.call_id
+UNION ALL
+SELECT r.conv_id, r.turn AS order_key, r.turn, r.call_id, CAST(NULL AS VARCHAR) AS name, 'orphan' AS status, true AS valid, '' AS errors,
+       '{"arguments":null,"depends_on":[],"id":"' || r.call_id || '","name":null,"result":' || CAST(to_json(r.text) AS VARCHAR) || ',"status":"orphan"}' AS message
+FROM r WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.call_id = r.call_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op10_tool_calls": OP10_SQL}
