@@ -8,23 +8,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import near_dups
+from pickwise.llm import cotrain, decontaminate, mixing, near_dups, secret_scan
 from pickwise.llm.common import table
 from pickwise.session import shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier rejects go."""
+    docs = docs.select(*COLUMNS)
+    return cotrain.accepted(docs, cotrain.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return near_dups.one_of_each(docs.select(*COLUMNS))
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate.without_contaminated(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by a mark; all documents stay."""
+    docs = docs.select(*COLUMNS)
+    return secret_scan.redacted(docs, secret_scan.learn(docs))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix and how often each is taken; those not taken go."""
+    return mixing.mixed_sources(docs.select(*COLUMNS)).filter("copies > 0")
+
+
 STAGES = [
+    ("quality classifier", reject_poor),
     ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_leaks),
+    ("secret scans", mask_secrets),
+    ("mixing sources to target weights", mix_sources),
 ]
 
-# Fitted models, Viterbi-free scans and sampling are not expressible in SQL.
+# Fitted classifiers, inferred automata and balanced sampling cannot be stated in SQL;
+# tests/llm/test_pipeline.py holds the stages against plain versions.
 ORACLE_SQL = None
 
 

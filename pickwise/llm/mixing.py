@@ -162,6 +162,11 @@ def level(rows: DataFrame, groups: DataFrame | None, last: bool) -> DataFrame:
 
 def mix(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of ``docs``."""
+    return mixed_sources(docs, group).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_sources(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """``mix`` with the source, and how often each document is taken, as ``copies``."""
     sized = persisted(sizes(docs))
     goal = persisted(targets(sized))
     by = goal.select(F.col("source").alias("_source"), "source_size", "target")
@@ -188,12 +193,12 @@ def mix(docs: DataFrame, group: int = GROUP) -> DataFrame:
             break
         # another hash at each level, so that leftovers of a group meet others
         open_ = after.filter(still).withColumn("h", F.xxhash64("h", "doc_id"))
-    taken = F.col("whole") * F.col("size")
-    if not settled:
-        return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
-    more = settled[0]
-    for s in settled[1:]:
-        more = more.union(s)
-    more = more.withColumnRenamed("row", "_row").withColumn("_once", F.lit(1))
-    out = rows.join(more, F.col("row") == F.col("_row"), "left")
-    return out.select("doc_id", "size", "source_size", "target", ((F.col("whole") + F.coalesce("_once", F.lit(0))) * F.col("size")).alias("taken"))
+    columns = ["doc_id", "source", "size", "source_size", "target"]
+    out = rows.withColumn("copies", F.col("whole"))
+    if settled:
+        more = settled[0]
+        for s in settled[1:]:
+            more = more.union(s)
+        more = more.withColumnRenamed("row", "_row").withColumn("_once", F.lit(1))
+        out = rows.join(more, F.col("row") == F.col("_row"), "left").withColumn("copies", F.col("whole") + F.coalesce("_once", F.lit(0)))
+    return out.select(*columns, F.col("copies").cast("bigint").alias("copies"), (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))

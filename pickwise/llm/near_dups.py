@@ -272,9 +272,9 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     """``docs`` with one document of each group of near duplicates: the one with
     the smallest doc_id.  Repeated rows of that id stay once; rows whose whole
     group has NULL ids are left as they are."""
-    found = near_duplicates(docs, shingle, radius)
-    keep = found.filter("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    keep = persisted(keep)
-    one = docs.join(keep.filter("_rows = 1 or doc_id is null").select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    many = docs.join(keep.filter("_rows > 1").select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_semi")
-    return one.union(many.dropDuplicates(["doc_id"]))
+    found = near_duplicates(docs, shingle, radius).filter("doc_id <=> component_id")
+    keep = persisted(found.groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")))
+    kept = docs.join(keep, docs["doc_id"].cast("bigint").eqNullSafe(keep["_kept"]), "left_semi")
+    if keep.filter("_rows > 1 AND _kept IS NOT NULL").isEmpty():
+        return kept
+    return kept.filter("doc_id IS NULL").union(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))

@@ -44,7 +44,7 @@ STEMS = (4, 5, 6)
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l"}
 SEPARATORS = ".-_*"
 # Channel costs in bits.
-SUBSTITUTE, REPEAT, JOIN, SPLIT, NOISE = 1.0, 1.0, 0.5, 1.0, 20.0
+SUBSTITUTE, REPEAT, JOIN, SPLIT, NOISE = 1.0, 1.0, 0.5, 6.0, 20.0
 
 _ALPHA = np.zeros(256, bool)
 _ALPHA[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -264,7 +264,7 @@ class Scorer:
         return 1 / (1 + np.exp(-total))
 
 
-def fitted(rows: np.ndarray, cols: np.ndarray, label: np.ndarray, weight: np.ndarray, n: int, penalty: float = 0.05, steps: int = 600) -> tuple[np.ndarray, float]:
+def fitted(rows: np.ndarray, cols: np.ndarray, label: np.ndarray, weight: np.ndarray, n: int, penalty: float = 0.005, steps: int = 1500) -> tuple[np.ndarray, float]:
     """Logistic regression on feature presence (row, column pairs) by Adam; L2 penalty."""
     w, b = np.zeros(n), math.log(max(weight @ label, 1e-9) / max(weight @ (1 - label), 1e-9))
     m, v = np.zeros(n + 1), np.zeros(n + 1)
