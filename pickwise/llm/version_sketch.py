@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 from pickwise.llm.common import persisted
 
 PIECE_END = r"[\n.!?|]+"
-LOAD = 5  # digests of both texts in one shard
-WIDTHS = (5, 15, 45, 135)  # cells of a subtable, by attempt
+LOAD = 4  # digests of both texts in one shard
+WIDTHS = (4, 12, 36, 108)  # cells of a subtable, by attempt
 PRINT_WIDTH = 4  # cells of a subtable of the stored fingerprint
-BUCKET = 2000  # rows of an id range
+BUCKET = 2000  # rows of an id range, more if there would be over MOST_RANGES
+MOST_RANGES = 20_000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -50,31 +51,26 @@ def digests(text: Column) -> Column:
 
 
 def check(digest: Column) -> Column:
-    return F.xxhash64(digest, F.lit("check"))
+    return F.xxhash64(digest, F.lit(-1))
 
 
-def cell(digest: Column, table: int, width: int) -> Column:
-    """Cell of a digest in a subtable; each width hashes anew."""
-    return F.pmod(F.xxhash64(digest, F.lit(table * 1000 + width)), F.lit(width)).cast("int") + table * width
+def cells_of(digest: Column, width: int) -> Column:
+    """The digest's cell in each subtable; each width hashes anew."""
+    place = lambda x, t: F.pmod(F.shiftright(x, 20 * t), F.lit(width).cast("bigint")).cast("int") + t * width
+    return let(F.xxhash64(digest, F.lit(width)), lambda x: F.struct(*[place(x, t).alias(f"c{t}") for t in range(3)]))
 
 
 def items(found: Column, sign: int, width: int) -> Column:
     """Digests as (sign, digest, check, cells) entries."""
-    return F.transform(found, lambda d: F.struct(F.lit(sign).alias("n"), d.alias("d"), check(d).alias("h"), *[cell(d, t, width).alias(f"c{t}") for t in range(3)]))
+    return F.transform(found, lambda d: F.struct(F.lit(sign).alias("n"), d.alias("d"), check(d).alias("h"), cells_of(d, width).alias("c")))
 
 
 def sketch(entries: Column, width: int) -> Column:
-    """The cells: count, XOR of digests, XOR of checks."""
+    """The cells of the three subtables: count, XOR of digests, XOR of checks."""
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("d"), F.lit(0).cast("bigint").alias("h"))
-
-    def one(i: Column) -> Column:
-        def add(acc: Column, e: Column) -> Column:
-            more = F.struct((acc["n"] + e["n"]).alias("n"), acc["d"].bitwiseXOR(e["d"]).alias("d"), acc["h"].bitwiseXOR(e["h"]).alias("h"))
-            return F.when((e["c0"] == i) | (e["c1"] == i) | (e["c2"] == i), more).otherwise(acc)
-
-        return F.aggregate(entries, zero, add)
-
-    return F.transform(F.sequence(F.lit(0), F.lit(3 * width - 1)), one)
+    add = lambda acc, e: F.struct((acc["n"] + e["n"]).alias("n"), acc["d"].bitwiseXOR(e["d"]).alias("d"), acc["h"].bitwiseXOR(e["h"]).alias("h"))
+    one = lambda t: lambda i: F.aggregate(F.filter(entries, lambda e: e["c"][f"c{t}"] == i), zero, add)
+    return F.concat(*[F.transform(F.sequence(F.lit(t * width), F.lit(t * width + width - 1)), one(t)) for t in range(3)])
 
 
 def empty(cells: Column) -> Column:
@@ -88,11 +84,12 @@ def peeled(cells: Column, most: Column, width: int) -> Column:
         pure = F.filter(state["cells"], lambda x: (F.abs(x["n"]) == 1) & (check(x["d"]) == x["h"]))
 
         def out(p: Column) -> Column:
-            hit = lambda i: (i == cell(p["d"], 0, width)) | (i == cell(p["d"], 1, width)) | (i == cell(p["d"], 2, width))
+            hit = lambda i: (i == p["c"]["c0"]) | (i == p["c"]["c1"]) | (i == p["c"]["c2"])
             less = lambda x: F.struct((x["n"] - p["n"]).alias("n"), x["d"].bitwiseXOR(p["d"]).alias("d"), x["h"].bitwiseXOR(p["h"]).alias("h"))
             return F.struct(F.transform(state["cells"], lambda x, i: F.when(hit(i), less(x)).otherwise(x)).alias("cells"), (state["ours"] + (p["n"] > 0).cast("int")).alias("ours"), (state["theirs"] + (p["n"] < 0).cast("int")).alias("theirs"))
 
-        return let(pure, lambda p: F.when(F.size(p) == 0, state).otherwise(let(F.get(p, F.lit(0)), out)))
+        placed = lambda p: F.struct(p["n"].alias("n"), p["d"].alias("d"), p["h"].alias("h"), cells_of(p["d"], width).alias("c"))
+        return let(pure, lambda p: F.when(F.size(p) == 0, state).otherwise(let(placed(F.get(p, F.lit(0))), out)))
 
     start = F.struct(cells.alias("cells"), F.lit(0).alias("ours"), F.lit(0).alias("theirs"))
     steps = F.when(empty(cells) | (most < 1), F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.greatest(most, F.lit(1))))
@@ -103,7 +100,7 @@ def peeled(cells: Column, most: Column, width: int) -> Column:
 def attempt(ours: Column, theirs: Column, width: int) -> Column:
     """Subtracts the sketches of one shard and peels the rest."""
     both = F.concat(items(ours, 1, width), items(theirs, -1, width))
-    return let(sketch(both, width), lambda c: peeled(c, F.size(ours) + F.size(theirs), width))
+    return let(let(both, lambda e: sketch(e, width)), lambda c: peeled(c, F.size(ours) + F.size(theirs), width))
 
 
 def shard_difference(ours: Column, theirs: Column) -> Column:
@@ -142,7 +139,7 @@ def likeness(ours: Column, theirs: Column) -> Column:
 def fingerprint(found: Column) -> Column:
     """The text's own small sketch in hex: number of digests, then all cells."""
     part = lambda x, n: F.lower(F.lpad(F.hex(x), n, "0"))
-    cells = F.transform(sketch(items(found, 1, PRINT_WIDTH), PRINT_WIDTH), lambda c: F.concat(part(c["n"], 8), part(c["d"], 16), part(c["h"], 16)))
+    cells = F.transform(let(items(found, 1, PRINT_WIDTH), lambda e: sketch(e, PRINT_WIDTH)), lambda c: F.concat(part(c["n"], 8), part(c["d"], 16), part(c["h"], 16)))
     return F.concat(part(F.size(found), 8), F.array_join(cells, ""))
 
 
@@ -173,13 +170,14 @@ def with_next(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
-    cuts = cut_points(rows.select("doc_id"), -(-rows.count() // bucket))
+    cuts = cut_points(rows.select("doc_id"), min(MOST_RANGES, -(-rows.count() // bucket)))
     rows = rows.withColumn("part", range_of(F.col("doc_id"), cuts)).withColumn("h", F.xxhash64("text"))
     # first row of each range: its least id (ids only), then that id's least text hash
     least = persisted(rows.groupBy("part").agg(F.min("doc_id").alias("least")))
     order = Window.orderBy("part")  # one row a range
     ahead = least.select("least", F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy())).alias("part"))
-    heads = rows.select("doc_id", "text", "h").join(ahead, F.col("doc_id").eqNullSafe(F.col("least")))
+    # one id for each of at most MOST_RANGES ranges: small enough to send to all tasks
+    heads = rows.select("doc_id", "text", "h").join(F.broadcast(ahead), F.col("doc_id").eqNullSafe(F.col("least")))
     heads = heads.groupBy("part").agg(F.min(F.struct("h", "text")).alias("x"), F.min("doc_id").alias("doc_id"))
     heads = persisted(heads.select("doc_id", F.col("x.text").alias("text"), "part", F.col("x.h").alias("h")))
     every = rows.withColumn("head", F.lit(0)).unionByName(heads.withColumn("head", F.lit(1))).withColumn("found", digests(F.col("text")))
