@@ -24,6 +24,7 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
+from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
@@ -231,32 +232,45 @@ class Formats:
         return ok
 
 
-def credentials(docs: DataFrame) -> DataFrame:
-    """Distinct (kind, value): the values of base spans, and ``ordinary`` candidates."""
+def smallest(values: set[bytes], n: int) -> list[tuple[int, bytes]]:
+    """The ``n`` values with the smallest hashes, as (hash, value)."""
+    from xxhash import xxh64_intdigest
+
+    return nsmallest(n, ((xxh64_intdigest(v) >> 1, v) for v in values))
+
+
+def credentials(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(kind, hash, value): the values of base spans, and ``ordinary`` candidates.  Each
+    task returns its ``sample`` values with the smallest hashes a kind, among which
+    are all that belong to the sample of the whole table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, set[bytes]] = {k: set() for k in (*KINDS[:3], "ordinary")}
         for b in slices(batches):
             column = octets(b.column(0))
             data, off = flat(column)
             texts = column.to_pylist()
             base = base_spans(data, off, texts)
-            rows = set()
             for d, spans in base.items():
                 for s, k, e in spans:
-                    rows.add((KINDS[k], ASSIGN.match(texts[d], s)[2] if k == 0 else texts[d][s:e]))
+                    held[KINDS[k]].add(ASSIGN.match(texts[d], s)[2] if k == 0 else texts[d][s:e])
             doc, start, end = candidates(data, off, base)
-            for d, s, e in zip(doc, start - off[doc], end - off[doc], strict=True):
-                rows.add(("ordinary", texts[d][s:e]))
+            held["ordinary"].update(texts[d][s:e] for d, s, e in zip(doc, start - off[doc], end - off[doc], strict=True))
+            for kind, values in held.items():
+                if len(values) > 8 * sample:
+                    held[kind] = {v for _, v in smallest(values, sample)}
+        for kind, values in held.items():
+            rows = smallest(values, sample)
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.binary())], ["kind", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(rows)), pa.array([h for h, _ in rows], pa.int64()), pa.array([v for _, v in rows], pa.binary())], ["kind", "hash", "value"])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kind string, value binary").distinct()
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kind string, hash bigint, value binary").distinct()
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
     """Automata from at most ``sample`` distinct values a kind, chosen by hash."""
-    found = persisted(credentials(docs).withColumn("_h", F.xxhash64("value")))
-    take = lambda kind: [bytes(r[0]) for r in found.filter(F.col("kind") == kind).orderBy("_h", "value").limit(sample).select("value").collect()]
+    found = persisted(credentials(docs, sample))
+    take = lambda kind: [bytes(r[0]) for r in found.filter(F.col("kind") == kind).orderBy("hash", "value").limit(sample).select("value").collect()]
     return Formats({k: take(k) for k in KINDS[:3]}, take("ordinary"))
 
 
