@@ -7,7 +7,6 @@ the session and decides when to act.  Layout:
 * ``functions``  reusable column expressions (labels, pair arrays, bands, rounding)
 * ``operators``  draft, pair, series, recommendation, ML and sink operators
 * ``plans``      composite feature tables and plan-inspection helpers
-* ``streaming``  the same per-match aggregates applied to streaming sources
 """
 
 __version__ = "0.1.0"

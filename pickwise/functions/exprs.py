@@ -30,9 +30,14 @@ def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def as_bool(c: Column | str) -> Column:
+    """A boolean outcome, also from text; unreadable text gives NULL."""
+    return col_(c).try_cast("boolean")
+
+
 def label_from_bool(radiant_win: Column | str = "radiant_win") -> Column:
     """1.0 when the outcome is true; false and NULL give 0.0."""
-    return F.when(col_(radiant_win) == F.lit(True), F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.when(as_bool(radiant_win), F.lit(1.0)).otherwise(F.lit(0.0))
 
 
 def label_from_text(radiant_win: Column | str = "radiant_win") -> Column:
@@ -47,7 +52,7 @@ def score_wins(score: Column | str, other: Column | str) -> Column:
 
 def side_won(team: Column | str = "team", radiant_win: Column | str = "radiant_win") -> Column:
     """Per-row win flag from the side and a boolean outcome (NULL outcome: not won)."""
-    t, rw = col_(team), col_(radiant_win)
+    t, rw = col_(team), as_bool(radiant_win)
     return (
         F.when(((t == 0) & (rw == F.lit(True))) | ((t == 1) & (rw == F.lit(False))), F.lit(1))
         .otherwise(F.lit(0))
@@ -64,23 +69,6 @@ def side_won_scores(team: Column | str, radiant_win: Column | str, dire_win: Col
     )
 
 
-def unordered_pairs(arr: Column | str, left: str = "hero1", right: str = "hero2") -> Column:
-    """All (a[i], a[j]) with i < j of an array, as array<struct<left, right>>.
-
-    Sort the array first for canonical pairs; duplicates give (h, h).
-    """
-    a = col_(arr)
-    return F.flatten(
-        F.transform(
-            a,
-            lambda x, i: F.transform(
-                F.slice(a, i + 2, F.greatest(F.size(a) - i - 1, F.lit(0))),
-                lambda y: F.struct(x.alias(left), y.alias(right)),
-            ),
-        )
-    )
-
-
 def weighted_pairs(counts: Column | str, with_self: bool, left: str = "hero1", right: str = "hero2") -> Column:
     """Pairs of a multiset given as a sorted array<struct<hero, n>> of distinct heroes.
 

@@ -59,9 +59,16 @@ def hero_vocabulary(picks: DataFrame) -> DataFrame:
     return picks.select("hero_id").where(F.col("hero_id").isNotNull()).distinct()
 
 
+MOST_HEROES = 2000  # one-hot columns are named per hero; a wider vocabulary must be declared
+
+
 def collect_vocabulary(picks: DataFrame) -> list[int]:
-    """Sorted hero ids on the driver — only to name one-hot columns (≤ hero pool)."""
-    return sorted(int(r.hero_id) for r in hero_vocabulary(picks).collect())
+    """Sorted hero ids on the driver — only to name one-hot columns when the caller
+    declares no vocabulary; fails beyond MOST_HEROES ids instead of collecting them."""
+    ids = [int(r.hero_id) for r in hero_vocabulary(picks).limit(MOST_HEROES + 1).collect()]
+    if len(ids) > MOST_HEROES:
+        raise ValueError(f"more than {MOST_HEROES} hero ids: pass hero_ids")
+    return sorted(ids)
 
 
 def onehot_columns(hero_ids: Sequence[int]) -> list[str]:
@@ -104,16 +111,14 @@ def hero_onehot(picks: DataFrame, hero_ids: Sequence[int] | None = None) -> Data
     return rows.groupBy("match_id").agg(_slot_set(hero_ids)).selectExpr("match_id", *_onehot_from_slots(hero_ids))
 
 
-def hero_onehot_sparse(picks: DataFrame, hero_ids: Sequence[int] | None = None) -> DataFrame:
+def hero_onehot_sparse(picks: DataFrame, hero_ids: Sequence[int]) -> DataFrame:
     """Sparse route for wide vocabularies: one SparseVector of size 4·H per match.
 
     Same slot layout as :func:`hero_onehot` columns; built with MLlib's
-    CountVectorizer over a fixed vocabulary (binary presence).
+    CountVectorizer over the declared vocabulary (binary presence).
     """
     from pyspark.ml.feature import CountVectorizerModel
 
-    if hero_ids is None:
-        hero_ids = collect_vocabulary(picks)
     vocab = onehot_columns(hero_ids)
     token = F.concat_ws(
         "_",
@@ -210,13 +215,3 @@ def patch_feature(features: DataFrame, meta: DataFrame) -> DataFrame:
         yr = meta.select("match_id", F.col("year").alias("patch_year"))
         return features.join(yr, "match_id", "left").fillna(X.DEFAULT_PATCH_YEAR, subset=["patch_year"])
     return features
-
-
-def clean_column_names(df: DataFrame, prefix: str = "") -> DataFrame:
-    """Prefix every column except ``match_id`` and replace dots with underscores,
-    in ONE projection (a rename loop grows the plan with every column)."""
-    exprs = []
-    for c in df.columns:
-        new = c if c == "match_id" else f"{prefix}{c}".replace(".", "_")
-        exprs.append(f"`{c}` AS `{new}`")
-    return df.selectExpr(*exprs)

@@ -10,11 +10,12 @@ All pair tables are keyed by two hero ids, so they are bounded by H².
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.functions import exprs as X
-from pickwise.operators.draft import label_from_scores
+from pickwise.operators.draft import dedupe_matches, label_from_scores
+from pickwise.plans.guards import Lookup
 
 MIN_GAMES_FOR_SYNERGY = 10
 
@@ -83,7 +84,7 @@ def pair_synergy_winrate(picks: DataFrame, meta: DataFrame, min_games: int = MIN
     formed within a side only (sides compared null-safely, like a grouping key).
     """
     per_match = match_multisets(picks)
-    outcome = meta.select("match_id", "radiant_win")
+    outcome = dedupe_matches(meta.select("match_id", "radiant_win"))
     pairs = per_match.join(outcome, "match_id", "inner").select(
         F.inline(same_side_pairs("heroes")), "radiant_win"
     ).select("hero1", "hero2", "w", X.side_won().alias("won"))
@@ -102,14 +103,14 @@ def match_synergy(picks: DataFrame, stats: DataFrame, matches: DataFrame | None
     (default: every match of ``picks``) fixes the output rows; ``all_matches=False``
     returns only matches with a found pair (radiant/dire synergy, NULL for a
     side without one).  Both sides'
-    multisets live in one row per match, so after the broadcast lookup of the
-    pair rates (``stats`` is keyed by two heroes: ≤ H² rows, broadcast by AQE
-    from its measured size) the per-match average needs no further shuffle.
+    multisets live in one row per match, so after the lookup of the pair rates the
+    per-match average needs no further shuffle: ``stats`` is keyed by two heroes
+    (≤ H² rows), materialised, measured and broadcast; pair rows are never shuffled
+    on hero keys.
     """
     sides01 = F.filter("heroes", lambda x: x["team"].isin(0, 1))
     pairs = match_multisets(picks).select("match_id", F.inline(same_side_pairs(sides01)))
-    rates = stats.select("hero1", "hero2", "win_rate")
-    found = pairs.join(rates, ["hero1", "hero2"], "inner")
+    found = Lookup(stats.select("hero1", "hero2", "win_rate")).join(pairs, ["hero1", "hero2"])
     per_side = found.groupBy("match_id").agg(
         *[
             (
@@ -139,7 +140,7 @@ def hero_rows(picks: DataFrame, meta: DataFrame, include_bans: bool = True) -> D
     ``include_bans=True`` keeps ban rows too (the reference counts them as picks).
     """
     rows = picks if include_bans else picks.where(F.col("is_pick") == F.lit(True))
-    return rows.join(label_from_scores(meta), "match_id", "inner").select(
+    return rows.join(label_from_scores(dedupe_matches(meta)), "match_id", "inner").select(
         "match_id", "team", "hero_id",
         X.side_won_scores("team", "radiant_win", "dire_win").alias("hero_win"),
     )
@@ -151,24 +152,30 @@ def hero_meta(picks: DataFrame, meta: DataFrame, include_bans: bool = True) -> D
     win_rate = wins / pick_count and pick_rate = pick_count / matches, both cast
     to float (then widened to double).  Rows are first collapsed to
     (match, side, hero) counts — map-side, so a hot match is one row per hero
-    before any shuffle or join — then joined with the outcomes and summed.  The
-    match total is a scalar subquery (one small aggregate job, no join).
+    before any shuffle — and then to one row per match, which is joined with the
+    outcomes once.  That row yields its heroes and one more entry, marked as the
+    match itself, so one scan and one aggregate give the hero sums and the match
+    total; the total is read back over the ≤ H + 1 result rows.
     """
     rows = picks if include_bans else picks.where(F.col("is_pick") == F.lit(True))
     counts = rows.groupBy("match_id", "team", "hero_id").agg(F.count(F.lit(1)).alias("n"))
-    joined = counts.join(label_from_scores(meta), "match_id", "inner").select(
-        "match_id", "hero_id", "n", X.side_won_scores("team", "radiant_win", "dire_win").alias("hero_win")
+    entry = F.struct(F.lit(False).alias("is_match"), F.col("team"), F.col("hero_id"), F.col("n"))
+    per_match = counts.groupBy("match_id").agg(F.collect_list(entry).alias("heroes"))
+    own = F.array(F.struct(F.lit(True).alias("is_match"), F.lit(None).cast("int").alias("team"), F.lit(None).cast("int").alias("hero_id"), F.lit(1).cast("bigint").alias("n")))
+    joined = per_match.join(label_from_scores(dedupe_matches(meta)), "match_id", "inner").select(
+        F.inline(F.concat("heroes", own)), "radiant_win", "dire_win"
     )
-    total = joined.select(F.count_distinct("match_id")).scalar()
-    agg = joined.groupBy("hero_id").agg(
+    won = X.side_won_scores("team", "radiant_win", "dire_win")
+    agg = joined.groupBy("is_match", "hero_id").agg(
         F.sum("n").cast("long").alias("pick_count"),
-        F.sum(F.col("n") * F.col("hero_win")).cast("long").alias("wins"),
+        F.sum(F.col("n") * won).cast("long").alias("wins"),
     )
+    total = F.max(F.when(F.col("is_match"), F.col("pick_count"))).over(Window.partitionBy())  # ≤ H + 1 rows
     as_float = lambda c: c.cast("float").cast("double")
-    return agg.select(
+    return agg.withColumn("total", total).where(~F.col("is_match")).select(
         "hero_id", "pick_count", "wins",
         as_float(F.col("wins") / F.col("pick_count")).alias("win_rate"),
-        as_float(F.col("pick_count") / total).alias("pick_rate"),
+        as_float(F.col("pick_count") / F.col("total")).alias("pick_rate"),
     )
 
 
@@ -177,7 +184,7 @@ def pair_synergy_wins(picks: DataFrame, meta: DataFrame, include_bans: bool = Tr
     ``team`` adds that side's win (0/1) times the pair multiplicity."""
     counts = side_hero_counts(picks, picks_only=not include_bans, sides=(team,))
     won_col = "radiant_win" if team == 0 else "dire_win"
-    ms = _side_multisets(counts).join(label_from_scores(meta), "match_id", "inner")
+    ms = _side_multisets(counts).join(label_from_scores(dedupe_matches(meta)), "match_id", "inner")
     pairs = ms.select(F.inline(X.weighted_pairs("heroes", with_self=False, left="h1", right="h2")), F.col(won_col).alias("won"))
     return pairs.groupBy("h1", "h2").agg(F.sum(F.col("w") * F.col("won")).cast("long").alias("wins"))
 
@@ -200,7 +207,7 @@ def counter_wins(picks: DataFrame, meta: DataFrame, include_bans: bool = True) -
             ),
         )
     )
-    pairs = per_match.join(label_from_scores(meta), "match_id", "inner").select(F.inline(cross), "dire_win")
+    pairs = per_match.join(label_from_scores(dedupe_matches(meta)), "match_id", "inner").select(F.inline(cross), "dire_win")
     return pairs.groupBy("counter_hero", "target_hero").agg(
         F.sum(F.col("w") * F.col("dire_win")).cast("long").alias("wins")
     )

@@ -102,7 +102,8 @@ def draft_features(
     meta_cols = [F.col("match_id"), X.label_from_bool("radiant_win").alias("label")]
     if patch_name:
         meta_cols.append(F.col(patch_src).alias("_patch"))
-    feats = feats.join(meta.select(*meta_cols), "match_id", "inner")
+    names = ["match_id", "radiant_win"] + ([patch_src] if patch_name else [])
+    feats = feats.join(D.dedupe_matches(meta.select(*names), prefer=()).select(*meta_cols), "match_id", "inner")
 
     # one projection: fills, derived synergy difference and double casts
     # (SQL expression strings: one driver call for a table of 4·H + 15 columns)

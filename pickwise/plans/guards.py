@@ -4,14 +4,15 @@ inspection helpers used by tests and the benchmark.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.session import shared_dir
 
-# Largest lookup table (rows) broadcast on an explicit hint.  Hero-keyed tables
-# hold at most H² rows for a vocabulary of H heroes (≈ 150² for the game).
-MAX_BROADCAST_ROWS = 2_000_000
+# Largest lookup table (bytes) that is broadcast.  Hero-keyed tables hold at most
+# H² rows for a vocabulary of H heroes (about 150² for the game).
+MAX_BROADCAST_BYTES = 64 << 20
+SALTS = 32  # copies of a larger lookup table; each key's rows spread over as many tasks
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -22,14 +23,31 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Materialise ``df``, count it, and hint a broadcast only if the count is
-    within ``max_rows``.  Beyond the bound the table is returned un-hinted and
-    the join falls back to a shuffle join (AQE still re-plans from runtime sizes).
+def table_bytes(df: DataFrame) -> int:
+    """Size of a materialised table of fixed-width columns: rows × row width."""
+    return df.count() * (8 + 8 * len(df.columns))
+
+
+class Lookup:
+    """A materialised lookup table with its measured size.
+
+    :meth:`join` broadcasts it while it is within ``max_bytes``.  Beyond that the
+    table is copied ``SALTS`` times and every probing row draws one copy by a hash
+    of its content, so that the rows of one key are spread over ``SALTS`` tasks.
     """
-    m = materialize(df)
-    n = m.count()
-    return (F.broadcast(m) if n <= max_rows else m), n
+
+    def __init__(self, df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES):
+        self.table = materialize(df)
+        self.small = table_bytes(self.table) <= max_bytes
+
+    def join(self, rows: DataFrame, on: list[str], how: str = "inner", where: Column | None = None, columns: list | None = None) -> DataFrame:
+        side = self.table if where is None else self.table.where(where)
+        side = side if columns is None else side.select(*columns)
+        if self.small:
+            return rows.join(F.broadcast(side), on, how)
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*[c for c, t in rows.dtypes if not t.startswith("map")]), F.lit(SALTS)))
+        copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
@@ -46,18 +64,3 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 def count_nodes(df: DataFrame, name: str) -> int:
     """Occurrences of a physical operator name in the executed plan."""
     return plan_text(df, "simple").count(name)
-
-
-def partitioned_once(df: DataFrame, key: str = "match_id", partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` into at least the cluster's parallelism
-    and checkpoint it (reliably) in the shared folder, so that several blocks of
-    one query read the derived table instead of re-deriving it, from many
-    partitions even when the source file is a single row group.
-
-    Without AQE the checkpoint also keeps the hash partitioning (later
-    aggregates on ``key`` skip their exchange); with AQE on, Spark 4.1 drops
-    it and each block shuffles its own — already pre-aggregated — rows.
-    """
-    spark = df.sparkSession
-    n = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return materialize(df.repartition(n, key))

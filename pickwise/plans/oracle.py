@@ -48,14 +48,8 @@ VIEWS = {
     "tf": """SELECT mid AS match_id,
        CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) * 10 AS INTEGER) AS start
   FROM ev""",
-    "dr": """SELECT match_id AS draft_id, team, hero_id FROM (
-    SELECT match_id, team, hero_id,
-           row_number() OVER (PARTITION BY match_id, team ORDER BY "order", hero_id) AS rn
-      FROM pb WHERE is_pick AND team IN (0, 1)) WHERE rn <= 2""",
-    "nxt": """SELECT match_id AS draft_id, hero_id FROM (
-    SELECT match_id, hero_id,
-           row_number() OVER (PARTITION BY match_id ORDER BY "order", hero_id) AS rn
-      FROM pb WHERE is_pick AND team = 0) WHERE rn = 3""",
+    "dr": """SELECT match_id AS draft_id, team, hero_id FROM pb WHERE is_pick AND team IN (0, 1)""",
+    "nxt": """SELECT DISTINCT match_id AS draft_id, hero_id FROM pb WHERE hero_id IS NOT NULL AND team IN (0, 1)""",
     # score outcome rows (hero_win) of the recommender's statistics
     "hw": """SELECT pb.match_id, pb.team, pb.hero_id,
        CASE WHEN pb.team = 0 AND md.radiant_score > md.dire_score THEN 1
@@ -228,7 +222,7 @@ TIMING = """tm AS (SELECT match_id, avg(total_time_taken) AS avg_pick_time,
   FROM dt WHERE pick GROUP BY match_id)"""
 
 SCORE_CANDIDATES = """ms AS (SELECT hero_id,
-       0.7 * coalesce(win_rate, 0.5) + 0.3 * coalesce(pick_rate, 0.05) AS meta_score
+       round(0.7 * coalesce(win_rate, 0.5) + 0.3 * coalesce(pick_rate, 0.05), 12) AS meta_score
   FROM meta WHERE hero_id IS NOT NULL),
 syn AS (SELECT h1 AS cand, h2 AS other, CAST(wins AS DOUBLE) AS wins FROM sy
         UNION ALL SELECT h2, h1, CAST(wins AS DOUBLE) FROM sy),
@@ -268,7 +262,7 @@ def build() -> dict[str, str]:
     ) + """SELECT draft_id, CAST(rnk AS INTEGER) AS rank, hero_id, round(score, 9) AS score,
        round(synergy_score, 9) AS synergy_score, round(counter_score, 9) AS counter_score,
        round(meta_score, 9) AS meta_score
-  FROM (SELECT *, row_number() OVER (PARTITION BY draft_id ORDER BY score DESC, meta_score DESC, hero_id) AS rnk
+  FROM (SELECT *, row_number() OVER (PARTITION BY draft_id ORDER BY score DESC, hero_id) AS rnk
           FROM fs) WHERE rnk <= 3"""
     q["hero_score"] = _scored("cand AS (SELECT DISTINCT draft_id, hero_id FROM nxt)") + """SELECT draft_id, hero_id,
        round(score, 9) AS score, round(synergy_score, 9) AS synergy_score,
@@ -328,7 +322,7 @@ SELECT match_id,
     q["teamfights_early"] = with_views("te") + "SELECT * FROM te"
     q["early_features"] = with_views("ef") + f"SELECT match_id, {_early_select()} FROM ef"
     q["draft_features"] = draft_features_sql()
-    q["split_keyed"] = with_views("md") + "SELECT match_id, ((match_id * 7919 + 42) % 100) < 80 AS is_train FROM md"
+    q["split_keyed"] = with_views("md") + "SELECT match_id, (((match_id % 100 + 100) % 100 * 7919 + 42) % 100) < 80 AS is_train FROM md"
     scaled = ", ".join(
         f"round(CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 0 ELSE {c} * (1.0 / s_{c}) END, 6) AS {c}" for c in EARLY_FEATURES
     )
@@ -377,6 +371,7 @@ SELECT match_id, p AS radiant_win_probability,
          AS recommendation
   FROM pr"""
     q["prediction_bands"] = q["prediction_bands"].replace("\n, pr AS", ",\npr AS")
+    # (the advice texts above are the fixed values of functions/exprs.py, repeated here to check them)
     # file sources and sinks: the loaded files must equal the views they were written from
     q["src_yearly_union"] = with_views("pb", "md") + """SELECT pb.is_pick, pb.hero_id, pb.team,
        CASE WHEN md."year" = 1997 THEN NULL ELSE pb."order" END AS "order", pb.match_id,

@@ -21,14 +21,6 @@ def _r(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     return df.select(*[F.round(F.col(c), digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
 
 
-def _shared_picks(spark: SparkSession, sf: str) -> DataFrame:
-    """The picks view, partitioned on match_id and checkpointed once per query:
-    composite queries read it from several blocks without re-deriving it."""
-    from pickwise.plans.guards import partitioned_once
-
-    return partitioned_once(V.picks_bans(spark, sf))
-
-
 # ------------------------------------------------------------------ statistics
 def hero_meta(spark: SparkSession, sf: str) -> DataFrame:
     return P.hero_meta(V.picks_bans(spark, sf), V.metadata(spark, sf))
@@ -43,7 +35,7 @@ def counter_wins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _recommender_inputs(spark: SparkSession, sf: str):
-    pb, md = _shared_picks(spark, sf), V.metadata(spark, sf)
+    pb, md = V.picks_bans(spark, sf), V.metadata(spark, sf)
     return pb, P.hero_meta(pb, md), R.score_lookups(pb, md)
 
 
@@ -57,7 +49,7 @@ def recommend_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 def hero_score(spark: SparkSession, sf: str) -> DataFrame:
     pb, meta, lookups = _recommender_inputs(spark, sf)
-    return _r(R.hero_score(V.drafts(spark, sf, pb), V.next_picks(spark, sf, pb), meta, lookups=lookups), SCORE_DIGITS)
+    return _r(R.hero_score(V.drafts(spark, sf, pb), V.candidates(spark, sf, pb), meta, lookups=lookups), SCORE_DIGITS)
 
 
 # ------------------------------------------------------------------ draft blocks
@@ -162,7 +154,7 @@ def early_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def draft_features(spark: SparkSession, sf: str) -> DataFrame:
-    df = FE.draft_features(_shared_picks(spark, sf), V.metadata(spark, sf), V.draft_timings(spark, sf))
+    df = FE.draft_features(V.picks_bans(spark, sf), V.metadata(spark, sf), V.draft_timings(spark, sf))
     return _r(df, {"std_pick_time": 6, "radiant_synergy": 6, "dire_synergy": 6, "synergy_diff": 6})
 
 

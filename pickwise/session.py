@@ -6,6 +6,7 @@ Library operators never build a session themselves; they take DataFrames.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,14 +36,17 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The checkpoint directory comes from the session (``spark.checkpoint.dir`` or
-    the context's checkpoint dir).  Only when neither is set — local tests — a
-    temporary folder is created and registered as the checkpoint directory.
+    the context's checkpoint dir).  When neither is set, a single-machine session
+    gets a temporary folder; any other session fails, because executors would not
+    see each other's files.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="pickwise-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

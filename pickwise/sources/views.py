@@ -126,37 +126,24 @@ def teamfights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drafts(spark: SparkSession, sf_dir: str, picks: DataFrame | None = None) -> DataFrame:
-    """Draft queries for the recommender: the first two picks per side of every match.
+    """Drafts for the recommender: every pick of every match.
 
     draft_id = match_id; team 0 rows are the allies, team 1 rows the enemies.
-    Ties in pick order fall back to hero_id.
     """
-    from pyspark.sql import Window
-
-    pb = (picks if picks is not None else picks_bans(spark, sf_dir)).filter(F.col("is_pick") & F.col("team").isin(0, 1))
-    w = Window.partitionBy("match_id", "team").orderBy("order", "hero_id")
-    return (
-        pb.withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") <= 2)
-        .select(F.col("match_id").alias("draft_id"), "team", "hero_id")
-    )
+    pb = picks if picks is not None else picks_bans(spark, sf_dir)
+    return pb.filter(F.col("is_pick") & F.col("team").isin(0, 1)).select(F.col("match_id").alias("draft_id"), "team", "hero_id")
 
 
 def split_flag(match_id: Column | str = "match_id") -> Column:
     """Keyed, partition-independent 80/20 split: true for training rows."""
     c = F.col(match_id) if isinstance(match_id, str) else match_id
-    return ((c * SPLIT_MULTIPLIER + SPLIT_OFFSET) % 100) < TRAIN_SHARE
+    # remainders first: the product of a large key would overflow
+    return F.pmod(F.pmod(c, F.lit(100)) * SPLIT_MULTIPLIER + SPLIT_OFFSET, F.lit(100)) < TRAIN_SHARE
 
 
-def next_picks(spark: SparkSession, sf_dir: str, picks: DataFrame | None = None) -> DataFrame:
-    """The radiant side's third pick of every match, as a candidate to score
-    against that match's draft: (draft_id, hero_id)."""
-    from pyspark.sql import Window
-
-    pb = (picks if picks is not None else picks_bans(spark, sf_dir)).filter(F.col("is_pick") & (F.col("team") == 0))
-    w = Window.partitionBy("match_id").orderBy("order", "hero_id")
-    return (
-        pb.withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") == 3)
-        .select(F.col("match_id").alias("draft_id"), "hero_id")
-    )
+def candidates(spark: SparkSession, sf_dir: str, picks: DataFrame | None = None) -> DataFrame:
+    """Every hero that either side of a match picked or banned, as a candidate to
+    score against that match's draft: (draft_id, hero_id)."""
+    pb = picks if picks is not None else picks_bans(spark, sf_dir)
+    rows = pb.filter(F.col("hero_id").isNotNull() & F.col("team").isin(0, 1))
+    return rows.select(F.col("match_id").alias("draft_id"), "hero_id").distinct()

@@ -195,23 +195,12 @@ def test_early_features_absent_sources_and_fill(spark):
 
 
 # ----------------------------------------------------------------- expressions
-def test_unordered_pairs_expression(spark):
-    df = spark.createDataFrame([([],), ([4],), ([1, 2, 2],)], "a array<int>")
-    got = [[tuple(p) for p in r[0]] for r in df.select(X.unordered_pairs("a")).collect()]
-    assert got == [[], [], [(1, 2), (1, 2), (2, 2)]]
-
-
 def test_band_thresholds(spark):
     df = spark.createDataFrame([(0.66,), (0.65,), (0.5,), (0.4,), (0.35,)], "p double")
     got = [tuple(r) for r in df.select(X.band_strength("p")).collect()]
     assert [g[0] for g in got] == ["strong", "slight", "slight", "strong", "very strong"]
 
 
-def test_clean_column_names(spark):
-    df = spark.createDataFrame([(1, 2, 3)], "match_id long, `a.b` int, c int")
-    assert D.clean_column_names(df, "radiant_pick_").columns == ["match_id", "radiant_pick_a_b", "radiant_pick_c"]
-
-
 def test_text_report_sink(spark):
     from pickwise.operators import sinks as SK
     from pickwise.session import shared_dir
