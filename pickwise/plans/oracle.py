@@ -377,7 +377,7 @@ SELECT match_id, p AS radiant_win_probability,
        CASE WHEN md."year" = 1997 THEN NULL ELSE pb."order" END AS "order", pb.match_id,
        CAST(NULL AS BIGINT) AS leagueid, md."year" AS "year"
   FROM pb JOIN md ON pb.match_id = md.match_id"""
-    q["src_yearly_optional"] = with_views("md") + """SELECT match_id, radiant_win,
+    q["src_yearly_optional"] = with_views("md") + """SELECT match_id, CAST(radiant_win AS VARCHAR) AS radiant_win,
        CASE WHEN "year" = 1999 THEN NULL ELSE patch END AS patch, "year" FROM md"""
     q["src_yearly_defaults"] = with_views("dt", "md") + """SELECT dt.match_id, dt.pick,
        CAST(dt.total_time_taken AS DOUBLE) AS total_time_taken,
@@ -402,6 +402,13 @@ SELECT 'draft_timings' AS source, md."year" AS "year", count(*) AS rows
         else:
             cols.append(c)
     q["src_optional"] = with_views("ef") + f"SELECT match_id, {', '.join(cols)} FROM ef"
+    q["src_csv_reordered"] = with_views("pb") + 'SELECT match_id, hero_id, team, "order", is_pick, CAST(NULL AS BIGINT) AS leagueid FROM pb'
+    q["src_text_label"] = q["match_label_text"]
+    q["hero_meta_dup"], q["pair_synergy_winrate_dup"], q["draft_features_dup"] = q["hero_meta"], q["pair_synergy_winrate"], q["draft_features"]
+    q["hero_onehot_sparse"] = with_views("pb") + """SELECT match_id, coalesce(string_agg(name, ',' ORDER BY name), '') AS present, count(name) AS n_present
+  FROM (SELECT DISTINCT match_id, CASE WHEN hero_id IS NOT NULL THEN
+               CASE WHEN team = 0 THEN 'radiant' ELSE 'dire' END || CASE WHEN is_pick THEN '_pick_' ELSE '_ban_' END || hero_id END AS name
+          FROM pb WHERE is_pick IS NOT NULL AND team IN (0, 1)) GROUP BY match_id"""
     q["sink_csv"] = q["early_features"]
     q["sink_json"] = q["hero_meta"]
     return q

@@ -52,6 +52,25 @@ def hero_score(spark: SparkSession, sf: str) -> DataFrame:
     return _r(R.hero_score(V.drafts(spark, sf, pb), V.candidates(spark, sf, pb), meta, lookups=lookups), SCORE_DIGITS)
 
 
+def _listed_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata in which every third match is listed twice."""
+    md = V.metadata(spark, sf)
+    return md.union(md.where(F.col("match_id") % 3 == 0))
+
+
+def hero_meta_dup(spark: SparkSession, sf: str) -> DataFrame:
+    return P.hero_meta(V.picks_bans(spark, sf), _listed_twice(spark, sf))
+
+
+def pair_synergy_winrate_dup(spark: SparkSession, sf: str) -> DataFrame:
+    return P.pair_synergy_winrate(V.picks_bans(spark, sf), _listed_twice(spark, sf))
+
+
+def draft_features_dup(spark: SparkSession, sf: str) -> DataFrame:
+    df = FE.draft_features(V.picks_bans(spark, sf), _listed_twice(spark, sf), V.draft_timings(spark, sf), hero_ids=range(V.HERO_POOL))
+    return _r(df, {"std_pick_time": 6, "radiant_synergy": 6, "dire_synergy": 6, "synergy_diff": 6})
+
+
 # ------------------------------------------------------------------ draft blocks
 def dedupe_matches(spark: SparkSession, sf: str) -> DataFrame:
     return D.dedupe_matches(V.draft_timings(spark, sf), prefer=())
@@ -81,6 +100,16 @@ def hero_onehot(spark: SparkSession, sf: str) -> DataFrame:
     return D.hero_onehot(V.picks_bans(spark, sf))
 
 
+def hero_onehot_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """The sparse vectors, as the list of their non-zero column names."""
+    from pyspark.ml.functions import vector_to_array
+
+    names = D.onehot_columns(range(V.HERO_POOL))
+    df = D.hero_onehot_sparse(V.picks_bans(spark, sf), range(V.HERO_POOL)).select("match_id", vector_to_array("draft_onehot").alias("v"))
+    named = F.filter(F.transform(F.col("v"), lambda x, i: F.when(x > 0, F.element_at(F.array(*map(F.lit, names)), i + 1))), lambda x: x.isNotNull())
+    return df.select("match_id", F.array_join(F.array_sort(named), ",").alias("present"), F.size(named).cast("long").alias("n_present"))
+
+
 def pick_order(spark: SparkSession, sf: str) -> DataFrame:
     return D.pick_order(V.picks_bans(spark, sf))
 
@@ -221,14 +250,14 @@ def _yearly(spark: SparkSession, sf: str, kind: str):
 def src_yearly_union(spark: SparkSession, sf: str) -> DataFrame:
     base, pattern = _yearly(spark, sf, "picks")
     cols = ["is_pick", "hero_id", "team", "order", "match_id", "leagueid"]
-    return FS.load_yearly(spark, base, pattern, SC.PICKS_BANS, cols, years=FX.YEARS)
+    return FS.load_yearly(spark, base, pattern, SC.PICKS_BANS, cols, years=FX.years(spark, sf))
 
 
 def src_yearly_optional(spark: SparkSession, sf: str) -> DataFrame:
     base, pattern = _yearly(spark, sf, "meta")
     return FS.load_yearly(
         spark, base, pattern, SC.MAIN_METADATA, [],
-        optional=["match_id", "radiant_win", "patch", "leagueid", "start_time"], years=FX.YEARS,
+        optional=["match_id", "radiant_win", "patch", "leagueid", "start_time"], years=FX.years(spark, sf),
     )
 
 
@@ -236,7 +265,7 @@ def src_yearly_defaults(spark: SparkSession, sf: str) -> DataFrame:
     base, pattern = _yearly(spark, sf, "timings")
     return FS.load_yearly(
         spark, base, pattern, SC.DRAFT_TIMINGS, ["match_id", "pick", "total_time_taken", "extra_time"],
-        defaults=FS.TIMING_DEFAULTS, require=["match_id"], years=FX.YEARS,
+        defaults=FS.TIMING_DEFAULTS, require=["match_id"], years=FX.years(spark, sf),
     )
 
 
@@ -263,6 +292,32 @@ def src_csv(spark: SparkSession, sf: str) -> DataFrame:
     return FS.read_csv(spark, f"{base}/main_metadata.csv", META_SCHEMA)
 
 
+def src_csv_reordered(spark: SparkSession, sf: str) -> DataFrame:
+    """Part files of one folder with different column orders, an undeclared column and
+    whole numbers written with a fraction: matched by name."""
+
+    def write(base: str) -> str:
+        pb = V.picks_bans(spark, sf).withColumn("hero_id", F.format_string("%d.0", "hero_id")).withColumn("leagueid", F.lit(None).cast("string")).withColumn("note", F.lit("x, y"))
+        orders = (["is_pick", "hero_id", "team", "order", "match_id", "leagueid"], ["match_id", "note", "order", "team", "hero_id", "is_pick", "leagueid"])
+        for i, cols in enumerate(orders):
+            pb.where(F.col("match_id") % 2 == i).select(*cols).write.mode("append").option("header", True).csv(f"{base}/picks_bans.csv")
+        return base
+
+    return FS.read_csv(spark, f"{_fixture(spark, sf, 'picks_reordered', write)}/picks_bans.csv", SC.PICKS_BANS, mode="DROPMALFORMED")
+
+
+def src_text_label(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels of outcomes written as text in several spellings."""
+
+    def write(base: str) -> str:
+        spelling = F.when(F.col("radiant_win"), F.element_at(F.array(F.lit("True"), F.lit("1"), F.lit("true")), (F.col("match_id") % 3 + 1).cast("int")))
+        spelling = spelling.when(~F.col("radiant_win"), F.element_at(F.array(F.lit("False"), F.lit("0")), (F.col("match_id") % 2 + 1).cast("int")))
+        V.metadata(spark, sf).select("match_id", spelling.alias("radiant_win")).write.option("header", True).csv(f"{base}/main_metadata.csv")
+        return base
+
+    return D.match_label_text(FS.read_csv(spark, f"{_fixture(spark, sf, 'meta_text', write)}/main_metadata.csv", SC.MAIN_METADATA))
+
+
 def src_csv_dropmalformed(spark: SparkSession, sf: str) -> DataFrame:
     bad = ["not_a_match,3,100", "17,minute,5", "18,4,gold"]
 

@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from pickwise.sources import views as V
 
-# Fixed fixture years (order dates span 1995-2001; the loader range adds an
-# absent year at each end).
-YEARS = range(1994, 2003)
+def years(spark: SparkSession, sf: str) -> range:
+    """The years of the matches, with an absent year at each end."""
+    low, high = V.metadata(spark, sf).agg(F.min("year"), F.max("year")).first()
+    return range(low - 1, high + 2)
+
+
+# Fixed fixture years: the files of these lack a column.
 PICKS_YEAR_WITHOUT_ORDER = 1997
 TIMINGS_YEAR_WITHOUT_EXTRA = 1996
 TIMINGS_YEAR_WITHOUT_KEY = 1998

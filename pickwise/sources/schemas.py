@@ -15,7 +15,7 @@ PICKS_BANS = T.StructType([
 
 MAIN_METADATA = T.StructType([
     T.StructField("match_id", T.LongType()),
-    T.StructField("radiant_win", T.BooleanType()),
+    T.StructField("radiant_win", T.StringType()),  # "True", "1", "true" count as won: read by functions.exprs
     T.StructField("radiant_score", T.IntegerType()),
     T.StructField("dire_score", T.IntegerType()),
     T.StructField("patch", T.IntegerType()),
