@@ -13,15 +13,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pickwise.functions import exprs as X
+from pickwise.plans.guards import materialize
 from pickwise.sources.views import split_flag
 
 # Fixed values of the reference's model settings.
@@ -132,50 +136,44 @@ def eval_prf(df: DataFrame, label: str = "label", prediction: str = "prediction"
     )
 
 
-def eval_auc(df: DataFrame, score: str, label: str = "label", buckets: int = 64) -> DataFrame:
-    """Exact area under the ROC curve with tied scores counted as 1/2.
+def eval_auc(df: DataFrame, score: str, label: str = "label", partitions: int | None = None) -> DataFrame:
+    """Exact area under the ROC curve with tied scores counted as 1/2; NULL if the
+    labels hold one class only.
 
     AUC = Σ_s pos(s)·(neg(< s) + neg(s)/2) / (P·N) over distinct scores s.  The
-    running sum of negatives is a two-level prefix sum: scores are cut into
-    ≤ ``buckets`` ranges at approximate quantiles (one aggregate → a bounded
-    array), prefix sums run per bucket in parallel, and bucket offsets come from
-    the ≤ ``buckets``-row bucket table.  No step sees all scores in one task.
+    running sum of negatives is a two-level prefix sum over ranges of scores: the
+    per-score counts are range-partitioned (as many ranges as shuffle partitions,
+    so they grow with the data) and materialised, prefix sums run inside each
+    range, and the offsets come from one row per range.
     """
     g = df.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg"),
     )
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted({float(x) for x in g.approxQuantile("s", probs, 1e-4)}) if probs else []  # ≤ buckets − 1 values
-    bounds = F.array(*[F.lit(x) for x in cuts]) if cuts else F.array().cast("array<double>")
-    gb = g.withColumn("b", F.size(F.filter(bounds, lambda x: x < F.col("s"))))
-    per_bucket = gb.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    offsets = per_bucket.select(
-        "b", F.coalesce(F.sum("bneg").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off")
-    )  # ≤ buckets rows
+    ranged = g.repartitionByRange(partitions, "s") if partitions else g.repartitionByRange("s")
+    g = materialize(ranged.withColumn("b", F.spark_partition_id()))
+    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = g.groupBy("b").agg(F.sum("neg").alias("n")).select("b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
     inner = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    c = gb.join(F.broadcast(offsets), "b").withColumn("nb", F.col("off") + F.coalesce(F.sum("neg").over(inner), F.lit(0)))
+    c = g.withColumn("own", F.coalesce(F.sum("neg").over(inner), F.lit(0))).join(F.broadcast(offsets), "b")  # one row a range
+    below = (F.col("off") + F.col("own")).cast("double") + 0.5 * F.col("neg")
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return c.agg(
-        (F.sum(F.col("pos") * (F.col("nb") + 0.5 * F.col("neg"))) / (F.sum("pos") * F.sum("neg"))).alias("auc"),
+        F.when(pairs > 0, F.sum(F.col("pos") * below) / pairs).alias("auc"),
         F.sum("pos").alias("positives"),
         F.sum("neg").alias("negatives"),
     )
 
 
-def evaluate(predictions: DataFrame, label: str = "label") -> dict[str, float]:
-    """Accuracy, weighted precision / recall / F1 (one confusion aggregate) and
-    MLlib's AUC, over predictions persisted once for both jobs."""
-    from pyspark import StorageLevel
-
-    pred = predictions.select(label, "prediction", "rawPrediction").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        prf = eval_prf(pred, label, "prediction").first()
-        auc = auc_mllib(pred, label)
-    finally:
-        pred.unpersist()
+def evaluate(predictions: DataFrame, label: str = "label") -> dict[str, float | None]:
+    """Accuracy, weighted precision / recall / F1 (one confusion aggregate) and the
+    exact AUC, over predictions materialised once for both jobs."""
+    score = vector_to_array("rawPrediction")[1].alias("score")
+    pred = materialize(predictions.select(label, "prediction", score))
+    prf = eval_prf(pred, label, "prediction").first()
     return {
         "accuracy": prf["accuracy"],
-        "auc_roc": auc,
+        "auc_roc": eval_auc(pred, "score", label).first()["auc"],
         "precision": prf["weighted_precision"],
         "recall": prf["weighted_recall"],
         "f1": prf["weighted_f1"],
@@ -183,23 +181,40 @@ def evaluate(predictions: DataFrame, label: str = "label") -> dict[str, float]:
 
 
 # ---------------------------------------------------------------- report tables
-def feature_importance(model: Model, names: Sequence[str], top: int | None = None) -> DataFrame:
-    """(rank, feature, importance) by importance desc, name asc; one row per feature."""
-    spark = _spark()
-    imp = model.featureImportances.toArray()
-    df = spark.createDataFrame([(n, float(v)) for n, v in zip(names, imp)], "feature string, importance double")
-    ranked = df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("importance"), F.asc("feature"))))
-    if top is not None:
-        ranked = ranked.where(F.col("rank") <= top)
+def importance_table(values: DataFrame, top: int | None = None) -> DataFrame:
+    """(rank, feature, importance) of (feature, importance) rows, by importance
+    descending, then name; the first ``top`` ranks only if given."""
+    w = Window.orderBy(F.desc("importance"), F.asc("feature"))  # one row per feature
+    ranked = values.withColumn("rank", F.row_number().over(w))
+    ranked = ranked if top is None else ranked.where(F.col("rank") <= top)
     return ranked.select("rank", "feature", "importance")
 
 
-def logreg_coefficients(model: Model, names: Sequence[str]) -> DataFrame:
-    """(feature, coefficient, abs_coefficient) by |coefficient| desc, plus the intercept column."""
-    spark = _spark()
-    rows = [(n, float(c), abs(float(c))) for n, c in zip(names, model.coefficients.toArray())]
-    df = spark.createDataFrame(rows, "feature string, coefficient double, abs_coefficient double")
-    return df.withColumn("intercept", F.lit(float(model.intercept))).orderBy(F.desc("abs_coefficient"), F.asc("feature"))
+def feature_importance(model: Model, names: Sequence[str], top: int | None = None) -> DataFrame:
+    rows = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())]
+    return importance_table(_spark().createDataFrame(rows, "feature string, importance double"), top)
+
+
+def coefficient_table(values: DataFrame, top: int | None = None) -> DataFrame:
+    """(feature, coefficient, abs_coefficient, intercept) of (feature, coefficient,
+    intercept) rows, by |coefficient| descending, then name."""
+    out = values.select("feature", "coefficient", F.abs("coefficient").alias("abs_coefficient"), "intercept")
+    out = out.orderBy(F.desc("abs_coefficient"), F.asc("feature"))
+    return out if top is None else out.limit(top)
+
+
+def logreg_coefficients(model: Model, names: Sequence[str], top: int | None = None) -> DataFrame:
+    rows = [(n, float(c), float(model.intercept)) for n, c in zip(names, model.coefficients.toArray())]
+    return coefficient_table(_spark().createDataFrame(rows, "feature string, coefficient double, intercept double"), top)
+
+
+def logreg_from(coefficients: Sequence[float], intercept: float) -> LogisticRegressionModel:
+    """A logistic regression with given coefficients on the vector column ``features``."""
+    java = JavaWrapper._new_java_obj(
+        "org.apache.spark.ml.classification.LogisticRegressionModel",
+        "logreg_from", _py2java(_spark().sparkContext, Vectors.dense(list(coefficients))), float(intercept),
+    )
+    return LogisticRegressionModel(java)
 
 
 COMPARISON_SCHEMA = T.StructType([
@@ -218,7 +233,7 @@ def model_comparison(results: dict[str, dict[str, float]]) -> DataFrame:
     """One row per model with the five metrics and the target checks."""
     spark = _spark()
     rows = [
-        (i, name, *(float(results[name][m]) for m in ("accuracy", "auc_roc", "precision", "recall", "f1")),
+        (i, name, *(None if results[name][m] is None else float(results[name][m]) for m in ("accuracy", "auc_roc", "precision", "recall", "f1")),
          float(results[name].get("train_seconds", 0.0)))
         for i, name in enumerate(n for n in MODEL_ORDER if n in results)
     ]
@@ -230,36 +245,38 @@ def model_comparison(results: dict[str, dict[str, float]]) -> DataFrame:
 
 def best_model(comparison: DataFrame) -> DataFrame:
     """Highest AUC; ties go to the first listed model."""
-    return comparison.orderBy(F.desc("auc_roc"), F.asc("ordinal")).limit(1)
+    return comparison.orderBy(F.desc_nulls_last("auc_roc"), F.asc("ordinal")).limit(1)
 
 
 def draft_only_columns(feature_cols: Sequence[str]) -> list[str]:
     return [c for c in feature_cols if "pick" in c.lower() or "draft" in c.lower()]
 
 
+def gain_table(cols: Sequence[str], base: dict[str, float], full: dict[str, float]) -> DataFrame:
+    """Metrics of the draft-only model and the full model, and the gain between them."""
+    row = (
+        ",".join(cols), float(base["accuracy"]), float(base["auc"]), float(full["accuracy"]), float(full["auc_roc"]),
+        float((full["accuracy"] - base["accuracy"]) * 100), float(full["auc_roc"] - base["auc"]),
+    )
+    return _spark().createDataFrame(
+        [row],
+        "draft_columns string, baseline_accuracy double, baseline_auc double, model_accuracy double, "
+        "model_auc double, accuracy_gain_points double, auc_gain double",
+    )
+
+
 def draft_baseline_gain(train: DataFrame, test: DataFrame, feature_cols: Sequence[str], full_metrics: dict[str, float]) -> DataFrame:
     """Unregularised LR on the draft-only columns (same split), and the gain of the
     full model over it; the fixed fallback when no draft column exists."""
-    spark = _spark()
     cols = draft_only_columns(feature_cols)
     if cols:
         tr, scaler = scale_features(train, cols)
         te = scaler.transform(assemble(test, cols))
-        m = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100).fit(tr)
-        pred = m.transform(te)
-        base = {"accuracy": multiclass_metric(pred, "accuracy"), "auc": auc_mllib(pred)}
+        m = evaluate(LogisticRegression(featuresCol="features", labelCol="label", maxIter=100).fit(tr).transform(te))
+        base = {"accuracy": m["accuracy"], "auc": m["auc_roc"]}
     else:
         base = dict(BASELINE_FALLBACK)
-    row = (
-        ",".join(cols), float(base["accuracy"]), float(base["auc"]),
-        float(full_metrics["accuracy"]), float(full_metrics["auc_roc"]),
-        float((full_metrics["accuracy"] - base["accuracy"]) * 100), float(full_metrics["auc_roc"] - base["auc"]),
-    )
-    return spark.createDataFrame(
-        [row],
-        "draft_columns string, baseline_accuracy double, baseline_auc double, model_accuracy double, "
-        "model_auc double, accuracy_gain_points double, auc_gain double",
-    )
+    return gain_table(cols, base, full_metrics)
 
 
 def prediction_bands(df: DataFrame, probability: str = "radiant_win_probability", keep: Sequence[str] = ("match_id",)) -> DataFrame:
@@ -270,7 +287,7 @@ def prediction_bands(df: DataFrame, probability: str = "radiant_win_probability"
         *keep,
         p.alias("radiant_win_probability"),
         F.when(p > 0.5, F.lit("Radiant")).otherwise(F.lit("Dire")).alias("predicted_winner"),
-        F.when(p > 0.5, p).otherwise(F.round(1 - p, 6)).alias("predicted_probability"),
+        F.when(p > 0.5, p).otherwise(1 - p).alias("predicted_probability"),
         X.band_strength(p).alias("confidence"),
         X.band_advice(p).alias("recommendation"),
     )

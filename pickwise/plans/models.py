@@ -11,8 +11,11 @@ same fit do not refit it.
 from __future__ import annotations
 
 import time
+import warnings
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +23,13 @@ from pickwise.operators import ml as M
 from pickwise.operators import pairs as P
 from pickwise.plans import features as FE
 from pickwise.plans.guards import materialize
+from pickwise.sources import files as FS
+from pickwise.sources import schemas as SC
 from pickwise.sources import views as V
 
 _RUNS: dict[tuple, "ModelRun"] = {}
+ROWS_PER_PARTITION = 20_000  # training rows of one task; partitions grow with the data
+SMALL_SAMPLE = 100  # fewer labelled matches than this: warn
 
 
 class ModelRun:
@@ -34,17 +41,19 @@ class ModelRun:
         # The fits scan the training rows many times: materialise the feature
         # table once (reliable checkpoint in the shared folder; cuts the lineage
         # of the feature joins and keeps plan optimisation trivial).
-        # One partition per core: every pass of an iterative fit is one wave of
-        # tasks (the table holds one row per match, so partitions stay small).
-        spark = table.sparkSession
-        n = spark.sparkContext.defaultParallelism
-        slim = table.select("match_id", "label", *self.feature_cols).repartition(n, "match_id")
-        data = M.split_keyed(materialize(slim))
-        self.data = data  # materialised feature table with is_train
-        train_raw = data.where(F.col("is_train"))
-        self.scaled, self.scaler = M.scale_features(data, self.feature_cols, train=train_raw)
-        self.scaled = self.scaled.select("match_id", "label", "is_train", "features")
-        self.train = self.scaled.where(F.col("is_train")).persist(StorageLevel.MEMORY_AND_DISK)
+        self.data = M.split_keyed(materialize(table.select("match_id", "label", *self.feature_cols)))
+        sizes = {r["is_train"]: r["n"] for r in self.data.groupBy("is_train").agg(F.count(F.lit(1)).alias("n")).collect()}
+        self.n_train, self.n_test = sizes.get(True, 0), sizes.get(False, 0)
+        if not self.n_train or not self.n_test:
+            raise ValueError(f"cannot train and test on {self.n_train} and {self.n_test} matches")
+        if self.n_train + self.n_test < SMALL_SAMPLE:
+            warnings.warn(f"only {self.n_train + self.n_test} labelled matches: metrics are not reliable", stacklevel=2)
+        self.assembler = VectorAssembler(inputCols=self.feature_cols, outputCol="raw_features", handleInvalid="skip")
+        assembled = self.assembler.transform(self.data)
+        self.scaler = M.fit_scaler(assembled.where(F.col("is_train")))
+        self.scaled = self.scaler.transform(assembled).select("match_id", "label", "is_train", "features")
+        parts = -(-self.n_train // ROWS_PER_PARTITION)
+        self.train = self.scaled.where(F.col("is_train")).repartition(parts, "match_id").persist(StorageLevel.MEMORY_AND_DISK)
         self.test = self.scaled.where(~F.col("is_train"))
         self.models: dict = {}
         self.seconds: dict[str, float] = {}
@@ -73,6 +82,18 @@ class ModelRun:
     def best_name(self) -> str:
         return M.best_model(self.comparison()).first()["model"]
 
+    def save(self, path: str, name: str | None = None) -> str:
+        """The best (or named) model with its assembler and scaler, as one pipeline
+        that scores the raw feature columns."""
+        PipelineModel([self.assembler, self.scaler, self.model(name or self.best_name())]).write().overwrite().save(path)
+        return path
+
+    def close(self) -> None:
+        """Frees the cached training rows; the run is forgotten."""
+        self.train.unpersist()
+        for key in [k for k, v in _RUNS.items() if v is self]:
+            del _RUNS[key]
+
 
 def early_run(spark: SparkSession, sf: str, params: dict | None = None) -> ModelRun:
     key = (spark.sparkContext.applicationId, sf, "early", repr(params))
@@ -83,13 +104,48 @@ def early_run(spark: SparkSession, sf: str, params: dict | None = None) -> Model
     return _RUNS[key]
 
 
-def draft_run(spark: SparkSession, sf: str, params: dict | None = None) -> ModelRun:
+def draft_table(picks: DataFrame, meta: DataFrame, timings: DataFrame | None, hero_ids=None) -> DataFrame:
     """Draft features with pair win rates fitted on training matches only."""
+    stats = P.pair_synergy_winrate(picks, meta.where(V.split_flag("match_id")))
+    return FE.draft_features(picks, meta, timings, synergy_stats=stats, hero_ids=hero_ids)
+
+
+def draft_run(spark: SparkSession, sf: str, params: dict | None = None) -> ModelRun:
     key = (spark.sparkContext.applicationId, sf, "draft", repr(params))
     if key not in _RUNS:
-        pb, md = V.picks_bans(spark, sf), V.metadata(spark, sf)
-        train_meta = md.where(V.split_flag("match_id"))
-        stats = P.pair_synergy_winrate(pb, train_meta)
-        table = FE.draft_features(pb, md, V.draft_timings(spark, sf), synergy_stats=stats)
+        table = draft_table(V.picks_bans(spark, sf), V.metadata(spark, sf), V.draft_timings(spark, sf), range(V.HERO_POOL))
         _RUNS[key] = ModelRun(table, FE.draft_feature_columns(table), params)
     return _RUNS[key]
+
+
+# ---------------------------------------------------------------- from match files
+def early_features_from_files(spark: SparkSession, base: str) -> DataFrame:
+    """The early feature table of a folder of exports: ``<table>.csv*`` files with
+    headers (malformed rows dropped), objectives optional, teamfights as JSON lines,
+    optional."""
+    read = lambda name, schema: FS.read_csv(spark, f"{base}/{name}.csv*", schema, mode="DROPMALFORMED")
+    return FE.early_features(
+        read("picks_bans", SC.PICKS_BANS), read("main_metadata", SC.MAIN_METADATA),
+        read("radiant_gold_adv", SC.GOLD_ADV), read("radiant_exp_adv", SC.EXP_ADV),
+        FS.read_optional(spark, f"{base}/objectives.csv", SC.OBJECTIVES),
+        FS.read_optional(spark, f"{base}/teamfights.json", SC.TEAMFIGHTS, fmt="json"),
+    )
+
+
+def run_early(spark: SparkSession, base: str, params: dict | None = None) -> ModelRun:
+    """Files to early features to the three models."""
+    return ModelRun(early_features_from_files(spark, base), FE.EARLY_FEATURES, params)
+
+
+def draft_inputs(spark: SparkSession, base: str, years) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Picks, outcomes and timings of yearly files, read once and materialised."""
+    picks = materialize(FS.load_picks_bans(spark, base, years).drop("year", "leagueid"))
+    meta = materialize(FS.load_metadata(spark, base, years).drop("year"))
+    timings = FS.load_draft_timings(spark, base, years)
+    return picks, meta, timings.drop("year") if timings is not None else None
+
+
+def run_draft(spark: SparkSession, base: str, years, params: dict | None = None, hero_ids=None) -> ModelRun:
+    """Yearly files to draft features (pair rates from training matches) to the three models."""
+    table = draft_table(*draft_inputs(spark, base, years), hero_ids)
+    return ModelRun(table, FE.draft_feature_columns(table), params)

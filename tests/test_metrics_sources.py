@@ -21,15 +21,32 @@ def _auc_brute(rows):
     return tot / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("buckets", [1, 4, 64])
-def test_exact_auc_with_ties(spark, buckets):
+@pytest.mark.parametrize("partitions", [1, 4, 64, None])
+def test_exact_auc_with_ties(spark, partitions):
     rnd = random.Random(7)
     data = [(float(rnd.randint(0, 30)), int(rnd.random() < 0.4)) for _ in range(400)]
     df = spark.createDataFrame(data, "s double, label int")
-    got = M.eval_auc(df, "s", "label", buckets=buckets).first()["auc"]
+    got = M.eval_auc(df, "s", "label", partitions=partitions).first()["auc"]
     assert got == pytest.approx(_auc_brute(data), abs=1e-12)
 
 
+def test_auc_of_one_class_and_of_large_counts(spark):
+    one = spark.createDataFrame([(0.1, 1), (0.7, 1)], "s double, label int")
+    assert M.eval_auc(one, "s").first()["auc"] is None and M.eval_auc(one.limit(0), "s").first()["auc"] is None
+    # 4e9 positives × 4e9 negatives overflow a bigint product
+    rows = spark.createDataFrame([(1.0, 4_000_000_000, 0), (0.0, 0, 4_000_000_000)], "s double, pos long, neg long")
+    import pickwise.operators.ml as ml
+
+    class Counted:  # a table whose per-score counts are given
+        def groupBy(self, *_):
+            return self
+
+        def agg(self, *_):
+            return rows
+
+    assert ml.eval_auc(Counted(), "s").first()["auc"] == pytest.approx(1.0)
+
+
 def test_prf_equals_mllib(spark):
     rnd = random.Random(3)
     data = [(float(rnd.randint(0, 1)), float(rnd.randint(0, 1))) for _ in range(300)] + [(1.0, 1.0)] * 50
@@ -67,6 +84,49 @@ def test_yearly_loader_edges(spark, tmp_path):
         FS.load_picks_bans(spark, base, years=range(2000, 2003))
 
 
+S1_ORDER = "is_pick,hero_id,team,order,match_id,leagueid,note"
+
+
+def test_csv_is_read_by_name_whatever_the_column_order(spark, tmp_path):
+    base = str(tmp_path / "picks")
+    _write_text(f"{base}/part-0.csv", [S1_ORDER, 'True,7.0,0,1,12345678901,5,"a, b"', "0,8,1,2.0,2,,"])
+    _write_text(f"{base}/part-1.csv", ["match_id,note,order,team,hero_id,is_pick", "3,x,1,0,9,1"])
+    want = [(2, 8, 1, 2, False, None), (3, 9, 0, 1, True, None), (12345678901, 7, 0, 1, True, 5)]
+    for mode in ("PERMISSIVE", "DROPMALFORMED", "FAILFAST"):
+        assert sorted(tuple(r) for r in FS.read_csv(spark, base, SC.PICKS_BANS, mode=mode).collect()) == want
+    _write_text(f"{base}/part-2.csv", [S1_ORDER, "True,7.5,0,1,4,5,x", "True,7,0", "True,7,0,1,5,5,x"])
+    kept = FS.read_csv(spark, base, SC.PICKS_BANS, mode="DROPMALFORMED")
+    assert sorted(r.match_id for r in kept.collect()) == [2, 3, 5, 12345678901]
+    loose = FS.read_csv(spark, base, SC.PICKS_BANS).where("match_id = 4").first()
+    assert loose.hero_id is None and loose.is_pick is True  # 7.5 is no hero id; the rest of the row stays
+    with pytest.raises(Exception, match="malformed"):
+        FS.read_csv(spark, base, SC.PICKS_BANS, mode="FAILFAST").count()
+    # a present optional source goes through the same reader
+    got = FS.read_optional(spark, f"{base}/part-1.csv", SC.PICKS_BANS).first()
+    assert (got.match_id, got.hero_id) == (3, 9)
+
+
+def test_outcome_text_reaches_the_label(spark, tmp_path):
+    from pickwise.operators import draft as D
+
+    base = str(tmp_path)
+    texts = ["True", "1", "true", "0", "False", "TRUE", ""]
+    _write_text(f"{base}/main_metadata_2016.csv", ["radiant_win,match_id"] + [f"{t},{i}" for i, t in enumerate(texts)])
+    df = FS.load_metadata(spark, base, years=[2016])
+    labels = {r.match_id: r.label for r in D.match_label_text(df).collect()}
+    assert [labels[i] for i in range(7)] == [1, 1, 1, 0, 0, 0, 0]
+    flags = {r.match_id: r.label for r in D.match_label(df).collect()}
+    assert [flags[i] for i in range(7)] == [1.0, 1.0, 1.0, 0.0, 0.0, 1.0, 0.0]
+
+
+def test_mixed_part_headers_in_yearly_folders(spark, tmp_path):
+    base = str(tmp_path)
+    _write_text(f"{base}/picks_bans_2016.csv/part-0.csv", ["match_id,hero_id,team,order,is_pick,leagueid", "1,5,0,1,true,9"])
+    _write_text(f"{base}/picks_bans_2016.csv/part-1.csv", ["hero_id,match_id,team,order,is_pick,leagueid", "6,2,1,1,false,9"])
+    got = {(r.match_id, r.hero_id, r.year) for r in FS.load_picks_bans(spark, base, years=[2016]).collect()}
+    assert got == {(1, 5, 2016), (2, 6, 2016)}
+
+
 def test_timings_defaults_and_skip(spark, tmp_path):
     base = str(tmp_path)
     _write_text(f"{base}/draft_timings_2016.csv", ["match_id,pick,total_time_taken", "1,true,12.5"])
@@ -107,6 +167,27 @@ def test_row_audit_one_job_per_call(spark):
     assert got == [("a", 2016, 2), ("a", 2017, 1), ("b", None, 1)]
 
 
+def test_stage_work_reads_all_columns(spark, tmp_path):
+    import os
+
+    df = spark.range(1000).selectExpr("id", "id % 7 AS k")
+    df.write.parquet(f"{tmp_path}/t")
+    assert SK.worked(spark.read.parquet(f"{tmp_path}/t").groupBy("k").count()) == 7
+    assert SK.worked(df.limit(0)) == 0
+    path = SK.write_csv(df, f"{tmp_path}/one", single_file=True)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1
+
+
+def test_report_text_lines(spark, sf_small):
+    import __spark_entry__ as E
+
+    lines = [r.value for r in E.queries()["report_text"](spark, sf_small).collect()]
+    parts = [x.split(" | ")[0] for x in lines]
+    assert [parts.count(p) for p in ("models", "best model", "gain over draft only", "top features", "recommendations")] == [3, 1, 1, 10, 3]
+    best = E.queries()["best_model"](spark, sf_small).first()
+    assert f"best model | {best.model} (AUC {best.auc_roc:.4f})" in lines
+
+
 def test_report_and_sinks_roundtrip(spark):
     rep = SK.RunReport()
     with rep.stage("load") as st:

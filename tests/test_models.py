@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from pickwise.operators import ml as M
@@ -67,8 +68,48 @@ def test_save_load_same_predictions(spark, sf_small):
     import __spark_entry__ as E
 
     out = E.queries()["model_roundtrip"](spark, sf_small)
-    assert out.count() > 0
-    assert out.where((F.col("prediction") != F.col("prediction_loaded")) | ~F.col("same_probability")).count() == 0
+    assert out.count() > 0 and out.where("NOT same_probability").count() == 0
+
+
+def test_split_without_test_matches_stops(spark):
+    train = [r for r in range(3000) if r % 100 == 0]  # (0 * 7919 + 42) % 100 < 80: all training
+    df = spark.createDataFrame([(i, 1.0, 0.5) for i in train], "match_id long, label double, x double")
+    with pytest.raises(ValueError, match="test on"):
+        MR.ModelRun(df, ["x"], SMALL)
+
+
+def test_few_matches_warn_and_close_forgets_the_run(spark):
+    with pytest.warns(UserWarning, match="labelled matches"):
+        run = MR.ModelRun(_planted(spark, 60), ["x1", "x2"], SMALL)
+    MR._RUNS[("own",)] = run
+    assert run.train.is_cached
+    run.close()
+    assert ("own",) not in MR._RUNS and not run.train.is_cached
+
+
+def test_negative_and_large_keys_are_split(spark):
+    df = spark.createDataFrame([(i,) for i in [*range(-1000, 0), *range(2**62, 2**62 + 1000)]], "match_id long")
+    n = M.split_keyed(df).where("is_train").count()
+    assert 1500 < n < 1700
+
+
+def test_runs_over_files_equal_runs_over_views(spark, sf_small):
+    from pickwise.plans import queries as Q
+
+    Q.draft_features_files(spark, sf_small)  # writes the yearly files
+    base = Q._FILES[(spark.sparkContext.applicationId, sf_small, "yearly_files")]
+    from pickwise.sources import fixtures as FX
+
+    run = MR.run_draft(spark, base, FX.years(spark, sf_small), SMALL, hero_ids=range(V.HERO_POOL))
+    views = MR.draft_run(spark, sf_small, SMALL)
+    assert (run.n_train, run.n_test) == (views.n_train, views.n_test)
+    a, b = run.metrics("logistic_regression"), views.metrics("logistic_regression")
+    assert abs(a["auc_roc"] - b["auc_roc"]) < 1e-6
+    assert M.feature_importance(run.model("random_forest"), run.feature_cols, top=20).count() == 20
+    early = MR.run_early(spark, Q._match_files(spark, sf_small), SMALL)
+    assert early.n_train + early.n_test == V.metadata(spark, sf_small).count()
+    for r in (run, early):
+        r.close()
 
 
 def test_no_leakage_auc_near_half_on_independent_labels(spark):

@@ -12,7 +12,8 @@ from pickwise.plans import features as FE
 from pickwise.plans.guards import plan_text
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
-PLAN_KEYS = [k for k in E.SQL_KEYS if not k.startswith(("src_", "sink_"))]
+FITS = ("fit_", "draft_model", "model_", "run_report", "prediction_export", "best_model", "draft_baseline_gain")
+PLAN_KEYS = [k for k in E.SQL_KEYS if not k.startswith(("src_", "sink_", *FITS)) and not k.endswith("_files")]
 
 
 @pytest.mark.parametrize("key", PLAN_KEYS)
@@ -61,3 +62,85 @@ def test_recommender_no_shuffle_after_draft_multisets(spark):
     head = txt.split("ObjectHashAggregate(keys=[draft_id")[0]
     assert "Exchange" not in head and "SortMergeJoin" not in head
     assert "BroadcastHashJoin" in head
+
+
+def _without_static_broadcast(spark, make):
+    """Formatted plan with the size-based broadcast off: what is left is hinted."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan_text(make(), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_pair_rows_are_never_shuffled_on_hero_keys(spark, sf_small):
+    """Large size estimates must not turn the rate lookup into a shuffle of pair rows."""
+    from pickwise.plans import queries as Q
+
+    for key in ("match_synergy", "draft_features"):
+        txt = _without_static_broadcast(spark, lambda: getattr(Q, key)(spark, sf_small))  # noqa: B023
+        assert "BroadcastHashJoin [hero1" in txt
+        assert not any("Exchange hashpartitioning(hero1" in line for line in txt.splitlines()), key
+
+
+def test_hero_meta_scans_the_picks_once(spark, sf_small):
+    txt = plan_text(E.queries()["hero_meta"](spark, sf_small), "simple")
+    assert sum("FileScan parquet" in line and "l_orderkey" in line for line in txt.splitlines()) == 1
+    assert sum("FileScan parquet" in line and "o_orderkey" in line for line in txt.splitlines()) == 1
+
+
+def test_recommender_has_one_exchange_of_drafts(spark, sf_small):
+    txt = plan_text(E.queries()["recommend_topk"](spark, sf_small), "simple")
+    on_draft = [x for x in txt.splitlines() if "Exchange hashpartitioning(draft_id" in x and "team" not in x and "hero_id" not in x]
+    assert len(on_draft) == 1
+
+
+def test_drafts_hold_every_pick(spark, sf_small):
+    from pickwise.sources import views as V
+
+    picks = V.picks_bans(spark, sf_small).where("is_pick AND team IN (0, 1)").count()
+    assert V.drafts(spark, sf_small).count() == picks
+
+
+def test_lookup_beyond_its_bound_is_joined_by_salted_keys(spark):
+    from pyspark.sql import functions as F
+
+    from pickwise.plans.guards import SALTS, Lookup
+
+    rows = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 50).alias("hero"))
+    table = spark.range(50).select(F.col("id").alias("hero"), (F.col("id") * 2).alias("v"))
+    small, large = Lookup(table), Lookup(table, max_bytes=10)
+    for how in ("inner", "left"):
+        a, b = small.join(rows, ["hero"], how), large.join(rows, ["hero"], how)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    txt = _without_static_broadcast(spark, lambda: large.join(rows, ["hero"]))
+    assert "_salt" in txt and "BroadcastHashJoin" not in txt
+    parts = large.join(rows, ["hero"]).where("hero = 1").select(F.pmod(F.xxhash64("id", "hero"), F.lit(SALTS)).alias("s")).distinct().count()
+    assert parts == SALTS  # the hot key is spread over all salts
+
+
+def test_negative_win_counts_fail(spark):
+    syn = spark.createDataFrame([(5, 9, -3)], "h1 int, h2 int, wins long")
+    ctr = spark.createDataFrame([(9, 7, 2)], "counter_hero int, target_hero int, wins long")
+    with pytest.raises(Exception, match="negative win count"):
+        R.lookup_table(syn, ctr).collect()
+
+
+def test_cluster_without_shared_folder_is_refused(monkeypatch):
+    from pickwise import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

@@ -60,7 +60,7 @@ def _brute(drafts, meta, syn, ctr, k):
             syn_s = (sum(sym.get((h, a), 0) for a in allies) + 1) / (len(allies) + 2)
             ctr_s = (sum(cdict.get((h, e), 0) for e in enemies) + 1) / (len(enemies) + 2)
             scored.append((0.4 * syn_s + 0.4 * ctr_s + 0.2 * ms[h], ms[h], h))
-        scored.sort(key=lambda x: (-x[0], -x[1], x[2]))
+        scored.sort(key=lambda x: (-x[0], x[2]))
         out[d] = [h for _, _, h in scored[:k]]
     return out
 

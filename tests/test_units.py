@@ -209,3 +209,20 @@ def test_text_report_sink(spark):
     rep.add("load", 1.5, rows=3)
     path = SK.write_text(SK.report_text(rep.to_df(spark)), shared_dir(spark, "t-text"))
     assert "load" in spark.read.text(path).first()[0]
+
+
+def test_a_match_listed_twice_counts_once(spark):
+    from pickwise.operators import pairs as P
+    from pickwise.operators import recommend as R
+    from pickwise.plans import features as FE
+
+    picks = spark.createDataFrame([(1, 5, 0, 1, True), (1, 6, 0, 2, True), (1, 7, 1, 3, True), (2, 5, 0, 1, True)], "match_id long, hero_id int, team int, order int, is_pick boolean")
+    rows = [(1, True, 9, 3, 4), (2, False, 1, 2, 4)]
+    schema = "match_id long, radiant_win boolean, radiant_score int, dire_score int, patch int"
+    once, twice = spark.createDataFrame(rows, schema), spark.createDataFrame(rows + rows[:1], schema)
+    for f in (
+        lambda md: P.hero_meta(picks, md), lambda md: P.pair_synergy_wins(picks, md), lambda md: P.counter_wins(picks, md),
+        lambda md: P.pair_synergy_winrate(picks, md, min_games=1), lambda md: R.score_lookups(picks, md),
+        lambda md: FE.draft_features(picks, md, min_games=1, hero_ids=[5, 6, 7]),
+    ):
+        assert sorted(map(tuple, f(once).collect())) == sorted(map(tuple, f(twice).collect()))
