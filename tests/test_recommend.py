@@ -46,7 +46,7 @@ def _brute(drafts, meta, syn, ctr, k):
         sym[(a, b)] = w
         sym[(b, a)] = w
     cdict = {(c, t): w for c, t, w in ctr}
-    ms = {h: 0.7 * wr + 0.3 * pr for h, _, _, wr, pr in meta}
+    ms = {h: round(0.7 * wr + 0.3 * pr, 12) for h, _, _, wr, pr in meta}
     out = {}
     by_draft = {}
     for d, team, h in drafts:
