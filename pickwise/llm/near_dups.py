@@ -264,7 +264,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     linked = persisted(components(links(nodes.select("fp"), radius, chunk)).withColumnRenamed("node", "fp"))
     smallest = linked.join(nodes, "fp").groupBy("root").agg(F.min("least").alias("component"))
     moved = linked.join(smallest, "root").select("fp", "component")
-    named = nodes.join(moved, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    # written out, so that the last join is a plain one in which Spark splits a hot fingerprint
+    named = persisted(nodes.join(moved, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")))
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
