@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut at line feeds and sentence ends; each distinct piece has a 64-bit
-digest.  A sketch enters a digest into one cell of each of three subtables; a cell
+A text is cut at line feeds and sentence ends, and a longer stretch after every
+``PIECE_MOST`` code points; each distinct piece has a 64-bit digest.  A sketch enters a digest into one cell of each of three subtables; a cell
 holds a count and the XORs of its digests and of their check hashes.  Subtracting
 the sketches of two versions leaves the digests that differ, and peeling recovers
 them: a cell with count +1 or -1 whose check fits holds one digest, which is taken
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from pickwise.llm.common import persisted
 
-PIECE_END = r"[\n.!?|]+"
+PIECE_END = r"[\n.!?]+"
+PIECE_MOST = 192
 LOAD = 4  # digests of both texts in one shard
 WIDTHS = (4, 12, 36, 108)  # cells of a subtable, by attempt
 PRINT_WIDTH = 4  # cells of a subtable of the stored fingerprint
@@ -47,7 +48,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def digests(text: Column) -> Column:
     """Distinct digests of the pieces of a text."""
-    return F.array_distinct(F.transform(F.filter(F.split(text, PIECE_END), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(F.trim(x))))
+    parts = F.filter(F.transform(F.split(text, PIECE_END), lambda x: F.trim(x)), lambda x: x != "")
+    cut = lambda x: F.transform(F.sequence(F.lit(0), F.char_length(x) - 1, F.lit(PIECE_MOST)), lambda i: F.substring(x, i + 1, F.lit(PIECE_MOST)))
+    pieces = F.flatten(F.transform(parts, lambda x: F.when(F.char_length(x) <= PIECE_MOST, F.array(x)).otherwise(cut(x))))
+    return F.array_distinct(F.transform(pieces, lambda x: F.xxhash64(x)))
 
 
 def check(digest: Column) -> Column:

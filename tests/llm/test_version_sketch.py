@@ -8,7 +8,8 @@ from pickwise.llm import version_sketch as V
 
 
 def pieces(text):
-    return {p.strip(" ") for p in re.split(r"[\n.!?|]+", text) if p.strip(" ")}
+    parts = [p.strip(" ") for p in re.split(r"[\n.!?]+", text)]
+    return {p[i : i + V.PIECE_MOST] for p in parts for i in range(0, len(p), V.PIECE_MOST)}
 
 
 def dice(a, b):
