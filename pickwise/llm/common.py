@@ -30,6 +30,24 @@ def persisted(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Shipped:
+    """A large model for the tasks.  Its plain data (arrays, lists) is broadcast and its
+    class travels with the function that uses it, so executors need no installed copy."""
+
+    def __init__(self, spark: SparkSession, model: object):
+        self.kind, self.data, self.made = type(model), spark.sparkContext.broadcast(vars(model)), None
+
+    def __getstate__(self) -> dict:
+        return {"kind": self.kind, "data": self.data, "made": None}
+
+    @property
+    def value(self):
+        if self.made is None:
+            self.made = object.__new__(self.kind)
+            self.made.__dict__.update(self.data.value)
+        return self.made
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n

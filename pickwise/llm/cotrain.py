@@ -248,11 +248,9 @@ def source(docs: DataFrame) -> list:
 
 def score(docs: DataFrame, model: Quality) -> DataFrame:
     """(doc_id, content_score, metadata_score, score, keep) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            p = shared.value.probabilities(*views(b))
+            p = model.probabilities(*views(b))
             cols = [b.column(0), *map(pa.array, p), pa.array(p[2] >= REJECT_BELOW)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "content_score", "metadata_score", "score", "keep"])
 
@@ -261,10 +259,8 @@ def score(docs: DataFrame, model: Quality) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Quality) -> DataFrame:
     """The rows of ``docs`` that the model does not reject, all columns kept."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            yield b.filter(pa.array(shared.value.probabilities(*views(b))[2] >= REJECT_BELOW))
+            yield b.filter(pa.array(model.probabilities(*views(b))[2] >= REJECT_BELOW))
 
     return docs.mapInArrow(run, docs.schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import flat, lowered, octets, persisted, remainder, slices
+from pickwise.llm.common import Shipped, flat, lowered, octets, persisted, remainder, slices
 
 FOLDS, HELD_FOLD = 4, 2
 MODEL_BYTES = 48 << 20
@@ -206,14 +206,14 @@ def has_letter(data: np.ndarray, off: np.ndarray, texts: list[bytes]) -> list[bo
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shipped(docs.sparkSession, model) if model is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             column = octets(b.column(2))
             data, off = flat(column)
             ok = has_letter(data, off, column.to_pylist())
-            if shared.value is None:
+            if shared is None:
                 names, score = ["und"] * b.num_rows, np.zeros(b.num_rows)
             else:
                 names, score = shared.value.predict(data, off)

@@ -296,11 +296,9 @@ def joined(spans: list[Span]) -> str:
 
 def scan(docs: DataFrame, formats: Formats) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_format) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(formats)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            found, data, off = spans_of(shared.value, octets(b.column(1)))
+            found, data, off = spans_of(formats, octets(b.column(1)))
             n = np.zeros((4, b.num_rows), np.int64)
             base, all_ = [hashlib.sha256(b"").hexdigest()] * b.num_rows, [""] * b.num_rows
             for d, spans in found.items():
@@ -317,12 +315,10 @@ def scan(docs: DataFrame, formats: Formats) -> DataFrame:
 
 def redacted(docs: DataFrame, formats: Formats, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` and n_chars set anew in changed rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(formats)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             at, chars = b.schema.get_field_index("text"), b.schema.get_field_index("n_chars")
-            found, data, off = spans_of(shared.value, octets(b.column(at)))
+            found, data, off = spans_of(formats, octets(b.column(at)))
             if found:
                 texts, sizes = b.column(at).to_pylist(), b.column(chars).to_pylist()
                 for d, spans in found.items():

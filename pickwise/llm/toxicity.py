@@ -1,8 +1,8 @@
 """Toxicity: noisy-channel restoration of disguised words, then a learned score.
 
 Restoration.  A stretch of text is suspect if it mixes letters with look-alike
-digits or signs (``m0r0n``), repeats a letter three times or more, or spells a word
-letter by letter (``m o r o n``, ``m.o.r.o.n``).  Each suspect stretch becomes a
+digits or signs (``m0r0n``), repeats a letter three times or more or doubles three
+letters, or spells a word letter by letter (``m o r o n``, ``m.0.r.0.n``).  Each suspect stretch becomes a
 lattice: every unit (a character with its repetition) has the alternatives that a
 writer could have meant, each with a channel cost in bits.  Viterbi decoding under
 a character trigram model finds the cheapest reading exactly.  The trigram model is
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import Prefix, flat, is_space, lowered, octets, persisted, remainder, runs, slices, words
+from pickwise.llm.common import Prefix, Shipped, flat, is_space, lowered, octets, persisted, remainder, runs, slices, words
 
 FOLDS, HELD_FOLD = 5, 0
 SAMPLE = 6000  # learning rows of each class
@@ -76,9 +76,6 @@ class CharModel:
         self.bits = (-np.log2((three + weight * p2) / (three.sum(2, keepdims=True) + weight))).astype(np.float32)
         self.known: dict[bytes, bytes] = {}
 
-    def __getstate__(self) -> dict:
-        return {"bits": self.bits, "known": {}}
-
     def decode(self, units: list[list[tuple[bytes, float]]]) -> bytes:
         """Cheapest path through a lattice of (output, channel cost) alternatives."""
         bits = self.bits
@@ -121,7 +118,7 @@ def lattice(token: bytes) -> list[list[tuple[bytes, float]]]:
         r, i = j - i, j
         if c.isalpha():
             one = c.encode()
-            units.append([(one * r, 0.0)] if r < 3 else [(one, REPEAT), (one * 2, REPEAT)])
+            units.append([(one, 0.0)] if r == 1 else [(one, REPEAT), (one * 2, REPEAT if r > 2 else 0.0)])
         elif c in LOOKALIKES:
             options = [(b" ", NOISE), (b"", NOISE)]
             for x in LOOKALIKES[c]:
@@ -147,21 +144,27 @@ def suspects(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mark = look & np.where(_INNER[low], before & after, before | after)
     same = (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & alpha[2:] & (low[2:] < 128)
     mark[:-2] |= same
-    if n >= 5:  # letter, sign, letter, sign, letter
-        spelt = alpha[:-4] & sep[1:-3] & alpha[2:-2] & sep[3:-1] & alpha[4:]
-        mark[:-4] |= spelt
+    letter = alpha | look
+    if n >= 5:  # letter, sign, letter, sign, letter; look-alikes count, but not alone
+        spelt = letter[:-4] & sep[1:-3] & letter[2:-2] & sep[3:-1] & letter[4:]
+        mark[:-4] |= spelt & (alpha[:-4] | alpha[2:-2] | alpha[4:])
     count = np.concatenate(([0], np.cumsum(mark)))
     hit = count[end] > count[start]
-    # single letters with one blank between: three or more in a row are one stretch
-    single = (end - start == 1) & alpha[start] if len(start) else np.zeros(0, bool)
+    pair = np.zeros(n, bool)
+    pair[:-1] = (low[1:] == low[:-1]) & alpha[1:] & (low[1:] < 128)
+    count = np.concatenate(([0], np.cumsum(pair)))
+    hit |= count[end] - count[start] >= 3  # three doubled letters
+    # single letters with one or two blanks between: three or more in a row are one stretch
+    single = (end - start == 1) & letter[start] if len(start) else np.zeros(0, bool)
     doc = np.searchsorted(off, start, side="right") - 1
     next_ = np.zeros(len(start), bool)
     if len(start) > 1:
-        next_[:-1] = single[:-1] & single[1:] & (start[1:] - end[:-1] == 1) & (doc[1:] == doc[:-1])
+        next_[:-1] = single[:-1] & single[1:] & (start[1:] - end[:-1] <= 2) & (doc[1:] == doc[:-1])
     first = next_ & ~np.concatenate(([False], next_[:-1]))
     last = ~next_ & np.concatenate(([False], next_[:-1]))
     a, b = np.flatnonzero(first), np.flatnonzero(last)
-    long = b - a >= 2
+    count = np.concatenate(([0], np.cumsum(alpha[start]))) if len(start) else np.zeros(1, np.int64)
+    long = (b - a >= 2) & (count[b + 1] - count[a] >= 2)
     a, b = a[long], b[long]
     inside = np.zeros(len(start) + 1, np.int64)
     np.add.at(inside, a, 1)
@@ -293,7 +296,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = SA
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = text.join(chosen, "doc_id").withColumn("_t", F.xxhash64("text", "toxic")).dropDuplicates(["_t"])
     rows = persisted(rows.select("_t", "text", "toxic").repartition(F.col("_t")))
-    shared = spark.sparkContext.broadcast(model)
+    shared = Shipped(spark, model)
 
     def hashed(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         data, off = flat(octets(b.column(b.schema.get_field_index("text"))))
@@ -357,10 +360,10 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = SA
 
 def score(docs: DataFrame, model: CharModel, scorer: Scorer) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_suspect) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, scorer))
+    shared, judge = Shipped(docs.sparkSession, model), scorer  # the scorer holds at most FEATURES weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, judge = shared.value
+        lm = shared.value
         for b in slices(batches):
             data, off = flat(octets(b.column(2)))
             low = lowered(data)

@@ -26,7 +26,7 @@ def test_disguises_are_undone_and_plain_text_stays():
     m = model_of(["idiot", "moron", "stupid", "the", "clown", "loser", "trash", "balloon", "see", "was"] * 50)
     for text, want in (
         ("the m0r0n was", "the moron was"), ("1d10t", "idiot"), ("stuuuupid!!", "stupid!!"), ("see m o r o n", "see moron"),
-        ("c.l.o.w.n", "clown"), ("tr@$h, tr4sh", "trash, trash"), ("l-o-s-e-r", "loser"), ("balloon was 12 the", "balloon was 12 the"),
+        ("c.l.o.w.n", "clown"), ("m.0.r.0.n", "moron"), ("see m 0 r 0 n", "see moron"), ("m  o  r  o  n", "moron"), ("mmoorroonn", "moron"), ("1 2 3", "1 2 3"), ("tr@$h, tr4sh", "trash, trash"), ("l-o-s-e-r", "loser"), ("balloon was 12 the", "balloon was 12 the"),
         ("the### see$$$", "the### see$$$"), ("", ""), ("4.0. 555-1234", "4.0. 555-1234"),
     ):
         assert restored(m, text) == want, text
