@@ -3,8 +3,9 @@
 Every text is read through windows of the items' sizes at every word position.
 A window's SimHash comes from 64 bit counters held as prefix sums, eight counters
 to a 64-bit integer.  Item sizes are grouped into classes (a class is the largest
-size of a geometric row not above the item), so the work a word costs does not
-grow with the number of items.  A multi-index finds, for every window, all item
+size of a geometric row that leaves an item of eight words or more two words of
+room), so the work a word costs does not grow with the number of items.  An item is
+entered with its first, middle and last window.  A multi-index finds, for every window, all item
 fingerprints within ``radius`` bits: the 64 bits are cut in four blocks, and by
 the pigeonhole principle one block differs by at most ``radius // 4`` bits, so
 each item is entered under all such block values.  Candidates are then verified
@@ -114,9 +115,10 @@ class Index:
             h, _ = word_hashes(data, np.array([0, len(data)]))
             if not len(h):
                 continue
-            k, size = len(self.ids), int(sizes[np.searchsorted(sizes, len(h), side="right") - 1])
+            fits = len(h) - 2 if len(h) >= 8 else len(h)  # room for a changed word at either end
+            k, size = len(self.ids), int(sizes[np.searchsorted(sizes, fits, side="right") - 1])
             prints = window_prints(counters(h), size)
-            for at in {0, len(h) - size}:
+            for at in sorted({0, (len(h) - size) // 2, len(h) - size}):
                 entries.setdefault(size, []).append((int(prints[at]), k, at))
             self.ids.append(item)
             self.hashes.append(h)
