@@ -111,20 +111,22 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
 
     calls: conv_id, turn, call_id, name, arguments (JSON), depends_on (array of ids);
     results: conv_id, turn, call_id, content; schemas: JSON schema by tool name."""
-    calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on")).distinct()
-    calls = persisted(calls)
-    results = results.select("conv_id", "turn", "call_id", "content").distinct()
-    first = results.filter("call_id IS NOT NULL").groupBy("call_id").agg(F.min(F.struct("turn", "conv_id", "content")).alias("r"))
-    known = calls.filter("call_id IS NOT NULL").groupBy("call_id").agg(F.count("*").alias("same_id"), F.min("turn").alias("at"))
-    needs = calls.select("conv_id", "call_id", "turn", F.explode("depends_on").alias("needs"))
+    calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on"))
+    results = results.select("conv_id", "turn", "call_id", "content")
+    # ids, order and duplicates need no texts: a slim table of the distinct calls
+    slim = persisted(calls.select("conv_id", "turn", "call_id", "depends_on", F.xxhash64("name", "arguments").alias("said")).distinct())
+    known = slim.filter("call_id IS NOT NULL").groupBy("call_id").agg(F.count("*").alias("same_id"), F.min("turn").alias("at"))
+    needs = slim.select("conv_id", "call_id", "turn", F.explode("depends_on").alias("needs"))
     needs = needs.join(known.select(F.col("call_id").alias("needs"), "at"), "needs").filter("call_id IS NOT NULL")
     late = persisted(needs.filter("NOT at < turn").select("conv_id").distinct())
-    mixed = calls.join(late, "conv_id", "left_semi").filter("call_id IS NOT NULL").select("call_id").distinct()
+    mixed = slim.join(late, "conv_id", "left_semi").filter("call_id IS NOT NULL").select("call_id").distinct()
     layered = layers(mixed, needs.join(late, "conv_id", "left_semi").select("call_id", "needs").distinct())
-    rows = calls.join(first, "call_id", "left").join(known.select("call_id", "same_id"), "call_id", "left").join(layered, "call_id", "left")
+    first = results.filter("call_id IS NOT NULL").groupBy("call_id").agg(F.min(F.struct("turn", "conv_id", "content")).alias("r"))
+    about = known.select("call_id", "same_id").join(layered, "call_id", "left")
+    rows = calls.distinct().join(first, "call_id", "left").join(about, "call_id", "left")
     status = F.when(F.col("call_id").isNull(), "no_id").when(F.col("same_id") > 1, "duplicate_id").when(F.col("cycle"), "cycle").when(F.col("r").isNull(), "unanswered").otherwise("answered")
     rows = rows.select("conv_id", "turn", "call_id", "name", "arguments", "depends_on", F.col("r.content").alias("content"), F.coalesce("layer", "turn").alias("order_key"), status.alias("status"))
-    lone = results.join(calls.select("call_id"), "call_id", "left_anti")
+    lone = results.join(slim.select("call_id"), "call_id", "left_anti").distinct()
     none = F.lit(None).cast("string")
     rows = rows.unionByName(lone.select("conv_id", "turn", "call_id", none.alias("name"), none.alias("arguments"), F.array().cast("array<string>").alias("depends_on"), "content", F.col("turn").alias("order_key"), F.lit("orphan").alias("status")))
 
