@@ -84,17 +84,17 @@ def test_yearly_loader_edges(spark, tmp_path):
         FS.load_picks_bans(spark, base, years=range(2000, 2003))
 
 
-S1_ORDER = "is_pick,hero_id,team,order,match_id,leagueid,note"
+EXPORT_ORDER = "is_pick,hero_id,team,order,match_id,leagueid,note"
 
 
 def test_csv_is_read_by_name_whatever_the_column_order(spark, tmp_path):
     base = str(tmp_path / "picks")
-    _write_text(f"{base}/part-0.csv", [S1_ORDER, 'True,7.0,0,1,12345678901,5,"a, b"', "0,8,1,2.0,2,,"])
+    _write_text(f"{base}/part-0.csv", [EXPORT_ORDER, 'True,7.0,0,1,12345678901,5,"a, b"', "0,8,1,2.0,2,,"])
     _write_text(f"{base}/part-1.csv", ["match_id,note,order,team,hero_id,is_pick", "3,x,1,0,9,1"])
     want = [(2, 8, 1, 2, False, None), (3, 9, 0, 1, True, None), (12345678901, 7, 0, 1, True, 5)]
     for mode in ("PERMISSIVE", "DROPMALFORMED", "FAILFAST"):
         assert sorted(tuple(r) for r in FS.read_csv(spark, base, SC.PICKS_BANS, mode=mode).collect()) == want
-    _write_text(f"{base}/part-2.csv", [S1_ORDER, "True,7.5,0,1,4,5,x", "True,7,0", "True,7,0,1,5,5,x"])
+    _write_text(f"{base}/part-2.csv", [EXPORT_ORDER, "True,7.5,0,1,4,5,x", "True,7,0", "True,7,0,1,5,5,x"])
     kept = FS.read_csv(spark, base, SC.PICKS_BANS, mode="DROPMALFORMED")
     assert sorted(r.match_id for r in kept.collect()) == [2, 3, 5, 12345678901]
     loose = FS.read_csv(spark, base, SC.PICKS_BANS).where("match_id = 4").first()
