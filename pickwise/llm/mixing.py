@@ -38,6 +38,7 @@ WEIGHTS = (1, 2, 3)
 MOST = 3
 GROUP = 4096
 RESERVE = 12
+LARGE = 8  # times the mean size of a group
 EPS = 1e-9
 
 
@@ -84,8 +85,11 @@ def flight(p: np.ndarray, x: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Moves probabilities along the null space of (1, x) until at most two are open.
 
     The way is drawn so that every probability keeps its expectation; the draw comes
-    from the hash of the newest document, so reruns agree."""
-    p = p.copy()
+    from the hash of the newest document, so reruns agree.  A document of more than
+    LARGE times the mean size moves little in one step, so its way is drawn once, with
+    its own probability, and held to until it is settled."""
+    p, way = p.copy(), {}
+    large = x > LARGE * x.mean() if len(x) else x > 0
     draw = (mixed(h.view(np.uint64)) >> np.uint64(11)) / float(1 << 53)
     held: list[int] = []
     for i in range(len(p)):
@@ -99,7 +103,12 @@ def flight(p: np.ndarray, x: np.ndarray, h: np.ndarray) -> np.ndarray:
             u = (1.0, -1.0, 0.0)
         up = min(((1 - p[k]) / v if v > 0 else p[k] / -v) for k, v in zip(held, u, strict=True) if v)
         down = min((p[k] / v if v > 0 else (1 - p[k]) / -v) for k, v in zip(held, u, strict=True) if v)
-        step = up if draw[i] * (up + down) < down else -down
+        k = max(range(3), key=lambda k: x[held[k]])
+        if large[held[k]] and u[k]:
+            rising = way.setdefault(held[k], draw[held[k]] < p[held[k]])
+            step = up if rising == (u[k] > 0) else -down
+        else:
+            step = up if draw[i] * (up + down) < down else -down
         for k, v in zip(held, u, strict=True):
             p[k] = min(1.0, max(0.0, p[k] + step * v))
         held = [k for k in held if EPS < p[k] < 1 - EPS]
@@ -134,9 +143,11 @@ def level(rows: DataFrame, groups: DataFrame | None, last: bool) -> DataFrame:
         cut = np.flatnonzero((code[1:] != code[:-1]) | (g[1:] != g[:-1])) + 1
         out = np.empty(len(p))
         for a, b in zip(np.append(0, cut), np.append(cut, len(p)), strict=True):
-            q, free = p[a:b].copy(), max(0, b - a - RESERVE)
-            q[:free] = flight(q[:free], x[a : a + free], h[a : a + free])
-            out[a:b] = landing(q, x[a:b]) if last else q
+            # large documents first: the others then make up for them
+            at = a + np.argsort(x[a:b] <= LARGE * x[a:b].mean(), kind="stable")
+            q, free = p[at], max(0, b - a - RESERVE)
+            q[:free] = flight(q[:free], x[at[:free]], h[at[:free]])
+            out[at] = landing(q, x[at]) if last else q
         return t.set_column(t.schema.get_field_index("p"), "p", pa.array(out)).combine_chunks().to_batches()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

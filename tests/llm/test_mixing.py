@@ -80,6 +80,19 @@ def test_inclusion_probabilities_keep_their_expectation():
     assert np.abs(mean - p).max() < 0.03
 
 
+def test_one_huge_document_is_settled_and_made_up_for():
+    rng = np.random.default_rng(3)
+    x = np.concatenate(([20000.0], rng.integers(20, 800, 300).astype(float)))
+    p = np.concatenate(([0.3], rng.random(300)))
+    first = []
+    for _ in range(300):
+        q = M.flight(p, x, rng.integers(-(1 << 62), 1 << 62, 301))
+        assert abs(q @ x - p @ x) < 1e-3 and abs(q.sum() - p.sum()) < 1e-6
+        assert q[0] < M.EPS or q[0] > 1 - M.EPS
+        first.append(q[0])
+    assert abs(np.mean(first) - 0.3) < 0.08
+
+
 def test_awkward_rows(spark):
     check(awkward(spark), [(r[1], r[3]) for r in ROWS], lambda n: 3 * n + 60000)
     assert M.mix(empty(spark)).count() == 0
