@@ -119,8 +119,9 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def tree_links(code: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of positions within ``radius`` bits, by walking pairs of index nodes.
+def tree_links(code: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of positions within ``radius`` bits, in batches, by walking pairs of
+    index nodes.
 
     ``code`` is in Gray order.  Level 0 nodes hold LEAF codes, each further level
     FAN nodes.  A node keeps the bits on which all members agree; going down, only
@@ -147,17 +148,13 @@ def tree_links(code: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         gap = gap + np.bitwise_count((bits[a] ^ bits[b]) & agreed & ~known)
         ok = gap <= radius
         a, b, known, gap = a[ok], b[ok], (known | agreed)[ok], gap[ok]
-    found = []
     k = np.arange(LEAF * LEAF)
     for at in range(0, len(a), 4096):  # bounded memory at the leaves
         i, j = (a[at : at + 4096, None] * LEAF + k // LEAF).ravel(), (b[at : at + 4096, None] * LEAF + k % LEAF).ravel()
         ok = (i < len(code)) & (j < len(code)) & (i < j)
         i, j = i[ok], j[ok]
         ok = np.bitwise_count(code[i] ^ code[j]) <= radius
-        found.append((i[ok], j[ok]))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+        yield i[ok], j[ok]
 
 
 def group_links(group: np.ndarray, code: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,8 +174,9 @@ def group_links(group: np.ndarray, code: np.ndarray, radius: int) -> tuple[np.nd
         b.append(i + lag)
         lag += 1
     for s, k in zip(start[size > LEAF], size[size > LEAF], strict=True):
-        i, j = tree_links(code[s : s + k], radius)
-        label = forest(int(k), i, j)
+        label = np.arange(k)
+        for i, j in tree_links(code[s : s + k], radius):  # each batch shrinks to a forest at once
+            label = forest(int(k), np.concatenate((i, np.arange(k))), np.concatenate((j, label)))
         i = np.flatnonzero(label != np.arange(k))
         a.append(s + i)
         b.append(s + label[i])

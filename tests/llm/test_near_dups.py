@@ -84,7 +84,7 @@ def test_index_and_star_rounds_against_all_pairs(spark):
 def test_tree_finds_every_pair():
     code = np.array(clustered(2, 40), np.uint64)
     code = code[np.argsort(N.gray_rank(code))]
-    i, j = N.tree_links(code, 3)
+    i, j = (np.concatenate(x) for x in zip(*N.tree_links(code, 3), strict=True))
     near = np.bitwise_count(code[:, None] ^ code[None, :]) <= 3
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == {(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b}
 
