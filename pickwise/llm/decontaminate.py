@@ -2,15 +2,16 @@
 
 Every text is read through windows of the items' sizes at every word position.
 A window's SimHash comes from 64 bit counters held as prefix sums, eight counters
-to a 64-bit integer.  Item sizes are grouped into classes (a class is the largest
-size of a geometric row that leaves an item of eight words or more two words of
-room), so the work a word costs does not grow with the number of items.  An item is
-entered with its first, middle and last window.  A multi-index finds, for every window, all item
+to a 64-bit integer.  Window sizes are the classes of a geometric row.  An item is
+entered with windows so close together that the shortest unchanged stretch which
+still reaches the similarity (``intact``) holds one of them, also where the text
+begins or ends inside the passage.  A multi-index finds, for every window, all item
 fingerprints within ``radius`` bits: the 64 bits are cut in four blocks, and by
 the pigeonhole principle one block differs by at most ``radius // 4`` bits, so
 each item is entered under all such block values.  Candidates are then verified
 by the weighted (multiset) Jaccard similarity of five-word shingles between the
-item and the stretch of its size around the window.
+item and the stretch of its size around the window, clipped where the text begins
+or ends.
 
 The item index goes to the tasks in blocks of at most ``BLOCK_BYTES`` of item
 text, one pass over the documents each; a lone longer item is its own block.
@@ -25,6 +26,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,7 @@ SIMILARITY = 0.8
 BLOCK_BYTES = 4 << 20  # item text of one index block
 LARGEST = 240  # words of the largest window; a counter has 8 bits
 GROWTH = 1.15  # ratio of neighbouring window sizes from 8 words on
+PAIRS = 1 << 21  # pairs of a window and an entry that are compared at once, about
 
 # Bit i of a byte moved to bit 8 i.
 SPREAD = np.array([sum(((v >> i) & 1) << (8 * i) for i in range(8)) for v in range(256)], np.uint64)
@@ -103,6 +106,22 @@ def flips(within: int) -> np.ndarray:
     return v[np.bitwise_count(v) <= within].astype(np.uint16)
 
 
+def intact(n: int) -> int:
+    """Words of the unchanged stretch that a passage of an item of ``n`` words must hold
+    to reach SIMILARITY if it is cut only at its ends."""
+    if n < SHINGLE:
+        return n
+    return math.ceil(SIMILARITY * (n - SHINGLE + 1) - 1e-9) + SHINGLE - 1
+
+
+def windows(n: int, sizes: np.ndarray) -> tuple[int, list[int]]:
+    """Window size for an item of ``n`` words, and the positions at which it is entered:
+    every stretch of ``intact(n)`` words holds one of the windows."""
+    least = intact(n)
+    size = int(sizes[np.searchsorted(sizes, max(min(least, 8), 4 * least // 5), side="right") - 1])
+    return size, [*range(0, n - size, least - size + 1), n - size]
+
+
 class Index:
     """Item fingerprints by window size; ``find`` returns all within the radius."""
 
@@ -115,10 +134,9 @@ class Index:
             h, _ = word_hashes(data, np.array([0, len(data)]))
             if not len(h):
                 continue
-            fits = len(h) - 2 if len(h) >= 8 else len(h)  # room for a changed word at either end
-            k, size = len(self.ids), int(sizes[np.searchsorted(sizes, fits, side="right") - 1])
+            k, (size, places) = len(self.ids), windows(len(h), sizes)
             prints = window_prints(counters(h), size)
-            for at in sorted({0, (len(h) - size) // 2, len(h) - size}):
+            for at in places:
                 entries.setdefault(size, []).append((int(prints[at]), k, at))
             self.ids.append(item)
             self.hashes.append(h)
@@ -142,13 +160,16 @@ class Index:
         part = prints.view(np.uint16).reshape(-1, 4)
         pairs = []
         for block, (any_, first, entry) in enumerate(tables):
-            value = part[:, block]
-            at = np.flatnonzero(any_[value])
-            n = first[value[at].astype(np.int64) + 1] - first[value[at]]
-            pos = np.repeat(at, n)
-            e = entry[np.repeat(first[value[at]] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            ok = np.bitwise_count(prints[pos] ^ own[e]) <= self.radius
-            pairs.append(pos[ok] * len(own) + e[ok])
+            step = max(1 << 12, (PAIRS << 16) // len(entry))
+            for low in range(0, max(1, len(part)), step):
+                value = part[low : low + step, block]
+                at = np.flatnonzero(any_[value])
+                value = value[at].astype(np.int64)
+                n = first[value + 1] - first[value]
+                pos = np.repeat(at + low, n)
+                e = entry[np.repeat(first[value] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                ok = np.bitwise_count(prints[pos] ^ own[e]) <= self.radius
+                pairs.append(pos[ok] * len(own) + e[ok])
         both = np.unique(np.concatenate(pairs))
         return both // len(own), both % len(own)
 
@@ -161,12 +182,14 @@ class Index:
         shared = np.minimum(na[i], nb[j]).sum()
         return float(shared / (na.sum() + nb.sum() - shared))
 
-    def matches(self, h: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[float, int, int]]:
-        """(text, item) to (similarity, word position, differing bits) of its best verified window."""
+    def matches(self, h: np.ndarray, doc: np.ndarray, part: tuple[bool, bool] = (False, False)) -> dict[tuple[int, int], tuple[float, int, int]]:
+        """(text, item) to (similarity, word position, differing bits) of its best verified
+        window.  ``part``: the text goes on before the first and after the last word, so
+        that stretches over that border are left to the neighbouring part."""
         found: dict[tuple[int, int], tuple[float, int, int]] = {}
         if not len(h):
             return found
-        sums = counters(h)
+        sums, seen = counters(h), set()
         starts = np.searchsorted(doc, np.arange(doc[-1] + 2))
         for size, (own, item, shift, _) in self.by_size.items():
             if len(h) < size:
@@ -180,23 +203,28 @@ class Index:
                 p, k, d = int(pos[i]), int(item[entry[i]]), int(doc[pos[i]])
                 if (d, k) in found and found[d, k][0] == 1.0:
                     continue
-                at = max(p - int(shift[entry[i]]), int(starts[d]))
-                end = min(at + len(self.hashes[k]), int(starts[d + 1]))
-                like = self.similarity(k, h[at:end])
-                if like >= SIMILARITY and like > found.get((d, k), (0.0,))[0]:
-                    found[d, k] = (like, at - int(starts[d]), int(bits[i]))
+                n, first, last = len(self.hashes[k]), int(starts[d]), int(starts[d + 1])
+                begin = p - int(shift[entry[i]])
+                if (d, k, begin) in seen or part[0] and begin < first or part[1] and begin + n > last:
+                    continue
+                seen.add((d, k, begin))
+                at = max(begin, first)
+                for end in sorted({min(begin + n, last), min(at + n, last)}):
+                    like = self.similarity(k, h[at:end])
+                    if like >= SIMILARITY and like > found.get((d, k), (0.0,))[0]:
+                        found[d, k] = (like, at - first, int(bits[i]))
         return found
 
 
-def pieces(data: np.ndarray, overlap: int, most: int) -> Iterator[tuple[np.ndarray, int]]:
+def pieces(data: np.ndarray, overlap: int, most: int) -> Iterator[tuple[np.ndarray, int, bool]]:
     """A long text in parts of about ``most`` bytes that share ``overlap`` words,
-    with the number of words before each."""
+    with the number of words before each, and whether more follow."""
     at = before = 0
     while True:
         end = min(len(data), at + most)
         while end < len(data) and data[end] not in (9, 10, 11, 12, 13, 32):
             end += 1
-        yield data[at:end], before
+        yield data[at:end], before, end < len(data)
         if end >= len(data):
             return
         start, _ = words(data[at:end], np.array([0, end - at]))
@@ -213,8 +241,8 @@ def scan(index: Index, texts: pa.Array, most: int = 8 << 20) -> dict[tuple[int,
     if len(texts) != 1 or len(data) <= most or not index.hashes:
         return index.matches(*word_hashes(data, off))
     found: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for part, before in pieces(data, 2 * max(len(h) for h in index.hashes), most):
-        for key, (like, at, bits) in index.matches(*word_hashes(part, np.array([0, len(part)]))).items():
+    for part, before, more in pieces(data, 2 * max(len(h) for h in index.hashes), most):
+        for key, (like, at, bits) in index.matches(*word_hashes(part, np.array([0, len(part)])), (before > 0, more)).items():
             if like > found.get(key, (0.0,))[0]:
                 found[key] = (like, at + before, bits)
     return found

@@ -66,6 +66,26 @@ def test_edited_passages_are_found(spark, sf_small):
     assert tried > 10 and found >= 0.9 * tried
 
 
+def found_as(text, ix):
+    return {ix.ids[x] for _, x in D.scan(ix, pa.array([text.encode()], pa.large_binary()))}
+
+
+def test_passages_cut_where_the_text_begins_or_ends(spark, sf_small):
+    bench, ix = items(spark, sf_small), index(spark, sf_small)
+    tried = 0
+    for k, t in bench:
+        w = tokens(t)
+        least = max((n for n in range(len(w) + 1) if plain_similarity(w, w[:n]) < D.SIMILARITY), default=0) + 1
+        for n in {least, (least + len(w)) // 2, len(w) - 1}:
+            if len(w) < 9 or n < least:
+                continue
+            more = "then other words that were never any part of it".split()
+            for e in (w[:n], w[-n:], [*more, *w[:n]], [*w[-n:], *more], w[(len(w) - n) // 2 :][:n]):
+                tried += 1
+                assert k in found_as(" ".join(e), ix), (len(w), n, e)
+    assert tried > 100
+
+
 def test_every_fingerprint_within_the_radius_is_found(spark, sf_small):
     ix = index(spark, sf_small)
     rng = np.random.default_rng(1)
