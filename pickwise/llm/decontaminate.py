@@ -108,10 +108,18 @@ def flips(within: int) -> np.ndarray:
 
 def intact(n: int) -> int:
     """Words of the unchanged stretch that a passage of an item of ``n`` words must hold
-    to reach SIMILARITY if it is cut only at its ends."""
+    to reach SIMILARITY.  A break within the passage (words changed, added, dropped or
+    moved) costs both sides the shingles over it, so that ``breaks`` of them leave at
+    least ``shared`` shingles in ``breaks + 1`` unchanged stretches."""
     if n < SHINGLE:
         return n
-    return math.ceil(SIMILARITY * (n - SHINGLE + 1) - 1e-9) + SHINGLE - 1
+    own, over, least = n - SHINGLE + 1, SHINGLE - 1, n
+    for breaks in range(own // over + 1):
+        shared = SIMILARITY * (own + over * breaks) - 1e-9
+        if shared > own - over * breaks:
+            break
+        least = min(least, math.ceil(shared / (breaks + 1)) + over)
+    return least
 
 
 def windows(n: int, sizes: np.ndarray) -> tuple[int, list[int]]:

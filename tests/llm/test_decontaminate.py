@@ -86,6 +86,23 @@ def test_passages_cut_where_the_text_begins_or_ends(spark, sf_small):
     assert tried > 100
 
 
+def test_passages_changed_within_are_found():
+    rng = np.random.default_rng(4)
+    more = "then other words that were never any part of it".split()
+    for n, changed, runs in ((40, 1, 1), (80, 4, 1), (101, 6, 1), (101, 2, 2), (201, 17, 1), (201, 8, 2), (242, 22, 1), (242, 5, 5), (1000, 60, 4)):
+        tried = 0
+        for _ in range(60):
+            w = [f"w{v}" for v in rng.integers(0, 2000, n)]
+            e, cuts = list(w), sorted(rng.choice(np.arange(1, n - changed), runs, replace=False))
+            for at in cuts:
+                for i in range(at, at + max(1, changed // runs)):
+                    e[i] = f"x{i}"
+            if plain_similarity(w, e) >= D.SIMILARITY:
+                tried += 1
+                assert found_as(" ".join(more + e + more), D.Index([(1, " ".join(w).encode())])) == {1}, (n, changed, runs)
+        assert tried
+
+
 def test_every_fingerprint_within_the_radius_is_found(spark, sf_small):
     ix = index(spark, sf_small)
     rng = np.random.default_rng(1)
