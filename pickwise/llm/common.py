@@ -47,6 +47,11 @@ class Shipped:
             self.made.__dict__.update(self.data.value)
         return self.made
 
+    def drop(self) -> None:
+        """Frees the model in this task; the next use reads it again."""
+        self.made = None
+        vars(self.data).pop("_value", None)
+
 
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; NULL for a NULL id."""

@@ -4,13 +4,16 @@ Per language a tree of byte contexts of up to three bytes holds symbol counts
 over all learning documents.  A context with n occurrences and d different
 symbols gives a symbol seen c times the probability c / (n + d) and the escape
 d / (n + d); after an escape the next shorter context decides, at last a uniform
-byte.  The counts are frozen, so the code length of every (context, byte) is
-worked out once, and a text's exact code length in a language is a sum of table
-entries.  The shortest code wins; ties go to the smallest language name.
+byte.  The counts are frozen, so the code length of every counted (context, byte)
+and the escape of every context are worked out once, and a text's exact code length
+in a language is a sum of table entries.  The shortest code wins; ties go to the
+smallest language name.
 
-The tree is of variable order: all contexts of one byte are kept, and of the
-longer contexts those with most occurrences, as many as ``MODEL_BYTES`` allow.
-Counting uses all learning documents; only the size of the model is bounded.
+Every counted context of every language is kept, eight bytes an entry, in sorted
+tables of the language's own.  The tables go to the tasks in blocks of languages of
+at most ``MODEL_BYTES`` (a lone larger language is its own block), of which a task
+holds one at a time.  Only a caller who passes ``model_bytes`` gets a cut tree: then
+each language keeps its most frequent contexts of two and three bytes.
 
 Text is read with A-Z and Latin-1 capitals in lower case; each text starts after
 three line feeds.
@@ -30,10 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import Shipped, flat, lowered, octets, persisted, remainder, slices
+from pickwise.llm.common import SLICE_BYTES, Shipped, flat, lowered, octets, persisted, remainder, slices
 
 FOLDS, HELD_FOLD = 4, 2
-MODEL_BYTES = 48 << 20
+MODEL_BYTES = 48 << 20  # tables that a task holds at a time
+GRAMS = 4 << 20  # grams that the driver reads at once, or those of one language
 PAD = 10  # a line feed
 
 
@@ -86,13 +90,83 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text", "lang").mapInArrow(run, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-class Model:
-    """Frozen code lengths.  ``row`` maps three context symbols to a table row,
-    ``cost`` holds the bits of each symbol after each row's context by language."""
+Table = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # grams and their bits, contexts and their escape's bits
+
+
+def table(code: np.ndarray, n: np.ndarray) -> Table:
+    """The table of grams of one length; ``code`` is sorted."""
+    first = np.flatnonzero(np.concatenate(([True], code[1:] >> np.uint32(8) != code[:-1] >> np.uint32(8))))
+    kinds = np.diff(np.append(first, len(code)))
+    both = np.add.reduceat(n, first) + kinds
+    return code, -np.log2(n / np.repeat(both, kinds)).astype(np.float32), code[first] >> np.uint32(8), -np.log2(kinds / both).astype(np.float32)
+
+
+def tables(code: np.ndarray, n: np.ndarray, most: int | None) -> list[Table]:
+    """Tables of no, one, two and three bytes of context from four-byte grams.  With
+    ``most``, as many bytes at most beside the contexts of one byte."""
+    grams = [summed([(code & np.uint32((1 << 8 * (k + 1)) - 1), n)]) for k in range(4)]
+    if most is not None:
+        longer = []
+        for c, m in grams[2:]:
+            own, at, kinds = np.unique(c >> np.uint32(8), return_inverse=True, return_counts=True)
+            longer.append((np.bincount(at, m), 8 * kinds + 8, at))
+        order = np.argsort(-np.concatenate([x[0] for x in longer]), kind="stable")
+        size = np.concatenate([x[1] for x in longer])
+        keep = np.zeros(len(order), bool)
+        keep[order[np.cumsum(size[order]) <= most - sum(16 * len(c) for c, _ in grams[:2])]] = True
+        for k, of in ((2, keep[: len(longer[0][0])]), (3, keep[len(longer[0][0]) :])):
+            kept = of[longer[k - 2][2]]
+            grams[k] = grams[k][0][kept], grams[k][1][kept]
+    none = np.zeros(0, np.uint32), np.zeros(0, np.float32)
+    return [table(c, m) if len(c) else (*none, *none) for c, m in grams]
+
+
+def looked_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each wanted key is there, and its place."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[at] == wanted, at
+
+
+def coded(levels: list[Table], gram: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of each four-byte gram after the three before it."""
+    bits, left = np.zeros(len(gram)), np.arange(len(gram))
+    for k in (3, 2, 1, 0):
+        code, cost, context, escape = levels[k]
+        own = gram[left] & np.uint32((1 << 8 * (k + 1)) - 1)
+        hit, at = looked_up(code, own)
+        bits[left[hit]] += cost[at[hit]]
+        left, own = left[~hit], own[~hit] >> np.uint32(8)
+        hit, at = looked_up(context, own)
+        bits[left[hit]] += escape[at[hit]]
+    bits[left] += 8
+    return bits
+
 
-    def __init__(self, langs: list[str], symbols: np.ndarray, row: np.ndarray, cost: list[np.ndarray]):
-        self.langs, self.symbols, self.row, self.cost = langs, symbols, row, cost
-        self.size = cost[0].shape[1] if cost else 1
+class Model:
+    """Frozen code lengths: the tables of each language."""
+
+    def __init__(self, langs: list[str], levels: list[list[Table]]):
+        self.langs, self.levels = langs, levels
+
+    @property
+    def cost(self) -> list[np.ndarray]:
+        """Bits of all grams and escapes, by language."""
+        return [np.concatenate([x for t in levels for x in (t[1], t[3])]) for levels in self.levels]
+
+    def blocks(self, most: int | None = None) -> list[Model]:
+        """The model in runs of languages of at most ``most`` bytes, MODEL_BYTES if not given."""
+        out, held = [], 0
+        for lang, levels in zip(self.langs, self.levels, strict=True):
+            size = sum(x.nbytes for t in levels for x in t)
+            if not out or held + size > (MODEL_BYTES if most is None else most):
+                out.append(Model([], []))
+                held = 0
+            out[-1].langs.append(lang)
+            out[-1].levels.append(levels)
+            held += size
+        return out
 
     def lengths(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Code length in bits of each text (rows) in each language (columns)."""
@@ -100,95 +174,48 @@ class Model:
         full = np.flatnonzero(np.diff(off))
         if not len(full):
             return out
-        b, at, first = padded(data, off)
-        s = self.symbols[b]
-        context = (s[at - 3] * self.size + s[at - 2]) * self.size + s[at - 1]
-        cell = self.row[context] * self.size + s[at]
-        for k, cost in enumerate(self.cost):
-            out[full, k] = np.add.reduceat(cost.ravel()[cell], first[full], dtype=np.float64)
+        code = grams(data, off)
+        order = np.argsort(code)
+        code = code[order]
+        new = np.concatenate(([True], code[1:] != code[:-1]))
+        place = np.empty(len(code), np.int32)
+        place[order] = np.cumsum(new) - 1
+        code = code[new]
+        for k, levels in enumerate(self.levels):
+            out[full, k] = np.add.reduceat(coded(levels, code)[place], off[full])
         return out
 
-    def predict(self, data: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray]:
-        """Language with the shortest code, and its posterior under equal priors."""
-        bits = self.lengths(data, off)
-        best = bits.argmin(1)
-        rest = np.exp2(np.maximum(-1000.0, bits.min(1, keepdims=True) - bits)).sum(1)
-        return [self.langs[i] for i in best], 1 / rest
+
+def decided(langs: list[str], bits: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Language with the shortest code, and its posterior under equal priors."""
+    best = bits.argmin(1)
+    rest = np.exp2(np.maximum(-1000.0, bits.min(1, keepdims=True) - bits)).sum(1)
+    return [langs[i] for i in best], 1 / rest
 
 
-def tree(grams_by_lang: DataFrame, model_bytes: int = MODEL_BYTES) -> Model | None:
-    """The model from (lang, code, n).  What reaches the driver is bounded: all
-    grams of two bytes, and those of the contexts kept."""
+def tree(grams_by_lang: DataFrame, model_bytes: int | None = None) -> Model | None:
+    """The model from (lang, code, n).  The driver reads the grams of a few languages at a time."""
     counts = persisted(grams_by_lang)
-    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
-    if not langs:
+    size = sorted(tuple(r) for r in counts.groupBy("lang").count().collect())
+    if not size:
         return None
-    number = {x: i for i, x in enumerate(langs)}
-
-    def order(k: int, contexts: DataFrame | None = None) -> tuple[np.ndarray, ...]:
-        """lang, context, symbol, count of the contexts of ``k`` bytes."""
-        n = counts.groupBy("lang", F.expr(f"code & {(1 << 8 * (k + 1)) - 1}").alias("g")).agg(F.sum("n").alias("n"))
-        n = n.select("lang", F.shiftright("g", 8).alias("context"), F.expr("g & 255").alias("symbol"), "n")
-        t = (n.join(contexts, "context", "left_semi") if contexts is not None else n).toArrow()
-        return (np.array([number[x] for x in t.column("lang").to_pylist()], np.int64), *(t.column(c).to_numpy() for c in ("context", "symbol", "n")))
-
-    lang0, _, sym0, n0 = order(0)
-    seen = np.union1d(np.unique(sym0), [PAD])
-    size = len(seen) + 1  # the last symbol: any byte never seen
-    symbols = np.full(256, size - 1, np.int64)
-    symbols[seen] = np.arange(len(seen))
-    most = max(0, int(model_bytes // (4 * size * len(langs))) - size)
-
-    def kept(k: int, limit: int) -> DataFrame:
-        c = counts.groupBy(F.shiftright(F.expr(f"code & {(1 << 8 * (k + 1)) - 1}"), 8).alias("context")).agg(F.sum("n").alias("n"))
-        return persisted(c.orderBy(F.desc("n"), "context").limit(limit).select("context"))
-
-    two = kept(2, most // 3)
-    three = kept(3, most - most // 3)
-
-    def coded(table: np.ndarray, lower: np.ndarray, rows: np.ndarray, syms: np.ndarray, n: np.ndarray) -> None:
-        """Fills the rows of seen contexts; ``lower`` has the bits after an escape."""
-        total, kinds = np.zeros(len(table)), np.zeros(len(table))
-        np.add.at(total, rows, n)
-        np.add.at(kinds, rows, 1)
-        some = total > 0
-        table[some] = lower[some] - np.log2(kinds[some] / (total[some] + kinds[some]))[:, None]
-        table[rows, syms] = -np.log2(n / (total[rows] + kinds[rows]))
-
-    row = np.broadcast_to(np.arange(size), (size, size, size)).copy()
-    split = lambda context, k: [symbols[(context >> (8 * i)) & 255] for i in range(k - 1, -1, -1)]  # noqa: E731  oldest first
-    levels, base = [], size
-    for k, contexts in ((2, two), (3, three)):
-        lang, context, sym, n = order(k, contexts)
-        own = np.unique(context)
-        at = split(own, k)
-        parent = row[0, at[0], at[1]] if k == 2 else row[at[0], at[1], at[2]]
-        if k == 2:
-            row[:, at[0], at[1]] = base + np.arange(len(own))
-        else:
-            row[at[0], at[1], at[2]] = base + np.arange(len(own))
-        levels.append((lang, np.searchsorted(own, context), symbols[sym], n, parent, len(own)))
-        base += len(own)
-    lang1, ctx1, sym1, n1 = order(1)
-    cost = []
-    for i in range(len(langs)):
-        zero = np.full((1, size), 8.0)
-        coded(zero, zero.copy(), np.zeros((lang0 == i).sum(), np.int64), symbols[sym0[lang0 == i]], n0[lang0 == i])
-        one = np.repeat(zero, size, 0)
-        mine = lang1 == i
-        coded(one, one.copy(), symbols[ctx1[mine]], symbols[sym1[mine]], n1[mine])
-        table = [one]
-        for lang, rows, syms, n, parent, many in levels:
-            lower = np.concatenate(table)[parent]
-            own = lower.copy()
-            mine = lang == i
-            coded(own, lower, rows[mine], syms[mine], n[mine])
-            table.append(own.reshape(many, size))
-        cost.append(np.concatenate(table).astype(np.float32))
-    return Model(langs, symbols, row.ravel().astype(np.int32), cost)
-
-
-def learn(docs: DataFrame, model_bytes: int = MODEL_BYTES) -> Model | None:
+    levels, at = [], 0
+    most = None if model_bytes is None else model_bytes // len(size)
+    while at < len(size):
+        end, rows = at + 1, size[at][1]
+        while end < len(size) and rows + size[end][1] <= GRAMS:
+            rows += size[end][1]
+            end += 1
+        few = [x for x, _ in size[at:end]]
+        t = counts.filter(F.col("lang").isin(few)).select(F.array_position(F.lit(few), F.col("lang")).cast("int").alias("i"), "code", "n").toArrow()
+        i, code, n = (t.column(c).to_numpy() for c in ("i", "code", "n"))
+        for own in range(1, len(few) + 1):
+            levels.append(tables(code[i == own].astype(np.uint32), n[i == own], most))
+        at = end
+    return Model([x for x, _ in size], levels)
+
+
+def learn(docs: DataFrame, model_bytes: int | None = None) -> Model | None:
     """The model of all documents with a text, a language and an id outside the held-out fold."""
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (remainder(F.col("doc_id"), FOLDS) != HELD_FOLD))
@@ -206,17 +233,23 @@ def has_letter(data: np.ndarray, off: np.ndarray, texts: list[bytes]) -> list[bo
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row."""
-    shared = Shipped(docs.sparkSession, model) if model is not None else None
+    shared = [Shipped(docs.sparkSession, block) for block in model.blocks()] if model is not None else []
+    langs, most = model.langs if model is not None else [], SLICE_BYTES * (8 if len(shared) > 1 else 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, most=most):
             column = octets(b.column(2))
             data, off = flat(column)
             ok = has_letter(data, off, column.to_pylist())
-            if shared is None:
+            if not shared:
                 names, score = ["und"] * b.num_rows, np.zeros(b.num_rows)
             else:
-                names, score = shared.value.predict(data, off)
+                bits = []
+                for block in shared:
+                    bits.append(block.value.lengths(data, off))
+                    if len(shared) > 1:
+                        block.drop()
+                names, score = decided(langs, np.hstack(bits))
                 names, score = [x if k else "und" for x, k in zip(names, ok, strict=True)], np.where(ok, score, 0.0)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
 

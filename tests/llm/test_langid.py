@@ -69,6 +69,25 @@ def test_a_small_model_still_tells_languages_apart(spark):
     assert np.mean([r.lang_pred == r.lang for r in rows]) > 0.97
 
 
+def test_many_languages_keep_every_context(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = {}
+    for i in range(60):
+        chars = [chr(c) for c in rng.choice(np.arange(0x61, 0x2000), 40, replace=False) if c != 0x7F]
+        docs[f"l{i:02}"] = ["".join(rng.choice(chars, 400 if i else 4000)) for _ in range(3)]
+    rows = [(t, k) for k, v in docs.items() for t in v]
+    model = L.tree(L.gram_counts(spark.createDataFrame(rows, "text string, lang string").repartition(2)))
+    trees = [plain_tree(docs[k]) for k in model.langs]
+    for text in (docs["l59"][0][:50], docs["l00"][1][:50] + docs["l30"][2][:50]):
+        data, off = flat(pa.array([text.encode()], pa.large_binary()))
+        assert np.allclose(model.lengths(data, off)[0], [plain_bits(c, text) for c in trees], rtol=1e-4, atol=1e-3)
+    texts = spark.createDataFrame([(i, v[0][:20]) for i, v in enumerate(docs.values())], "doc_id bigint, text string")
+    one = sorted(map(tuple, L.identify(texts, model).collect()))
+    assert [r[2] for r in one] == list(docs)
+    monkeypatch.setattr(L, "MODEL_BYTES", 100_000)
+    assert len(model.blocks()) > 5 and sorted(map(tuple, L.identify(texts, model).collect())) == one
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     got = L.identify(docs, L.learn(docs)).collect()
