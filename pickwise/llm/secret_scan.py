@@ -4,10 +4,12 @@ Base spans come from three patterns (assignments, access keys, hex runs).  The
 strings they find are the labelled credentials: for each kind a prefix tree of
 character classes is built from a bounded sample, and statistically compatible
 states are merged (Hoeffding bound on arc and stop frequencies) into a
-probabilistic automaton.  Every run of 12 or more token characters that overlaps
-no base span is then scored by all automata; it becomes a span of kind
-``format`` if its log-likelihood ratio against a background model of ordinary
-runs reaches the level that nearly all held-back labelled credentials reach.
+probabilistic automaton.  Every run of 12 or more token characters outside the base
+spans is then scored by all automata, and so are its pieces of 12 or more: without
+signs at its ends, and cut at ``=``, then also at ``/``, ``.`` and all other signs.
+The largest that scores becomes a span of kind ``format``: its log-likelihood ratio
+against a background model of ordinary runs must reach the level that nearly all
+held-back labelled credentials reach.
 
 Training bound: at most ``SAMPLE`` distinct values of each kind and of the
 background, those with the smallest hashes.  Counting and scanning cover all rows.
@@ -54,6 +56,12 @@ for _i, _chars in enumerate(CLASSES):
 _HEX = np.zeros(256, bool)
 _HEX[[ord(c) for c in "0123456789abcdef"]] = True
 
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[ord(c) for chars in CLASSES[:5] for c in chars]] = True
+# Signs at which candidates are cut, coarse to fine.
+CUTS = ("", "=", "=/", "=/.", "=/.+_-")
+_SIGNS = {cut: np.isin(np.arange(256), list(cut.encode())) for cut in CUTS}
+
 Span = tuple[int, int, int]  # start, kind, end in bytes
 
 
@@ -75,16 +83,44 @@ def base_spans(data: np.ndarray, off: np.ndarray, texts: list[bytes]) -> dict[in
     return {d: sorted(spans) for d, spans in out.items() if spans}
 
 
-def candidates(data: np.ndarray, off: np.ndarray, base: dict[int, list[Span]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, start, end) of the runs of token characters that overlap no base span."""
-    start, end = runs(SYMBOL[data] >= 0, off)
+def outside(data: np.ndarray, off: np.ndarray, base: dict[int, list[Span]]) -> np.ndarray:
+    """Where token characters stand outside the base spans."""
+    edge = np.zeros(len(data) + 1, np.int64)
+    for d, spans in base.items():
+        for s, _, e in spans:
+            edge[s + off[d]] += 1
+            edge[e + off[d]] -= 1
+    return (SYMBOL[data] >= 0) & (np.cumsum(edge[:-1]) == 0)
+
+
+def long_runs(mask: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    start, end = runs(mask, off)
     long = end - start >= MIN_CANDIDATE
-    start, end = start[long], end[long]
-    doc = np.searchsorted(off, start, side="right") - 1
-    taken = np.sort(np.array([(s + off[d], e + off[d]) for d, spans in base.items() for s, _, e in spans], np.int64).reshape(-1, 2), axis=0)
-    # base spans that begin before the run's end, less those that end by its start
-    free = np.searchsorted(taken[:, 0], end, side="left") == np.searchsorted(taken[:, 1], start, side="right")
-    return doc[free], start[free], end[free]
+    return start[long], end[long]
+
+
+def candidates(data: np.ndarray, off: np.ndarray, base: dict[int, list[Span]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the runs of token characters outside the base spans."""
+    start, end = long_runs(outside(data, off, base), off)
+    return np.searchsorted(off, start, side="right") - 1, start, end
+
+
+def pieces(data: np.ndarray, off: np.ndarray, base: dict[int, list[Span]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the candidates, then of their parts at finer and finer
+    cuts, each as it stands and without signs at its ends; each once."""
+    mask, plain = outside(data, off, base), np.flatnonzero(_PLAIN[data])
+    starts, ends = [], []
+    for cut in CUTS:
+        start, end = long_runs(mask & ~_SIGNS[cut][data], off)
+        low, high = np.searchsorted(plain, start), np.searchsorted(plain, end) - 1
+        some = low <= high
+        starts += [start, plain[low[some]]]
+        ends += [end, plain[high[some]] + 1]
+    start, end = np.concatenate(starts), np.concatenate(ends)
+    long = np.flatnonzero(end - start >= MIN_CANDIDATE)
+    _, first = np.unique(start[long] * (len(data) + 1) + end[long], return_index=True)
+    first = long[np.sort(first)]
+    return np.searchsorted(off, start[first], side="right") - 1, start[first], end[first]
 
 
 class Automaton:
@@ -278,10 +314,13 @@ def spans_of(formats: Formats, column: pa.Array) -> tuple[dict[int, list[Span]],
     """All spans of each text that has any, with the bytes and offsets of the slice."""
     data, off = flat(column)
     found = base_spans(data, off, column.to_pylist())
-    doc, start, end = candidates(data, off, found)
+    doc, start, end = pieces(data, off, found)
     ok = formats.accepted(data, start, end)
-    for d, s, e in zip(doc[ok], start[ok] - off[doc[ok]], end[ok] - off[doc[ok]], strict=True):
-        found.setdefault(int(d), []).append((int(s), 3, int(e)))
+    taken = np.zeros(len(data), bool)
+    for d, s, e in zip(doc[ok].tolist(), start[ok].tolist(), end[ok].tolist(), strict=True):
+        if not taken[s:e].any():
+            taken[s:e] = True
+            found.setdefault(d, []).append((s - int(off[d]), 3, e - int(off[d])))
     return {d: sorted(v) for d, v in found.items()}, data, off
 
 

@@ -63,6 +63,20 @@ def test_learned_formats_add_spans_and_leave_words_alone(spark):
     assert row.spans == f"format:{text.index('BQJ')}:{text.index(' and D')}" and row.n_format == 1 and row.n_access == 0
 
 
+def test_pieces_of_runs_are_scored(spark):
+    keys = made(200, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", 16, 1)
+    f = S.Formats({"access": [b"AKIA" + k for k in keys]}, made(400, "abcdefghijklmnopqrstuvwxyz", 14, 2))
+    key, hexes = "BQJC8Z2M4T9B6X1C7V5N", "0123456789abcdef"
+    around = ["a stop {}.", "three {}...", "bearer={}", "x=1&sig={}&y", "https://example.org/files/v2/{}", "/{}/", "auth={}/", "name-{}", "a.b.{}.c", f"{hexes}{{}}", f"{{}}{hexes}", "({})", "one={} two={}"]
+    rows = [(i, a.replace("{}", key)) for i, a in enumerate(around)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for r, (_, t) in zip(S.scan(df, f).orderBy("doc_id").collect(), rows, strict=True):
+        spans = {tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("format")}
+        assert spans == {(i, i + len(key)) for i in range(len(t)) if t.startswith(key, i)}, (t, r.spans)
+    text = "other_names_of.files/and-paths=here WORDS/IN/CAPITALS/ONLY.THEN"
+    assert S.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), f).first().spans == ""
+
+
 def test_probabilities_of_an_automaton_sum_to_one():
     a = S.Automaton(made(100, "0123456789abcdef", 6, 3) + made(30, "ABCDEF", 3, 4))
     import numpy as np
