@@ -11,8 +11,9 @@ The largest that scores becomes a span of kind ``format``: its log-likelihood ra
 against a background model of ordinary runs must reach the level that nearly all
 held-back labelled credentials reach.
 
-Training bound: at most ``SAMPLE`` distinct values of each kind and of the
-background, those with the smallest hashes.  Counting and scanning cover all rows.
+Training bound: at most ``SAMPLE`` distinct values of each kind, those with the
+smallest hashes; one value is enough for an automaton.  The background counts every
+run of all documents as often as it occurs; counting and scanning cover all rows.
 
 Defined results: NULL text counts as empty; an empty text has no spans, the
 digest of the empty string and an empty span list; repeated rows are each
@@ -59,6 +60,7 @@ _HEX[[ord(c) for c in "0123456789abcdef"]] = True
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[ord(c) for chars in CLASSES[:5] for c in chars]] = True
 # Signs at which candidates are cut, coarse to fine.
+_LOWER, _UPPER = (np.frombuffer(f(bytes(range(256))), np.uint8) for f in (bytes.lower, bytes.upper))
 CUTS = ("", "=", "=/", "=/.", "=/.+_-")
 _SIGNS = {cut: np.isin(np.arange(256), list(cut.encode())) for cut in CUTS}
 
@@ -212,18 +214,34 @@ class Automaton:
         return np.where(state >= 0, total + self.end[np.maximum(state, 0)], -np.inf)
 
 
+def transitions(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Counts of (class, next class) in the runs of ``data``, their ends as one more class.
+    Each run counts as it stands, in lower and in upper case, so that a change of case
+    alone never looks like a credential."""
+    n, size = len(CLASSES), end - start
+    inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+    first = np.cumsum(size + 1) - size - 1  # a closing class after each run
+    own = np.ones(size.sum() + len(size), bool)
+    own[first + size] = False
+    count = np.zeros((n + 1) ** 2, np.int64)
+    for case in (SYMBOL, SYMBOL[_LOWER], SYMBOL[_UPPER]):
+        s = np.full(len(own) + 1, n, np.int64)
+        s[1:][own] = case[data[inner]]
+        s[0] = n
+        count += np.bincount(s[:-1] * (n + 1) + s[1:], minlength=len(count))
+    return count.reshape(n + 1, n + 1)
+
+
 class Background:
     """First-order Markov model of ordinary runs over the character classes, add-one
-    smoothed.  Each run counts as it stands, in lower and in upper case, so that a
-    change of case alone never looks like a credential."""
+    smoothed, from the runs or their ``transitions``."""
 
-    def __init__(self, words: list[bytes]):
-        n = len(CLASSES)
-        count = np.ones((n + 1, n + 1))
-        for w in (v for word in words for v in (word, word.lower(), word.upper())):
-            s = SYMBOL[np.frombuffer(w, np.uint8)]
-            np.add.at(count, (np.append(n, s), np.append(s, n)), 1)
-        self.cost = np.log2(count / count.sum(1, keepdims=True))
+    def __init__(self, words: list[bytes] | np.ndarray):
+        if isinstance(words, list):
+            size = np.array([len(w) for w in words], np.int64)
+            end = np.cumsum(size)
+            words = transitions(np.frombuffer(b"".join(words), np.uint8), end - size, end)
+        self.cost = np.log2((words + 1) / (words + 1).sum(1, keepdims=True))
 
     def scores(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         n = len(CLASSES)
@@ -237,16 +255,16 @@ class Background:
 class Formats:
     """Automata by kind, the background, and the score level of each kind."""
 
-    def __init__(self, labelled: dict[str, list[bytes]], ordinary: list[bytes]):
+    def __init__(self, labelled: dict[str, list[bytes]], ordinary: list[bytes] | np.ndarray):
         self.background = Background(ordinary)
         self.models: list[tuple[str, Automaton, float]] = []
         for kind in KINDS[:3]:
             values = labelled.get(kind, [])
-            cut = int(len(values) * HELD_BACK)
-            if len(values) < 20:
+            if not values:
                 continue
+            cut = int(len(values) * HELD_BACK)
             model = Automaton(values[cut:])
-            ratio = np.sort(self._ratio(model, *self._runs(values[:cut])))
+            ratio = np.sort(self._ratio(model, *self._runs(values[:cut] or values)))  # of fewer than four none is held back
             self.models.append((kind, model, max(0.0, float(ratio[int(len(ratio) * REACH)]))))
 
     @staticmethod
@@ -276,12 +294,14 @@ def smallest(values: set[bytes], n: int) -> list[tuple[int, bytes]]:
 
 
 def credentials(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(kind, hash, value): the values of base spans, and ``ordinary`` candidates.  Each
-    task returns its ``sample`` values with the smallest hashes a kind, among which
-    are all that belong to the sample of the whole table."""
+    """(kind, hash, value, n): the values of base spans, and as ``ordinary`` the
+    transition counts of all candidates (hash: the cell).  Each task returns its
+    ``sample`` values with the smallest hashes a kind, among which are all that belong
+    to the sample of the whole table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, set[bytes]] = {k: set() for k in (*KINDS[:3], "ordinary")}
+        held: dict[str, set[bytes]] = {k: set() for k in KINDS[:3]}
+        ordinary = np.zeros((len(CLASSES) + 1) ** 2, np.int64)
         for b in slices(batches):
             column = octets(b.column(0))
             data, off = flat(column)
@@ -290,24 +310,29 @@ def credentials(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
             for d, spans in base.items():
                 for s, k, e in spans:
                     held[KINDS[k]].add(ASSIGN.match(texts[d], s)[2] if k == 0 else texts[d][s:e])
-            doc, start, end = candidates(data, off, base)
-            held["ordinary"].update(texts[d][s:e] for d, s, e in zip(doc, start - off[doc], end - off[doc], strict=True))
+            _, start, end = candidates(data, off, base)
+            ordinary += transitions(data, start, end).ravel()
             for kind, values in held.items():
                 if len(values) > 8 * sample:
                     held[kind] = {v for _, v in smallest(values, sample)}
-        for kind, values in held.items():
-            rows = smallest(values, sample)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(rows)), pa.array([h for h, _ in rows], pa.int64()), pa.array([v for _, v in rows], pa.binary())], ["kind", "hash", "value"])
+        rows = [(kind, h, v, 1) for kind, values in held.items() for h, v in smallest(values, sample)]
+        rows += [("ordinary", i, b"", n) for i, n in enumerate(ordinary.tolist()) if n]
+        if rows:
+            kinds = (pa.string(), pa.int64(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["kind", "hash", "value", "n"])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kind string, hash bigint, value binary").distinct()
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kind string, hash bigint, value binary, n bigint")
+    return found.groupBy("kind", "hash", "value").agg(F.sum("n").alias("n"))
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
     """Automata from at most ``sample`` distinct values a kind, chosen by hash."""
     found = persisted(credentials(docs, sample))
     take = lambda kind: [bytes(r[0]) for r in found.filter(F.col("kind") == kind).orderBy("hash", "value").limit(sample).select("value").collect()]
-    return Formats({k: take(k) for k in KINDS[:3]}, take("ordinary"))
+    ordinary = np.zeros((len(CLASSES) + 1) ** 2, np.int64)
+    for cell, n in found.filter("kind = 'ordinary'").select("hash", "n").collect():
+        ordinary[cell] = n
+    return Formats({k: take(k) for k in KINDS[:3]}, ordinary.reshape(len(CLASSES) + 1, -1))
 
 
 def spans_of(formats: Formats, column: pa.Array) -> tuple[dict[int, list[Span]], np.ndarray, np.ndarray]:

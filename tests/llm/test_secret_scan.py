@@ -77,6 +77,34 @@ def test_pieces_of_runs_are_scored(spark):
     assert S.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), f).first().spans == ""
 
 
+def test_background_counts_every_run_as_often_as_it_occurs(spark):
+    import numpy as np
+
+    words = made(900, "abcdefghijklmnopqrstuvwxyz", 14, 5)
+    runs = [*words, *[b"IMG_20240131_%06d.jpg" % i for i in range(3)] * 400, b"ab==", b"ABCDEF-012345"]
+    rows = [(i, r.decode() + " x") for i, r in enumerate(runs)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    n = len(S.CLASSES)
+    count = np.zeros((n + 1, n + 1))
+    for w in runs:
+        for v in (w, w.lower(), w.upper()) if len(w) >= 12 else ():
+            s = S.SYMBOL[np.frombuffer(v, np.uint8)]
+            np.add.at(count, (np.append(n, s), np.append(s, n)), 1)
+    for sample in (600, 5):
+        cost = S.learn(docs, sample).background.cost
+        assert np.allclose(cost, np.log2((count + 1) / (count + 1).sum(1, keepdims=True)))
+
+
+def test_few_labelled_credentials_give_formats(spark):
+    ordinary = made(400, "abcdefghijklmnopqrstuvwxyz", 14, 2)
+    keys = made(8, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", 16, 1)
+    for n in (1, 3, 4, 8):
+        f = S.Formats({"access": [b"AKIA" + k for k in keys[:n]]}, ordinary)
+        assert [m[0] for m in f.models] == ["access"]
+    text = "see BQJC8Z2M4T9B6X1C7V5N and Donaudampfschifffahrt here"
+    assert S.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), f).first().spans == f"format:4:{text.index(' and')}"
+
+
 def test_probabilities_of_an_automaton_sum_to_one():
     a = S.Automaton(made(100, "0123456789abcdef", 6, 3) + made(30, "ABCDEF", 3, 4))
     import numpy as np
