@@ -1,8 +1,10 @@
 """Toxicity: noisy-channel restoration of disguised words, then a learned score.
 
 Restoration.  A stretch of text is suspect if it mixes letters with look-alike
-digits or signs (``m0r0n``), repeats a letter three times or more or doubles three
-letters, or spells a word letter by letter (``m o r o n``, ``m.0.r.0.n``).  Each suspect stretch becomes a
+digits or signs (``m0r0n``), repeats a letter three times or more, doubles three
+letters or any letter whose single form is cheaper under the character model
+(``iddiot``), or spells a word by units of one letter, repeated or not, between white
+space or any signs (``m oo r o n``, ``m/0/r/0/n``).  Each suspect stretch becomes a
 lattice: every unit (a character with its repetition) has the alternatives that a
 writer could have meant, each with a channel cost in bits.  Viterbi decoding under
 a character trigram model finds the cheapest reading exactly.  The trigram model is
@@ -24,6 +26,7 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +46,7 @@ STEMS = (4, 5, 6)
 # Look-alike signs and the letters they stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l"}
 SEPARATORS = ".-_*"
+BETWEEN = re.compile(r"[\W_]+")
 # Channel costs in bits.
 SUBSTITUTE, REPEAT, JOIN, SPLIT, NOISE = 1.0, 1.0, 0.5, 6.0, 20.0
 
@@ -53,7 +57,9 @@ _LOOK[[ord(c) for c in LOOKALIKES]] = True
 _INNER = np.zeros(256, bool)  # signs that count only with a letter on either side
 _INNER[[ord("!"), ord("|")]] = True
 _SEP = np.zeros(256, bool)
-_SEP[[ord(c) for c in SEPARATORS]] = True
+_SEP[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in LOOKALIKES]] = True
+_NUMBER = np.zeros(256, bool)  # digits that stand for no letter
+_NUMBER[[c for c in range(48, 58) if chr(c) not in LOOKALIKES]] = True
 
 # Symbols of the character model: 0 any other byte, 1-26 letters, then bytes from 128.
 MODEL_SIZE = 27 + 128
@@ -107,10 +113,21 @@ class CharModel:
         return self.known[token]
 
 
+def spelt(text: str) -> bool:
+    """Whether three units of one character, repeated or not, follow each other between signs."""
+    row = 0
+    for unit in BETWEEN.split(text):
+        row = row + 1 if unit and unit == unit[0] * len(unit) else 0
+        if row == 3:
+            return True
+    return False
+
+
 def lattice(token: bytes) -> list[list[tuple[bytes, float]]]:
     """Alternatives of each unit of a lower-cased stretch: a letter or sign with its repetition."""
     text = token.decode("utf-8", "replace")
-    units, i = [], 0
+    apart = spelt(text)
+    units, i, before = [], 0, ""  # the letters that the unit before the separator could be
     while i < len(text):
         c, j = text[i], i
         while j < len(text) and text[j] == c:
@@ -119,13 +136,25 @@ def lattice(token: bytes) -> list[list[tuple[bytes, float]]]:
         if c.isalpha():
             one = c.encode()
             units.append([(one, 0.0)] if r == 1 else [(one, REPEAT), (one * 2, REPEAT if r > 2 else 0.0)])
+            if apart and c in before:
+                units[-1].append((b"", REPEAT))
+            before = c
         elif c in LOOKALIKES:
             options = [(b" ", NOISE), (b"", NOISE)]
             for x in LOOKALIKES[c]:
                 options.append((x.encode(), SUBSTITUTE if r == 1 else SUBSTITUTE + REPEAT))
                 if r > 1:
                     options.append((x.encode() * 2, SUBSTITUTE))
+                if apart and x in before:
+                    options.append((b"", SUBSTITUTE + REPEAT))
+            if apart and not c.isalnum():
+                options[:2] = [(b"", JOIN), (b" ", SPLIT)]
             units.append(options)
+            before = LOOKALIKES[c] if c.isalnum() else before + LOOKALIKES[c]
+        elif apart and not c.isalnum():
+            while i < len(text) and not text[i].isalnum() and text[i] not in LOOKALIKES:
+                i += 1
+            units.append([(b"", JOIN), (b" ", SPLIT)])
         elif c.isspace() or c in SEPARATORS:
             units.append([(b"", JOIN), (b" ", SPLIT)])
         else:
@@ -133,7 +162,7 @@ def lattice(token: bytes) -> list[list[tuple[bytes, float]]]:
     return units
 
 
-def suspects(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def suspects(low: np.ndarray, off: np.ndarray, model: CharModel) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the suspect stretches of lower-cased bytes."""
     n = len(low)
     if n < 3:
@@ -146,33 +175,42 @@ def suspects(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mark[:-2] |= same
     letter = alpha | look
     if n >= 5:  # letter, sign, letter, sign, letter; look-alikes count, but not alone
-        spelt = letter[:-4] & sep[1:-3] & letter[2:-2] & sep[3:-1] & letter[4:]
-        mark[:-4] |= spelt & (alpha[:-4] | alpha[2:-2] | alpha[4:])
-    count = np.concatenate(([0], np.cumsum(mark)))
-    hit = count[end] > count[start]
+        between = letter[:-4] & sep[1:-3] & letter[2:-2] & sep[3:-1] & letter[4:]
+        mark[:-4] |= between & (alpha[:-4] | alpha[2:-2] | alpha[4:])
     pair = np.zeros(n, bool)
     pair[:-1] = (low[1:] == low[:-1]) & alpha[1:] & (low[1:] < 128)
+    border = np.zeros(n + 3, bool)  # where a text begins or ends
+    border[off] = True
+    pair &= ~border[1 : n + 1]
+    # A doubled letter is suspect if the single one is cheaper; only the three codes
+    # over the pair differ, unless another pair follows at once.
+    code = np.concatenate((_CODE[low], [0, 0]))
+    at = np.flatnonzero(pair)
+    x, y, z = np.where(border[at], 0, code[at - 1]), code[at], np.where(border[at + 2], 0, code[at + 2])
+    mark[at] |= (model.bits[x, y, y] + model.bits[y, y, z] > model.bits[x, y, z] + REPEAT) | np.concatenate((pair, [False, False]))[at + 2]
+    count = np.concatenate(([0], np.cumsum(mark)))
+    hit = count[end] > count[start]
     count = np.concatenate(([0], np.cumsum(pair)))
     hit |= count[end] - count[start] >= 3  # three doubled letters
-    # single letters with one or two blanks between: three or more in a row are one stretch
-    single = (end - start == 1) & letter[start] if len(start) else np.zeros(0, bool)
-    doc = np.searchsorted(off, start, side="right") - 1
-    next_ = np.zeros(len(start), bool)
-    if len(start) > 1:
-        next_[:-1] = single[:-1] & single[1:] & (start[1:] - end[:-1] <= 2) & (doc[1:] == doc[:-1])
-    first = next_ & ~np.concatenate(([False], next_[:-1]))
-    last = ~next_ & np.concatenate(([False], next_[:-1]))
-    a, b = np.flatnonzero(first), np.flatnonzero(last)
-    count = np.concatenate(([0], np.cumsum(alpha[start]))) if len(start) else np.zeros(1, np.int64)
+    # units of one letter, repeated or not, with signs and blanks between: three or more in a row are one stretch
+    first, last = runs(letter, off)
+    change = np.concatenate(([0], np.cumsum(low[1:] != low[:-1])))
+    unit = (low[first] < 128) & (change[last - 1] == change[first]) | (low[first] >= 0xC2) & (low[first] < 0xE0) & (last - first == 2)
+    doc = np.searchsorted(off, first, side="right") - 1
+    count = np.concatenate(([0], np.cumsum(_NUMBER[low])))
+    next_ = np.zeros(len(first), bool)
+    next_[:-1] = unit[:-1] & unit[1:] & (doc[1:] == doc[:-1]) & (count[first[1:]] == count[last[:-1]])
+    a = np.flatnonzero(next_ & ~np.concatenate(([False], next_))[: len(next_)])
+    b = np.flatnonzero(~next_ & np.concatenate(([False], next_))[: len(next_)])
+    count = np.concatenate(([0], np.cumsum(alpha[first])))
     long = (b - a >= 2) & (count[b + 1] - count[a] >= 2)
-    a, b = a[long], b[long]
-    inside = np.zeros(len(start) + 1, np.int64)
-    np.add.at(inside, a, 1)
-    np.add.at(inside, b + 1, -1)
-    hit &= np.cumsum(inside[:-1]) == 0
-    s, e = np.concatenate((start[hit], start[a])), np.concatenate((end[hit], end[b]))
-    order = np.argsort(s)
-    return s[order], e[order]
+    s, e = np.concatenate((start[hit], first[a[long]])), np.concatenate((end[hit], last[b[long]]))
+    if not len(s):
+        return s, e
+    order = np.argsort(s, kind="stable")
+    s, e = s[order], np.maximum.accumulate(e[order])
+    new = np.concatenate(([True], s[1:] >= e[:-1]))  # what overlaps is one stretch
+    return s[new], e[np.append(np.flatnonzero(new)[1:] - 1, len(e) - 1)]
 
 
 def trimmed(token: bytes) -> tuple[int, int]:
@@ -198,7 +236,7 @@ def trimmed(token: bytes) -> tuple[int, int]:
 
 def restore(model: CharModel, low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Lower-cased texts with their suspect stretches restored, and how many changed."""
-    start, end = suspects(low, off)
+    start, end = suspects(low, off, model)
     if not len(start):
         return low, off, 0
     raw, out, at, shift, changed = low.tobytes(), [], 0, np.zeros(len(off), np.int64), 0
@@ -368,7 +406,7 @@ def score(docs: DataFrame, model: CharModel, scorer: Scorer) -> DataFrame:
             data, off = flat(octets(b.column(2)))
             low = lowered(data)
             changed = np.zeros(b.num_rows, np.int64)
-            start, _ = suspects(low, off)
+            start, _ = suspects(low, off, lm)
             if len(start):
                 np.add.at(changed, np.searchsorted(off, start, side="right") - 1, 1)
             low, off, _ = restore(lm, low, off)

@@ -32,6 +32,26 @@ def test_disguises_are_undone_and_plain_text_stays():
         assert restored(m, text) == want, text
 
 
+def test_doubled_letters_and_loose_spelling():
+    m = model_of(["idiot", "moron", "stupid", "the", "clown", "loser", "trash", "balloon", "see", "was", "committee"] * 50)
+    for text, want in (
+        ("the stuupid was", "the stupid was"), ("iddiot", "idiot"), ("iddioot!", "idiot!"), ("mmooron", "moron"), ("balloon, committee, see", "balloon, committee, see"),
+        ("see m oo r o n", "see moron"), ("i d ddd i o t", "idiot"), ("i d d i o t", "idiot"), ("m/o/r/o/n", "moron"), ("m   o   r   o   n", "moron"), ("(m, o, rr, o, n)", "(moron)"),
+        ("m / 0 / r / 0 / n", "moron"), ("m|o|r|o|n", "moron"), ("st/u/p/i/d", "stupid"), ("c~l~o~w~n the", "clown the"), ("m\no\n\n\nr\no\nn", "moron"),
+        ("2 / 3, 4 / 5", "2 / 3, 4 / 5"), ("the/see, was", "the/see, was"), ("a 2 b 6 c", "a 2 b 6 c"),
+    ):
+        assert restored(m, text) == want, text
+
+
+def test_stretches_stay_inside_their_texts():
+    m = model_of(["moron", "the"] * 50)
+    texts = [b"the m", b"o", b"r o n", b"", b"m/o/r/o/n", b"n m", b"o r"]
+    low, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    out, new, n = T.restore(m, low, off)
+    got = [out.tobytes()[a:b] for a, b in zip(new[:-1], new[1:], strict=True)]
+    assert got[:2] == texts[:2] and got[3:] == [b"", b"moron", *texts[5:]]
+
+
 def test_viterbi_against_all_paths():
     m = model_of(["idiot", "toil", "lie", "see", "boil"] * 20)
     for token in (b"1d10t", b"l1e", b"seeee", b"b0001l", b"t o 1 l"):
