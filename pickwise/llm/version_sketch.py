@@ -9,6 +9,12 @@ out of its three cells, until all cells are zero.  Sketches of two texts are spl
 into shards by digest so that each shard holds about ``LOAD`` digests; a shard that
 does not peel is retried with wider subtables and other hashes.  If the widest fails
 too, its digests are compared as sets, so no document stays without a result.
+``recovered`` returns the digests of each side; the query needs their numbers only,
+which ``difference`` counts in the same way.
+
+The stored fingerprint is one sketch of ``3 * PRINT_WIDTH`` cells whatever the length
+of the text: equal digest sets have equal fingerprints, but those of two versions
+peel only if a few digests differ.
 
 The likeness of two texts is the share of their digests that do not differ (Dice
 similarity of the sets), from the set sizes and the numbers of digests peeled.
@@ -81,8 +87,13 @@ def empty(cells: Column) -> Column:
     return F.forall(cells, lambda x: (x["n"] == 0) & (x["d"] == 0) & (x["h"] == 0))
 
 
-def peeled(cells: Column, most: Column, width: int) -> Column:
-    """(ours, theirs): digests recovered on each side, or NULL if cells remain."""
+def peeled(cells: Column, most: Column, width: int, keep: bool = False) -> Column:
+    """(ours, theirs): how many digests are recovered on each side, or with ``keep`` the
+    digests themselves; NULL if cells remain."""
+    none = F.array().cast("array<bigint>") if keep else F.lit(0)
+
+    def more(old: Column, p: Column, hit: Column) -> Column:
+        return F.concat(old, F.filter(F.array(p["d"]), lambda _: hit)) if keep else old + hit.cast("int")
 
     def step(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda x: (F.abs(x["n"]) == 1) & (check(x["d"]) == x["h"]))
@@ -90,31 +101,38 @@ def peeled(cells: Column, most: Column, width: int) -> Column:
         def out(p: Column) -> Column:
             hit = lambda i: (i == p["c"]["c0"]) | (i == p["c"]["c1"]) | (i == p["c"]["c2"])
             less = lambda x: F.struct((x["n"] - p["n"]).alias("n"), x["d"].bitwiseXOR(p["d"]).alias("d"), x["h"].bitwiseXOR(p["h"]).alias("h"))
-            return F.struct(F.transform(state["cells"], lambda x, i: F.when(hit(i), less(x)).otherwise(x)).alias("cells"), (state["ours"] + (p["n"] > 0).cast("int")).alias("ours"), (state["theirs"] + (p["n"] < 0).cast("int")).alias("theirs"))
+            return F.struct(F.transform(state["cells"], lambda x, i: F.when(hit(i), less(x)).otherwise(x)).alias("cells"), more(state["ours"], p, p["n"] > 0).alias("ours"), more(state["theirs"], p, p["n"] < 0).alias("theirs"))
 
         placed = lambda p: F.struct(p["n"].alias("n"), p["d"].alias("d"), p["h"].alias("h"), cells_of(p["d"], width).alias("c"))
         return let(pure, lambda p: F.when(F.size(p) == 0, state).otherwise(let(placed(F.get(p, F.lit(0))), out)))
 
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("ours"), F.lit(0).alias("theirs"))
+    start = F.struct(cells.alias("cells"), none.alias("ours"), none.alias("theirs"))
     steps = F.when(empty(cells) | (most < 1), F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.greatest(most, F.lit(1))))
     end = F.aggregate(steps, start, step)
     return let(end, lambda e: F.when(empty(e["cells"]), F.struct(e["ours"].alias("ours"), e["theirs"].alias("theirs"))))
 
 
-def attempt(ours: Column, theirs: Column, width: int) -> Column:
+def attempt(ours: Column, theirs: Column, width: int, keep: bool = False) -> Column:
     """Subtracts the sketches of one shard and peels the rest."""
     both = F.concat(items(ours, 1, width), items(theirs, -1, width))
-    return let(let(both, lambda e: sketch(e, width)), lambda c: peeled(c, F.size(ours) + F.size(theirs), width))
+    return let(let(both, lambda e: sketch(e, width)), lambda c: peeled(c, F.size(ours) + F.size(theirs), width, keep))
 
 
-def shard_difference(ours: Column, theirs: Column) -> Column:
+def shard_difference(ours: Column, theirs: Column, keep: bool = False) -> Column:
     """(ours, theirs) of one shard, retried with wider sketches until it peels."""
-    plain = F.struct(F.size(F.array_except(ours, theirs)).alias("ours"), F.size(F.array_except(theirs, ours)).alias("theirs"))
-    return F.coalesce(*[attempt(ours, theirs, w) for w in WIDTHS], plain)
+    only = lambda a, b: F.array_except(a, b) if keep else F.size(F.array_except(a, b))
+    plain = F.struct(only(ours, theirs).alias("ours"), only(theirs, ours).alias("theirs"))
+    return F.coalesce(*[attempt(ours, theirs, w, keep) for w in WIDTHS], plain)
+
+
+def recovered(ours: Column, theirs: Column) -> Column:
+    """(ours, theirs): the digests only in one of two sets, peeled from sharded sketches."""
+    return difference(ours, theirs, keep=True)
 
 
-def difference(ours: Column, theirs: Column) -> Column:
-    """(ours, theirs): numbers of digests only in one of two sets, through sharded sketches.
+def difference(ours: Column, theirs: Column, keep: bool = False) -> Column:
+    """(ours, theirs): numbers of digests only in one of two sets, through sharded
+    sketches; with ``keep`` the digests.
 
     Shards lie in about sqrt(shards) blocks, so that dealing a long text's digests
     costs their number times that root."""
@@ -125,10 +143,13 @@ def difference(ours: Column, theirs: Column) -> Column:
         def block(b: Column) -> Column:
             mine = lambda ds: F.filter(ds, lambda d: F.pmod(d, n) == b)
             inner = lambda ds, s: F.filter(ds, lambda d: F.pmod(F.shiftright(d, 20), n) == s)
-            return let(F.struct(mine(ours).alias("a"), mine(theirs).alias("b")), lambda p: F.transform(F.sequence(F.lit(0), n - 1), lambda s: let(F.struct(inner(p["a"], s).alias("a"), inner(p["b"], s).alias("b")), lambda q: shard_difference(q["a"], q["b"]))))
+            return let(F.struct(mine(ours).alias("a"), mine(theirs).alias("b")), lambda p: F.transform(F.sequence(F.lit(0), n - 1), lambda s: let(F.struct(inner(p["a"], s).alias("a"), inner(p["b"], s).alias("b")), lambda q: shard_difference(q["a"], q["b"], keep))))
 
         return F.flatten(F.transform(F.sequence(F.lit(0), n - 1), block))
 
+    if keep:
+        side_of = lambda shards, name: F.flatten(F.transform(shards, lambda x: x[name])).alias(name)
+        return let(let(side, per_block), lambda shards: F.struct(side_of(shards, "ours"), side_of(shards, "theirs")))
     zero = F.struct(F.lit(0).alias("ours"), F.lit(0).alias("theirs"))
     add = lambda acc, x: F.struct((acc["ours"] + x["ours"]).alias("ours"), (acc["theirs"] + x["theirs"]).alias("theirs"))
     return let(side, lambda n: F.aggregate(per_block(n), zero, add))

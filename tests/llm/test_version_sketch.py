@@ -67,6 +67,19 @@ def test_narrow_sketches_fail_and_wider_ones_recover(spark):
     assert sum(x.failed for x in r) > 30 and all((x.d.ours, x.d.theirs) == (20, 0) for x in r)
 
 
+def test_recovered_digests_are_those_that_differ(spark):
+    some = lambda n, m: F.transform(F.sequence(F.lit(n), F.lit(m)), lambda i: F.xxhash64(i, "id"))
+    df = spark.range(12).select(
+        F.when(F.col("id") == 0, F.array().cast("array<bigint>")).when(F.col("id") < 6, some(1, 30)).otherwise(some(1, 400)).alias("a"),
+        F.when(F.col("id") == 1, F.array().cast("array<bigint>")).when(F.col("id") < 6, some(21, 45)).otherwise(some(3, 402)).alias("b"),
+    )
+    for r in df.select("a", "b", V.recovered(F.col("a"), F.col("b")).alias("d"), V.difference(F.col("a"), F.col("b")).alias("n")).collect():
+        assert sorted(r.d.ours) == sorted(set(r.a) - set(r.b)) and sorted(r.d.theirs) == sorted(set(r.b) - set(r.a))
+        assert (r.n.ours, r.n.theirs) == (len(r.d.ours), len(r.d.theirs))
+    one = df.limit(6).select("a", "b", V.attempt(F.col("a"), F.col("b"), V.WIDTHS[-1], keep=True).alias("d"))
+    assert all(r.d is not None and set(r.d.ours) == set(r.a) - set(r.b) and set(r.d.theirs) == set(r.b) - set(r.a) for r in one.collect())
+
+
 def test_no_python_in_the_plan(spark, sf_small):
     import contextlib
     import io
