@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import cotrain, decontaminate, langid, mixing, near_dups, secret_scan, token_rollup, tool_calls, toxicity, version_sketch
+from pickwise.llm import cotrain, decontaminate, langid, line_dedup, mixing, near_dups, secret_scan, token_rollup, tool_calls, toxicity, turn_repair, version_sketch
 from pickwise.llm.common import table
 from pickwise.session import shared_dir
 
@@ -54,6 +54,15 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link(*tool_calls.from_conversations(table(spark, sf_dir, "conversations")), tool_calls.SCHEMAS)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.digest_report(turn_repair.repair(turn_repair.damage(turns), turns))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(line_dedup.drop_common_lines(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -65,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_rollup": op8_token_rollup,
     "op9_version_fingerprints": op9_version_fingerprints,
     "op10_tool_calls": op10_tool_calls,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op13_line_dedup": op13_line_dedup,
 }
 # A system or user turn is a call, an assistant turn the result of the turn before it.
 OP10_SQL = """
@@ -96,4 +107,95 @@ SELECT r.conv_id, r.turn AS order_key, r.turn, r.call_id, CAST(NULL AS VARCHAR)
 FROM r WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.call_id = r.call_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_tool_calls": OP10_SQL}
+# CRC-32 by its table; then a dynamic program over rows and the states 0 (start), 1 (after s),
+# 2 (after u), 3 (after a), at most one insert before each row and at the end.
+OP11_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([CAST(i AS BIGINT)] || range(8), lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i))
+), given AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), marked AS (
+  SELECT given.*, xor(list_reduce([4294967295] || list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                      lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS INTEGER)])), 4294967295) % 20 AS fault
+  FROM given, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM marked WHERE fault <> 0
+), placed AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, substr(role, 1, 1) AS c,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+  FROM damaged
+), faulty AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+         lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed
+), counts AS (
+  SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE i > 1 AND before || c NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM faulty GROUP BY conv_id
+), edit(letter, price) AS (VALUES ('K', 0), ('R', 1), ('D', 2)
+), state(q, made, q2) AS (VALUES (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), way AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, CAST(0 AS BIGINT) AS cost, '' AS audit, '' AS body FROM counts
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit, body FROM (
+    SELECT conv_id, i, q, cost, audit, body, row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) AS place FROM (
+      SELECT w.conv_id, w.i + 1 AS i,
+             CASE WHEN letter = 'D' THEN w.q WHEN letter = 'R' THEN s.q2 WHEN f.c = 's' THEN 1 WHEN f.c = 'u' THEN 2 ELSE 3 END AS q,
+             w.cost + price + CASE WHEN letter <> 'D' AND f.fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+             w.audit || letter AS audit,
+             w.body || CASE WHEN letter = 'D' THEN '' WHEN w.body = '' THEN '' ELSE chr(10) END
+                    || CASE WHEN letter = 'D' THEN '' WHEN letter = 'K' THEN f.role || ':' || f.text
+                            WHEN s.made = 'u' THEN 'user:' || f.text ELSE 'assistant:' || f.text END AS body
+      FROM (
+        SELECT conv_id, i, q, cost, audit, body FROM way
+        UNION ALL
+        SELECT conv_id, i, q2, cost + 5, audit || 'I', body || CASE WHEN body = '' THEN '' ELSE chr(10) END || CASE WHEN made = 'u' THEN 'user:' ELSE 'assistant:' END
+        FROM way JOIN state USING (q)
+      ) w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+      JOIN state s ON s.q = w.q
+      CROSS JOIN edit
+      WHERE letter = 'D' OR (f.fault NOT IN ('blank', 'duplicate') AND (letter = 'R' OR (f.c = 's' AND w.q = 0) OR f.c = s.made))
+    )
+  ) WHERE place = 1
+), ended AS (
+  SELECT w.conv_id, w.q, w.cost, w.audit, w.body FROM way w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i
+), finished AS (
+  SELECT conv_id, cost, audit, body, row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) AS place FROM (
+    SELECT conv_id, cost, audit, body FROM ended WHERE q IN (0, 3)
+    UNION ALL
+    SELECT conv_id, cost + 5, audit || 'I', body || chr(10) || 'assistant:' FROM ended WHERE q = 2
+  )
+)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated,
+       coalesce(c.illegal, 0) AS illegal, coalesce(f.cost, 0) AS cost, coalesce(f.audit, '') AS audit, sha256(coalesce(f.body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM given) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN finished f ON f.conv_id IS NOT DISTINCT FROM o.conv_id AND f.place = 1
+"""
+
+OP13_SQL = """
+WITH given AS (
+  SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS text FROM documents
+), cut AS (
+  SELECT r, doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM given
+), keyed AS (
+  SELECT r, coalesce(CAST(doc_id AS VARCHAR), ':' || text) AS doc, doc_id, line, pos,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM cut
+), common AS (
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common c ON c.key = keyed.key GROUP BY r, doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op10_tool_calls": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op13_line_dedup": OP13_SQL}
