@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import cotrain, decontaminate, langid, line_dedup, mixing, near_dups, secret_scan, token_rollup, tool_calls, toxicity, turn_repair, version_sketch
+from pickwise.llm import cotrain, decontaminate, hard_negatives, langid, line_dedup, mixing, near_dups, secret_scan, token_rollup, tool_calls, toxicity, turn_repair, version_sketch
 from pickwise.llm.common import table
 from pickwise.session import shared_dir
 
@@ -59,6 +59,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.digest_report(turn_repair.repair(turn_repair.damage(turns), turns))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(line_dedup.drop_common_lines(table(spark, sf_dir, "documents")))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_version_fingerprints": op9_version_fingerprints,
     "op10_tool_calls": op10_tool_calls,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_line_dedup": op13_line_dedup,
 }
 # A system or user turn is a call, an assistant turn the result of the turn before it.
@@ -182,6 +187,25 @@ LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN finished f ON f.conv_id IS NOT DISTINCT FROM o.conv_id AND f.place = 1
 """
 
+OP12_SQL = """
+WITH given AS (
+  SELECT CAST(vec_id AS BIGINT) AS id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), score AS (
+  SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS s
+  FROM given a, given r WHERE a.id % 100 = 0 AND a.id <> r.id
+), positive AS (
+  SELECT anchor_id, id AS positive_id, s AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, id) AS place FROM score WHERE same) WHERE place <= 5
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, id AS negative_id, positive_score, s AS negative_score FROM (
+  SELECT p.*, n.id, n.s, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.s DESC, n.id) AS place
+  FROM positive p JOIN score n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.positive_score <= 100 * n.s AND n.s <= p.positive_score
+) WHERE place <= 5
+"""
+
 OP13_SQL = """
 WITH given AS (
   SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS text FROM documents
@@ -198,4 +222,4 @@ SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
 FROM keyed LEFT JOIN common c ON c.key = keyed.key GROUP BY r, doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_tool_calls": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op13_line_dedup": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_tool_calls": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_hard_negatives": OP12_SQL, "op13_line_dedup": OP13_SQL}
