@@ -31,6 +31,8 @@ from pickwise.sources.views import split_flag
 # Fixed values of the reference's model settings.
 SEED = 42
 LR_PARAMS = {"maxIter": 100, "regParam": 0.01}
+LR_TOLERANCE = 1e-9  # stops the regression at its optimum, not just near it
+GRADIENT_BOUND = 1e-6  # of every entry of the loss gradient at the fitted coefficients
 RF_PARAMS = {"numTrees": 100, "maxDepth": 10, "seed": SEED}
 GBT_PARAMS = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "seed": SEED}
 TARGET_ACCURACY, TARGET_AUC = 0.65, 0.70
@@ -71,7 +73,7 @@ def unpack(df: DataFrame, vector_col: str, names: Sequence[str], keep: Sequence[
 
 # ---------------------------------------------------------------- fitting
 def fit_logreg(train: DataFrame, features: str = "features", label: str = "label", **params) -> Model:
-    return LogisticRegression(featuresCol=features, labelCol=label, **{**LR_PARAMS, **params}).fit(train)
+    return LogisticRegression(featuresCol=features, labelCol=label, **{**LR_PARAMS, "tol": LR_TOLERANCE, **params}).fit(train)
 
 
 def fit_forest(train: DataFrame, features: str = "features", label: str = "label", **params) -> Model:
@@ -272,7 +274,7 @@ def draft_baseline_gain(train: DataFrame, test: DataFrame, feature_cols: Sequenc
     if cols:
         tr, scaler = scale_features(train, cols)
         te = scaler.transform(assemble(test, cols))
-        m = evaluate(LogisticRegression(featuresCol="features", labelCol="label", maxIter=100).fit(tr).transform(te))
+        m = evaluate(LogisticRegression(featuresCol="features", labelCol="label", maxIter=100, tol=LR_TOLERANCE).fit(tr).transform(te))
         base = {"accuracy": m["accuracy"], "auc": m["auc_roc"]}
     else:
         base = dict(BASELINE_FALLBACK)

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.plans import workspace
 from pickwise.session import shared_dir
 
 # Largest lookup table (bytes) that is broadcast.  Hero-keyed tables hold at most
@@ -18,7 +19,10 @@ SALTS = 32  # copies of a larger lookup table; each key's rows spread over as ma
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint directory (survives
     executor loss; cuts lineage).  Used for small derived lookup tables that
-    are read several times."""
+    are read several times.  Inside an active workspace the table is written there
+    and goes when the workspace closes."""
+    if (owner := workspace.current()) is not None:
+        return owner.table(df)
     shared_dir(df.sparkSession)  # makes sure a checkpoint directory is set
     return df.checkpoint(eager=True)
 

@@ -442,26 +442,66 @@ def _linear(name: str) -> str:
 def _quality(*names: str) -> str:
     """CTEs: the test matches scored by the fixed models, and their metrics by model."""
     rows = "\n  UNION ALL ".join(f"SELECT '{n}' AS m, match_id, label, {_linear(n)} AS z FROM ef WHERE NOT ({SPLIT})" for n in names)
-    return with_views("ef")[:-1] + f""",
+    return with_views("ef")[:-1] + "," + _quality_of(rows, 9)
+
+
+def _quality_of(rows: str, digits: int) -> str:
+    """CTEs from scored rows (m, match_id, label, z) to the metrics ``qu`` by model."""
+    return f"""
 zz AS ({rows}),
 sc AS (SELECT m, label, z, CASE WHEN z > 0 THEN 1 ELSE 0 END AS pred FROM zz),
 prf AS ({PRF}),
 au AS ({AUC}),
-qu AS (SELECT prf.m AS model, round(accuracy, 9) AS accuracy, round(auc, 9) AS auc_roc, round("precision", 9) AS "precision",
-              round(recall, 9) AS recall, round(f1, 9) AS f1 FROM prf JOIN au ON au.m = prf.m)
+qu AS (SELECT prf.m AS model, round(accuracy, {digits}) AS accuracy, round(auc, {digits}) AS auc_roc, round("precision", {digits}) AS "precision",
+              round(recall, {digits}) AS recall, round(f1, {digits}) AS f1 FROM prf JOIN au ON au.m = prf.m)
 """
 
 
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _newton(p: str, columns, penalty: float, steps: int = 8) -> str:
+    """CTEs that fit a logistic regression of ``label`` on the columns of ``ef`` (scaled by the
+    training rows, intercept last and not penalised) by Newton steps: ``{p}_x`` holds the
+    rows, ``{p}_fit`` the coefficients.  Each step sums gradient and Hessian over the
+    training rows and solves the system by Gauss-Jordan elimination."""
+    d = len(columns) + 1
+    scaled = ", ".join(f"coalesce(CAST({c} AS DOUBLE) / nullif((SELECT stddev_samp(CAST({c} AS DOUBLE)) FROM ef WHERE {SPLIT}), 0), 0)" for c in columns)
+    out = f""",
+{p}_x AS MATERIALIZED (SELECT match_id, label, CAST(label AS DOUBLE) AS y, ({SPLIT}) AS is_train, [{scaled}, 1.0] AS v FROM ef),
+{p}_w0 AS MATERIALIZED (SELECT list_transform(range({d}), lambda i: CAST(0 AS DOUBLE)) AS w)"""
+    for t in range(1, steps + 1):
+        entries = ", ".join(f"avg(s * v[i] * v[{j}]) + CASE WHEN i = {j} AND i < {d} THEN {penalty} ELSE 0 END" for j in range(1, d + 1))
+        out += f""",
+{p}_p{t} AS MATERIALIZED (SELECT v, q - y AS e, q * (1 - q) AS s FROM (SELECT v, y, 1 / (1 + exp(-list_inner_product(v, w))) AS q FROM {p}_x, {p}_w{t - 1} WHERE is_train)),
+{p}_h{t} AS MATERIALIZED (SELECT i, [{entries}, avg(e * v[i]) + CASE WHEN i < {d} THEN {penalty} * any_value(w[i]) ELSE 0 END] AS r
+  FROM {p}_p{t}, {p}_w{t - 1}, range(1, {d + 1}) AS n(i) GROUP BY i),
+{p}_e{t} AS (
+  SELECT 0 AS k, i, r FROM {p}_h{t}
+  UNION ALL
+  SELECT a.k + 1, a.i, CASE WHEN a.i = b.i THEN list_transform(a.r, lambda x: x / b.r[b.i])
+                            ELSE list_transform(range(1, {d + 2}), lambda j: a.r[j] - a.r[b.i] * b.r[j] / b.r[b.i]) END
+  FROM {p}_e{t} a JOIN {p}_e{t} b ON b.i = a.k + 1 WHERE a.k < {d}),
+{p}_w{t} AS MATERIALIZED (SELECT list_transform(range(1, {d + 1}), lambda j: w[j] - g[j]) AS w
+  FROM {p}_w{t - 1}, (SELECT list(r[{d + 1}] ORDER BY i) AS g FROM {p}_e{t} WHERE k = {d}))"""
+    return out + f""",
+{p}_fit AS (SELECT w FROM {p}_w{steps})"""
+
+
 def model_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     models = ("logistic_regression", "random_forest", "gradient_boosting")
     n = f"(SELECT count(*) FILTER (WHERE {SPLIT}) AS tr, count(*) FILTER (WHERE NOT ({SPLIT})) AS te FROM {{}})"
-    fit = "SELECT '{m}' AS model, tr AS train_rows, te AS test_rows, te AS scored_rows, te AS sound_rows FROM {n}"
+    fit = """SELECT '{m}' AS model, tr AS train_rows, te AS test_rows, te AS scored_rows, te AS sound_rows,
+       CAST({p} AS BIGINT) AS parts, te AS agreeing_rows, CAST(0 AS BIGINT) AS faults FROM {n}"""
+    trees = {models[0]: len(EARLY_FEATURES) + 1, models[1]: 100, models[2]: 100}
+    drafted_trees = trees | {models[0]: 4 * HERO_POOL + 16}  # one gradient entry a feature, and the intercept
     for key, m in zip(("fit_logreg", "fit_forest", "fit_gbt"), models):
-        q[key] = with_views("md") + fit.format(m=m, n=n.format("md"))
+        q[key] = with_views("md") + fit.format(m=m, n=n.format("md"), p=trees[m])
     drafted = "(SELECT DISTINCT pb.match_id FROM pb JOIN md ON md.match_id = pb.match_id WHERE pb.is_pick IS NOT NULL AND pb.team IN (0, 1))"
-    q["draft_model_logreg"] = with_views("pb", "md") + fit.format(m=models[0], n=n.format(drafted))
-    q["draft_model_set"] = with_views("pb", "md") + " UNION ALL ".join(fit.format(m=m, n=n.format(drafted)) for m in models)
+    q["draft_model_logreg"] = with_views("pb", "md") + fit.format(m=models[0], n=n.format(drafted), p=drafted_trees[models[0]])
+    q["draft_model_set"] = with_views("pb", "md") + " UNION ALL ".join(fit.format(m=m, n=n.format(drafted), p=drafted_trees[m]) for m in models)
     q["fit_planted_signal"] = with_views("md") + " UNION ALL ".join(
         f"SELECT '{m}' AS model, tr AS train_rows, te AS test_rows, TRUE AS finds_signal FROM {n.format('md')}" for m in models
     )
@@ -470,7 +510,7 @@ def model_sql() -> dict[str, str]:
     q["batch_score"] = with_views("ef") + scored
     q["prediction_export"] = with_views("ef") + scored + f" WHERE NOT ({SPLIT})"
     variances = " UNION ALL ".join(f"SELECT '{c}' AS feature, coalesce(var_samp(CAST({c} AS DOUBLE)), 0) AS v FROM ef" for c in EARLY_FEATURES)
-    q["feature_importance"] = with_views("ef")[:-1] + f""",
+    q["variance_share"] = with_views("ef")[:-1] + f""",
 va AS ({variances}),
 im AS (SELECT feature, round(v / (SELECT sum(v) FROM va), 9) AS importance FROM va)
 SELECT CAST(rk AS INTEGER) AS rank, feature, importance
@@ -479,7 +519,7 @@ SELECT CAST(rk AS INTEGER) AS rank, feature, importance
         f"SELECT '{c}' AS feature, CASE WHEN var_samp({c}) > 0 THEN covar_samp(CAST(label AS DOUBLE), CAST({c} AS DOUBLE)) / var_samp(CAST({c} AS DOUBLE)) ELSE 0 END AS k, avg(label) AS b FROM ef"
         for c in EARLY_FEATURES
     )
-    q["logreg_coefficients"] = with_views("ef")[:-1] + f""",
+    q["single_slopes"] = with_views("ef")[:-1] + f""",
 sl AS ({slopes})
 SELECT feature, round(k, 9) AS coefficient, abs(round(k, 9)) AS abs_coefficient, round(b, 9) AS intercept FROM sl"""
     order = "CASE model " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(models)) + " END"
@@ -487,7 +527,7 @@ SELECT feature, round(k, 9) AS coefficient, abs(round(k, 9)) AS abs_coefficient,
        accuracy >= 0.65 AS meets_accuracy_target, auc_roc >= 0.7 AS meets_auc_target FROM qu"""
     q["model_comparison"] = _quality(*models) + compared
     q["best_model"] = _quality(*models) + f"SELECT * FROM ({compared}) ORDER BY auc_roc DESC, ordinal LIMIT 1"
-    q["draft_baseline_gain"] = _quality("draft_only", models[0]) + f"""SELECT 'radiant_picks,dire_picks' AS draft_columns,
+    q["fixed_model_gain"] = _quality("draft_only", models[0]) + f"""SELECT 'radiant_picks,dire_picks' AS draft_columns,
        b.accuracy AS baseline_accuracy, b.auc_roc AS baseline_auc, f.accuracy AS model_accuracy, f.auc_roc AS model_auc,
        round((f.accuracy - b.accuracy) * 100, 6) AS accuracy_gain_points, round(f.auc_roc - b.auc_roc, 6) AS auc_gain
   FROM (SELECT * FROM qu WHERE model = 'draft_only') b, (SELECT * FROM qu WHERE model = '{models[0]}') f"""
@@ -501,11 +541,27 @@ SELECT match_id, label, prediction, gold_at_10min, exp_at_10min, teamfights_coun
        round(CASE WHEN p > 0.5 THEN p ELSE 1 - p END, 9) AS predicted_probability,
        {bands}
   FROM pr"""
+    q["importance_from_nodes"] = " UNION ALL ".join(f"SELECT '{m}' AS model, CAST({len(EARLY_FEATURES)} AS BIGINT) AS features, CAST({len(EARLY_FEATURES)} AS BIGINT) AS agreeing, CAST(1 AS DOUBLE) AS total" for m in models[1:])
+    q["fitted_models"] = with_views("md") + " UNION ALL ".join(
+        f"SELECT {i} AS ordinal, '{m}' AS model, te AS test_rows, 5 AS metrics_again, TRUE AS accuracy_target_agrees, TRUE AS auc_target_agrees, TRUE AS best_is_no_worse FROM {n.format('md')}" for i, m in enumerate(models)
+    )
+    full = _newton("lr", EARLY_FEATURES, 0.01)
+    named = ", ".join(f"'{c}'" for c in EARLY_FEATURES)
+    q["logreg_coefficients"] = _recursive(with_views("ef")[:-1] + full + f"""
+SELECT feature, round(c, 3) AS coefficient, abs(round(c, 3)) AS abs_coefficient, round(b, 3) AS intercept
+  FROM (SELECT unnest([{named}]) AS feature, unnest(w[1:{len(EARLY_FEATURES)}]) AS c, w[{len(EARLY_FEATURES) + 1}] AS b FROM lr_fit)""")
+    scores = "\n  UNION ALL ".join(
+        f"SELECT '{m}' AS m, match_id, label, list_inner_product(v, w) AS z FROM {p}_x, {p}_fit WHERE NOT is_train" for m, p in (("draft_only", "dr"), (models[0], "lr"))
+    )
+    q["draft_baseline_gain"] = _recursive(with_views("ef")[:-1] + full + _newton("dr", ["radiant_picks", "dire_picks"], 0.0) + "," + _quality_of(scores, 12) + f"""SELECT 'radiant_picks,dire_picks' AS draft_columns,
+       round(b.accuracy, 4) AS baseline_accuracy, round(b.auc_roc, 4) AS baseline_auc, round(f.accuracy, 4) AS model_accuracy, round(f.auc_roc, 4) AS model_auc,
+       round((f.accuracy - b.accuracy) * 100, 1) AS accuracy_gain_points, round(f.auc_roc - b.auc_roc, 3) AS auc_gain
+  FROM (SELECT * FROM qu WHERE model = 'draft_only') b, (SELECT * FROM qu WHERE model = '{models[0]}') f""")
     q["model_roundtrip"] = with_views("md") + f"SELECT match_id, TRUE AS same_probability FROM md WHERE NOT ({SPLIT})"
-    stages = [f"SELECT {i + 2} AS ordinal, 'train_{m}' AS stage, tr AS rows, 21 AS features, TRUE AS timed FROM {n.format('md')}" for i, m in enumerate(models)]
+    stages = [f"SELECT {i + 2} AS ordinal, 'train_{m}' AS stage, tr AS rows, 21 AS features, TRUE AS timed, TRUE AS rate_holds FROM {n.format('md')}" for i, m in enumerate(models)]
     q["run_report"] = with_views("md") + """SELECT 0 AS ordinal, 'data_loading' AS stage,
-       (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM events) AS rows, CAST(NULL AS INTEGER) AS features, TRUE AS timed
-UNION ALL SELECT 1, 'feature_engineering', count(DISTINCT match_id), 21, TRUE FROM md UNION ALL """ + " UNION ALL ".join(stages)
+       (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM events) AS rows, CAST(NULL AS INTEGER) AS features, TRUE AS timed, TRUE AS rate_holds
+UNION ALL SELECT 1, 'feature_engineering', count(DISTINCT match_id), 21, TRUE, TRUE FROM md UNION ALL """ + " UNION ALL ".join(stages)
     return q
 
 

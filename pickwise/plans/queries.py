@@ -360,9 +360,11 @@ def sink_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ models
-# What a fit decides is checked by counts, value ranges and a planted signal; the
-# tables around a model are checked on models with the fixed coefficients below.
+# Fits are checked by certificates (see operators/trees.py), by an independent fit in SQL
+# and by a planted signal; the tables around a model also on the fixed coefficients below.
+from pickwise.operators import trees as TR  # noqa: E402
 from pickwise.plans import models as MR  # noqa: E402
+from pickwise.plans.workspace import Workspace  # noqa: E402
 
 # Fixed coefficients on the early features (all others 0) by model name: (by feature, intercept).
 FIXED = {
@@ -389,7 +391,7 @@ def _fixed_metrics(table: DataFrame, names) -> dict[str, dict]:
     return {n: {**{k: round(v, 9) for k, v in M.evaluate(_fixed(n).transform(test)).items()}, "train_seconds": 0.0} for n in names}
 
 
-def _fit_summary(run: MR.ModelRun, name: str) -> DataFrame:
+def fit_summary(run: MR.ModelRun, name: str) -> DataFrame:
     """Rows of the split and of the scored test matches, and how many scores are sound."""
     pred = M.batch_score(run.model(name), run.test)
     sound = F.col("prediction").isin(0.0, 1.0) & F.col("radiant_win_probability").between(0.0, 1.0)
@@ -399,30 +401,34 @@ def _fit_summary(run: MR.ModelRun, name: str) -> DataFrame:
     )
 
 
+def _certified(run: MR.ModelRun, name: str) -> DataFrame:
+    """The summary of a fit with its certificate: gradient entries or trees, test rows whose
+    probability follows from the exported model, and entries or leaves that are wrong."""
+    found = run.certificate(name)
+    return fit_summary(run, name).select("*", *[F.lit(found[c]).cast("long").alias(c) for c in ("parts", "agreeing_rows", "faults")])
+
+
 def fit_logreg(spark: SparkSession, sf: str) -> DataFrame:
-    return _fit_summary(MR.early_run(spark, sf), "logistic_regression")
+    return _certified(MR.early_run(spark, sf), "logistic_regression")
 
 
 def fit_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return _fit_summary(MR.early_run(spark, sf), "random_forest")
+    return _certified(MR.early_run(spark, sf), "random_forest")
 
 
 def fit_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    return _fit_summary(MR.early_run(spark, sf), "gradient_boosting")
+    return _certified(MR.early_run(spark, sf), "gradient_boosting")
 
 
 def draft_model_logreg(spark: SparkSession, sf: str) -> DataFrame:
     """Draft-feature model without leakage: pair win rates and scaler from training matches."""
-    return _fit_summary(MR.draft_run(spark, sf), "logistic_regression")
-
-
-DRAFT_SET = {"random_forest": {"numTrees": 20, "maxDepth": 6}, "gradient_boosting": {"maxIter": 8, "maxDepth": 3}}
+    return _certified(MR.draft_run(spark, sf), "logistic_regression")
 
 
 def draft_model_set(spark: SparkSession, sf: str) -> DataFrame:
     """The three models on the draft features, one row each."""
-    run = MR.draft_run(spark, sf, DRAFT_SET)
-    rows = [_fit_summary(run, n) for n in M.MODEL_ORDER]
+    run = MR.draft_run(spark, sf)
+    rows = [_certified(run, n) for n in M.MODEL_ORDER]
     return rows[0].union(rows[1]).union(rows[2])
 
 
@@ -447,6 +453,35 @@ def batch_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 most important features of the fitted forest."""
+    run = MR.early_run(spark, sf)
+    return M.feature_importance(run.model("random_forest"), run.feature_cols, top=20)
+
+
+def importance_from_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Per tree model: features, and for how many the importance that MLlib gives
+    follows from the gains in the node table."""
+    run = MR.early_run(spark, sf)
+    out = None
+    for name in ("random_forest", "gradient_boosting"):
+        theirs = M.feature_importance(run.model(name), run.feature_cols).select("feature", F.col("importance").alias("theirs"))
+        index = spark.createDataFrame(list(enumerate(run.feature_cols)), "i int, name string")
+        ours = index.join(TR.importance(run.nodes(name), each_tree=name == "random_forest").withColumnRenamed("feature", "i"), "i", "left")
+        both = theirs.join(ours.select(F.col("name").alias("feature"), F.coalesce("importance", F.lit(0.0)).alias("ours")), "feature")
+        same = (F.abs(F.col("theirs") - F.col("ours")) <= TR.AGREE).cast("long")
+        row = both.agg(F.count("*").alias("features"), F.sum(same).alias("agreeing"), F.round(F.sum("theirs"), 9).alias("total"))
+        row = row.select(F.lit(name).alias("model"), "features", "agreeing", "total")
+        out = row if out is None else out.union(row)
+    return out
+
+
+def logreg_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+    """The coefficients of the fitted regression on the scaled features."""
+    run = MR.early_run(spark, sf)
+    return _r(M.logreg_coefficients(run.model("logistic_regression"), run.feature_cols), dict.fromkeys(("coefficient", "abs_coefficient", "intercept"), 3))
+
+
+def variance_share(spark: SparkSession, sf: str) -> DataFrame:
     """The ten features with the largest share of the summed variance."""
     ef = early_table(spark, sf)
     one = ef.agg(*[F.var_samp(F.col(c).cast("double")).alias(c) for c in FE.EARLY_FEATURES])
@@ -455,7 +490,7 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return M.importance_table(long.select("feature", F.round(F.col("v") / total, 9).alias("importance")), top=10)
 
 
-def logreg_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+def single_slopes(spark: SparkSession, sf: str) -> DataFrame:
     """Slope of the label on each feature alone, with the label's mean as intercept."""
     ef = early_table(spark, sf)
     slope = lambda c: F.coalesce(F.try_divide(F.covar_samp(F.col(c).cast("double"), F.col("label").cast("double")), F.var_samp(F.col(c).cast("double"))), F.lit(0.0))
@@ -473,12 +508,48 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def draft_baseline_gain(spark: SparkSession, sf: str) -> DataFrame:
+    """The fitted regression on all features against an unregularised one on the draft-only
+    columns, both on the run's own split."""
+    gain = MR.early_run(spark, sf).baseline_gain()
+    return _r(gain, {"baseline_auc": 4, "model_auc": 4, "auc_gain": 3, "baseline_accuracy": 4, "model_accuracy": 4, "accuracy_gain_points": 1})
+
+
+def fixed_model_gain(spark: SparkSession, sf: str) -> DataFrame:
+    """The gain table on two regressions with fixed coefficients."""
     m = _fixed_metrics(_assembled(spark, sf), ("draft_only", "logistic_regression"))
     base = {"accuracy": m["draft_only"]["accuracy"], "auc": m["draft_only"]["auc_roc"]}
     out = M.gain_table(M.draft_only_columns(FE.EARLY_FEATURES), base, m["logistic_regression"])
     return _r(out, {"accuracy_gain_points": 6, "auc_gain": 6})
 
 
+def fitted_models(spark: SparkSession, sf: str) -> DataFrame:
+    """The comparison of the three fitted models, each exported with its predictions: the
+    metrics worked out again from the exported files, the targets they meet, the best."""
+    run = MR.early_run(spark, sf)
+    table, best, out = run.comparison().drop("train_seconds"), run.best_name(), None
+    schema = SC.T.StructType.fromDDL("match_id long, label int, prediction double, radiant_win_probability double")
+    for name in M.MODEL_ORDER:
+        path = SK.export_predictions(run.predictions(name), run.work.folder("export"))
+        back = FS.read_csv(spark, path, schema)
+        prf, auc = M.eval_prf(back), M.eval_auc(back, "radiant_win_probability")
+        again = prf.crossJoin(auc)  # one row each
+        pairs = {"accuracy": "accuracy", "weighted_precision": "precision", "weighted_recall": "recall", "weighted_f1": "f1", "auc": "auc_roc"}
+        same = [(F.abs(F.col(f"again.{a}") - F.col(f"m.{b}")) <= 1e-6).cast("int") for a, b in pairs.items()]
+        row = table.where(F.col("model") == name).alias("m").crossJoin(again.alias("again")).select(
+            "m.ordinal", "m.model", (F.col("positives") + F.col("negatives")).alias("test_rows"), sum(same[1:], same[0]).alias("metrics_again"),
+            (F.col("m.meets_accuracy_target") == (F.round("again.accuracy", 6) >= M.TARGET_ACCURACY)).alias("accuracy_target_agrees"),
+            (F.col("m.meets_auc_target") == (F.round("again.auc", 6) >= M.TARGET_AUC)).alias("auc_target_agrees"),
+            (F.lit(run.metrics(best)["auc_roc"]) >= F.col("m.auc_roc")).alias("best_is_no_worse"),
+        )
+        out = row if out is None else out.union(row)
+    return out
+
+
+def fitted_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics, training times and targets of the three fitted models."""
+    return MR.early_run(spark, sf).comparison()
+
+
 def prediction_export(spark: SparkSession, sf: str) -> DataFrame:
     test = _assembled(spark, sf).where("NOT is_train")
     path = SK.export_predictions(_fixed("logistic_regression").transform(test), shared_dir(spark, "predictions") + "/predictions")
@@ -501,38 +572,46 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     feature columns: does every test match get the same probability?"""
     from pyspark.ml import PipelineModel
 
-    run = MR.early_run(spark, sf, DRAFT_SET)
+    run = MR.early_run(spark, sf)
     name = run.best_name()
-    loaded = PipelineModel.load(run.save(shared_dir(spark, "model") + "/best"))
+    loaded = PipelineModel.load(run.save(run.work.folder("best")))
     a = M.batch_score(run.model(name), run.test).select("match_id", F.col("radiant_win_probability").alias("p0"))
     b = M.batch_score(loaded, run.data.where("NOT is_train")).select("match_id", F.col("radiant_win_probability").alias("p1"))
     return a.join(b, "match_id").select("match_id", (F.col("p0") == F.col("p1")).alias("same_probability"))
 
 
-def run_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Stages of a run with their rows; each stage computes all its columns, and a
-    stage that took no measurable time is marked."""
-    rep = SK.RunReport()
-    with rep.stage("data_loading") as st:
-        st["rows"] = sum(SK.worked(V.table(spark, sf, t)) for t in ("lineitem", "orders", "events"))
-    with rep.stage("feature_engineering", features=len(FE.EARLY_FEATURES)) as st:
-        st["rows"] = SK.worked(early_table(spark, sf))
-    run = MR.early_run(spark, sf, DRAFT_SET)
+def _run_stages(spark: SparkSession, sf: str) -> DataFrame:
+    """Stages of a run: rows, seconds and rows a second, from the one write of each stage."""
+    rep, run = SK.RunReport(), MR.early_run(spark, sf)
+    with Workspace(spark, "stages") as work, work.active():
+        with rep.stage("data_loading") as st:
+            st["rows"] = sum(SK.written(V.table(spark, sf, t), work.folder(t)) for t in ("lineitem", "orders", "events"))
+        with rep.stage("feature_engineering", features=len(FE.EARLY_FEATURES)) as st:
+            st["rows"] = SK.written(early_table(spark, sf), work.folder("features"))
     for name in M.MODEL_ORDER:
         run.model(name)
         rep.add(f"train_{name}", run.seconds[name], rows=run.n_train, features=len(run.feature_cols))
-    return rep.to_df(spark).select("ordinal", "stage", "rows", "features", (F.col("seconds") > 0).alias("timed"))
+    return rep.to_df(spark)
+
+
+def run_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Stages of a run with their rows; a stage that took no measurable time, or whose rate
+    is not its rows by its seconds, is marked."""
+    rate = F.abs(F.col("rows_per_second") * F.col("seconds") - F.col("rows")) <= 0.01 * F.col("rows") + 0.01 * F.col("seconds")
+    return _run_stages(spark, sf).select("ordinal", "stage", "rows", "features", (F.col("seconds") > 0).alias("timed"), rate.alias("rate_holds"))
+
+
+def run_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """(ordinal, stage, seconds, rows, features, rows_per_second) of a run."""
+    return _run_stages(spark, sf)
 
 
 def report_text(spark: SparkSession, sf: str) -> DataFrame:
-    """The full run report, written as text lines and read back."""
-    table = _assembled(spark, sf)
-    m = _fixed_metrics(table, (*M.MODEL_ORDER, "draft_only"))
-    comparison = M.model_comparison({n: m[n] for n in M.MODEL_ORDER})
-    base = {"accuracy": m["draft_only"]["accuracy"], "auc": m["draft_only"]["auc_roc"]}
-    gain = M.gain_table([], base, m["logistic_regression"])
+    """The report of the run over the three fitted models, written as text lines and read back."""
+    run = MR.early_run(spark, sf)
+    comparison = run.comparison()
     top = recommend_topk(spark, sf).orderBy("draft_id", "rank").limit(3)
-    lines = SK.full_report(comparison, M.best_model(comparison), gain, feature_importance(spark, sf).limit(10), top)
+    lines = SK.full_report(comparison, M.best_model(comparison), run.baseline_gain(), feature_importance(spark, sf).where("rank <= 10"), top)
     value = F.concat_ws(" | ", F.col("section"), F.col("value"))
     path = SK.write_text(lines.orderBy("ordinal", "line_no").select(value.alias("value")), shared_dir(spark, "report") + "/report")
     return spark.read.text(path)
