@@ -1,23 +1,21 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 A text is cut at line feeds and sentence ends, and a longer stretch after every
-``PIECE_MOST`` code points; each distinct piece has a 64-bit digest.  A sketch enters a digest into one cell of each of three subtables; a cell
-holds a count and the XORs of its digests and of their check hashes.  Subtracting
-the sketches of two versions leaves the digests that differ, and peeling recovers
-them: a cell with count +1 or -1 whose check fits holds one digest, which is taken
-out of its three cells, until all cells are zero.  Sketches of two texts are split
-into shards by digest so that each shard holds about ``LOAD`` digests; a shard that
-does not peel is retried with wider subtables and other hashes.  If the widest fails
-too, its digests are compared as sets, so no document stays without a result.
-``recovered`` returns the digests of each side; the query needs their numbers only,
-which ``difference`` counts in the same way.
-
-The stored fingerprint is one sketch of ``3 * PRINT_WIDTH`` cells whatever the length
-of the text: equal digest sets have equal fingerprints, but those of two versions
-peel only if a few digests differ.
-
-The likeness of two texts is the share of their digests that do not differ (Dice
-similarity of the sets), from the set sizes and the numbers of digests peeled.
+``PIECE_MOST`` code points; each distinct piece has a 64-bit digest.  The fingerprint
+is a sketch of these digests, dealt by digest to shards of about ``LOAD`` (their number
+is a power of four that follows from the number of digests).  A shard enters a digest
+into one cell of each of three subtables; a cell holds a count and the XORs of its
+digests and of their check hashes.  A shard whose digests cannot be peeled from its
+cells is made again with wider subtables and other hashes, and in the last resort keeps
+a cell a digest.  So every fingerprint can be decoded to its digests.
+
+Two fingerprints are compared shard by shard: cells are subtracted, and peeling recovers
+the digests that differ (a cell with count +1 or -1 whose check fits holds one digest,
+which is taken out of its three cells, until all cells are zero).  Where a difference is
+too full to peel, or the two texts have shards of other numbers or widths, the larger
+structure answers: the digests to which each side's own cells decode.  The likeness is
+the share of digests that do not differ (Dice similarity of the sets); it follows from
+the two fingerprint strings alone.
 
 Everything is DataFrame expressions.  The successor of a document is found without
 a global sort: rows are dealt to id ranges of about ``BUCKET`` rows, the first row
@@ -40,9 +38,9 @@ from pickwise.llm.common import persisted
 
 PIECE_END = r"[\n.!?]+"
 PIECE_MOST = 192
-LOAD = 4  # digests of both texts in one shard
-WIDTHS = (4, 12, 36, 108)  # cells of a subtable, by attempt
-PRINT_WIDTH = 4  # cells of a subtable of the stored fingerprint
+LOAD = 4  # digests of a shard, on average at most
+WIDTHS = (4, 12, 36, 108)  # cells of a subtable, by attempt; 0: a cell a digest
+FULL = 9  # a difference with more cells in use is not tried
 BUCKET = 2000  # rows of an id range, more if there would be over MOST_RANGES
 MOST_RANGES = 20_000
 
@@ -64,15 +62,15 @@ def check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(-1))
 
 
-def cells_of(digest: Column, width: int) -> Column:
+def cells_of(digest: Column, width: Column) -> Column:
     """The digest's cell in each subtable; each width hashes anew."""
-    place = lambda x, t: F.pmod(F.shiftright(x, 20 * t), F.lit(width).cast("bigint")).cast("int") + t * width
-    return let(F.xxhash64(digest, F.lit(width)), lambda x: F.struct(*[place(x, t).alias(f"c{t}") for t in range(3)]))
+    place = lambda x, t: F.pmod(F.shiftright(x, 20 * t), width.cast("bigint")).cast("int") + t * width
+    return let(F.xxhash64(digest, width), lambda x: F.struct(*[place(x, t).alias(f"c{t}") for t in range(3)]))
 
 
-def items(found: Column, sign: int, width: int) -> Column:
-    """Digests as (sign, digest, check, cells) entries."""
-    return F.transform(found, lambda d: F.struct(F.lit(sign).alias("n"), d.alias("d"), check(d).alias("h"), cells_of(d, width).alias("c")))
+def items(found: Column, width: int) -> Column:
+    """Digests as (count, digest, check, cells) entries."""
+    return F.transform(found, lambda d: F.struct(F.lit(1).alias("n"), d.alias("d"), check(d).alias("h"), cells_of(d, F.lit(width)).alias("c")))
 
 
 def sketch(entries: Column, width: int) -> Column:
@@ -87,7 +85,7 @@ def empty(cells: Column) -> Column:
     return F.forall(cells, lambda x: (x["n"] == 0) & (x["d"] == 0) & (x["h"] == 0))
 
 
-def peeled(cells: Column, most: Column, width: int, keep: bool = False) -> Column:
+def peeled(cells: Column, most: Column, width: Column, keep: bool = False) -> Column:
     """(ours, theirs): how many digests are recovered on each side, or with ``keep`` the
     digests themselves; NULL if cells remain."""
     none = F.array().cast("array<bigint>") if keep else F.lit(0)
@@ -112,60 +110,90 @@ def peeled(cells: Column, most: Column, width: int, keep: bool = False) -> Colum
     return let(end, lambda e: F.when(empty(e["cells"]), F.struct(e["ours"].alias("ours"), e["theirs"].alias("theirs"))))
 
 
-def attempt(ours: Column, theirs: Column, width: int, keep: bool = False) -> Column:
-    """Subtracts the sketches of one shard and peels the rest."""
-    both = F.concat(items(ours, 1, width), items(theirs, -1, width))
-    return let(let(both, lambda e: sketch(e, width)), lambda c: peeled(c, F.size(ours) + F.size(theirs), width, keep))
+def shard(found: Column) -> Column:
+    """(width, cells, digests): the narrowest sketch of a shard from which its digests peel."""
 
+    def attempt(width: int) -> Column:
+        def tried(entries: Column) -> Column:
+            # digests that share no cell of a subtable peel at once
+            apart = lambda t: F.size(F.array_distinct(F.transform(entries, lambda e: e["c"][f"c{t}"]))) == F.size(entries)
+            peels = lambda cells: apart(0) | apart(1) | apart(2) | peeled(cells, F.size(found), F.lit(width)).isNotNull()
+            return let(sketch(entries, width), lambda cells: F.when(peels(cells), F.struct(F.lit(width).alias("width"), cells.alias("cells"), found.alias("digests"))))
 
-def shard_difference(ours: Column, theirs: Column, keep: bool = False) -> Column:
-    """(ours, theirs) of one shard, retried with wider sketches until it peels."""
-    only = lambda a, b: F.array_except(a, b) if keep else F.size(F.array_except(a, b))
-    plain = F.struct(only(ours, theirs).alias("ours"), only(theirs, ours).alias("theirs"))
-    return F.coalesce(*[attempt(ours, theirs, w, keep) for w in WIDTHS], plain)
+        return let(items(found, width), tried)
 
+    plain = F.transform(F.array_sort(found), lambda d: F.struct(F.lit(1).alias("n"), d.alias("d"), check(d).alias("h")))
+    return F.coalesce(*[attempt(w) for w in WIDTHS], F.struct(F.lit(0).alias("width"), plain.alias("cells"), found.alias("digests")))
 
-def recovered(ours: Column, theirs: Column) -> Column:
-    """(ours, theirs): the digests only in one of two sets, peeled from sharded sketches."""
-    return difference(ours, theirs, keep=True)
 
+def sides(found: Column) -> Column:
+    """Root of the number of shards: a power of two."""
+    return F.pow(F.lit(2), F.ceil(F.greatest(F.lit(0.0), F.log2(F.size(found) / float(LOAD))) / 2)).cast("int")
+
+
+def sketched(found: Column) -> Column:
+    """(digests, side, shards) of a text.  Shards lie in ``side`` blocks of ``side``, so that
+    dealing a long text's digests costs their number times that root."""
+
+    def block(side: Column) -> Callable[[Column], Column]:
+        inner = lambda mine: lambda s: let(F.filter(mine, lambda d: F.pmod(F.shiftright(d, 20), side) == s), shard)
+        return lambda b: let(F.filter(found, lambda d: F.pmod(d, side) == b), lambda mine: F.transform(F.sequence(F.lit(0), side - 1), inner(mine)))
+
+    shards = lambda side: F.flatten(F.transform(F.sequence(F.lit(0), side - 1), block(side)))
+    return let(sides(found), lambda side: F.struct(found.alias("digests"), side.alias("side"), shards(side).alias("shards")))
 
-def difference(ours: Column, theirs: Column, keep: bool = False) -> Column:
-    """(ours, theirs): numbers of digests only in one of two sets, through sharded
-    sketches; with ``keep`` the digests.
 
-    Shards lie in about sqrt(shards) blocks, so that dealing a long text's digests
-    costs their number times that root."""
-    total = F.size(ours) + F.size(theirs)
-    side = F.greatest(F.lit(1), F.ceil(F.sqrt(total / float(LOAD)))).cast("int")
+def apart_in(ours: Column, theirs: Column, keep: bool) -> Column:
+    """(ours, theirs): digests of one set only, of two decoded sides."""
+    only = lambda a, b: F.array_except(a, b) if keep else F.size(F.array_except(a, b))
+    return F.struct(only(ours, theirs).alias("ours"), only(theirs, ours).alias("theirs"))
 
-    def per_block(n: Column) -> Column:
-        def block(b: Column) -> Column:
-            mine = lambda ds: F.filter(ds, lambda d: F.pmod(d, n) == b)
-            inner = lambda ds, s: F.filter(ds, lambda d: F.pmod(F.shiftright(d, 20), n) == s)
-            return let(F.struct(mine(ours).alias("a"), mine(theirs).alias("b")), lambda p: F.transform(F.sequence(F.lit(0), n - 1), lambda s: let(F.struct(inner(p["a"], s).alias("a"), inner(p["b"], s).alias("b")), lambda q: shard_difference(q["a"], q["b"], keep))))
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), n - 1), block))
+def shard_difference(ours: Column, theirs: Column, keep: bool = False) -> Column:
+    """(ours, theirs) of one shard: the subtracted cells peeled, or both sides decoded."""
+    decoded = apart_in(ours["digests"], theirs["digests"], keep)
+    minus = lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["d"].bitwiseXOR(y["d"]).alias("d"), x["h"].bitwiseXOR(y["h"]).alias("h"))
+    none = F.array().cast("array<bigint>") if keep else F.lit(0)
+    same = F.struct(none.alias("ours"), none.alias("theirs"))
+    used = lambda cells: F.size(F.filter(cells, lambda x: (x["n"] != 0) | (x["d"] != 0) | (x["h"] != 0)))
+    peel = lambda cells: F.coalesce(peeled(cells, F.size(ours["digests"]) + F.size(theirs["digests"]), ours["width"], keep), decoded)
+    tried = lambda cells: let(used(cells), lambda k: F.when(k == 0, same).when(k > FULL, decoded).otherwise(peel(cells)))
+    fits = (ours["width"] == theirs["width"]) & (ours["width"] > 0)
+    return F.when(~fits, decoded).otherwise(let(F.zip_with(ours["cells"], theirs["cells"], minus), tried))
 
+
+def difference(ours: Column, theirs: Column, keep: bool = False) -> Column:
+    """(ours, theirs): numbers of digests only in one of two sketched texts; with ``keep``
+    the digests."""
+    pairs = F.zip_with(ours["shards"], theirs["shards"], lambda x, y: shard_difference(x, y, keep))
     if keep:
         side_of = lambda shards, name: F.flatten(F.transform(shards, lambda x: x[name])).alias(name)
-        return let(let(side, per_block), lambda shards: F.struct(side_of(shards, "ours"), side_of(shards, "theirs")))
-    zero = F.struct(F.lit(0).alias("ours"), F.lit(0).alias("theirs"))
-    add = lambda acc, x: F.struct((acc["ours"] + x["ours"]).alias("ours"), (acc["theirs"] + x["theirs"]).alias("theirs"))
-    return let(side, lambda n: F.aggregate(per_block(n), zero, add))
+        whole = let(pairs, lambda shards: F.struct(side_of(shards, "ours"), side_of(shards, "theirs")))
+    else:
+        zero = F.struct(F.lit(0).alias("ours"), F.lit(0).alias("theirs"))
+        add = lambda acc, x: F.struct((acc["ours"] + x["ours"]).alias("ours"), (acc["theirs"] + x["theirs"]).alias("theirs"))
+        whole = F.aggregate(pairs, zero, add)
+    return F.when(ours["side"] == theirs["side"], whole).otherwise(apart_in(ours["digests"], theirs["digests"], keep))
+
+
+def recovered(ours: Column, theirs: Column) -> Column:
+    """(ours, theirs): the digests only in one of two sketched texts."""
+    return difference(ours, theirs, keep=True)
 
 
 def likeness(ours: Column, theirs: Column) -> Column:
-    """Share of the digests of two texts that do not differ, from their sketches."""
-    total = F.size(ours) + F.size(theirs)
+    """Share of the digests of two sketched texts that do not differ."""
+    total = F.size(ours["digests"]) + F.size(theirs["digests"])
     return let(difference(ours, theirs), lambda d: F.when(total == 0, 1.0).otherwise(1 - (d["ours"] + d["theirs"]) / total))
 
 
-def fingerprint(found: Column) -> Column:
-    """The text's own small sketch in hex: number of digests, then all cells."""
-    part = lambda x, n: F.lower(F.lpad(F.hex(x), n, "0"))
-    cells = F.transform(let(items(found, 1, PRINT_WIDTH), lambda e: sketch(e, PRINT_WIDTH)), lambda c: F.concat(part(c["n"], 8), part(c["d"], 16), part(c["h"], 16)))
-    return F.concat(part(F.size(found), 8), F.array_join(cells, ""))
+def fingerprint(made: Column) -> Column:
+    """The sketch as text: ``side/shard|shard...``, a shard ``width:cell,cell...``, a cell
+    count, digest and check in hex (2, 16 and 16 digits), nothing for an unused cell."""
+    part = lambda x, n: F.lpad(F.hex(x), n, "0")
+    cell = lambda c: F.when((c["n"] == 0) & (c["d"] == 0) & (c["h"] == 0), "").otherwise(F.concat(part(c["n"], 2), part(c["d"], 16), part(c["h"], 16)))
+    one = lambda x: F.concat(x["width"].cast("string"), F.lit(":"), F.array_join(F.transform(x["cells"], cell), ","))
+    return F.lower(F.concat(made["side"].cast("string"), F.lit("/"), F.array_join(F.transform(made["shards"], one), "|")))
 
 
 def cut_points(ids: DataFrame, parts: int) -> list[int]:
@@ -190,7 +218,7 @@ def range_of(doc_id: Column, cuts: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, text, found, next_text, next_found); found: digests of the text."""
+    """(doc_id, text, made, next_text, next_made); made: the sketched text."""
     from pyspark.sql import Window
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -205,9 +233,12 @@ def with_next(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     heads = rows.select("doc_id", "text", "h").join(F.broadcast(ahead), F.col("doc_id").eqNullSafe(F.col("least")))
     heads = heads.groupBy("part").agg(F.min(F.struct("h", "text")).alias("x"), F.min("doc_id").alias("doc_id"))
     heads = persisted(heads.select("doc_id", F.col("x.text").alias("text"), "part", F.col("x.h").alias("h")))
-    every = rows.withColumn("head", F.lit(0)).unionByName(heads.withColumn("head", F.lit(1))).withColumn("found", digests(F.col("text")))
-    inside = Window.partitionBy("part").orderBy("head", F.col("doc_id").asc_nulls_last(), "h")
-    every = every.withColumn("next_text", F.lead("text").over(inside)).withColumn("next_found", F.lead("found").over(inside))
+    order = ["head", F.col("doc_id").asc_nulls_last(), "h"]
+    every = rows.withColumn("head", F.lit(0)).unionByName(heads.withColumn("head", F.lit(1)))
+    # sketched after the shuffle that the window needs, so that no sketch is shuffled
+    every = every.repartition("part").sortWithinPartitions("part", *order).withColumn("made", let(digests(F.col("text")), sketched))
+    inside = Window.partitionBy("part").orderBy(*order)
+    every = every.withColumn("next_text", F.lead("text").over(inside)).withColumn("next_made", F.lead("made").over(inside))
     return every.filter("head = 0").drop("head", "part", "h")
 
 
@@ -216,13 +247,13 @@ def fingerprints(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     rows = with_next(docs, bucket).withColumn("n_chars", F.char_length("text").cast("bigint"))
     cut = F.expr("CAST(n_chars DIV 4 AS INT)")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    rows = rows.withColumn("edited", edited).withColumn("edited_found", digests(F.col("edited")))
+    rows = rows.withColumn("edited", edited).withColumn("edited_made", let(digests(F.col("edited")), sketched))
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-        fingerprint(F.col("found")).alias("fingerprint"),
-        fingerprint(F.col("edited_found")).alias("edited_fingerprint"),
-        likeness(F.col("found"), F.col("edited_found")).alias("near_edited"),
-        likeness(F.col("found"), F.col("next_found")).alias("near_next"),
+        fingerprint(F.col("made")).alias("fingerprint"),
+        fingerprint(F.col("edited_made")).alias("edited_fingerprint"),
+        likeness(F.col("made"), F.col("edited_made")).alias("near_edited"),
+        likeness(F.col("made"), F.col("next_made")).alias("near_next"),
     )

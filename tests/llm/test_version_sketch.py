@@ -59,25 +59,83 @@ def test_equal_texts_have_equal_fingerprints(spark, sf_small):
     assert all(len(v) == 1 for v in by.values())
 
 
-def test_narrow_sketches_fail_and_wider_ones_recover(spark):
-    """Digests that overfill a narrow sketch: the attempt is NULL, the retries are exact."""
-    df = spark.range(40).select(F.transform(F.sequence(F.lit(1), F.lit(30)), lambda i: F.xxhash64(i, "id")).alias("a"))
-    df = df.withColumn("b", F.slice("a", 1, 10))
-    r = df.select(V.attempt(F.col("a"), F.col("b"), V.WIDTHS[0]).isNull().cast("int").alias("failed"), V.shard_difference(F.col("a"), F.col("b")).alias("d")).collect()
-    assert sum(x.failed for x in r) > 30 and all((x.d.ours, x.d.theirs) == (20, 0) for x in r)
+def xx(*parts):
+    """Spark's xxhash64 of integers, chained."""
+    import numpy as np
+    import xxhash
+
+    seed = 42
+    for width, x in parts:
+        seed = xxhash.xxh64_intdigest(np.array([x], f"<i{width}").tobytes(), seed=seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def decode(text):
+    """The digests of a fingerprint string, by peeling its cells alone."""
+    out, side, shards = set(), *text.split("/")
+    assert len(shards.split("|")) == int(side) ** 2
+    for part in shards.split("|"):
+        width, cells = part.split(":")
+        width = int(width)
+        cells = [(int(c[:2], 16), int(c[2:18], 16), int(c[18:], 16)) if c else (0, 0, 0) for c in cells.split(",")] if cells else []
+        if not width:
+            out |= {d for _, d, _ in cells}
+            continue
+        while pure := [d for n, d, h in cells if n == 1 and xx((8, signed(d)), (4, -1)) % 2**64 == h]:
+            d = pure[0]
+            out.add(d)
+            x = xx((8, signed(d)), (4, width))
+            for t in range(3):
+                at = (x >> 20 * t) % width + t * width
+                n, e, h = cells[at]
+                cells[at] = (n - 1, e ^ d, h ^ xx((8, signed(d)), (4, -1)) % 2**64)
+        assert not any(n or d or h for n, d, h in cells)
+    return out
+
+
+def signed(d):
+    return d - (1 << 64) if d >> 63 else d
+
+
+def test_likeness_follows_from_the_fingerprint_strings(spark, sf_small):
+    rows = sorted(V.fingerprints(documents(spark, sf_small)).collect(), key=lambda r: r.doc_id)
+    for r, after in zip(rows, rows[1:] + rows[:1], strict=True):
+        a, b, c = decode(r.fingerprint), decode(r.edited_fingerprint), decode(after.fingerprint)
+        share = lambda x, y: 2 * len(x & y) / (len(x) + len(y)) if x or y else 1.0
+        assert abs(r.near_edited - share(a, b)) < 1e-12 and abs(r.near_next - share(a, c)) < 1e-12
+
+
+def some(n, m):
+    return F.transform(F.sequence(F.lit(n), F.lit(m)), lambda i: F.xxhash64(i, "id"))
+
+
+def test_overfull_sketches_are_made_wider_or_plain(spark, monkeypatch):
+    monkeypatch.setattr(V, "LOAD", 30)
+    found = spark.range(40).select(V.shard(some(1, 30)).alias("x")).select("x.width", F.size("x.cells").alias("cells")).collect()
+    assert all(r.width > 4 and r.cells == 3 * r.width for r in found)
+    monkeypatch.setattr(V, "WIDTHS", (1, 2))
+    found = spark.range(40).select(V.shard(some(1, 30)).alias("x")).select("x.width", F.size("x.cells").alias("cells")).collect()
+    assert all(r.width == 0 and r.cells == 30 for r in found)
+    prints = spark.range(5).select(some(1, 50).alias("d")).select("d", V.fingerprint(V.let(F.col("d"), V.sketched)).alias("f")).collect()
+    assert all(decode(r.f) == {d % 2**64 for d in r.d} for r in prints)
 
 
 def test_recovered_digests_are_those_that_differ(spark):
-    some = lambda n, m: F.transform(F.sequence(F.lit(n), F.lit(m)), lambda i: F.xxhash64(i, "id"))
     df = spark.range(12).select(
         F.when(F.col("id") == 0, F.array().cast("array<bigint>")).when(F.col("id") < 6, some(1, 30)).otherwise(some(1, 400)).alias("a"),
         F.when(F.col("id") == 1, F.array().cast("array<bigint>")).when(F.col("id") < 6, some(21, 45)).otherwise(some(3, 402)).alias("b"),
     )
-    for r in df.select("a", "b", V.recovered(F.col("a"), F.col("b")).alias("d"), V.difference(F.col("a"), F.col("b")).alias("n")).collect():
+    made = df.select("a", "b", V.sketched(F.col("a")).alias("x"), V.sketched(F.col("b")).alias("y"))
+    for r in made.select("a", "b", V.recovered(F.col("x"), F.col("y")).alias("d"), V.difference(F.col("x"), F.col("y")).alias("n")).collect():
         assert sorted(r.d.ours) == sorted(set(r.a) - set(r.b)) and sorted(r.d.theirs) == sorted(set(r.b) - set(r.a))
         assert (r.n.ours, r.n.theirs) == (len(r.d.ours), len(r.d.theirs))
-    one = df.limit(6).select("a", "b", V.attempt(F.col("a"), F.col("b"), V.WIDTHS[-1], keep=True).alias("d"))
-    assert all(r.d is not None and set(r.d.ours) == set(r.a) - set(r.b) and set(r.d.theirs) == set(r.b) - set(r.a) for r in one.collect())
+    # few digests differ: every shard peels, none is decoded
+    near = spark.range(20).select(some(1, 300).alias("a"), some(1, 302).alias("b"))
+    cells = near.select(F.explode(F.arrays_zip(V.sketched(F.col("a"))["shards"].alias("x"), V.sketched(F.col("b"))["shards"].alias("y"))).alias("p"))
+    minus = F.zip_with("p.x.cells", "p.y.cells", lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["d"].bitwiseXOR(y["d"]).alias("d"), x["h"].bitwiseXOR(y["h"]).alias("h")))
+    peels = V.peeled(minus, F.lit(9), F.col("p.x.width")).isNotNull()
+    r = cells.filter("p.x.width = p.y.width").agg(F.avg(peels.cast("int")).alias("share")).first()
+    assert r.share > 0.99
 
 
 def test_no_python_in_the_plan(spark, sf_small):
