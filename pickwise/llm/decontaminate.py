@@ -10,8 +10,8 @@ fingerprints within ``radius`` bits: the 64 bits are cut in four blocks, and by
 the pigeonhole principle one block differs by at most ``radius // 4`` bits, so
 each item is entered under all such block values.  Candidates are then verified
 by the weighted (multiset) Jaccard similarity of five-word shingles between the
-item and the stretch of its size around the window, clipped where the text begins
-or ends.
+item and the best stretch of words, of any length, around the place where the window
+puts it: words added or dropped move its ends by at most a quarter of the item.
 
 The item index goes to the tasks in blocks of at most ``BLOCK_BYTES`` of item
 text, one pass over the documents each; a lone longer item is its own block.
@@ -181,23 +181,39 @@ class Index:
         both = np.unique(np.concatenate(pairs))
         return both // len(own), both % len(own)
 
-    def similarity(self, k: int, window: np.ndarray) -> float:
-        """Weighted Jaccard similarity of an item and a stretch of words."""
-        if not len(window):
-            return 0.0
-        (a, na), (b, nb) = self.shingles[k], np.unique(shingles(window), return_counts=True)
-        _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-        shared = np.minimum(na[i], nb[j]).sum()
-        return float(shared / (na.sum() + nb.sum() - shared))
-
-    def matches(self, h: np.ndarray, doc: np.ndarray, part: tuple[bool, bool] = (False, False)) -> dict[tuple[int, int], tuple[float, int, int]]:
+    def best_stretch(self, k: int, codes: np.ndarray) -> tuple[float, int]:
+        """(similarity, first shingle) of the stretch of shingles with the greatest weighted
+        Jaccard similarity to an item, the first of several; (0, 0) if none reaches SIMILARITY."""
+        own, most = self.shingles[k]
+        size = int(most.sum())
+        least = math.ceil(SIMILARITY * size - 1e-9)  # shingles that a stretch must share
+        at = np.minimum(np.searchsorted(own, codes), len(own) - 1)
+        where = np.flatnonzero(own[at] == codes)  # a best stretch begins and ends at one of the item's shingles
+        item = at[where]
+        if len(where) < least or np.minimum(np.bincount(item, minlength=len(own)), most).sum() < least:
+            return 0.0, 0
+        order = np.argsort(item, kind="stable")
+        earlier = np.empty(len(item), np.int64)  # equal shingles before each
+        earlier[order] = np.arange(len(item)) - np.searchsorted(item[order], item[order], side="left")
+        passed, best = np.zeros(len(own), np.int64), (0.0, 0)
+        for i in range(len(where) - least + 1):
+            counts = earlier[i:] - passed[item[i:]] < most[item[i:]]
+            shared = np.cumsum(counts)[least - 1 :]
+            like = shared / (size + where[i + least - 1 :] - where[i] + 1 - shared)
+            top = float(like.max())
+            if top > best[0]:
+                best = (top, int(where[i]))
+            passed[item[i]] += 1
+        return best if best[0] >= SIMILARITY - 1e-12 else (0.0, 0)
+
+    def matches(self, h: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], tuple[float, int, int]]:
         """(text, item) to (similarity, word position, differing bits) of its best verified
-        window.  ``part``: the text goes on before the first and after the last word, so
-        that stretches over that border are left to the neighbouring part."""
+        stretch."""
         found: dict[tuple[int, int], tuple[float, int, int]] = {}
         if not len(h):
             return found
-        sums, seen = counters(h), set()
+        sums, seen = counters(h), {}
+        codes = shingles(h) if len(h) >= SHINGLE else np.zeros(0, np.uint64)
         starts = np.searchsorted(doc, np.arange(doc[-1] + 2))
         for size, (own, item, shift, _) in self.by_size.items():
             if len(h) < size:
@@ -213,26 +229,32 @@ class Index:
                     continue
                 n, first, last = len(self.hashes[k]), int(starts[d]), int(starts[d + 1])
                 begin = p - int(shift[entry[i]])
-                if (d, k, begin) in seen or part[0] and begin < first or part[1] and begin + n > last:
+                slack = n // 8 + 4 if n >= SHINGLE else 0  # a place so near one that was tried is covered by it
+                tried = seen.setdefault((d, k), [])
+                if any(abs(begin - t) <= slack for t in tried):
                     continue
-                seen.add((d, k, begin))
-                at = max(begin, first)
-                for end in sorted({min(begin + n, last), min(at + n, last)}):
-                    like = self.similarity(k, h[at:end])
-                    if like >= SIMILARITY and like > found.get((d, k), (0.0,))[0]:
-                        found[d, k] = (like, at - first, int(bits[i]))
+                tried.append(begin)
+                if n < SHINGLE:
+                    like, at = float(begin >= first and begin + n <= last and (h[begin : begin + n] == self.hashes[k]).all()), begin
+                else:
+                    room = n // 4 + 1 + slack
+                    low, high = max(first, begin - room), min(last, begin + n + room) - SHINGLE + 1
+                    like, at = self.best_stretch(k, codes[low:high]) if high > low else (0.0, 0)
+                    at += low
+                if like > found.get((d, k), (0.0,))[0]:
+                    found[d, k] = (like, at - first, int(bits[i]))
         return found
 
 
-def pieces(data: np.ndarray, overlap: int, most: int) -> Iterator[tuple[np.ndarray, int, bool]]:
+def pieces(data: np.ndarray, overlap: int, most: int) -> Iterator[tuple[np.ndarray, int]]:
     """A long text in parts of about ``most`` bytes that share ``overlap`` words,
-    with the number of words before each, and whether more follow."""
+    with the number of words before each."""
     at = before = 0
     while True:
         end = min(len(data), at + most)
         while end < len(data) and data[end] not in (9, 10, 11, 12, 13, 32):
             end += 1
-        yield data[at:end], before, end < len(data)
+        yield data[at:end], before
         if end >= len(data):
             return
         start, _ = words(data[at:end], np.array([0, end - at]))
@@ -249,8 +271,8 @@ def scan(index: Index, texts: pa.Array, most: int = 8 << 20) -> dict[tuple[int,
     if len(texts) != 1 or len(data) <= most or not index.hashes:
         return index.matches(*word_hashes(data, off))
     found: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for part, before, more in pieces(data, 2 * max(len(h) for h in index.hashes), most):
-        for key, (like, at, bits) in index.matches(*word_hashes(part, np.array([0, len(part)])), (before > 0, more)).items():
+    for part, before in pieces(data, 2 * max(len(h) for h in index.hashes), most):
+        for key, (like, at, bits) in index.matches(*word_hashes(part, np.array([0, len(part)]))).items():
             if like > found.get(key, (0.0,))[0]:
                 found[key] = (like, at + before, bits)
     return found

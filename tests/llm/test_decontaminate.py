@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm_cases import awkward, documents, empty
 
 from pickwise.llm import decontaminate as D
@@ -22,6 +23,24 @@ def plain_similarity(a, b):
     return shared / (sum(x.values()) + sum(y.values()) - shared)
 
 
+def best_of_all_stretches(item, w):
+    """Greatest similarity of the item and any stretch of at least five words."""
+    from collections import Counter
+
+    own = Counter(tuple(item[i : i + 5]) for i in range(len(item) - 4))
+    grams = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    best = 0.0
+    for a in range(len(grams)):
+        if grams[a] not in own:
+            continue
+        have, shared = Counter(), 0
+        for b in range(a, min(len(grams), a + 2 * len(item))):
+            have[grams[b]] += 1
+            shared += have[grams[b]] <= own[grams[b]]
+            best = max(best, shared / (own.total() + b - a + 1 - shared))
+    return best
+
+
 def items(spark, sf_dir):
     return [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
 
@@ -37,7 +56,7 @@ def test_documents_against_all_windows(spark, sf_small):
         have = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
         for (k, item), s in zip(own, shingles, strict=True):
             if len(s & have) >= 0.4 * len(s):  # a window of similarity 0.8 shares far more
-                best = max(plain_similarity(item, w[i : i + len(item)]) for i in range(max(1, len(w) - len(item) + 1)))
+                best = best_of_all_stretches(item, w)
                 if best >= D.SIMILARITY:
                     want[r.doc_id, k] = best
     assert got.keys() == want.keys() and len(want) > 0
@@ -103,6 +122,42 @@ def test_passages_changed_within_are_found():
         assert tried
 
 
+@pytest.mark.parametrize("kind", ["changed", "added", "dropped", "mixed"])
+@pytest.mark.parametrize("n", [45, 100, 200, 400])
+def test_passages_edited_as_far_as_the_similarity_allows(n, kind):
+    """Single words changed, added or dropped all over the passage until its own similarity
+    to the item would fall below the limit."""
+    rng = np.random.default_rng(n)
+    more, found, tried = "then other words that were never any part of it".split(), 0, 0
+    for _ in range(40):
+        w = [f"w{v}" for v in rng.integers(0, 2000, n)]
+        e = list(w)
+        while True:
+            f, at = list(e), int(rng.integers(0, len(e)))
+            what = kind if kind != "mixed" else ("changed", "added", "dropped")[int(rng.integers(0, 3))]
+            f[at : at + (what != "added")] = [] if what == "dropped" else [f"x{rng.integers(0, 10**9)}"]
+            if plain_similarity(w, f) < D.SIMILARITY:
+                break
+            e = f
+        if e != w:
+            tried += 1
+            found += found_as(" ".join(more + e + more), D.Index([(1, " ".join(w).encode())])) == {1}
+    assert tried > 4 and found >= 0.95 * tried, (found, tried)
+
+
+def test_the_best_stretch_against_all_stretches():
+    rng = np.random.default_rng(6)
+    for _ in range(150):
+        w = [f"w{v}" for v in rng.integers(0, 4, int(rng.integers(8, 30)))]  # few words: shingles repeat
+        text = [f"w{v}" for v in rng.integers(0, 4, 8)] + list(w) + [f"w{v}" for v in rng.integers(0, 4, 8)]
+        for _ in range(int(rng.integers(0, 3))):
+            del text[int(rng.integers(0, len(text)))]
+        ix = D.Index([(1, " ".join(w).encode())])
+        h, _ = D.word_hashes(np.frombuffer(" ".join(text).encode(), np.uint8), np.array([0, len(" ".join(text))]))
+        like, want = ix.best_stretch(0, D.shingles(h))[0], best_of_all_stretches(w, text)
+        assert abs(like - (want if want >= D.SIMILARITY else 0.0)) < 1e-9
+
+
 def test_every_fingerprint_within_the_radius_is_found(spark, sf_small):
     ix = index(spark, sf_small)
     rng = np.random.default_rng(1)
