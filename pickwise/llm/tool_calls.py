@@ -3,8 +3,9 @@
 Results join their calls on the call id.  A call lists the ids it depends on; within
 a conversation calls come in an order in which every call follows its dependencies.
 Where all dependencies lie at earlier turns the turns are that order; other
-conversations are layered round by round (a call's layer is one above its highest
-dependency), each round a join.  Arguments are checked against the JSON schema of
+conversations are layered (a call's layer is one above its highest dependency): those
+of at most ``WHOLE`` calls without ties to other conversations inside one task each,
+the rest round by round, each round a join.  Arguments are checked against the JSON schema of
 the called tool, and every call becomes one canonical JSON message (keys in code
 unit order, no white space, shortest numbers).
 
@@ -14,7 +15,8 @@ all layers), ``duplicate_id`` (one of several different calls with one id), ``no
 (NULL call id).  Equal repeated rows count once; of several results of a call the
 one with the smallest (turn, content) is linked.  Dependencies on unknown ids are
 dropped from the order but stay in the message.  NULL arguments are an empty object,
-NULL content is JSON null.  A tool without a schema accepts any object.  Empty tables
+NULL content is JSON null.  A half of a surrogate pair that stands alone in a JSON text
+is written as its escape (``\\ud800``), in messages and in errors.  A tool without a schema accepts any object.  Empty tables
 give an empty result; other columns are ignored.
 """
 
@@ -22,14 +24,17 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import persisted
+from pickwise.llm.common import persisted, slices
 
+WHOLE = 20_000  # calls of a conversation that one task puts in order
 TYPES = {"string": str, "boolean": bool, "array": list, "object": dict, "null": type(None)}
 
 
@@ -54,6 +59,11 @@ def canonical(value: object) -> str:
     return json.dumps(value, ensure_ascii=False)
 
 
+def writable(text: str) -> str:
+    """The text with lone surrogates as escapes, so that it can be written as UTF-8."""
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m.group()):04x}", text)
+
+
 def fits(value: object, kind: str) -> bool:
     if kind in ("integer", "number"):
         ok = isinstance(value, int | float) and not isinstance(value, bool)
@@ -89,6 +99,33 @@ def violations(value: object, schema: dict, at: str = "$") -> list[str]:
     return out
 
 
+def layers_inside(edges: DataFrame) -> DataFrame:
+    """(call_id, layer, cycle) of calls (conv_id, call_id, needs; ``needs`` NULL in a row of
+    its own for every call) whose dependencies all lie in their own conversation, a task
+    a conversation.  Calls are taken away layer by layer; what stays is on or behind a cycle."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        calls = sorted(set(group["call_id"]))
+        waits, after = dict.fromkeys(calls, 0), {c: [] for c in calls}
+        for call, needs in {(c, n) for c, n in zip(group["call_id"], group["needs"], strict=True) if isinstance(n, str)}:
+            waits[call] += 1
+            after[needs].append(call)
+        free, layer, done = [c for c in calls if not waits[c]], 0, []
+        while free:
+            done += [(c, layer, False) for c in free]
+            freed = []
+            for c in free:
+                for x in after[c]:
+                    waits[x] -= 1
+                    if not waits[x]:
+                        freed.append(x)
+            free, layer = freed, layer + 1
+        known = {c for c, *_ in done}
+        return pd.DataFrame(done + [(c, layer, True) for c in calls if c not in known], columns=["call_id", "layer", "cycle"])
+
+    return edges.groupBy("conv_id").applyInPandas(run, "call_id string, layer bigint, cycle boolean")
+
+
 def layers(calls: DataFrame, edges: DataFrame) -> DataFrame:
     """(call_id, layer, cycle) of the calls in conversations with a dependency that is
     not at an earlier turn.  One round a layer; what never gets free is a cycle."""
@@ -120,7 +157,18 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     needs = needs.join(known.select(F.col("call_id").alias("needs"), "at"), "needs").filter("call_id IS NOT NULL")
     late = persisted(needs.filter("NOT at < turn").select("conv_id").distinct())
     mixed = slim.join(late, "conv_id", "left_semi").filter("call_id IS NOT NULL").select("call_id").distinct()
-    layered = layers(mixed, needs.join(late, "conv_id", "left_semi").select("call_id", "needs").distinct())
+    edges = persisted(needs.join(late, "conv_id", "left_semi").select("conv_id", "call_id", "needs").distinct())
+    # ids that stand in two conversations, or edges between them, tie conversations together
+    homes = slim.filter("call_id IS NOT NULL").groupBy("call_id").agg(F.min("conv_id").alias("home"), F.max("conv_id").alias("other"))
+    ends = needs.select("conv_id", "needs").join(homes.withColumnRenamed("call_id", "needs"), "needs")
+    tied = ends.filter("conv_id <> home OR home <> other").select(F.explode(F.array("conv_id", "home", "other")).alias("conv_id"))
+    tied = tied.union(homes.filter("home <> other").select(F.explode(F.array("home", "other")).alias("conv_id")))
+    sizes = slim.join(late, "conv_id", "left_semi").groupBy("conv_id").agg(F.count("*").alias("calls"))
+    whole = persisted(sizes.filter(F.col("calls") <= WHOLE).join(tied.distinct(), "conv_id", "left_anti").select("conv_id"))
+    alone = slim.filter("call_id IS NOT NULL").join(whole, "conv_id", "left_semi").select("conv_id", "call_id", F.lit(None).cast("string").alias("needs")).distinct()
+    inside = layers_inside(alone.union(edges.join(whole, "conv_id", "left_semi").select("conv_id", "call_id", "needs")))
+    rest = mixed.join(alone.select("call_id"), "call_id", "left_anti")
+    layered = inside.union(layers(rest, edges.join(whole, "conv_id", "left_anti").select("call_id", "needs").distinct()))
     first = results.filter("call_id IS NOT NULL").groupBy("call_id").agg(F.min(F.struct("turn", "conv_id", "content")).alias("r"))
     about = known.select("call_id", "same_id").join(layered, "call_id", "left")
     rows = calls.distinct().join(first, "call_id", "left").join(about, "call_id", "left")
@@ -131,9 +179,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     rows = rows.unionByName(lone.select("conv_id", "turn", "call_id", none.alias("name"), none.alias("arguments"), F.array().cast("array<string>").alias("depends_on"), "content", F.col("turn").alias("order_key"), F.lit("orphan").alias("status")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in slices(slices(batches, "content"), "arguments"):
             errors, messages = [], []
             for r in b.to_pylist():
                 wrong, args = [], None
@@ -144,8 +190,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
                         wrong = violations(args, {"type": "object"} | schemas.get(r["name"], {}))
                     except (ValueError, RecursionError, OverflowError):
                         args, wrong = None, ["$: not JSON"]
-                errors.append(wrong)
-                messages.append(canonical({"arguments": args, "depends_on": r["depends_on"], "id": r["call_id"], "name": r["name"], "result": r["content"], "status": r["status"]}))
+                errors.append([writable(e) for e in wrong])
+                messages.append(writable(canonical({"arguments": args, "depends_on": r["depends_on"], "id": r["call_id"], "name": r["name"], "result": r["content"], "status": r["status"]})))
             keep = [b.column(b.schema.get_field_index(c)) for c in ("conv_id", "order_key", "turn", "call_id", "name", "status")]
             yield pa.RecordBatch.from_arrays([*keep, pa.array([not e for e in errors]), pa.array(["; ".join(e) for e in errors]), pa.array(messages)], ["conv_id", "order_key", "turn", "call_id", "name", "status", "valid", "errors", "message"])
 

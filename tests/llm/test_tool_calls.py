@@ -76,6 +76,31 @@ def test_canonical_json(value, want):
     assert C.canonical(value) == want and json.loads(want) == value
 
 
+def test_lone_surrogates_are_escaped(spark):
+    texts = ['{"a":"\\ud800"}', '{"\\udfff":["x\\ud83d\\ude00y\\ud83d"]}', '{"q":1,"\\ud801":2}']
+    calls = [(1, i, str(i), "f" if i < 2 else "g", t, []) for i, t in enumerate(texts)]
+    got = {r.turn: r for r in linked(spark, calls, [], {"g": {"properties": {"q": {}}, "additionalProperties": False}})}
+    assert '"arguments":{"a":"\\ud800"}' in got[0].message and '{"\\udfff":["x😀y\\ud83d"]}' in got[1].message
+    assert got[2].errors == "$.\\ud801: unknown" and not got[2].valid
+    for i, t in enumerate(texts):
+        assert json.loads(got[i].message)["arguments"] == json.loads(t)
+
+
+def test_a_long_chain_is_ordered_in_one_task(spark):
+    import time
+
+    n = 1000
+    calls = [(1, n - i, str(i), "f", "{}", [str(i - 1)] if i else []) for i in range(n)]
+    # a tie between two conversations: ordered by rounds
+    calls += [(2, 1, "x", "f", "{}", ["y"]), (2, 2, "y", "f", "{}", ["z"]), (3, 0, "z", "f", "{}", []), (4, 1, "p", "f", "{}", ["q"]), (4, 2, "q", "f", "{}", ["p"])]
+    began = time.perf_counter()
+    got = {r.call_id: r for r in linked(spark, calls, [])}
+    assert time.perf_counter() - began < 60
+    assert all(got[str(i)].order_key == i for i in range(n))
+    assert [got[c].order_key for c in "zyx"] == [0, 0, 1]  # layers are counted within a conversation
+    assert got["p"].status == got["q"].status == "cycle"
+
+
 def test_conversations_against_sql(spark, sf_small):
     from oracle_compare import compare
 
