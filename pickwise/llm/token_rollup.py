@@ -4,19 +4,23 @@ A change is an insert (+1 document, +tokens), a delete (-1, -tokens) or a revisi
 (0, tokens - old_tokens) of a document's count under one tokenizer version.  A batch
 of changes is summed by source, language and version and written to its own folder
 of the ledger; the folder counts once its writer's success mark exists.  Committing
-a batch again changes nothing, and a broken commit is written anew, so totals are
-the sums over committed batches whatever was retried.  Totals are additive: later
+a batch again changes nothing, a batch of the same name with other sums is an error,
+and a broken commit is written anew, so totals are the sums over committed batches
+whatever was retried.  Totals are additive: later
 batches never read earlier documents.
 
 Defined results: NULL source, language or version are values of their own; NULL
 token counts are 0; changes of an unknown or NULL kind count nothing; repeated rows
 of a batch count each; a NULL text has no tokens; an empty batch commits and adds
-nothing; a ledger without batches has no totals; other columns are ignored.
+nothing; a ledger without batches has no totals; other columns are ignored.  In
+``corpus_history`` rows without doc_id are copies where a row with an id has their
+text; among themselves they all stay, as do repeated rows of an id.
 """
 
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -78,6 +82,11 @@ def deltas(changes: DataFrame) -> DataFrame:
     return changes.groupBy(*KEYS).agg(F.sum(docs).cast("bigint").alias("docs"), F.sum(tokens).cast("bigint").alias("tokens"))
 
 
+def content(rows: DataFrame) -> tuple:
+    """Rows and a hash of the sums, whatever their order."""
+    return tuple(rows.agg(F.count("*"), F.bit_xor(F.xxhash64(*KEYS, "docs", "tokens"))).first())
+
+
 class Ledger:
     """Committed batches of deltas below one folder that all executors share."""
 
@@ -94,11 +103,25 @@ class Ledger:
         return sorted(f.getPath().getParent().getName().removeprefix("batch=") for f in found or [])
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Writes a batch; False if it was committed before (nothing is done then)."""
-        if batch in self.committed():
-            return False
-        deltas(changes).write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
-        return True
+        """Writes a batch; False if it was committed before with the same sums (nothing is
+        done then).  A batch of that name with other sums is an error.  The batch is written
+        beside its place and moved there at once, so of two writers one commits."""
+        fs, path = self._files()
+        place, beside = f"{self.folder}/batch={batch}", f"pending-{uuid.uuid4().hex}"
+        rows = persisted(deltas(changes))
+        if batch not in self.committed():
+            rows.write.parquet(f"{self.folder}/{beside}")
+            if fs.exists(path(place)) and batch not in self.committed():
+                fs.delete(path(place), True)  # left by a writer that died
+            # a move to a folder that exists fails, or ends inside it
+            moved = fs.rename(path(f"{self.folder}/{beside}"), path(place))
+            inside = path(f"{place}/{beside}")
+            if moved and not fs.exists(inside):
+                return True
+            fs.delete(inside if moved else path(f"{self.folder}/{beside}"), True)
+        if content(rows) != content(self.spark.read.schema(LEDGER).parquet(place)):
+            raise ValueError(f"batch {batch} was committed with other content")
+        return False
 
     def totals(self) -> DataFrame:
         """(source, lang, version, docs, tokens) over all committed batches."""
@@ -130,7 +153,8 @@ def corpus_history(spark: SparkSession, docs: DataFrame, folder: str) -> Ledger:
     change = lambda rows, op, version, tokens, old=F.lit(0): rows.select(F.lit(op).alias("op"), "source", "lang", F.lit(version).alias("version"), F.col(tokens).alias("tokens"), old.alias("old_tokens"))
     kept = rows.groupBy("digest").agg(F.min("doc_id").alias("kept"), F.count("*").alias("n")).filter("n > 1")
     kept = persisted(kept.select("digest", "kept"))
-    copies = rows.join(kept, "digest").filter("doc_id <> kept")
+    # of texts that some row with an id has, all rows without one are copies
+    copies = rows.join(kept, "digest").filter("kept IS NOT NULL AND NOT doc_id <=> kept")
     stay = rows.join(kept, "digest", "left").filter("kept IS NULL OR doc_id <=> kept")
     batches = {
         "load": change(rows, "insert", one, "first"),

@@ -1,7 +1,8 @@
 from collections import defaultdict
 
+import pytest
 import tiktoken  # noqa: F401
-from llm_cases import awkward, documents, empty
+from llm_cases import DOCS, awkward, documents, empty
 
 from pickwise.llm import token_rollup as R
 from pickwise.session import shared_dir
@@ -25,7 +26,11 @@ def test_signed_changes_and_replays(spark):
     assert totals(ledger) == {("a", "en", "v1"): (2, 15), (None, None, "v1"): (1, 0)}
     ledger.commit("two", changes(spark, [("delete", "a", "en", "v1", 5, None), ("revise", "a", "en", "v1", 14, 10), ("insert", "a", "fr", "v2", 3, None)]))
     ledger.commit("none", changes(spark, []))
-    assert not ledger.commit("none", first)
+    assert not ledger.commit("none", changes(spark, []))
+    for name, other in (("none", first), ("one", changes(spark, []))):
+        with pytest.raises(ValueError, match="other content"):
+            ledger.commit(name, other)
+    assert ledger.committed() == ["none", "one", "two"]
     assert totals(ledger) == {("a", "en", "v1"): (1, 14), (None, None, "v1"): (1, 0), ("a", "fr", "v2"): (1, 3)}
 
 
@@ -71,3 +76,10 @@ def test_awkward_rows(spark):
     # ten rows; 3 joins 2 as an empty text, 7 is a copy of 1, whose repeated row stays
     assert top == dict.fromkeys(R.VERSIONS, 8)
     assert R.corpus_history(spark, empty(spark), shared_dir(spark, "ledger")).rollup().count() == 0
+
+
+def test_copies_without_an_id(spark):
+    rows = [(1, "same text"), (None, "same text"), (None, "other text"), (None, "other text"), (2, "third")]
+    docs = spark.createDataFrame([(i, t, "en", "a", None) for i, t in rows], DOCS)
+    top = [r for r in R.corpus_history(spark, docs, shared_dir(spark, "ledger")).rollup().collect() if r.all_sources and r.all_langs]
+    assert {r.docs for r in top} == {4}
