@@ -27,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.llm.common import octets, persisted, slices
@@ -65,14 +65,16 @@ def text_fingerprints(texts: list[bytes], shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every row; fp holds the 64 bits as a signed bigint."""
+    """(doc_id, fp, t1, t2) for every row; fp holds the 64 bits as a signed bigint, t1 and t2
+    are bits of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp = text_fingerprints(octets(b.column(1)).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), b.column(2), b.column(3)], ["doc_id", "fp", "t1", "t2"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *text_bits())
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint, t1 bigint, t2 bigint")
 
 
 def masks(blocks: int, radius: int) -> list[int]:
@@ -257,23 +259,39 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``."""
+    rows = grouped(docs, shingle, radius, chunk)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def grouped(docs: DataFrame, shingle: int, radius: int, chunk: int) -> DataFrame:
+    """(doc_id, fp, t1, t2, root, component_id) for every row: root names the group, t1 and
+    t2 are 128 bits of the text."""
     marked = persisted(fingerprints(docs, shingle))
     nodes = persisted(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     linked = persisted(components(links(nodes.select("fp"), radius, chunk)).withColumnRenamed("node", "fp"))
     smallest = linked.join(nodes, "fp").groupBy("root").agg(F.min("least").alias("component"))
-    moved = linked.join(smallest, "root").select("fp", "component")
+    moved = linked.join(smallest, "root").select("fp", "root", "component")
     # written out, so that the last join is a plain one in which Spark splits a hot fingerprint
-    named = persisted(nodes.join(moved, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")))
-    return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates: the one with
-    the smallest doc_id.  Repeated rows of that id stay once; rows whose whole
-    group has NULL ids are left as they are."""
-    found = near_duplicates(docs, shingle, radius).filter("doc_id <=> component_id")
-    keep = persisted(found.groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")))
-    kept = docs.join(keep, docs["doc_id"].cast("bigint").eqNullSafe(keep["_kept"]), "left_semi")
-    if keep.filter("_rows > 1 AND _kept IS NOT NULL").isEmpty():
-        return kept
-    return kept.filter("doc_id IS NULL").union(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    named = persisted(nodes.join(moved, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "least").alias("component_id")))
+    return marked.join(named, "fp")
+
+
+def text_bits() -> list[Column]:
+    """128 bits of the text, NULL as empty: XXH64 under two seeds."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates: the one with the
+    smallest doc_id; if that id has several texts in the group, the one with the least
+    text hash.  Rows are told apart by doc_id and text, so rows of one id in different
+    groups stay apart.  Rows whose whole group has NULL ids are left as they are."""
+    rows = grouped(docs, shingle, radius, chunk)
+    first = rows.filter("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("x"))
+    first = persisted(first.select(F.col("x.doc_id").alias("_id"), F.col("x.t1").alias("_t1"), F.col("x.t2").alias("_t2")))
+    lone = persisted(rows.filter("component_id IS NULL").select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2")).distinct())
+    bits = [c.alias(n) for c, n in zip(text_bits(), ("_t1", "_t2"), strict=True)]
+    ours = docs.select("*", F.col("doc_id").cast("bigint").alias("_id"), *bits)
+    kept = ours.filter("_id IS NOT NULL").join(first, ["_id", "_t1", "_t2"], "left_semi").dropDuplicates(["_id", "_t1", "_t2"])
+    return kept.unionByName(ours.filter("_id IS NULL").join(lone, ["_t1", "_t2"], "left_semi")).select(*[f"`{c}`" for c in docs.columns])

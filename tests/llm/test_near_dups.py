@@ -103,3 +103,12 @@ def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a bigint, b bigint")
     got = {r.node: r.root for r in N.components(edges).collect()}
     assert got == {i: 0 for i in range(301)}
+
+
+def test_rows_of_one_id_with_different_texts_stay_apart(spark):
+    a, b = "one two three four five six seven eight nine ten", "completely other words that share nothing with it at all"
+    rows = [(5, a), (5, a), (5, b), (9, a), (None, b), (None, "alone without any id in a text of its own"), (None, "alone without any id in a text of its own")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, _id string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in N.one_of_each(docs).collect()), key=repr)
+    assert kept == sorted([(5, a), (5, b), rows[5], rows[6]], key=repr)
+    assert N.one_of_each(docs).columns == docs.columns
