@@ -292,6 +292,6 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, c
     first = persisted(first.select(F.col("x.doc_id").alias("_id"), F.col("x.t1").alias("_t1"), F.col("x.t2").alias("_t2")))
     lone = persisted(rows.filter("component_id IS NULL").select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2")).distinct())
     bits = [c.alias(n) for c, n in zip(text_bits(), ("_t1", "_t2"), strict=True)]
-    ours = docs.select("*", F.col("doc_id").cast("bigint").alias("_id"), *bits)
+    ours = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("_id"), *bits)
     kept = ours.filter("_id IS NOT NULL").join(first, ["_id", "_t1", "_t2"], "left_semi").dropDuplicates(["_id", "_t1", "_t2"])
-    return kept.unionByName(ours.filter("_id IS NULL").join(lone, ["_t1", "_t2"], "left_semi")).select(*[f"`{c}`" for c in docs.columns])
+    return kept.unionByName(ours.filter("_id IS NULL").join(lone, ["_t1", "_t2"], "left_semi")).select("row.*")
