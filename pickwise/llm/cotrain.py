@@ -3,13 +3,17 @@
 The content view sees the text: the shares of hashed byte pairs and word-repetition
 measures.  The metadata view sees the page's record and layout: source, language,
 size, line counts and line lengths, never the words.  Each view is a logistic
-regression.  Over ``ROUNDS`` rounds each view labels the unlabelled documents it is
-surest of for the other view; then both views are calibrated on labelled rows kept
-back for it, and a logistic regression over the two calibrated log-odds combines
-them.  The combined model scores every document.
-
-Training bounds: at most ``SAMPLE`` labelled rows of each class and ``POOL``
-unlabelled documents, by smallest hash.  Scoring covers all rows.
+regression.  In each of ``ROUNDS`` rounds both views score every unlabelled document on
+Spark, and each labels those it is sure of for the other view; the labels of a round
+replace those of the round before, so documents that a better model is sure of come in
+and others go out.  Then both views are calibrated on labelled rows kept back for it,
+and a logistic regression over the two calibrated log-odds combines them.  The combined
+model scores every document.
+
+Training bounds: a fit takes at most ``SAMPLE`` rows of each class with given labels,
+and as many of each class with labels from the other view, by smallest hash; their
+weights stand for all rows of that label.  The search for sure documents and the scoring
+cover all rows.
 
 Defined results: NULL columns count as an empty text, as the value "" of a name, or
 as size 0; a document labelled twice is good only if all its labels are; NULL labels
@@ -21,7 +25,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +36,9 @@ from pyspark.sql import functions as F
 from pickwise.llm.common import Prefix, flat, is_space, octets, persisted, runs, slices
 
 SAMPLE = 3000
-POOL = 6000
 ROUNDS = 4
 SURE = 0.95  # calibrated probability from which a pseudo-label is given
-PER_ROUND = 0.25  # largest share of the pool a view may label for the other in a round
+PSEUDO = 0.5  # weight of all pseudo-labels of a view, of that of the given labels
 KEPT_BACK = 0.25  # labelled rows for calibration and combination
 PAIRS = 512  # hashed byte-pair cells
 NAMES = 64  # hashed cells of source and language
@@ -176,30 +179,28 @@ class Quality:
         return sigmoid(z[0]), sigmoid(z[1]), sigmoid(logits(np.stack(z, 1) / 5, self.combined))
 
 
-def cotrained(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, weight: np.ndarray, pool_c: np.ndarray, pool_m: np.ndarray) -> Quality:
-    """Co-training on labelled rows (in random order) and a pool of unlabelled rows."""
+Given = tuple[np.ndarray, np.ndarray, np.ndarray]  # view vectors, labels, weights
+View = tuple[np.ndarray, tuple[float, float]]  # weights, calibration
+
+
+def cotrained(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, weight: np.ndarray, exchange: Callable[[list[View]], list[Given | None]], rounds: int = ROUNDS) -> Quality:
+    """Co-training on labelled rows (in random order).  ``exchange`` takes the two fitted
+    views and returns, for each view, what the other view labels for it."""
     cut = int(len(y) * (1 - KEPT_BACK))
     own, back = slice(0, cut), slice(cut, None)
-    x, pool = (content, metadata), (pool_c, pool_m)
-    most = max(1, int(len(pool_c) * PER_ROUND))
-    given = [np.full(len(pool_c), -1.0), np.full(len(pool_c), -1.0)]  # labels each view has got
-    for round_ in range(ROUNDS + 1):
+    x, given = (content, metadata), [None, None]
+    for round_ in range(rounds + 1):
         model = []
         for v in (0, 1):
-            got = given[v] >= 0
-            xs = np.concatenate((x[v][own], pool[v][got]))
-            ys = np.concatenate((y[own], given[v][got]))
-            ws = np.concatenate((weight[own], np.full(got.sum(), 0.5)))
+            xs, ys, ws = x[v][own], y[own], weight[own]
+            if given[v] is not None:
+                more, labels, shares = given[v]
+                xs, ys = np.concatenate((xs, more)), np.concatenate((ys, labels))
+                ws = np.concatenate((ws, PSEUDO * ws.sum() * shares / shares.sum()))
             w = fitted(xs, ys, ws)
             model.append((w, platt(logits(x[v][back], w), y[back], weight[back])))
-        if round_ == ROUNDS or not len(pool_c):
-            break
-        for v in (0, 1):
-            w, (a, b) = model[v]
-            p = sigmoid(a * logits(pool[v], w) + b)
-            sure = np.flatnonzero((np.maximum(p, 1 - p) >= SURE) & (given[1 - v] < 0))
-            sure = sure[np.argsort(-np.maximum(p, 1 - p)[sure], kind="stable")][:most]
-            given[1 - v][sure] = p[sure] >= 0.5
+        if round_ < rounds:
+            given = exchange(model)
     out = Quality()
     out.content, out.metadata = model
     z = [a * logits(s, w) + b for s, (w, (a, b)) in zip((content[back], metadata[back]), model, strict=True)]
@@ -207,8 +208,80 @@ def cotrained(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, weight:
     return out
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pool: int = POOL) -> Quality:
-    """The model from bounded samples; only their view vectors reach the driver."""
+VECTORS = "doc_id bigint, h bigint, content binary, metadata binary"
+
+
+def vectors(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, content, metadata): both views of every row with an id, as 16-bit floats."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            x = [pa.array([r.tobytes() for r in v.astype(np.float16)], pa.binary()) for v in views(b)]
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in ("doc_id", "h")] + x, ["doc_id", "h", "content", "metadata"])
+
+    rows = docs.select(*source(docs)).filter("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+    return rows.mapInArrow(run, VECTORS)
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float16).reshape(len(column), -1).astype(np.float32)
+
+
+def sure_of(rows: DataFrame, model: list[View]) -> DataFrame:
+    """(doc_id, h, view, y): every row that a view is sure of, with the label it gives."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                b = batch.slice(at, 2048)
+                for v, (w, (a, c)) in enumerate(model):
+                    p = sigmoid(a * logits(unpacked(b.column(2 + v)), w) + c)
+                    sure = np.flatnonzero(np.maximum(p, 1 - p) >= SURE)
+                    if len(sure):
+                        columns = [b.column(0).take(pa.array(sure)), b.column(1).take(pa.array(sure)), pa.array(np.full(len(sure), v, np.int32)), pa.array((p[sure] >= 0.5).astype(np.int32))]
+                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "view", "y"])
+
+    return rows.mapInArrow(run, "doc_id bigint, h bigint, view int, y int")
+
+
+class Exchange:
+    """Pseudo-labels over all unlabelled rows: each view's sure ones go to the other."""
+
+    def __init__(self, rows: DataFrame, labelled: DataFrame, sample: int):
+        self.rows, self.labelled, self.sample = rows, labelled, sample
+
+    def chosen(self, model: list[View]) -> tuple[DataFrame, dict[tuple[int, int], int]]:
+        """(doc_id, h, view, y) of at most ``sample`` rows a view and label, by smallest hash,
+        and how many there are of each."""
+        sure = persisted(sure_of(self.rows, model).join(self.labelled, "doc_id", "left_anti").distinct())
+        counts = {(r["view"], r["y"]): r["n"] for r in sure.groupBy("view", "y").agg(F.count("*").alias("n")).collect()}
+        parts = [sure.filter((F.col("view") == v) & (F.col("y") == y)).orderBy("h", "doc_id").limit(self.sample) for v, y in sorted(counts)]
+        out = parts[0] if parts else sure
+        for p in parts[1:]:
+            out = out.union(p)
+        return persisted(out), counts
+
+    def __call__(self, model: list[View]) -> list[Given | None]:
+        chosen, counts = self.chosen(model)
+        if not counts:
+            return [None, None]
+        # at most four samples: small enough to send to all tasks and to collect
+        rows = self.rows.join(F.broadcast(chosen.drop("h")), "doc_id").dropDuplicates(["doc_id", "view"])
+        t = rows.select("h", "doc_id", "view", "y", F.when(F.col("view") == 0, F.col("metadata")).otherwise(F.col("content")).alias("x")).toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])
+        view, label = t.column("view").to_numpy(), t.column("y").to_numpy()
+        out: list[Given | None] = [None, None]
+        for v in (0, 1):
+            at = np.flatnonzero(view == v)
+            if len(at):
+                y = label[at]
+                had = np.bincount(y, minlength=2)
+                share = np.array([counts.get((v, k), 0) / max(1, had[k]) for k in (0, 1)])
+                out[1 - v] = (unpacked(t.column("x").take(pa.array(at))), y.astype(float), share[y])
+        return out
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Quality:
+    """The model; only view vectors of bounded samples reach the driver."""
     lab = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     lab = lab.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min((F.col("quality") > 0).cast("int")).alias("y"))
     lab = persisted(lab.withColumn("_h", F.xxhash64("doc_id")))
@@ -217,28 +290,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pool: int =
     if len(share) < 2:
         out.constant = share.get(1, 0) / total if total else 1.0
         return out
-    chosen = lab.filter("y = 1").orderBy("_h").limit(sample).union(lab.filter("y = 0").orderBy("_h").limit(sample))
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).filter("doc_id is not null")
-    free = ids.join(lab, "doc_id", "left_anti").select("doc_id", F.lit(-1).alias("y"), F.xxhash64("doc_id").alias("_h")).orderBy("_h").limit(pool)
-    chosen = persisted(chosen.select("doc_id", "y", "_h").union(free))  # at most 2 * sample + pool rows
-    rows = docs.select(*source(docs)).join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            x = [pa.array([r.tobytes() for r in v]) for v in views(b)]
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in ("_h", "y")] + x, ["h", "y", "content", "metadata"])
-
-    t = rows.mapInArrow(run, "h bigint, y int, content binary, metadata binary").dropDuplicates(["h"]).toArrow().sort_by("h")
+    rows = persisted(vectors(docs))
+    chosen = persisted(lab.filter("y = 1").orderBy("_h").limit(sample).union(lab.filter("y = 0").orderBy("_h").limit(sample)).select("doc_id", "y"))
+    t = rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toArrow().sort_by([("h", "ascending"), ("doc_id", "ascending")])
     y = t.column("y").to_numpy()
-    x = [np.frombuffer(b"".join(t.column(c).to_pylist()), np.float32).reshape(len(y), -1) for c in ("content", "metadata")]
-    known = y >= 0
-    had = np.bincount(y[known], minlength=2)
+    had = np.bincount(y, minlength=2)
     if had.min() < 2:
         out.constant = share[1] / total
         return out
-    own = np.random.default_rng(0).permutation(np.flatnonzero(known))  # not in the order of the sampling hash
-    weight = np.where(y[own] > 0, share[1] / had[1], share[0] / had[0])
-    return cotrained(x[0][own], x[1][own], y[own].astype(float), weight, x[0][~known], x[1][~known])
+    own = np.random.default_rng(0).permutation(len(y))  # not in the order of the sampling hash
+    x = [unpacked(t.column(c))[own] for c in ("content", "metadata")]
+    y = y[own]
+    weight = np.where(y > 0, share[1] / had[1], share[0] / had[0])
+    return cotrained(*x, y.astype(float), weight, Exchange(rows, lab.select("doc_id"), sample))
 
 
 def source(docs: DataFrame) -> list:

@@ -36,7 +36,17 @@ def test_views_exchange_labels():
     noisy = (y[:, None] * 2 - 1 + rng.normal(0, 1.2, (2040, 12))).astype(np.float32)
     clear = (y[:, None] * 6 - 3 + rng.normal(0, 1, (2040, 1))).astype(np.float32)
     own, pool = slice(0, 40), slice(40, 1040)
-    few = C.cotrained(noisy[own], clear[own], y[own].astype(float), np.ones(40), noisy[pool], clear[pool])
+    def exchange(model):
+        out = []
+        for to, by in ((0, 1), (1, 0)):
+            x = (noisy[pool], clear[pool])
+            w, (a, b) = model[by]
+            p = C.sigmoid(a * C.logits(x[by], w) + b)
+            sure = np.maximum(p, 1 - p) >= C.SURE
+            out.append((x[to][sure], (p[sure] >= 0.5).astype(float), np.ones(sure.sum())) if sure.any() else None)
+        return out
+
+    few = C.cotrained(noisy[own], clear[own], y[own].astype(float), np.ones(40), exchange)
     alone = C.fitted(noisy[own], y[own].astype(float), np.ones(40))
     test = slice(1040, None)
     right = lambda z: np.mean((z > 0) == y[test])
@@ -45,6 +55,34 @@ def test_views_exchange_labels():
     assert np.mean((p > 0.5) == y[test]) > 0.98
 
 
+def test_a_round_of_exchange_against_plain_code(spark, sf_small):
+    """Over all unlabelled documents, whatever the sample: labels, counts, the least hashes."""
+    docs, lab = documents(spark, sf_small), labels(spark, sf_small).select("doc_id").distinct()
+    rows = C.vectors(docs)
+    data = rows.toArrow()
+    x = [C.unpacked(data.column(c)) for c in ("content", "metadata")]
+    rng = np.random.default_rng(3)
+    model = [(rng.normal(0, 1, v.shape[1] + 1).astype(np.float32), (0.7, 0.1)) for v in x]
+    labelled = {r.doc_id for r in lab.collect()}
+    want, sample = {}, 12
+    for v, (w, (a, b)) in enumerate(model):
+        p = C.sigmoid(a * (x[v] @ w[:-1] + w[-1]).astype(np.float64) + b)
+        for i, doc in enumerate(data.column("doc_id").to_pylist()):
+            if max(p[i], 1 - p[i]) >= C.SURE and doc not in labelled:
+                want.setdefault((v, int(p[i] >= 0.5)), []).append((data.column("h")[i].as_py(), doc))
+    chosen, counts = C.Exchange(rows, lab, sample).chosen(model)
+    assert counts == {k: len(set(d)) for k, d in want.items()} and max(counts.values()) > sample
+    got = {}
+    for r in chosen.collect():
+        got.setdefault((r.view, r.y), set()).add((r.h, r.doc_id))
+    assert got == {k: set(sorted(set(d))[:sample]) for k, d in want.items()}
+    given = C.Exchange(rows, lab, sample)(model)
+    for v in (0, 1):
+        xs, ys, share = given[1 - v]
+        assert xs.shape == (sum(len(got.get((v, y), ())) for y in (0, 1)), x[1 - v].shape[1])
+        assert all(abs(share[ys == y].sum() - counts.get((v, y), 0)) < 1e-6 for y in (0, 1))
+
+
 def test_calibration_meets_the_share_of_labels():
     rng = np.random.default_rng(1)
     y = (rng.random(4000) < 0.2).astype(float)
