@@ -4,11 +4,12 @@ Base spans come from three patterns (assignments, access keys, hex runs).  The
 strings they find are the labelled credentials: for each kind a prefix tree of
 character classes is built from a bounded sample, and statistically compatible
 states are merged (Hoeffding bound on arc and stop frequencies) into a
-probabilistic automaton.  Every run of 12 or more token characters outside the base
+probabilistic automaton; every state keeps a little mass for classes not seen there.
+Every run of 12 or more token characters outside the base
 spans is then scored by all automata, and so are its pieces of 12 or more: without
 signs at its ends, and cut at ``=``, then also at ``/``, ``.`` and all other signs.
-The largest that scores becomes a span of kind ``format``: its log-likelihood ratio
-against a background model of ordinary runs must reach the level that nearly all
+Of pieces that overlap, the one that gains most becomes a span of kind ``format``: its log-likelihood ratio
+against a background model of ordinary runs must come near the level that nearly all
 held-back labelled credentials reach.
 
 Training bound: at most ``SAMPLE`` distinct values of each kind, those with the
@@ -39,7 +40,9 @@ from pickwise.llm.common import flat, octets, persisted, runs, slices
 SAMPLE = 600
 HELD_BACK = 0.25  # share of the sample that sets the score level
 REACH = 0.02  # share of held-back credentials that may stay below the level
+ROOM = 0.7  # share of that level that is enough: a small sample does not show its lowest values
 ALPHA = 0.05  # confidence of the Hoeffding test
+UNSEEN = 0.05  # count that every class, and the end, has in every state besides its own
 MIN_CANDIDATE = 12
 KINDS = ("assign", "access", "hex", "format")
 
@@ -160,15 +163,18 @@ class Automaton:
             fringe = list(dict.fromkeys(to for r in red for _, to in sorted(self.arc[r].items()) if to not in known))
         number = {r: i for i, r in enumerate(red)}
         n = len(CLASSES)
-        self.next = np.full((len(red), n), -1, np.int64)
-        self.cost = np.full((len(red), n), -np.inf)
-        self.end = np.full(len(red), -np.inf)
+        # every state keeps some mass for what the sample did not show there: an unseen
+        # class leads to the state that was passed most often
+        hub = number[max(red, key=lambda r: (self.seen[r], -r))]
+        self.next = np.full((len(red), n), hub, np.int64)
+        self.cost, self.end = np.zeros((len(red), n)), np.zeros(len(red))
         for r, i in number.items():
+            total = self.seen[r] + UNSEEN * (n + 1)
+            for s in range(n):
+                self.cost[i, s] = math.log2((self.use[r].get(s, 0) + UNSEEN) / total)
             for s, to in self.arc[r].items():
                 self.next[i, s] = number[to]
-                self.cost[i, s] = math.log2(self.use[r][s] / self.seen[r])
-            if self.stop[r]:
-                self.end[i] = math.log2(self.stop[r] / self.seen[r])
+            self.end[i] = math.log2((self.stop[r] + UNSEEN) / total)
         del self.arc, self.use, self.stop, self.seen
 
     def _differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
@@ -202,7 +208,7 @@ class Automaton:
                     self.arc[x][s] = to
 
     def scores(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """log2 probability of each run; -inf where the automaton has no such path."""
+        """log2 probability of each run."""
         total, state = np.zeros(len(start)), np.zeros(len(start), np.int64)
         live, step = np.arange(len(start)), 0
         while len(live):
@@ -210,8 +216,8 @@ class Automaton:
             total[live] += self.cost[state[live], s]
             state[live] = self.next[state[live], s]
             step += 1
-            live = live[(state[live] >= 0) & (start[live] + step < end[live])]
-        return np.where(state >= 0, total + self.end[np.maximum(state, 0)], -np.inf)
+            live = live[start[live] + step < end[live]]
+        return total + self.end[state]
 
 
 def transitions(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -265,7 +271,7 @@ class Formats:
             cut = int(len(values) * HELD_BACK)
             model = Automaton(values[cut:])
             ratio = np.sort(self._ratio(model, *self._runs(values[:cut] or values)))  # of fewer than four none is held back
-            self.models.append((kind, model, max(0.0, float(ratio[int(len(ratio) * REACH)]))))
+            self.models.append((kind, model, max(0.0, ROOM * float(ratio[int(len(ratio) * REACH)]))))
 
     @staticmethod
     def _runs(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,14 +282,18 @@ class Formats:
         """Bits a character by which the format beats the background."""
         return (model.scores(symbols, start, end) - self.background.scores(symbols, start, end)) / (end - start)
 
-    def accepted(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        ok = np.zeros(len(start), bool)
+    def bits(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """By how many bits the best format whose level is reached beats the background; 0 if none is."""
+        best = np.zeros(len(start))
         if len(start):
             symbols = SYMBOL[data]
             for _, model, level in self.models:
                 ratio = self._ratio(model, symbols, start, end)
-                ok |= (ratio > 0) & (ratio >= level)
-        return ok
+                best = np.where((ratio > 0) & (ratio >= level), np.maximum(best, ratio * (end - start)), best)
+        return best
+
+    def accepted(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return self.bits(data, start, end) > 0
 
 
 def smallest(values: set[bytes], n: int) -> list[tuple[int, bytes]]:
@@ -340,9 +350,11 @@ def spans_of(formats: Formats, column: pa.Array) -> tuple[dict[int, list[Span]],
     data, off = flat(column)
     found = base_spans(data, off, column.to_pylist())
     doc, start, end = pieces(data, off, found)
-    ok = formats.accepted(data, start, end)
+    bits = formats.bits(data, start, end)
+    order = np.lexsort((start, start - end, -bits))  # of pieces that overlap, the one that gains most
+    order = order[bits[order] > 0]
     taken = np.zeros(len(data), bool)
-    for d, s, e in zip(doc[ok].tolist(), start[ok].tolist(), end[ok].tolist(), strict=True):
+    for d, s, e in zip(doc[order].tolist(), start[order].tolist(), end[order].tolist(), strict=True):
         if not taken[s:e].any():
             taken[s:e] = True
             found.setdefault(d, []).append((s - int(off[d]), 3, e - int(off[d])))

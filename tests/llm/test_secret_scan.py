@@ -119,3 +119,114 @@ def test_redaction_keeps_the_rest(spark):
     assert out[None].text == "A text without an id, [SECRET] here." and out[None].n_chars == 36
     assert out[1].text == ROWS[0][1] and out[2].text is None and out[2].n_chars is None
     assert S.redacted(docs, S.Formats({}, [])).columns == docs.columns
+
+
+def merged(words, alpha):
+    """State merging by plain prefix sets: states are tuples of prefixes, counted anew each time."""
+    import math
+
+    words = [tuple(S.SYMBOL[list(w)].tolist()) for w in words]
+    prefixes = sorted({w[:i] for w in words for i in range(len(w) + 1)}, key=lambda p: (len(p), p))
+    owner = {p: p for p in prefixes}  # prefix -> representative of its state
+
+    def members(state):
+        return [p for p in prefixes if owner[p] == state]
+
+    def table(states):
+        seen = {p: 0 for p in prefixes}
+        for w in words:
+            for i in range(len(w) + 1):
+                seen[w[:i]] += 1
+        return seen
+
+    seen = table(prefixes)
+    stops = {p: sum(w == p for w in words) for p in prefixes}
+    bound = math.sqrt(0.5 * math.log(2 / alpha))
+
+    def counts(state):
+        out = {}
+        for p in members(state):
+            for c in range(len(S.CLASSES)):
+                if (*p, c) in seen:
+                    out[c] = out.get(c, 0) + seen[*p, c]
+        return sum(seen[p] for p in members(state)), sum(stops[p] for p in members(state)), out
+
+    def child(state, c):
+        return next((owner[*p, c] for p in members(state) if (*p, c) in owner), None)
+
+    def alike(x, y):
+        (n, e, u), (m, f, v) = counts(x), counts(y)
+        far = lambda a, b: abs(a / n - b / m) > bound * (n**-0.5 + m**-0.5)
+        if far(e, f) or any(far(u.get(c, 0), v.get(c, 0)) for c in u.keys() | v.keys()):
+            return False
+        return all(alike(child(x, c), child(y, c)) for c in u.keys() & v.keys())
+
+    def fold(x, y):
+        pairs = [(c, child(x, c), child(y, c)) for c in range(len(S.CLASSES))]
+        for p in members(y):
+            owner[p] = x
+        for _, a, b in pairs:
+            if a is not None and b is not None and owner[a] != owner[b]:
+                fold(owner[a], owner[b])
+
+    red, fringe = [()], [child((), c) for c in range(len(S.CLASSES)) if child((), c) is not None]
+    while fringe:
+        blue = fringe.pop(0)
+        same = next((r for r in red if alike(r, blue)), None)
+        if same is None:
+            red.append(blue)
+        else:
+            fold(same, blue)
+        fringe = list(dict.fromkeys(x for r in red for c in range(len(S.CLASSES)) if (x := child(r, c)) is not None and x not in red))
+    return sorted((n, e, tuple(sorted(u.items()))) for n, e, u in map(counts, red))
+
+
+def test_state_merging_against_plain_prefix_sets():
+    import numpy as np
+
+    for seed, words in enumerate((made(40, "01ab", 3, 1) + made(20, "AB", 2, 2), [b"a1", b"a1", b"a", b"A1", b"1a1", b"1a", b"a1a1"] * 5, made(60, "0aGZ", 4, 3), [b"x-" + w for w in made(50, "09", 2, 4)])):
+        a = S.Automaton(words, 0.05 + 0.2 * seed)
+        want = merged(words, 0.05 + 0.2 * seed)
+        got = []
+        for i in range(len(a.end)):
+            # counts follow from the costs: (count + UNSEEN) / (seen + UNSEEN * (classes + 1))
+            for n, e, u in want:
+                total = n + S.UNSEEN * (len(S.CLASSES) + 1)
+                use = dict(u)
+                if np.allclose(np.exp2(a.cost[i]) * total - S.UNSEEN, [use.get(c, 0) for c in range(len(S.CLASSES))]) and np.isclose(np.exp2(a.end[i]) * total - S.UNSEEN, e):
+                    got.append((n, e, u))
+                    break
+        assert sorted(got) == want
+
+
+def test_held_back_credentials_are_found_without_their_keyword(spark):
+    """Values behind another word than the six keywords, formats of many kinds; ordinary runs
+    of the documents are left alone."""
+    import random
+    import string
+
+    import pyarrow as pa
+
+    r = random.Random(7)
+    some = lambda chars, n: "".join(r.choice(chars) for _ in range(n))
+    mixed, low, up = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits
+    formats = [
+        lambda: some(mixed, 32), lambda: some(mixed, r.randint(24, 40)), lambda: some(mixed + "+/", 43) + "=", lambda: "ghp_" + some(mixed, 36),
+        lambda: some(up, 20), lambda: "-".join(some("0123456789abcdef", k) for k in (8, 4, 4, 4, 12)), lambda: some(low, 20), lambda: some("0123456789ABCDEF", 32),
+    ]
+    texts = [x.text or "" for x in documents(spark, "/root/testdata/sf0.1").select("text").collect()]
+    column = pa.array([t.encode() for t in texts], pa.large_binary())
+    data, off = S.flat(column)
+    base = S.base_spans(data, off, column.to_pylist())
+    _, start, end = S.candidates(data, off, base)
+    _, at, to = S.pieces(data, off, base)
+    ordinary = S.transitions(data, start, end)
+    assert len(start) > 40_000
+    for make in formats:
+        for n, least in ((30, 0.85), (200, 0.95), (600, 0.95)):
+            f = S.Formats({"assign": [make().encode() for _ in range(n)]}, ordinary)
+            held = [make() for _ in range(200)]
+            found, _, _ = S.spans_of(f, pa.array([f"the bearer {v} is given".encode() for v in held], pa.large_binary()))
+            hits = sum(any((s, e) == (11, 11 + len(v)) for s, _, e in found.get(i, ())) for i, v in enumerate(held))
+            assert hits >= least * len(held), (held[0], n, hits)
+            assert f.accepted(data, at, to).sum() <= len(at) / 10_000, held[0]
