@@ -184,7 +184,7 @@ def test_report_text_lines(spark, sf_small):
     lines = [r.value for r in E.queries()["report_text"](spark, sf_small).collect()]
     parts = [x.split(" | ")[0] for x in lines]
     assert [parts.count(p) for p in ("models", "best model", "gain over draft only", "top features", "recommendations")] == [3, 1, 1, 10, 3]
-    best = E.queries()["best_model"](spark, sf_small).first()
+    best = M.best_model(E.queries()["fitted_comparison"](spark, sf_small)).first()
     assert f"best model | {best.model} (AUC {best.auc_roc:.4f})" in lines
 
 
@@ -199,3 +199,19 @@ def test_report_and_sinks_roundtrip(spark):
     assert SK.report_text(df).count() == 2
     path = SK.write_json(df, shared_dir(spark, "t-json"))
     assert spark.read.schema(df.schema).json(path).count() == 2
+
+
+def test_a_folder_of_two_thousand_part_files(spark, tmp_path):
+    import time
+
+    layouts = ["match_id,hero_id,team", "team,match_id,hero_id,extra"]
+    for i in range(2000):
+        rows = [f"{i},7,1"] if i % 2 == 0 else [f"1,{i},7,x"]
+        (tmp_path / f"part-{i:04d}.csv").write_text("\n".join([layouts[i % 2], *rows]) + "\n")
+    schema = SC.T.StructType.fromDDL("match_id long, hero_id int, team int")
+    began = time.perf_counter()
+    groups = FS.header_groups(spark, str(tmp_path))
+    assert time.perf_counter() - began < 30
+    assert {h: len(f) for h, f in groups.items()} == {tuple(x.split(",")): 1000 for x in layouts}
+    got = FS.read_csv(spark, str(tmp_path), schema).agg(F.count("*"), F.sum("match_id"), F.min("hero_id"), F.max("hero_id"), F.sum("team")).first()
+    assert tuple(got) == (2000, sum(range(2000)), 7, 7, 2000)
