@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.common import Prefix, flat, is_space, octets, persisted, runs, slices
+from pickwise.llm.common import SLICE_BYTES, Prefix, flat, is_space, octets, persisted, runs, slices
 
 SAMPLE = 3000
 ROUNDS = 4
@@ -129,11 +129,80 @@ def metadata_view(data: np.ndarray, off: np.ndarray, lang: list[str], source: li
     return out
 
 
+def stretches(data: np.ndarray, inside: np.ndarray, step: int) -> Iterator[np.ndarray]:
+    """Hashes of the runs of bytes that ``inside`` names, a part of at most ``step`` bytes at a
+    time; runs of ``step`` bytes or more are hashed each on its own."""
+    from xxhash import xxh64_intdigest
+
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + step)
+        stops = np.flatnonzero(~inside[data[at:end]])
+        if not len(stops) and end - at == step:
+            while end < len(data) and not len(stops):
+                stops = np.flatnonzero(~inside[data[end : end + step]])
+                end += int(stops[0]) if len(stops) else min(step, len(data) - end)
+            yield np.array([xxh64_intdigest(data[at:end])], np.uint64)
+        else:
+            if end < len(data):
+                end = at + int(stops[-1]) + 1  # what begins after the last stop waits for the next part
+            part = data[at:end]
+            start, stop = runs(inside[part], np.array([0, len(part)]))
+            yield Prefix(part).hashes(start, stop)
+        at = end
+
+
+def counted(data: np.ndarray, inside: np.ndarray, step: int) -> tuple[int, int, int]:
+    """Runs, distinct runs, and runs that equal the one before."""
+    n, again, last, seen = 0, 0, None, np.zeros(0, np.uint64)
+    for h in stretches(data, inside, step):
+        if len(h):
+            n += len(h)
+            again += int((h[1:] == h[:-1]).sum()) + int(last is not None and h[0] == last)
+            last, seen = h[-1], np.union1d(seen, h)
+    return n, len(seen), again
+
+
+def views_of_long(data: np.ndarray, lang: str, source: str, chars: np.ndarray, step: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of one long text, a part at a time; equal to those of the text at once."""
+    content, metadata = (f(data[:0], np.zeros(2, np.int64), *more) for f, more in ((content_view, ()), (metadata_view, ([lang], [source], chars))))
+    pairs, histogram, twins = np.zeros(PAIRS, np.int64), np.zeros(256, np.int64), 0
+    every = np.arange(256)
+    sign = (every > 32) & (every < 127) & ~((every >= 48) & (every <= 57)) & ~((every | 32) >= 97) | ((every | 32) > 122) & (every < 127)
+    for at in range(0, len(data), step):
+        part = data[at : at + step + 1]
+        kind = part.astype(np.int64)
+        pairs += np.bincount((kind[:-1] * 257 + kind[1:]) * 40503 % 65521 % PAIRS, minlength=PAIRS)
+        histogram += np.bincount(data[at : at + step], minlength=256)
+        twins += int((sign[part[:-1]] & (part[1:] == part[:-1])).sum())
+    total = len(data)
+    content[0, :PAIRS] = 10 * np.sqrt(pairs / total)
+    space = is_space(every)
+    words, distinct, again = counted(data, ~space, step)
+    content[0, PAIRS:] = (
+        5 * again / max(words, 1), 5 * distinct / max(words, 1), np.log1p(words) / 3,
+        5 * max(0.0, np.log1p(words) * 0.75 - np.log1p(distinct)) / max(np.log1p(words), 1),
+    )
+    lines, lines_distinct, _ = counted(data, every != 10, step)
+    parts, parts_distinct, _ = counted(data, (every != ord(".")) & (every != 10), step)
+    share = lambda mask: 5 * histogram[mask].sum() / total
+    metadata[0, NAMES + 2 :] = (
+        share((every >= 65) & (every <= 90)), share((every >= 48) & (every <= 57)), share(sign), 5 * twins / total,
+        share((every == ord(".")) | (every == ord(","))), share(every == ord("|")),
+        np.log1p(lines) / 2, 3 * (1 - lines_distinct / max(lines, 1)), np.log1p((total - histogram[10]) / max(lines, 1)) / 3,
+        3 * (1 - parts_distinct / max(parts, 1)), np.log1p(parts) / 3, np.log1p((total - histogram[10] - histogram[ord(".")]) / max(parts, 1)) / 3,
+        share(space), share(every >= 128),
+    )
+    return content, metadata
+
+
 def views(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     column = lambda c: b.column(b.schema.get_field_index(c))
     data, off = flat(octets(column("text")))
     name = lambda c: pc.fill_null(column(c), "").to_pylist()
     chars = pc.fill_null(column("n_chars"), 0).to_numpy(zero_copy_only=False).astype(float)
+    if b.num_rows == 1 and len(data) > 2 * SLICE_BYTES:
+        return views_of_long(data, name("lang")[0], name("source")[0], chars)
     return content_view(data, off), metadata_view(data, off, name("lang"), name("source"), chars)
 
 

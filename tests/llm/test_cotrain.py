@@ -101,3 +101,24 @@ def test_awkward_rows(spark):
     got = C.score(docs, model).collect()
     assert len(got) == 10 and all(0 <= r.score <= 1 for r in got)
     assert C.score(empty(spark), model).count() == 0 and C.accepted(docs, model).columns == docs.columns
+
+
+def test_long_texts_in_parts_and_in_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    some = [b"word", b"two words", b"WORD.", b"12|34", b"!!", b"\n", b"\n\n", b"same line of text\n", "é．".encode(), b" ", b"."]
+    chars = np.array([9000.0])
+    for _ in range(5):
+        text = b" ".join(some[i] for i in rng.integers(0, len(some), 1500))
+        data, off = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        whole = C.content_view(data, off), C.metadata_view(data, off, ["en"], ["a"], chars)
+        for step in (64, 1000, 1 << 20):
+            parts = C.views_of_long(data, "en", "a", chars, step)
+            assert all(np.allclose(x, y, rtol=1e-5, atol=1e-6) for x, y in zip(whole, parts, strict=True))
+    data = np.frombuffer(b" ".join(b"w%d" % i for i in rng.integers(0, 50_000, 8_000_000)) + b".\n", np.uint8)
+    assert len(data) > 50_000_000
+    tracemalloc.start()
+    C.views_of_long(data, "en", "a", chars)
+    assert tracemalloc.get_traced_memory()[1] < 600_000_000
+    tracemalloc.stop()
