@@ -60,6 +60,17 @@ def grams(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return code
 
 
+def gram_parts(data: np.ndarray, off: np.ndarray, most: int = SLICE_BYTES) -> Iterator[np.ndarray]:
+    """The grams of all bytes: at once, or those of one long text a part at a time.  A part
+    sees the four bytes before it, which is as far as a gram and a capital reach."""
+    if len(off) != 2 or len(data) <= 2 * most:
+        yield grams(data, off)
+        return
+    for at in range(0, len(data), most):
+        part = data[max(0, at - 4) : at + most]
+        yield grams(part, np.array([0, len(part)]))[min(at, 4) :]
+
+
 def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     code, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     order = np.argsort(code, kind="stable")
@@ -77,10 +88,11 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             column, langs = octets(b.column(0)), b.column(1).to_pylist()
             for lang in dict.fromkeys(langs):
                 own = column.filter(pa.array([x == lang for x in langs]))
-                code, n = np.unique(grams(*flat(own)), return_counts=True)
-                held.setdefault(lang, []).append((code, n.astype(np.int64)))
-                if len(held[lang]) == 16:
-                    held[lang] = [summed(held[lang])]
+                for part in gram_parts(*flat(own)):
+                    code, n = np.unique(part, return_counts=True)
+                    held.setdefault(lang, []).append((code, n.astype(np.int64)))
+                    if len(held[lang]) == 16:
+                        held[lang] = [summed(held[lang])]
         for lang, parts in held.items():
             code, n = summed(parts)
             for at in range(0, len(code), 50_000):
@@ -174,15 +186,16 @@ class Model:
         full = np.flatnonzero(np.diff(off))
         if not len(full):
             return out
-        code = grams(data, off)
-        order = np.argsort(code)
-        code = code[order]
-        new = np.concatenate(([True], code[1:] != code[:-1]))
-        place = np.empty(len(code), np.int32)
-        place[order] = np.cumsum(new) - 1
-        code = code[new]
-        for k, levels in enumerate(self.levels):
-            out[full, k] = np.add.reduceat(coded(levels, code)[place], off[full])
+        for code in gram_parts(data, off):
+            order = np.argsort(code)
+            code = code[order]
+            new = np.concatenate(([True], code[1:] != code[:-1]))
+            place = np.empty(len(code), np.int32)
+            place[order] = np.cumsum(new) - 1
+            code = code[new]
+            at = off[full] if len(place) == len(data) else np.zeros(1, np.int64)  # a part belongs to the one long text
+            for k, levels in enumerate(self.levels):
+                out[full, k] += np.add.reduceat(coded(levels, code)[place], at)
         return out
 
 
@@ -227,8 +240,7 @@ _LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
 def has_letter(data: np.ndarray, off: np.ndarray, texts: list[bytes]) -> list[bool]:
-    count = np.concatenate(([0], np.cumsum(_LETTER[data])))
-    return [bool(n) or any(map(str.isalpha, t.decode())) for n, t in zip(count[off[1:]] - count[off[:-1]], texts, strict=True)]
+    return [bool(_LETTER[data[a:b]].any()) or any(map(str.isalpha, t.decode())) for a, b, t in zip(off[:-1], off[1:], texts, strict=True)]
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -102,3 +102,13 @@ def test_awkward_rows(spark):
     assert {r.lang_pred for r in L.identify(docs, None).collect()} == {"und"}
     one = spark.createDataFrame([(1, "123 é"), (2, "123")], "doc_id bigint, text string")
     assert [r.lang_pred != "und" for r in L.identify(one, L.learn(docs)).orderBy("doc_id").collect()] == [True, False]
+
+
+def test_long_texts_in_parts():
+    import numpy as np
+
+    text = ("ÀÉ café, l'été — ΑΒΓ naïveté É" * 60).encode()
+    data, off = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    whole = L.grams(data, off)
+    for most in (1, 2, 3, 7, 100):
+        assert (np.concatenate(list(L.gram_parts(data, off, most))) == whole).all()
