@@ -526,23 +526,23 @@ def fitted_models(spark: SparkSession, sf: str) -> DataFrame:
     """The comparison of the three fitted models, each exported with its predictions: the
     metrics worked out again from the exported files, the targets they meet, the best."""
     run = MR.early_run(spark, sf)
-    table, best, out = run.comparison().drop("train_seconds"), run.best_name(), None
+    best, rows = run.best_name(), []
     schema = SC.T.StructType.fromDDL("match_id long, label int, prediction double, radiant_win_probability double")
-    for name in M.MODEL_ORDER:
+    for i, name in enumerate(M.MODEL_ORDER):
         path = SK.export_predictions(run.predictions(name), run.work.folder("export"))
         back = FS.read_csv(spark, path, schema)
-        prf, auc = M.eval_prf(back), M.eval_auc(back, "radiant_win_probability")
-        again = prf.crossJoin(auc)  # one row each
+        again = M.eval_prf(back).first().asDict() | M.eval_auc(back, "radiant_win_probability").first().asDict()
+        m = run.metrics(name)
         pairs = {"accuracy": "accuracy", "weighted_precision": "precision", "weighted_recall": "recall", "weighted_f1": "f1", "auc": "auc_roc"}
-        same = [(F.abs(F.col(f"again.{a}") - F.col(f"m.{b}")) <= 1e-6).cast("int") for a, b in pairs.items()]
-        row = table.where(F.col("model") == name).alias("m").crossJoin(again.alias("again")).select(
-            "m.ordinal", "m.model", (F.col("positives") + F.col("negatives")).alias("test_rows"), sum(same[1:], same[0]).alias("metrics_again"),
-            (F.col("m.meets_accuracy_target") == (F.round("again.accuracy", 6) >= M.TARGET_ACCURACY)).alias("accuracy_target_agrees"),
-            (F.col("m.meets_auc_target") == (F.round("again.auc", 6) >= M.TARGET_AUC)).alias("auc_target_agrees"),
-            (F.lit(run.metrics(best)["auc_roc"]) >= F.col("m.auc_roc")).alias("best_is_no_worse"),
-        )
-        out = row if out is None else out.union(row)
-    return out
+        same = sum(abs(again[a] - m[b]) <= 1e-6 for a, b in pairs.items())
+        rows.append((i, name, again["positives"] + again["negatives"], same, bool(m["auc_roc"] <= run.metrics(best)["auc_roc"]), again["accuracy"], again["auc"]))
+    made = spark.createDataFrame(rows, "ordinal int, model string, test_rows long, metrics_again int, best_is_no_worse boolean, accuracy double, auc double")
+    targets = run.comparison().select("model", "meets_accuracy_target", "meets_auc_target")
+    agrees = lambda flag, value, least: F.col(flag) == (F.col(value) >= least)
+    return made.join(targets, "model").select(
+        "ordinal", "model", "test_rows", "metrics_again", agrees("meets_accuracy_target", "accuracy", M.TARGET_ACCURACY).alias("accuracy_target_agrees"),
+        agrees("meets_auc_target", "auc", M.TARGET_AUC).alias("auc_target_agrees"), "best_is_no_worse",
+    )
 
 
 def fitted_comparison(spark: SparkSession, sf: str) -> DataFrame:
