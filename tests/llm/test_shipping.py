@@ -29,4 +29,4 @@ def test_tasks_need_no_installed_package(tmp_path, sf_small):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     said = subprocess.run([sys.executable, "-c", CODE, repo, sf_small], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
     lines = [x for x in said.stdout.splitlines() if x.startswith("op")]
-    assert said.returncode == 0 and len(lines) == 10, said.stdout + said.stderr[-3000:]
+    assert said.returncode == 0 and len(lines) == 13, said.stdout + said.stderr[-3000:]
