@@ -12,9 +12,14 @@ counted over all documents.
 
 Score.  Features are the restored words and their 4-, 5- and 6-byte beginnings.
 From a bounded sample of labelled learning rows (``SAMPLE`` of each class, by
-smallest hash, repeated texts once) the features tied to label 1 are chosen and a
-logistic regression on their presence is fitted, weighted back to the class shares
-of all learning rows.  All documents are scored.
+smallest hash, repeated texts once) all features tied to label 1 (by chi-squared) are
+taken and a logistic regression on their presence is fitted, weighted back to the class
+shares of all learning rows.  All documents are scored.
+
+Memory.  A text beyond ``PART`` bytes is read a part at a time, cut where no word or
+stretch crosses, so the result is that of the text at once.  A lattice is made and
+decoded unit by unit.  Only a text without a blank after two different ASCII letters is
+held whole (about 40 bytes a byte).
 
 Defined results: NULL and empty texts have no features and get the score of the
 intercept; a NULL doc_id counts as held out; a doc labelled twice counts as toxic
@@ -27,7 +32,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +44,8 @@ from pickwise.llm.common import Prefix, Shipped, flat, is_space, lowered, octets
 
 FOLDS, HELD_FOLD = 5, 0
 SAMPLE = 6000  # learning rows of each class
-FEATURES = 4096
+PART = 2 << 20  # bytes of one text handled at once
+KNOWN = 256  # readings of longer stretches are not kept
 LEAST_DOCS = 3  # toxic learning rows that must hold a feature
 LEAST_CHI2 = 12.0
 STEMS = (4, 5, 6)
@@ -46,7 +53,7 @@ STEMS = (4, 5, 6)
 # Look-alike signs and the letters they stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l"}
 SEPARATORS = ".-_*"
-BETWEEN = re.compile(r"[\W_]+")
+UNITS = re.compile(r"[^\W_]+")
 # Channel costs in bits.
 SUBSTITUTE, REPEAT, JOIN, SPLIT, NOISE = 1.0, 1.0, 0.5, 6.0, 20.0
 
@@ -82,11 +89,12 @@ class CharModel:
         self.bits = (-np.log2((three + weight * p2) / (three.sum(2, keepdims=True) + weight))).astype(np.float32)
         self.known: dict[bytes, bytes] = {}
 
-    def decode(self, units: list[list[tuple[bytes, float]]]) -> bytes:
-        """Cheapest path through a lattice of (output, channel cost) alternatives."""
-        bits = self.bits
+    def decode(self, units: Iterable[list[tuple[bytes, float]]]) -> bytes:
+        """Cheapest path through a lattice of (output, channel cost) alternatives.  Where one
+        state is left, all paths share what lies before it, which is settled at once."""
+        bits, settled = self.bits, bytearray()
         best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for unit in [*units, [(b" ", 0.0)]]:
+        for unit in chain(units, [[(b" ", 0.0)]]):
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, path) in best.items():
                 for out, channel in unit:
@@ -98,36 +106,49 @@ class CharModel:
                     if (x, y) not in after or total < after[x, y][0]:
                         after[x, y] = (total, (out, path) if out else path)
             best = after
-        path, out = min(best.values(), key=lambda v: v[0])[1], []
-        while path:
-            out.append(path[0])
-            path = path[1]
-        return b"".join(out[:0:-1])  # without the closing blank
+            if len(best) == 1:
+                state, (cost, path) = next(iter(best.items()))
+                settled += outputs(path)
+                best = {state: (cost, None)}
+        settled += outputs(min(best.values(), key=lambda v: v[0])[1])
+        return bytes(settled[:-1])  # without the closing blank
 
     def restored(self, token: bytes) -> bytes:
         """The cheapest reading of a suspect stretch."""
+        if len(token) > KNOWN:
+            return self.decode(alternatives(token))
         if token not in self.known:
             if len(self.known) > 50_000:
                 self.known.clear()
-            self.known[token] = self.decode(lattice(token))
+            self.known[token] = self.decode(alternatives(token))
         return self.known[token]
 
 
+def outputs(path: tuple | None) -> bytes:
+    """What a path of (output, path before) puts out."""
+    out = []
+    while path:
+        out.append(path[0])
+        path = path[1]
+    return b"".join(reversed(out))
+
+
 def spelt(text: str) -> bool:
     """Whether three units of one character, repeated or not, follow each other between signs."""
     row = 0
-    for unit in BETWEEN.split(text):
-        row = row + 1 if unit and unit == unit[0] * len(unit) else 0
+    for found in UNITS.finditer(text):
+        unit = found[0]
+        row = row + 1 if unit == unit[0] * len(unit) else 0
         if row == 3:
             return True
     return False
 
 
-def lattice(token: bytes) -> list[list[tuple[bytes, float]]]:
+def alternatives(token: bytes) -> Iterator[list[tuple[bytes, float]]]:
     """Alternatives of each unit of a lower-cased stretch: a letter or sign with its repetition."""
     text = token.decode("utf-8", "replace")
     apart = spelt(text)
-    units, i, before = [], 0, ""  # the letters that the unit before the separator could be
+    i, before = 0, ""  # the letters that the unit before the separator could be
     while i < len(text):
         c, j = text[i], i
         while j < len(text) and text[j] == c:
@@ -135,10 +156,11 @@ def lattice(token: bytes) -> list[list[tuple[bytes, float]]]:
         r, i = j - i, j
         if c.isalpha():
             one = c.encode()
-            units.append([(one, 0.0)] if r == 1 else [(one, REPEAT), (one * 2, REPEAT if r > 2 else 0.0)])
+            unit = [(one, 0.0)] if r == 1 else [(one, REPEAT), (one * 2, REPEAT if r > 2 else 0.0)]
             if apart and c in before:
-                units[-1].append((b"", REPEAT))
+                unit.append((b"", REPEAT))
             before = c
+            yield unit
         elif c in LOOKALIKES:
             options = [(b" ", NOISE), (b"", NOISE)]
             for x in LOOKALIKES[c]:
@@ -149,17 +171,21 @@ def lattice(token: bytes) -> list[list[tuple[bytes, float]]]:
                     options.append((b"", SUBSTITUTE + REPEAT))
             if apart and not c.isalnum():
                 options[:2] = [(b"", JOIN), (b" ", SPLIT)]
-            units.append(options)
             before = LOOKALIKES[c] if c.isalnum() else before + LOOKALIKES[c]
+            yield options
         elif apart and not c.isalnum():
             while i < len(text) and not text[i].isalnum() and text[i] not in LOOKALIKES:
                 i += 1
-            units.append([(b"", JOIN), (b" ", SPLIT)])
+            yield [(b"", JOIN), (b" ", SPLIT)]
         elif c.isspace() or c in SEPARATORS:
-            units.append([(b"", JOIN), (b" ", SPLIT)])
+            yield [(b"", JOIN), (b" ", SPLIT)]
         else:
-            units.append([(b" ", 0.0)])
-    return units
+            yield [(b" ", 0.0)]
+
+
+def lattice(token: bytes) -> list[list[tuple[bytes, float]]]:
+    """All units of a stretch."""
+    return list(alternatives(token))
 
 
 def suspects(low: np.ndarray, off: np.ndarray, model: CharModel) -> tuple[np.ndarray, np.ndarray]:
@@ -184,25 +210,24 @@ def suspects(low: np.ndarray, off: np.ndarray, model: CharModel) -> tuple[np.nda
     pair &= ~border[1 : n + 1]
     # A doubled letter is suspect if the single one is cheaper; only the three codes
     # over the pair differ, unless another pair follows at once.
-    code = np.concatenate((_CODE[low], [0, 0]))
     at = np.flatnonzero(pair)
-    x, y, z = np.where(border[at], 0, code[at - 1]), code[at], np.where(border[at + 2], 0, code[at + 2])
+    x, y, z = np.where(border[at], 0, _CODE[low[at - 1]]), _CODE[low[at]], np.where(border[at + 2], 0, _CODE[low[np.minimum(at + 2, n - 1)]])
     mark[at] |= (model.bits[x, y, y] + model.bits[y, y, z] > model.bits[x, y, z] + REPEAT) | np.concatenate((pair, [False, False]))[at + 2]
-    count = np.concatenate(([0], np.cumsum(mark)))
+    count = np.concatenate((np.zeros(1, np.int32), np.cumsum(mark, dtype=np.int32)))
     hit = count[end] > count[start]
-    count = np.concatenate(([0], np.cumsum(pair)))
+    count = np.concatenate((np.zeros(1, np.int32), np.cumsum(pair, dtype=np.int32)))
     hit |= count[end] - count[start] >= 3  # three doubled letters
     # units of one letter, repeated or not, with signs and blanks between: three or more in a row are one stretch
     first, last = runs(letter, off)
-    change = np.concatenate(([0], np.cumsum(low[1:] != low[:-1])))
+    change = np.concatenate((np.zeros(1, np.int32), np.cumsum(low[1:] != low[:-1], dtype=np.int32)))
     unit = (low[first] < 128) & (change[last - 1] == change[first]) | (low[first] >= 0xC2) & (low[first] < 0xE0) & (last - first == 2)
     doc = np.searchsorted(off, first, side="right") - 1
-    count = np.concatenate(([0], np.cumsum(_NUMBER[low])))
+    count = np.concatenate((np.zeros(1, np.int32), np.cumsum(_NUMBER[low], dtype=np.int32)))
     next_ = np.zeros(len(first), bool)
     next_[:-1] = unit[:-1] & unit[1:] & (doc[1:] == doc[:-1]) & (count[first[1:]] == count[last[:-1]])
     a = np.flatnonzero(next_ & ~np.concatenate(([False], next_))[: len(next_)])
     b = np.flatnonzero(~next_ & np.concatenate(([False], next_))[: len(next_)])
-    count = np.concatenate(([0], np.cumsum(alpha[first])))
+    count = np.concatenate((np.zeros(1, np.int32), np.cumsum(alpha[first])))
     long = (b - a >= 2) & (count[b + 1] - count[a] >= 2)
     s, e = np.concatenate((start[hit], first[a[long]])), np.concatenate((end[hit], last[b[long]]))
     if not len(s):
@@ -253,6 +278,20 @@ def restore(model: CharModel, low: np.ndarray, off: np.ndarray) -> tuple[np.ndar
     return np.frombuffer(b"".join(out), np.uint8), off + np.cumsum(shift), changed
 
 
+def read(model: CharModel, data: np.ndarray, off: np.ndarray, most: int = PART) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Feature hashes of the restored texts, the text of each, and suspect stretches a text;
+    those of one long text a part at a time, each feature once a part."""
+    for part, at in parts(data, off, most):
+        low = lowered(part)
+        start, _ = suspects(low, at, model)
+        found = np.bincount(np.searchsorted(at, start, side="right") - 1, minlength=len(at) - 1)
+        h, d = features(*restore(model, low, at)[:2])
+        if len(data) > most:
+            h = np.unique(h)
+            d = np.zeros(len(h), np.int64)
+        yield h, d, found
+
+
 def features(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words and word beginnings, and the text of each."""
     start, end = words(low, off)
@@ -266,22 +305,53 @@ def features(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(h), np.concatenate(d)
 
 
+def parts(data: np.ndarray, off: np.ndarray, most: int = PART) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The texts at once, or one long text in parts of about ``most`` bytes.  A part ends at a
+    blank after two different ASCII letters: neither a word nor a stretch crosses it.  Without
+    such a blank a part goes on."""
+    if len(off) != 2 or len(data) <= most:
+        yield data, off
+        return
+    at = 0
+    while at < len(data):
+        end = at + most
+        while end < len(data):
+            here = data[end - 2 : end + (1 << 16)]
+            low = here | 32
+            letter = (low >= 97) & (low <= 122)
+            cut = np.flatnonzero(is_space(here[2:]) & letter[1:-1] & letter[:-2] & (low[1:-1] != low[:-2]))
+            if len(cut):
+                end += int(cut[0])
+                break
+            end += len(here) - 2
+        end = min(end, len(data))
+        yield data[at:end], np.array([0, end - at])
+        at = end
+
+
+def trigrams(data: np.ndarray, off: np.ndarray, most: int = PART) -> Iterator[np.ndarray]:
+    """Codes of every byte with the two before it; those of one long text a part at a time."""
+    step = most if len(off) == 2 else max(len(data), 1)
+    for at in range(0, len(data), step):
+        first = max(0, at - 3)
+        s = _CODE[lowered(data[first : at + step])]
+        pad = np.concatenate((np.zeros(2, np.int64), s))
+        one, two = pad[1:-1].copy(), pad[:-2].copy()
+        if not at:
+            edge = off[:-1][off[:-1] < len(s)]
+            one[edge] = two[edge] = 0
+            two[(edge + 1)[edge + 1 < len(s)]] = 0
+        yield ((two * MODEL_SIZE + one) * MODEL_SIZE + s)[at - first :]
+
+
 def char_counts(docs: DataFrame) -> CharModel:
     """The trigram model of all documents; each task sends its non-zero counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(MODEL_SIZE**3, np.int64)
-        for b in slices(batches, most=4 << 20):
-            data, off = flat(octets(b.column(0)))
-            s = _CODE[lowered(data)]
-            if len(s):
-                pad = np.zeros(len(s) + 2, np.int64)
-                pad[2:] = s
-                edge = off[:-1][off[:-1] < len(s)]
-                one, two = pad[1:-1].copy(), pad[:-2].copy()
-                one[edge] = two[edge] = 0
-                two[(edge + 1)[edge + 1 < len(s)]] = 0
-                held += np.bincount((two * MODEL_SIZE + one) * MODEL_SIZE + s, minlength=len(held))
+        for b in slices(batches, most=PART):
+            for code in trigrams(*flat(octets(b.column(0)))):
+                held += np.bincount(code, minlength=len(held))
         code = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(held[code])], ["code", "n"])
 
@@ -289,18 +359,26 @@ def char_counts(docs: DataFrame) -> CharModel:
     return CharModel(t.column("code").to_numpy(), t.column("n").to_numpy())
 
 
+def matched(keys: np.ndarray, h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Text * number of keys + key of the features that are among the sorted keys, each once."""
+    if not len(keys):
+        return np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+    ok = keys[at] == h
+    return np.unique(doc[ok] * len(keys) + at[ok])
+
+
 class Scorer:
     """Sorted feature hashes, their weights, and the intercept."""
 
     def __init__(self, keys: np.ndarray, weights: np.ndarray, intercept: float):
         self.keys, self.weights, self.intercept = keys, weights, intercept
 
-    def scores(self, h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    def scores(self, found: list[np.ndarray], n: int) -> np.ndarray:
+        """Scores of ``n`` texts that hold the features ``found`` (text * number of keys + key)."""
         total = np.full(n, self.intercept)
-        if len(self.keys) and len(h):
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            ok = self.keys[at] == h
-            pair = np.unique(doc[ok] * len(self.keys) + at[ok])
+        if len(self.keys):
+            pair = np.unique(np.concatenate(found))
             np.add.at(total, pair // len(self.keys), self.weights[pair % len(self.keys)])
         return 1 / (1 + np.exp(-total))
 
@@ -336,15 +414,14 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = SA
     rows = persisted(rows.select("_t", "text", "toxic").repartition(F.col("_t")))
     shared = Shipped(spark, model)
 
-    def hashed(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        data, off = flat(octets(b.column(b.schema.get_field_index("text"))))
-        low, off, _ = restore(shared.value, lowered(data), off)
-        return features(low, off)
+    def hashed(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        return read(shared.value, *flat(octets(b.column(b.schema.get_field_index("text")))))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, n = [np.zeros(0, np.uint64)], [np.zeros((0, 2), np.int64)]
         for b in slices(batches):
-            h, d = hashed(b)
+            seen = list(hashed(b))
+            h, d = (np.concatenate([x[k] for x in seen]) for k in (0, 1))
             toxic = b.column(2).to_numpy()
             order = np.lexsort((d, h))
             h, d = h[order], d[order]
@@ -371,18 +448,15 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = SA
     seen = F.col("bad") + F.col("good")
     chi2 = F.lit(float(n)) * excess * excess / (F.lit(float(n_bad) * n_good) * seen * (F.lit(float(n)) - seen + F.lit(1e-9)))
     best = counts.filter((F.col("bad") >= LEAST_DOCS) & (excess > 0)).withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
-    keys = np.sort(best.orderBy(F.desc("chi2"), "h").limit(FEATURES).select("h").toArrow().column("h").to_numpy().view(np.uint64))
+    keys = np.sort(best.select("h").toArrow().column("h").to_numpy().view(np.uint64))
     held = spark.sparkContext.broadcast(keys)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            h, d = hashed(b)
             k = held.value
             if not len(k):
                 continue
-            at = np.minimum(np.searchsorted(k, h), len(k) - 1)
-            ok = k[at] == h
-            pair = np.unique(d[ok] * len(k) + at[ok])
+            pair = np.unique(np.concatenate([matched(k, h, d) for h, d, _ in hashed(b)]))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(pair // len(k))), pa.array(pair % len(k))], ["row", "col"])
 
     ids = rows.select("_t", "toxic").orderBy("_t").toArrow()
@@ -398,19 +472,16 @@ def learn(docs: DataFrame, labels: DataFrame, model: CharModel, sample: int = SA
 
 def score(docs: DataFrame, model: CharModel, scorer: Scorer) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_suspect) for every row."""
-    shared, judge = Shipped(docs.sparkSession, model), scorer  # the scorer holds at most FEATURES weights
+    shared, weighed = Shipped(docs.sparkSession, model), Shipped(docs.sparkSession, scorer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm = shared.value
+        lm, judge = shared.value, weighed.value
         for b in slices(batches):
-            data, off = flat(octets(b.column(2)))
-            low = lowered(data)
-            changed = np.zeros(b.num_rows, np.int64)
-            start, _ = suspects(low, off, lm)
-            if len(start):
-                np.add.at(changed, np.searchsorted(off, start, side="right") - 1, 1)
-            low, off, _ = restore(lm, low, off)
-            p = judge.scores(*features(low, off), b.num_rows)
+            changed, found = np.zeros(b.num_rows, np.int64), []
+            for h, d, n in read(lm, *flat(octets(b.column(2)))):
+                changed += n
+                found.append(matched(judge.keys, h, d))
+            p = judge.scores(found, b.num_rows)
             cols = [b.column(0), b.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(changed)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "held_out", "score", "predicted", "n_suspect"])
 

@@ -98,6 +98,50 @@ def test_character_counts_against_plain_counting(spark):
     assert np.allclose(m.bits, T.CharModel(np.array(code), np.array(list(want.values()))).bits)
 
 
+def test_long_texts_in_parts_are_read_as_at_once():
+    m = model_of(["idiot", "moron", "stupid", "the", "clown", "loser", "trash", "see", "was", "é"] * 50)
+    words = ["the", "m0r0n", "m o r o n", "stuuupid", "i d d i o t", "see", "été", "a", "bb", "c/l/o/w/n", "ÀÉ", "aA", "3", "l-o-s-e-r!!", "\n", "", "x" * 40, "1d10t", "of"]
+    rng = np.random.default_rng(5)
+    for most in (3, 17, 64, 300):
+        raw = " ".join(rng.choice(words, 400)).encode()
+        data, off = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+        cut = list(T.parts(data, off, most))
+        assert b"".join(p.tobytes() for p, _ in cut) == raw and len(cut) > 2
+        whole, some = list(T.read(m, data, off, len(raw))), list(T.read(m, data, off, most))
+        assert set(np.concatenate([h for h, _, _ in some])) == set(whole[0][0])
+        assert sum(int(n[0]) for _, _, n in some) == int(whole[0][2][0])
+        assert np.array_equal(np.concatenate(list(T.trigrams(data, off, most))), next(T.trigrams(data, off, len(raw))))
+    several = np.frombuffer(b"the seethe m o r o n", np.uint8)
+    assert len(list(T.parts(several, np.array([0, 7, 20]), 4))) == 1
+
+
+def test_a_text_of_50_mb_stays_in_bounds():
+    import tracemalloc
+
+    m = model_of(["idiot", "moron", "the", "see"] * 50)
+    text = (b"the m0r0n m o r o n " + b"see the cat sat on it again and again " * 60) * 21_800
+    data, off = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    tracemalloc.start()
+    found = [np.unique(h) for h, _, n in T.read(m, data, off)]
+    for code in T.trigrams(data, off):
+        assert len(code) <= T.PART
+    assert tracemalloc.get_traced_memory()[1] < 600_000_000
+    tracemalloc.stop()
+    assert len(found) > 20
+
+
+def test_a_long_stretch_is_decoded_unit_by_unit():
+    import tracemalloc
+
+    m = model_of(["idiot", "moron", "the", "see"] * 50)
+    token = b"m0r0nthe3" * 20_000
+    tracemalloc.start()
+    out = m.restored(token)
+    assert tracemalloc.get_traced_memory()[1] < 20_000_000 and token not in m.known
+    tracemalloc.stop()
+    assert out == m.decode(T.lattice(token)) and b"moron" in out
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     lab = lambda rows: spark.createDataFrame(rows, "doc_id bigint, toxic int")
