@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.llm.common import flat, is_space, mixed, octets, persisted, runs, slices
+from pickwise.plans.guards import MAX_BROADCAST_BYTES, SALTS
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -129,11 +130,24 @@ def landing(p: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.round(p)
 
 
-def level(rows: DataFrame, groups: DataFrame | None, last: bool) -> DataFrame:
+def by_source(rows: DataFrame, table: DataFrame, most: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Rows (with a ``row`` number) joined with a written table of one row a source.  The table
+    is broadcast up to ``most`` bytes; beyond, it is copied SALTS times and the rows of one
+    source meet its copies in as many tasks."""
+    size = table.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + 8 * (len(table.columns) + 1)), F.lit(0))).first()[0]
+    table = table.withColumnRenamed("source", "_source")
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    if size <= most:
+        return rows.join(F.broadcast(table), same).drop("_source")
+    copies = table.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod("row", F.lit(SALTS)).cast("int"))
+    return salted.join(copies, same & (F.col("_salt") == F.col("_copy"))).drop("_source", "_salt", "_copy")
+
+
+def level(rows: DataFrame, groups: DataFrame, last: bool, most: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """One flight over (id, source, size, p, h), in groups of a source."""
-    parts = F.col("parts") if groups is not None else F.lit(1)
-    rows = rows.join(groups, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source") if groups is not None else rows
-    rows = rows.withColumn("g", F.pmod(F.shiftright("h", 3), parts)).select("source", "g", "h", "doc_id", "size", "row", "p")
+    rows = by_source(rows, groups, most)
+    rows = rows.withColumn("g", F.pmod(F.shiftright("h", 3), F.col("parts"))).select("source", "g", "h", "doc_id", "size", "row", "p")
     key = ["source", "g"]
 
     def settled(t: pa.Table) -> pa.RecordBatch:
@@ -176,28 +190,28 @@ def mix(docs: DataFrame, group: int = GROUP) -> DataFrame:
     return mixed_sources(docs, group).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mixed_sources(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """``mix`` with the source, and how often each document is taken, as ``copies``."""
+def mixed_sources(docs: DataFrame, group: int = GROUP, most: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``mix`` with the source, and how often each document is taken, as ``copies``;
+    ``most``: bytes of the source table up to which it is broadcast."""
     sized = persisted(sizes(docs))
     goal = persisted(targets(sized))
-    by = goal.select(F.col("source").alias("_source"), "source_size", "target")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = sized.join(by, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("_r", ratio)
+    # equal rows get numbers of their own within a partition
+    rows = by_source(sized.withColumn("row", F.monotonically_increasing_id()), goal, most).withColumn("_r", ratio)
     # a ratio within EPS of a whole number is that number
     whole = F.floor(F.col("_r") + EPS)
     rows = rows.withColumn("whole", whole.cast("bigint")).withColumn("p", F.greatest(F.lit(0.0), F.col("_r") - F.col("whole"))).drop("_r")
-    # equal rows get numbers of their own within a partition
-    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("h", F.xxhash64("doc_id", "size"))
+    rows = rows.withColumn("h", F.xxhash64("doc_id", "size"))
     rows = persisted(rows)
     open_ = rows.filter((F.col("p") > EPS) & (F.col("p") < 1 - EPS)).select("source", "doc_id", "size", "row", "p", "h")
     settled = []
     while True:
         counts = persisted(open_.groupBy("source").agg(F.ceil(F.count("*") / group).alias("parts")))
-        most = counts.agg(F.max("parts")).first()[0]
-        if most is None:
+        largest = counts.agg(F.max("parts")).first()[0]
+        if largest is None:
             break
-        last = most <= 1
-        after = persisted(level(open_, counts.withColumnRenamed("source", "_source"), last))
+        last = largest <= 1
+        after = persisted(level(open_, counts, last, most))
         still = (F.col("p") > EPS) & (F.col("p") < 1 - EPS)
         settled.append(after.filter(~still & (F.col("p") >= 0.5)).select("row"))
         if last:

@@ -1,9 +1,11 @@
 from collections import defaultdict
 
 import numpy as np
+import pyspark.sql.functions as F
 from llm_cases import ROWS, awkward, documents, empty
 
 from pickwise.llm import mixing as M
+from pickwise.plans.guards import plan_text
 
 
 def plain_targets(size):
@@ -98,3 +100,15 @@ def test_awkward_rows(spark):
     assert M.mix(empty(spark)).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id bigint, text string, source string")
     assert [(r.size, r.target, r.taken) for r in M.mix(blank).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_source_table_broadcast_or_salted_gives_the_same_mix(spark):
+    rows = [(i, "w " * (1 + i % 7), f"s{i % 40}" if i % 3 else "hot") for i in range(900)] + [(901, "a b", None), (901, "a b", None), (None, None, "hot")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3, "doc_id")
+    plain, salted = (M.mixed_sources(docs, group=64, most=m) for m in (M.MAX_BROADCAST_BYTES, 0))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
+    table = spark.createDataFrame([("hot", 1), (None, 2), ("s1", 3)], "source string, x int")
+    keyed = docs.withColumn("row", F.monotonically_increasing_id())
+    count = lambda m: sorted((str(r.source), r.x, r["count"]) for r in M.by_source(keyed, table, m).groupBy("source", "x").count().collect())
+    assert count(0) == count(1 << 20) == [("None", 2, 2), ("hot", 1, 301), ("s1", 3, sum(r[2] == "s1" for r in rows))]
+    assert "BroadcastHashJoin" in plan_text(M.by_source(keyed, table)) and "BroadcastHashJoin" not in plan_text(M.by_source(keyed.hint("merge"), table, 0))
