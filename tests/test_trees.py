@@ -61,6 +61,22 @@ def test_routing_in_several_passes(run):
     assert whole.count() == 7 * run.n_test and whole.exceptAll(parts).isEmpty() and parts.exceptAll(whole).isEmpty()
 
 
+def test_routed_rows_are_not_multiplied_by_the_trees(run):
+    nodes = run.nodes("random_forest")
+    found = TR.reached(run.train, nodes, ["match_id", "label"], 4)
+    assert found.count() == run.n_train and found.where("size(leaves) = 7 AND size(values) = 7").count() == run.n_train
+    in_passes = TR.reached(run.train, nodes, ["match_id", "label"], 4, most_bytes=2000)
+    assert found.exceptAll(in_passes).isEmpty()
+    sums = {(r.tree, r.node): (r.found_rows, r.found_total) for r in TR.leaf_sums(nodes, found, False).collect()}
+    long = TR.routed(run.train, nodes, ["label"], 4).groupBy("tree", "leaf").agg(F.count("*").alias("n"), F.sum("label").alias("ones")).collect()
+    assert sums == {(r.tree, r.leaf): (r.n, r.ones) for r in long}
+
+
+def test_tasks_of_a_fit_do_not_grow_with_every_row():
+    assert [MR.partitions(n) for n in (1, 20_000, 20_001, 960_000)] == [1, 1, 2, 48]
+    assert MR.partitions(7_200_000) == 48 and MR.partitions(43_200_000) == 87
+
+
 @pytest.mark.parametrize("name", ["random_forest", "gradient_boosting"])
 def test_importance_follows_from_the_nodes(run, name):
     theirs = run.model(name).featureImportances.toArray()
