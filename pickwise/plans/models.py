@@ -24,7 +24,7 @@ from pickwise.operators import ml as M
 from pickwise.operators import pairs as P
 from pickwise.operators import trees as TR
 from pickwise.plans import features as FE
-from pickwise.plans.guards import materialize
+from pickwise.plans.guards import written
 from pickwise.plans.workspace import Workspace, stamp
 from pickwise.sources import files as FS
 from pickwise.sources import schemas as SC
@@ -208,8 +208,8 @@ def run_early(spark: SparkSession, base: str, params: dict | None = None) -> Mod
 
 def draft_inputs(spark: SparkSession, base: str, years) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Picks, outcomes and timings of yearly files, read once and materialised."""
-    picks = materialize(FS.load_picks_bans(spark, base, years).drop("year", "leagueid"))
-    meta = materialize(FS.load_metadata(spark, base, years).drop("year"))
+    picks = written(FS.load_picks_bans(spark, base, years).drop("year", "leagueid"))
+    meta = written(FS.load_metadata(spark, base, years).drop("year"))
     timings = FS.load_draft_timings(spark, base, years)
     return picks, meta, timings.drop("year") if timings is not None else None
 

@@ -647,9 +647,7 @@ def draft_features_files(spark: SparkSession, sf: str) -> DataFrame:
             "draft_timings": V.draft_timings(spark, sf).join(years, "match_id"),
         }
         for name, df in tables.items():
-            for y in FX.years(spark, sf):
-                part = df.where(F.col("year") == y).drop("year")
-                part.write.option("header", True).csv(f"{base}/{name}_{y}.csv")
+            FX.write_yearly_files(spark, df, base, name)
         return base
 
     base = _fixture(spark, sf, "yearly_files", write)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pickwise.plans.workspace import file_system
 from pickwise.sources import views as V
 
 def years(spark: SparkSession, sf: str) -> range:
@@ -37,6 +38,18 @@ def _write_by_year(df: DataFrame, base: str, odd_year: int, drop: list[str]) ->
     )
 
 
+def write_yearly_files(spark: SparkSession, df: DataFrame, base: str, name: str) -> None:
+    """``df`` as the folders base/name_YYYY.csv: one job for all years, whose partition
+    folders get the names of the export."""
+    root = f"{base}/{name}"
+    df.where(F.col("year").isNotNull()).write.partitionBy("year").option("header", True).csv(root)
+    fs, where = file_system(spark, root)
+    for found in fs.listStatus(where):
+        if found.isDirectory():
+            year = found.getPath().getName().removeprefix("year=")
+            fs.rename(found.getPath(), file_system(spark, f"{root}_{year}.csv")[1])
+
+
 def write_yearly_picks(spark: SparkSession, sf: str, base: str) -> str:
     pb = _with_year(spark, sf, V.picks_bans(spark, sf))
     _write_by_year(pb, f"{base}/picks_bans", PICKS_YEAR_WITHOUT_ORDER, ["order"])
