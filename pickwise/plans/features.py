@@ -85,7 +85,7 @@ def draft_features(
         synergy_stats = P.pair_synergy_winrate(picks, meta, min_games)
     if hero_ids is None:
         hero_ids = D.collect_vocabulary(picks)
-    blocks = D.draft_blocks(picks, hero_ids)  # one-hot + pick order, one aggregate
+    blocks = D.draft_slots(picks, hero_ids)  # one-hot + pick order, one aggregate; laid out after the joins
     feats = blocks
     timing_cols: list[str] = []
     if timings is not None:
@@ -111,7 +111,8 @@ def draft_features(
     rs = f"coalesce(radiant_synergy, CAST({syn} AS DOUBLE))"
     ds = f"coalesce(dire_synergy, CAST({syn} AS DOUBLE))"
     out = ["match_id"]
-    out += [f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in blocks.columns if c != "match_id"]
+    out += D.onehot_exprs(hero_ids, "DOUBLE")
+    out += [f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in blocks.columns if c not in ("match_id", "_slots")]
     out += [f"CAST(coalesce(`{c}`, 0) AS DOUBLE) AS `{c}`" for c in timing_cols]
     out += [f"{rs} AS radiant_synergy", f"{ds} AS dire_synergy", f"{rs} - {ds} AS synergy_diff"]
     if patch_name:

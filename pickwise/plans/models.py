@@ -181,7 +181,7 @@ def draft_table(picks: DataFrame, meta: DataFrame, timings: DataFrame | None, he
 def draft_run(spark: SparkSession, sf: str, params: dict | None = None) -> ModelRun:
     def build() -> ModelRun:
         with Workspace(spark, "draft") as work, work.active():
-            table = draft_table(V.picks_bans(spark, sf), V.metadata(spark, sf), V.draft_timings(spark, sf), range(V.HERO_POOL))
+            table = draft_table(written(V.picks_bans(spark, sf)), V.metadata(spark, sf), V.draft_timings(spark, sf), range(V.HERO_POOL))
             return ModelRun(table, FE.draft_feature_columns(table), params)
 
     return _run(spark, sf, "draft", params, build)

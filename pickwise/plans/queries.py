@@ -68,7 +68,7 @@ def pair_synergy_winrate_dup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def draft_features_dup(spark: SparkSession, sf: str) -> DataFrame:
-    df = FE.draft_features(V.picks_bans(spark, sf), _listed_twice(spark, sf), V.draft_timings(spark, sf), hero_ids=range(V.HERO_POOL))
+    df = FE.draft_features(written(V.picks_bans(spark, sf)), _listed_twice(spark, sf), V.draft_timings(spark, sf), hero_ids=range(V.HERO_POOL))
     return _r(df, {"std_pick_time": 6, "radiant_synergy": 6, "dire_synergy": 6, "synergy_diff": 6})
 
 
@@ -184,7 +184,7 @@ def early_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def draft_features(spark: SparkSession, sf: str) -> DataFrame:
-    df = FE.draft_features(V.picks_bans(spark, sf), V.metadata(spark, sf), V.draft_timings(spark, sf), hero_ids=range(V.HERO_POOL))
+    df = FE.draft_features(written(V.picks_bans(spark, sf)), V.metadata(spark, sf), V.draft_timings(spark, sf), hero_ids=range(V.HERO_POOL))
     return _r(df, {"std_pick_time": 6, "radiant_synergy": 6, "dire_synergy": 6, "synergy_diff": 6})
 
 
